@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tidewater.plans import clickstream, clickstream_sql
+from tidewater.plans import clickstream, clickstream_sql, curation, curation_sql
 
 
 def all_queries() -> dict:
     out = {}
     out.update(clickstream.QUERIES)
+    out.update(curation.QUERIES)
     return out
 
 
 def all_oracles() -> dict:
     out = {}
     out.update(clickstream_sql.SQL)
+    out.update(curation_sql.SQL)
     return out
