@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidewater.plans import clickstream, clickstream_sql, curation, curation_sql
+from tidewater.plans import clickstream, clickstream_sql, curation, curation_sql, orders, orders_sql
 
 
 def all_queries() -> dict:
     out = {}
     out.update(clickstream.QUERIES)
     out.update(curation.QUERIES)
+    out.update(orders.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def all_oracles() -> dict:
     out = {}
     out.update(clickstream_sql.SQL)
     out.update(curation_sql.SQL)
+    out.update(orders_sql.SQL)
     return out
