@@ -71,9 +71,10 @@ def explode_items(orders: DataFrame, items_col: str = "items", order_col: str =
 
 def items_total(items_col: str = "items", qty: str = "quantity", price: str = "price"):
     """Σ quantity × price inside the array, exact (A14, array form)."""
-    zero = F.lit(0).cast("decimal(31,4)")
+    zero = F.lit(0).cast("decimal(38,4)")
     return F.aggregate(F.col(items_col), zero,
-                       lambda acc, x: acc + money(x[qty]) * money(x[price])).cast("double")
+                       lambda acc, x: (acc + money(x[qty]) * money(x[price])).cast("decimal(38,4)")
+                       ).cast("double")
 
 
 def order_totals(orders: DataFrame, lines: DataFrame, order_col: str = "order_id",
@@ -181,11 +182,16 @@ def envelopes(log: DataFrame, time_col=None) -> DataFrame:
     """Envelope rows (M14): deterministic event id, type, time, JSON payload, sequence."""
     payload = F.to_json(F.struct(*[F.col(c) for c in LOG_SCHEMA_COLS if c not in ("step", "event_type")]))
     ts = F.date_format(time_col, "yyyy-MM-dd'T'HH:mm:ss") if time_col is not None else F.lit(None)
+    numeric = log.schema["order_id"].dataType.typeName() in ("long", "integer", "short")
+    # Numeric order ids give a reproducible sequence; otherwise ids are unique
+    # and increasing within each partition.
+    seq = ((F.col("order_id").cast("bigint") * 10 + F.col("step")) if numeric
+           else F.monotonically_increasing_id())
     return log.select(
         deterministic_id("EVT-", F.concat_ws(":", F.col("order_id").cast("string"),
                                              F.col("event_type")), 12).alias("event_id"),
         "event_type", ts.cast("string").alias("timestamp"), payload.alias("data"),
-        (F.col("order_id").cast("bigint") * 10 + F.col("step")).alias("message_id"))
+        seq.alias("message_id"))
 
 
 def notifications(log: DataFrame) -> DataFrame:
