@@ -16,14 +16,20 @@ plan decides orders in rounds, each one a window pass per product:
 Decided orders are consistent with the sequential rule (the true stock used
 before an order lies between the two bounds), and the earliest undecided
 order meets both bounds with equality, so every round decides at least one
-order and usually most.  Rejected lines leave the working set; each round's
-state is checkpointed to the shared checkpoint folder so lineage and retries
-stay one round long.  Products whose whole demand fits their stock never
+order and usually most.  Rejected lines leave the working set, and so do
+accepted lines that no undecided order after them can depend on; each
+round's state is checkpointed to the shared checkpoint folder (and its
+decisions appended to a table there) so lineage and retries stay one round
+long.  Products whose whole demand fits their stock never
 constrain anything and are settled before the first round.
 """
 
 from __future__ import annotations
 
+import functools
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,17 +49,20 @@ def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
 def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order_id",
                   seq_cols=("order_date", "order_id"), product_col: str = "product_id",
                   qty_col: str = "quantity", pos_col: str | None = "pos",
-                  stock_col: str = "stock", max_rounds: int = 10_000) -> DataFrame:
+                  stock_col: str = "stock", max_rounds: int = 10_000,
+                  stats: dict | None = None) -> DataFrame:
     """Decide every order that has lines.
 
     Returns ``order_col, decision ('INVENTORY_RESERVED'|'OUT_OF_STOCK'),
     failed_product, available, requested, reason`` where the last four
-    describe the first failing item (by ``pos``) of a rejected order.
-    ``seq_cols`` must order orders totally (end with the order id).
+    describe the first failing item (by ``pos``, then product) of a rejected
+    order.  ``seq_cols`` must order orders totally (end with the order id).
+    ``stats``, when given, receives the number of rounds and working-set sizes.
     """
     seq_cols = list(seq_cols)
     spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
+    ckpt = ensure_checkpoint_dir(spark)
+    run_dir = f"{ckpt.rstrip('/')}/reservation-{uuid.uuid4().hex}"
     seq_keys = [c for c in seq_cols if c != order_col]
     demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
     stock_side = stock.select(F.col(product_col), F.col(stock_col).cast("double").alias("stock"))
@@ -63,41 +72,65 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     totals = d.groupBy(product_col).agg(F.sum("qty").alias("_total"))
     d = (d.join(totals, product_col, "inner")
          .withColumn("constraining", F.col("_total") > F.col("stock")).drop("_total"))
-    d = d.checkpoint()
+    d.write.parquet(f"{run_dir}/demand")
+    d = spark.read.parquet(f"{run_dir}/demand")
 
     order_seq = [F.col(c) for c in seq_keys] + [F.col(order_col)]
-    before = (Window.partitionBy(product_col).orderBy(*order_seq)
-              .rowsBetween(Window.unboundedPreceding, -1))
+    by_product = Window.partitionBy(product_col).orderBy(*order_seq)
+    before = by_product.rowsBetween(Window.unboundedPreceding, -1)
+    whole_product = Window.partitionBy(product_col)
+    whole_order = Window.partitionBy(order_col)
+    cols = [order_col, *seq_keys, product_col, "qty", "stock", "st"]
 
     work = d.filter("constraining").select(order_col, *seq_keys, product_col, "qty", "stock",
                                            F.lit(UNDECIDED).alias("st"))
+    rounds_path = f"{run_dir}/rounds"
     rounds = 0
-    while True:
-        undecided = work.filter(F.col("st") == UNDECIDED).limit(1).count()
-        if undecided == 0:
-            break
+    sizes = []
+    records = []
+    t_round = time.perf_counter()
+    while not work.filter(F.col("st") == UNDECIDED).isEmpty():
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"reservation did not settle in {max_rounds} rounds")
+        if stats is not None:
+            sizes.append((work.count(), round(time.perf_counter() - t_round, 2)))
+            t_round = time.perf_counter()
+        is_u = (F.col("st") == UNDECIDED)
         hi = F.coalesce(F.sum("qty").over(before), F.lit(0.0))
-        lo = F.coalesce(F.sum(F.when(F.col("st") == ACCEPTED, F.col("qty"))).over(before),
-                        F.lit(0.0))
-        probed = (work.withColumn("fits_hi", F.col("qty") <= F.col("stock") - hi)
-                  .withColumn("fails_lo", F.col("qty") > F.col("stock") - lo))
-        verdict = (probed.filter(F.col("st") == UNDECIDED).groupBy(order_col)
-                   .agg(F.bool_and("fits_hi").alias("all_fit"),
-                        F.bool_or("fails_lo").alias("any_fail"))
-                   .select(order_col, F.when(F.col("all_fit"), ACCEPTED)
-                           .when(F.col("any_fail"), REJECTED).otherwise(UNDECIDED).alias("new_st")))
-        work = (work.join(verdict, order_col, "left")
-                .withColumn("st", F.coalesce(F.col("new_st"), F.col("st"))).drop("new_st")
-                .filter(F.col("st") != REJECTED)
-                .checkpoint())
-
-    accepted_constrained = work.select(order_col).distinct().withColumn("ok", F.lit(True))
+        lo = F.coalesce(F.sum(F.when(F.col("st") == ACCEPTED, F.col("qty"))).over(before), F.lit(0.0))
+        # Pass 1 (by product, in sequence): both bounds for every line, and
+        # whether any undecided line comes at or after it in its product.
+        probed = (work.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - hi).cast("int"))
+                  .withColumn("fails_lo", (F.col("qty") > F.col("stock") - lo).cast("int"))
+                  .withColumn("needed", F.struct(*order_seq) <= F.max(
+                      F.when(is_u, F.struct(*order_seq))).over(whole_product)))
+        # Pass 2 (by order): the order's verdict reaches all its lines without
+        # a join; one line per order carries the decision record.
+        all_fit = F.min("fits_hi").over(whole_order) == 1
+        any_fail = F.max("fails_lo").over(whole_order) == 1
+        new_st = F.when(is_u, F.when(all_fit, ACCEPTED).when(any_fail, REJECTED)
+                        .otherwise(UNDECIDED)).otherwise(F.col("st"))
+        judged = probed.select(
+            *[c for c in cols if c != "st"], new_st.alias("st"), "needed",
+            (is_u & (new_st != UNDECIDED) &
+             (F.col(product_col) == F.min(product_col).over(whole_order))).alias("record"))
+        # The checkpoint (in the shared checkpoint folder) cuts the lineage.
+        judged = judged.checkpoint()
+        records.append(judged.filter("record").select(order_col, F.col("st").alias("new_st")))
+        # Rejected lines leave, and so do accepted lines that no undecided
+        # line after them in their product can depend on.
+        work = judged.filter(F.col("needed") & (F.col("st") != REJECTED)).select(*cols)
+    if stats is not None:
+        stats.update(rounds=rounds, working_set=sizes)
+
+    if rounds:
+        decided = functools.reduce(DataFrame.unionByName, records)
+    else:
+        decided = d.select(order_col, F.lit(ACCEPTED).alias("new_st")).limit(0)
     per_order = (d.groupBy(order_col).agg(F.bool_and(~F.col("constraining")).alias("free"))
-                 .join(accepted_constrained, order_col, "left")
-                 .select(order_col, (F.col("free") | F.coalesce(F.col("ok"), F.lit(False)))
+                 .join(decided, order_col, "left")
+                 .select(order_col, (F.col("free") | F.coalesce(F.col("new_st") == ACCEPTED, F.lit(False)))
                          .alias("accepted")))
 
     # First failing item of each rejected order, against the final reservations.

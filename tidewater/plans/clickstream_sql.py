@@ -117,7 +117,7 @@ FROM simple GROUP BY session_id""",
 marked AS (
   SELECT *, CASE WHEN lag(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp) IS NULL
                    OR timestamp - lag(timestamp) OVER (PARTITION BY user_id ORDER BY timestamp)
-                      >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new_session
+                      > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new_session
   FROM simple),
 numbered AS (
   SELECT *, SUM(new_session) OVER (PARTITION BY user_id ORDER BY timestamp
