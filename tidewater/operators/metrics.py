@@ -99,7 +99,9 @@ def dashboard(activity: DataFrame, as_of: Column, lookback: str = "1 hour",
     """
     t = F.col(time_col)
     recent = activity.filter((t >= as_of - F.expr(f"INTERVAL {lookback}")) & (t <= as_of))
-    return recent.groupBy(F.date_trunc("minute", t).alias("minute_window")).agg(
+    # date_trunc yields TIMESTAMP; keep the input's type (e.g. TIMESTAMP_NTZ)
+    minute = F.date_trunc("minute", t).cast(activity.schema[time_col].dataType)
+    return recent.groupBy(minute.alias("minute_window")).agg(
         F.count(F.lit(1)).alias("activity_rows"),
         F.sum("purchase_count").alias("total_purchases"),
         money_sum("daily_revenue").alias("total_revenue"),
