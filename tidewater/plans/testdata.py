@@ -51,14 +51,18 @@ def profiles(spark: SparkSession, base: str) -> DataFrame:
                     .alias("age"),
                     _tier(F.col("c_mktsegment")).alias("loyalty_tier"),
                     F.col("n_name").alias("country"),
-                    F.col("r_name").alias("region")))
+                    F.col("r_name").alias("region"))
+            # One row per user: the optimizer can then drop an unused profile
+            # join, and a duplicated customer row can never multiply events.
+            .dropDuplicates(["user_id"]))
 
 
 def rich_events(spark: SparkSession, base: str) -> DataFrame:
     """The clickstream in the rich event shape (pipeline A), before enrichment."""
     ev = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     prof = profiles(spark, base)
-    part = read_table(spark, base, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
+    part = read_table(spark, base, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"]
+                      ).dropDuplicates(["p_partkey"])
     is_product = F.col("event_type").isin(PRODUCT_EVENT_TYPES)
     is_purchase = F.col("event_type") == "purchase"
     j = (ev.withColumn("k", json_key_long("props", "k"))
