@@ -8,11 +8,12 @@ notifications and KPIs are aggregates over that log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import deterministic_id, money, money_sum, payment_draw
+from tidewater.operators.prefix import hot_keys, running_sums
 
 # Fixed values from the reference's services.
 CARRIER = "UPS"
@@ -275,19 +276,22 @@ def inventory_snapshot(stock: DataFrame, lines: DataFrame, reservation: DataFram
 
 def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFrame,
                        seq_cols=("order_date", "order_id"), order_col: str = "order_id",
-                       product_col: str = "product_id", qty: str = "quantity") -> DataFrame:
+                       product_col: str = "product_id", qty: str = "quantity",
+                       hot_min_rows: int = 1_000_000) -> DataFrame:
     """Stock left after each accepted order, per product."""
     seq_cols = list(seq_cols)
     accepted = reservation.filter(F.col("decision") == "INVENTORY_RESERVED").select(order_col)
     per = (lines.join(accepted, order_col, "left_semi")
            .groupBy(order_col, *[c for c in seq_cols if c != order_col], product_col)
            .agg(F.sum(qty).alias("quantity")))
-    w = (Window.partitionBy(product_col).orderBy(*seq_cols)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     s = stock.select(product_col, F.col("stock").cast("double").alias("stock"))
-    return (per.join(s, product_col, "inner")
-            .select(order_col, product_col, "quantity",
-                    (F.col("stock") - F.sum("quantity").over(w)).alias("stock_left")))
+    per = per.join(s, product_col, "inner")
+    # Running sum per product; products with a large share of the lines are
+    # split by day so one product does not land in one task.
+    taken = running_sums(per, product_col, seq_cols, {"taken": F.col("quantity")}, inclusive=True,
+                         hot=hot_keys(per, product_col, min_rows=hot_min_rows))
+    return taken.select(order_col, product_col, "quantity",
+                        (F.col("stock") - F.col("taken")).alias("stock_left"))
 
 
 def subscriptions(spark) -> DataFrame:

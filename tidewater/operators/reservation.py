@@ -28,11 +28,11 @@ from __future__ import annotations
 
 import functools
 import time
-import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.prefix import default_chunk, hot_keys, running_sums
 from tidewater.session import ensure_checkpoint_dir
 
 ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
@@ -49,20 +49,23 @@ def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
 def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order_id",
                   seq_cols=("order_date", "order_id"), product_col: str = "product_id",
                   qty_col: str = "quantity", pos_col: str | None = "pos",
-                  stock_col: str = "stock", max_rounds: int = 10_000,
-                  stats: dict | None = None) -> DataFrame:
+                  stock_col: str = "stock", chunk=None, max_rounds: int = 10_000,
+                  hot_min_rows: int = 1_000_000, stats: dict | None = None) -> DataFrame:
     """Decide every order that has lines.
 
     Returns ``order_col, decision ('INVENTORY_RESERVED'|'OUT_OF_STOCK'),
     failed_product, available, requested, reason`` where the last four
     describe the first failing item (by ``pos``, then product) of a rejected
     order.  ``seq_cols`` must order orders totally (end with the order id).
-    ``stats``, when given, receives the number of rounds and working-set sizes.
+    ``chunk`` (default: the day of the first sequence column) must never
+    decrease along the sequence; it splits the running sums of a hot product
+    (more than ``hot_min_rows`` lines and more than its share of tasks) over
+    many tasks (see ``prefix.running_sums``).  ``stats``, when given, receives
+    the number of rounds and the working-set size and time of each round.
     """
     seq_cols = list(seq_cols)
     spark = lines.sparkSession
-    ckpt = ensure_checkpoint_dir(spark)
-    run_dir = f"{ckpt.rstrip('/')}/reservation-{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(spark)
     seq_keys = [c for c in seq_cols if c != order_col]
     demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
     stock_side = stock.select(F.col(product_col), F.col(stock_col).cast("double").alias("stock"))
@@ -72,22 +75,15 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     totals = d.groupBy(product_col).agg(F.sum("qty").alias("_total"))
     d = (d.join(totals, product_col, "inner")
          .withColumn("constraining", F.col("_total") > F.col("stock")).drop("_total"))
-    d.write.parquet(f"{run_dir}/demand")
-    d = spark.read.parquet(f"{run_dir}/demand")
-
-    order_seq = [F.col(c) for c in seq_keys] + [F.col(order_col)]
-    by_product = Window.partitionBy(product_col).orderBy(*order_seq)
-    before = by_product.rowsBetween(Window.unboundedPreceding, -1)
-    whole_product = Window.partitionBy(product_col)
-    whole_order = Window.partitionBy(order_col)
-    cols = [order_col, *seq_keys, product_col, "qty", "stock", "st"]
-
-    work = d.filter("constraining").select(order_col, *seq_keys, product_col, "qty", "stock",
-                                           F.lit(UNDECIDED).alias("st"))
-    rounds_path = f"{run_dir}/rounds"
-    rounds = 0
-    sizes = []
+    d = d.withColumn("chunk", chunk if chunk is not None else default_chunk(d, seq_cols[0])).checkpoint()
+
+    ordering = seq_keys + [order_col]
+    seq_struct = F.struct(*[F.col(c) for c in ordering])
+    cols = [order_col, *seq_keys, product_col, "chunk", "qty", "stock", "st"]
+    work = d.filter("constraining").select(*cols[:-1], F.lit(UNDECIDED).alias("st")).checkpoint()
+    hot = hot_keys(work, product_col, min_rows=hot_min_rows)
     records = []
+    rounds, sizes = 0, []
     t_round = time.perf_counter()
     while not work.filter(F.col("st") == UNDECIDED).isEmpty():
         rounds += 1
@@ -96,35 +92,37 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         if stats is not None:
             sizes.append((work.count(), round(time.perf_counter() - t_round, 2)))
             t_round = time.perf_counter()
-        is_u = (F.col("st") == UNDECIDED)
-        hi = F.coalesce(F.sum("qty").over(before), F.lit(0.0))
-        lo = F.coalesce(F.sum(F.when(F.col("st") == ACCEPTED, F.col("qty"))).over(before), F.lit(0.0))
-        # Pass 1 (by product, in sequence): both bounds for every line, and
-        # whether any undecided line comes at or after it in its product.
-        probed = (work.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - hi).cast("int"))
-                  .withColumn("fails_lo", (F.col("qty") > F.col("stock") - lo).cast("int"))
-                  .withColumn("needed", F.struct(*order_seq) <= F.max(
-                      F.when(is_u, F.struct(*order_seq))).over(whole_product)))
-        # Pass 2 (by order): the order's verdict reaches all its lines without
-        # a join; one line per order carries the decision record.
-        all_fit = F.min("fits_hi").over(whole_order) == 1
-        any_fail = F.max("fails_lo").over(whole_order) == 1
-        new_st = F.when(is_u, F.when(all_fit, ACCEPTED).when(any_fail, REJECTED)
-                        .otherwise(UNDECIDED)).otherwise(F.col("st"))
-        judged = probed.select(
-            *[c for c in cols if c != "st"], new_st.alias("st"), "needed",
-            (is_u & (new_st != UNDECIDED) &
-             (F.col(product_col) == F.min(product_col).over(whole_order))).alias("record"))
-        # The checkpoint (in the shared checkpoint folder) cuts the lineage.
-        judged = judged.checkpoint()
+        is_u = F.col("st") == UNDECIDED
+        # Stock taken before each line if every earlier open order is accepted
+        # (hi) or only the orders already accepted are (lo), and the last open
+        # position of the product.
+        probed = running_sums(
+            work, product_col, ordering,
+            {"hi": F.col("qty"), "lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)},
+            chunk=F.col("chunk"), inclusive=False,
+            key_max={"last_open": F.when(is_u, seq_struct)}, hot=hot)
+        probed = (probed.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int"))
+                  .withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
+                  .withColumn("needed", seq_struct <= F.col("last_open")))
+        # The order's verdict: an aggregate (combined map-side) joined back.
+        verdict = (probed.filter(is_u).groupBy(order_col).agg(
+            F.min("fits_hi").alias("all_fit"), F.max("fails_lo").alias("any_fail"),
+            F.min(product_col).alias("rep")))
+        new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
+                        .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
+        judged = (probed.join(verdict, order_col, "left")
+                  .select(*[c for c in cols if c != "st"], new_st.alias("st"), "needed",
+                          (is_u & (new_st != UNDECIDED) & (F.col(product_col) == F.col("rep")))
+                          .alias("record"))
+                  .checkpoint())
         records.append(judged.filter("record").select(order_col, F.col("st").alias("new_st")))
-        # Rejected lines leave, and so do accepted lines that no undecided
-        # line after them in their product can depend on.
+        # Rejected lines leave, and so do accepted lines that no open line
+        # after them in their product can depend on.
         work = judged.filter(F.col("needed") & (F.col("st") != REJECTED)).select(*cols)
     if stats is not None:
         stats.update(rounds=rounds, working_set=sizes)
 
-    if rounds:
+    if records:
         decided = functools.reduce(DataFrame.unionByName, records)
     else:
         decided = d.select(order_col, F.lit(ACCEPTED).alias("new_st")).limit(0)
@@ -134,11 +132,11 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
                          .alias("accepted")))
 
     # First failing item of each rejected order, against the final reservations.
-    acc_lines = d.join(per_order, order_col, "inner")
-    used_before = F.coalesce(
-        F.sum(F.when(F.col("accepted"), F.col("qty"))).over(before), F.lit(0.0))
-    probe = (acc_lines.filter(F.col("constraining"))
-             .withColumn("available", F.col("stock") - used_before)
+    final = d.filter("constraining").join(per_order, order_col, "inner")
+    used = running_sums(final, product_col, ordering,
+                        {"used": F.when(F.col("accepted"), F.col("qty")).otherwise(0.0)},
+                        chunk=F.col("chunk"), inclusive=False, hot=hot)
+    probe = (used.withColumn("available", F.col("stock") - F.col("used"))
              .filter(~F.col("accepted") & (F.col("qty") > F.col("available"))))
     first_fail = probe.groupBy(order_col).agg(F.min_by(
         F.struct(F.col(product_col).alias("failed_product"), F.col("available"),
