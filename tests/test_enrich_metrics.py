@@ -154,3 +154,19 @@ def test_rename_defaults_and_profile_join(spark):
     prof = spark.createDataFrame([("u1", "gold")], "user_id string, tier string")
     out = {r.id: (r.amount, r.tier) for r in E.join_profiles(ev, prof).collect()}
     assert out == {"e1": (0.0, "gold"), "e2": (3.0, None)}
+
+
+def test_gap_sessions_split_hot_keys_equals_plain(spark):
+    import random
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1, 22, 0)
+    rows = []
+    t = {u: base for u in ("hot", "a")}
+    for i in range(300):
+        u = "hot" if i % 5 else "a"
+        t[u] = t[u] + dt.timedelta(minutes=rnd.choice([1, 5, 20, 29, 30, 31, 45, 200]))
+        rows.append((u, "view", "EU", float(i % 7), t[u], "s"))
+    df = _simple(spark, rows)
+    plain = sorted(tuple(r) for r in W.gap_sessions(df).collect())
+    split = sorted(tuple(r) for r in W.gap_sessions(df, hot=["hot", "a"]).collect())
+    assert plain == split and len(plain) > 10

@@ -9,6 +9,7 @@ from tidewater.functions.columns import json_key_long, money_sum
 from tidewater.operators import metrics as M
 from tidewater.operators import windows as W
 from tidewater.operators.enrich import explode_purchase_products
+from tidewater.operators.prefix import hot_keys
 from tidewater.plans.testdata import enriched_events, simple_events
 from tidewater.sources.tables import read_table
 
@@ -129,7 +130,8 @@ def session_rollup(spark: SparkSession, base: str) -> DataFrame:
 
 
 def gap_sessions(spark: SparkSession, base: str) -> DataFrame:
-    return W.gap_sessions(simple_events(spark, base))
+    ev = simple_events(spark, base)
+    return W.gap_sessions(ev, hot=hot_keys(ev, "user_id"))
 
 
 QUERIES = {
