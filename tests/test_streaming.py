@@ -93,3 +93,94 @@ def test_stream_reservation_writer_replay(spark, tmp):
     assert dec == {"o1": "INVENTORY_RESERVED", "o2": "OUT_OF_STOCK", "o3": "INVENTORY_RESERVED"}
     left = spark.read.parquet(f"{tmp}/stock").filter("version = 0")
     assert {r.product_id: r.stock for r in left.collect()} == {"A": 2.0, "B": 0.0}
+
+
+def test_topic_readers_on_files(spark, tmp):
+    from tidewater.operators.enrich import decode_record, parse_payload
+    from tidewater.schemas import SIMPLE_EVENT
+    from tidewater.sources.files import read_bounded, read_event_stream
+    for topic, n in (("orders", 3), ("payments", 2)):
+        rows = [(f"k{i}".encode(), f'{{"user_id": "u{i}", "action": "view", "amount": {i}.5}}'.encode(),
+                 None, dt.datetime(2024, 1, 1)) for i in range(n)]
+        df = spark.createDataFrame(rows, "key binary, value binary, topic string, timestamp timestamp")
+        df.drop("topic").repartition(n).write.parquet(f"{tmp}/topics/{topic}")
+    from pyspark.sql import types as T
+    rec = T.StructType([f for f in spark.read.parquet(f"{tmp}/topics/orders").schema.fields])
+    bounded = read_bounded(spark, ["orders", "payments"], fmt="parquet", path=f"{tmp}/topics", schema=rec)
+    assert {r.topic: r.n for r in bounded.groupBy("topic").agg(F.count("*").alias("n")).collect()} == \
+        {"orders": 3, "payments": 2}
+    stream = read_event_stream(spark, ["orders", "payments"], fmt="parquet", path=f"{tmp}/topics",
+                               schema=rec, max_per_trigger=1)
+    parsed = parse_payload(decode_record(stream), SIMPLE_EVENT)
+    q = S.start_query(parsed, name="topics_t", checkpoint=f"{tmp}/ck", mode="append", fmt="memory",
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.table("topics_t").collect()
+    assert len(out) == 5 and {r.topic for r in out} == {"orders", "payments"}
+    assert sum(r.amount for r in out) == 0.5 + 1.5 + 2.5 + 0.5 + 1.5
+    assert not any(r._malformed for r in out)
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp):
+    t = dt.datetime(2024, 1, 1, 12)
+    first = spark.createDataFrame([("view", "EU", 1.0, t + dt.timedelta(hours=2), "u1")],
+                                  "action string, location string, amount double, timestamp timestamp, user_id string")
+    late = spark.createDataFrame([("view", "EU", 1.0, t, "u2")], first.schema)
+    first.write.parquet(f"{tmp}/in/a")
+    stream = spark.readStream.schema(first.schema).parquet(f"{tmp}/in/*")
+    q = S.start_query(S.tumbling_stream(stream, delay="1 minute"), name="tumble_t", checkpoint=f"{tmp}/ck",
+                      mode="update", fmt="memory", trigger={"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    late.write.parquet(f"{tmp}/in/b")  # two hours behind the watermark
+    q.processAllAvailable()
+    dropped = S.late_rows(q)
+    q.stop()
+    assert dropped == 1
+    assert spark.table("tumble_t").agg(F.sum("event_count")).first()[0] == 1
+
+
+def test_sessions_stream_append_closes_sessions(spark, tmp):
+    t = dt.datetime(2024, 1, 1, 12)
+    rows = [("u1", t, 1.0), ("u1", t + dt.timedelta(minutes=10), 2.0),
+            ("u1", t + dt.timedelta(hours=5), 0.0)]  # the last event closes the first session
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, amount double")
+    df.write.parquet(f"{tmp}/in/a")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp}/in/*")
+    q = S.start_query(S.sessions_stream(stream, delay="1 minute"), name="sess_t", checkpoint=f"{tmp}/ck",
+                      mode="append", fmt="memory", trigger={"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    q.processAllAvailable()  # a second batch applies the advanced watermark
+    q.stop()
+    out = spark.table("sess_t").collect()
+    assert [(r.total_events, r.total_amount) for r in out] == [(2, 3.0)]
+
+
+def test_page_view_writer_replay(spark, tmp):
+    t = dt.datetime(2024, 1, 1, 12)
+    pv = spark.createDataFrame([(1, 7, t), (1, 8, t), (2, 7, t + dt.timedelta(days=1))],
+                               "article_id int, user_id int, timestamp timestamp")
+    w = S.page_view_batch_writer(tmp)
+    w(pv, 0)
+    w(pv, 0)  # replay
+    w(pv.filter("article_id = 1"), 1)
+    from tidewater.sinks.writers import read_upserted
+    counts = {r.article_id: r.daily_views for r in read_upserted(spark, f"{tmp}/article_aggregates").collect()}
+    assert counts == {1: 4, 2: 1}
+    assert spark.read.parquet(f"{tmp}/page_views_raw").count() == 5
+    assert spark.read.parquet(f"{tmp}/history").count() == 5
+
+
+def test_ingest_validate_model(spark, tmp):
+    from tidewater.operators import metrics as M
+    from tidewater.operators import quality as Q
+    rows = [(1, "view", dt.datetime(2024, 1, 1)), (2, "cart", dt.datetime(2024, 1, 1)),
+            (1, "view", dt.datetime(2024, 1, 1)), (3, "purchase", dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "id int, action string, processed_at timestamp")
+    df.write.parquet(f"{tmp}/landing")
+    src = spark.readStream.schema(df.schema).parquet(f"{tmp}/landing")
+    rules = [Q.expect_not_null("id"), Q.expect_in_set("action", ["view", "purchase", "cart"])]
+    rep = S.ingest_validate_model(src, f"{tmp}/lake", f"{tmp}/ck", "id", ["processed_at"], rules,
+                                  M.daily_action_counts)
+    assert all(r.success for r in rep)
+    model = {str(r.day): (r.views, r.carts, r.purchases) for r in spark.read.parquet(f"{tmp}/lake/model").collect()}
+    assert model == {"2024-01-01": (1, 1, 0), "2024-01-02": (0, 0, 1)}  # duplicate id 1 loaded once

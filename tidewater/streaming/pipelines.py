@@ -14,12 +14,13 @@ from pyspark.sql.streaming import StreamingQueryListener
 from tidewater.operators import metrics as M
 from tidewater.operators import orders as O
 from tidewater.operators import windows as W
-from tidewater.sinks.writers import fan_out_writes, write_batch
+from tidewater.sinks.writers import console_sink, fan_out_writes, write_batch
 
 __all__ = [
     "with_event_time_watermark", "sliding_kpis_stream", "tumbling_stream", "sessions_stream",
     "dedup_stream", "order_status_stream", "metrics_batch_writer", "start_query",
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
+    "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
 ]
 
 
@@ -99,9 +100,11 @@ def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "updat
     return w.start(path) if path else w.start()
 
 
-def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, trigger=None):
-    """Pipeline A: enriched stream → five metric tables per micro-batch, plus a
-    console preview (M15).  Returns the started queries; wait with
+def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, trigger=None,
+                         preview: bool = False):
+    """Pipeline A: enriched stream → five metric tables per micro-batch, plus the
+    raw enriched events and optionally a console preview, each its own query
+    with its own checkpoint (M15, M16).  Returns the started queries; wait with
     ``spark.streams.awaitAnyTermination()`` so a failure of any one is seen."""
     fns = {
         "user_activity_detailed": M.user_activity,
@@ -112,7 +115,61 @@ def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, tri
     }
     metrics = start_query(events, name="metrics", checkpoint=f"{checkpoint_base}/metrics",
                           mode="append", sink=metrics_batch_writer(base, fns), trigger=trigger)
-    return [metrics]
+    raw = start_query(events, name="enriched_events", checkpoint=f"{checkpoint_base}/enriched_events",
+                      mode="append", fmt="parquet", path=f"{base}/enriched_events", trigger=trigger)
+    out = [metrics, raw]
+    if preview:
+        out.append(console_sink(events, rows=10, mode="append")
+                   .option("checkpointLocation", f"{checkpoint_base}/console").start())
+    return out
+
+
+def page_view_batch_writer(base: str):
+    """``foreachBatch`` body of the page-view counter (pipeline C): raw rows
+    appended by batch id (K1), running per-article counts upserted (K4) and a
+    date-partitioned history (K6); every step is safe to replay."""
+    from tidewater.operators.metrics import count_per_key
+    from tidewater.sinks.writers import append_history, upsert_counts_table
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            write_batch(batch_df, f"{base}/page_views_raw", batch_id)
+            counts = (count_per_key(batch_df, "article_id", "daily_views")
+                      .withColumn("last_updated", F.current_timestamp()))
+            upsert_counts_table(counts, f"{base}/article_aggregates", batch_id, "article_id",
+                                "daily_views", "last_updated")
+            append_history(batch_df, f"{base}/history", "timestamp", batch_id=batch_id)
+        finally:
+            batch_df.unpersist()
+    return write
+
+
+def ingest_validate_model(source: DataFrame, base: str, checkpoint: str, key: str, order_cols,
+                          rules, model):
+    """Pipeline D as one bounded job: read everything available
+    (``availableNow``), load it insert-if-absent (K3), gate on the validation
+    report (Q3), then snapshot the table (K5) and rebuild the model (K12).
+
+    Returns the validation report rows; raises if a rule fails, before the
+    model is rebuilt."""
+    from tidewater.operators.quality import validation_report
+    from tidewater.sinks.writers import insert_if_absent_table, snapshot
+
+    raw_path = f"{base}/raw"
+    q = start_query(source, name="ingest", checkpoint=checkpoint, mode="append",
+                    sink=lambda df, _id: insert_if_absent_table(df, raw_path, key, order_cols),
+                    trigger={"availableNow": True})
+    q.awaitTermination()
+    spark = source.sparkSession
+    table = spark.read.parquet(raw_path)
+    report = validation_report(table, rules).collect()  # one row per rule
+    failed = [r.rule for r in report if not r.success]
+    if failed:
+        raise ValueError(f"validation failed: {failed}")
+    snapshot(table, f"{base}/snapshot")
+    snapshot(model(spark.read.parquet(f"{base}/snapshot")), f"{base}/model")
+    return report
 
 
 def late_rows(query) -> int:
