@@ -170,3 +170,11 @@ def test_gap_sessions_split_hot_keys_equals_plain(spark):
     plain = sorted(tuple(r) for r in W.gap_sessions(df).collect())
     split = sorted(tuple(r) for r in W.gap_sessions(df, hot=["hot", "a"]).collect())
     assert plain == split and len(plain) > 10
+
+
+def test_processing_time_and_not_null(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
+    assert E.not_null(df, "x", "y").count() == 1
+    stamped = E.add_processing_time(df, "processed_at")
+    assert stamped.filter(F.col("processed_at").isNull()).count() == 0
+    assert M.row_count(df).first().rows == 3

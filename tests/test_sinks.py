@@ -93,3 +93,18 @@ def test_json_document_source(spark, tmp):
     with open(p, "w") as f:
         f.write('[{"user_id": 1, "email": "a@x"}, {"user_id": 2, "email": "b@x"}]')
     assert read_json_documents(spark, p, "user_id int, email string").count() == 2
+
+
+def test_replace_table_and_console_sink(spark, tmp):
+    spark.conf.set("spark.sql.legacy.allowNonEmptyLocationInCTAS", "true")
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    K.replace_table(df, "tw_replace_t")
+    K.replace_table(df.limit(1), "tw_replace_t")
+    assert spark.table("tw_replace_t").count() == 1
+    spark.sql("DROP TABLE tw_replace_t")
+    df.write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp}/in")
+    q = K.console_sink(stream, rows=5, mode="append").option("checkpointLocation", f"{tmp}/ck") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 2
