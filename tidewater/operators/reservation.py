@@ -9,7 +9,9 @@ and a running sum alone is wrong (a rejected order frees its demand).  The
 plan decides orders in rounds, each one a window pass per product:
 
 * an undecided order is **accepted** if every line fits even when all
-  earlier undecided orders are assumed accepted;
+  earlier undecided orders are assumed accepted (except those with a line
+  that already fails against the accepted orders alone: they are certainly
+  rejected);
 * it is **rejected** if some line fails even when all earlier undecided
   orders are assumed rejected.
 
@@ -93,16 +95,22 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
             sizes.append((work.count(), round(time.perf_counter() - t_round, 2)))
             t_round = time.perf_counter()
         is_u = F.col("st") == UNDECIDED
-        # Stock taken before each line if every earlier open order is accepted
-        # (hi) or only the orders already accepted are (lo), and the last open
-        # position of the product.
-        probed = running_sums(
+        # lo: stock taken before each line by the orders already accepted.  A
+        # line that fails even then belongs to an order that is certainly
+        # rejected, so it is left out of hi: the stock taken if every other
+        # earlier open order is accepted.  Both passes share one partitioning.
+        with_lo = running_sums(
             work, product_col, ordering,
-            {"hi": F.col("qty"), "lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)},
+            {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)},
             chunk=F.col("chunk"), inclusive=False,
             key_max={"last_open": F.when(is_u, seq_struct)}, hot=hot)
+        with_lo = with_lo.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
+        doomed = is_u & (F.col("fails_lo") == 1)
+        probed = running_sums(
+            with_lo, product_col, ordering,
+            {"hi": F.when(doomed, 0.0).otherwise(F.col("qty"))},
+            chunk=F.col("chunk"), inclusive=False, hot=hot)
         probed = (probed.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int"))
-                  .withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
                   .withColumn("needed", seq_struct <= F.col("last_open")))
         # The order's verdict: an aggregate (combined map-side) joined back.
         verdict = (probed.filter(is_u).groupBy(order_col).agg(
