@@ -31,7 +31,7 @@ from __future__ import annotations
 import functools
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewater.operators.prefix import default_chunk, hot_keys, running_sums
@@ -87,7 +87,10 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     records = []
     rounds, sizes = 0, []
     t_round = time.perf_counter()
-    while not work.filter(F.col("st") == UNDECIDED).isEmpty():
+    open_lines = 1  # before the first round: undecided unless the set is empty
+    if work.isEmpty():
+        open_lines = 0
+    while open_lines:
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"reservation did not settle in {max_rounds} rounds")
@@ -118,11 +121,16 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
             F.min(product_col).alias("rep")))
         new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
                         .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
+        # The number of lines still open is observed while the checkpoint is
+        # written, so the loop test costs no extra job.
+        obs = Observation(f"reservation_round_{rounds}")
         judged = (probed.join(verdict, order_col, "left")
                   .select(*[c for c in cols if c != "st"], new_st.alias("st"), "needed",
                           (is_u & (new_st != UNDECIDED) & (F.col(product_col) == F.col("rep")))
                           .alias("record"))
+                  .observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open"))
                   .checkpoint())
+        open_lines = obs.get["open"]
         records.append(judged.filter("record").select(order_col, F.col("st").alias("new_st")))
         # Rejected lines leave, and so do accepted lines that no open line
         # after them in their product can depend on.
