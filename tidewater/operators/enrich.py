@@ -123,14 +123,14 @@ def per_minute_aliases(df: DataFrame) -> DataFrame:
             .withColumn("revenue_per_minute", F.col("total_revenue")))
 
 
-def monitor_view(df: DataFrame, payload_col: str = "data") -> DataFrame:
+def monitor_view(df: DataFrame, payload_col: str = "data", amount_key: str = "total_amount") -> DataFrame:
     """Monitor projection: topic, type, order id or ``N/A``, time, amount if present."""
     payload = F.col(payload_col)
     return df.select(
         "topic", "event_type",
         F.coalesce(F.get_json_object(payload, "$.order_id"), F.lit("N/A")).alias("order_id"),
         F.col("timestamp").alias("time"),
-        F.get_json_object(payload, "$.total_amount").try_cast("double").alias("amount"),
+        F.get_json_object(payload, f"$.{amount_key}").try_cast("double").alias("amount"),
     )
 
 

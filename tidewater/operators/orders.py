@@ -34,6 +34,12 @@ CHAINS = [
 ]
 CHAIN_SEPARATOR = " → "
 
+# Topic each event type is published to.
+TOPIC_BY_EVENT = [("ORDER_CREATED", "orders"), ("INVENTORY_RESERVED", "inventory"),
+                  ("OUT_OF_STOCK", "inventory"), ("PAYMENT_COMPLETED", "payments"),
+                  ("PAYMENT_FAILED", "payments"), ("READY_FOR_SHIPMENT", "shipping"),
+                  ("SHIPMENT_CREATED", "shipping")]
+
 # Which service receives which event type.
 SUBSCRIPTIONS = [
     ("ORDER_CREATED", "InventoryService"), ("ORDER_CREATED", "NotificationService"),
@@ -195,6 +201,15 @@ def envelopes(log: DataFrame, time_col=None) -> DataFrame:
         seq.alias("message_id"))
 
 
+def with_topic(envelope: DataFrame) -> DataFrame:
+    """Add the topic an envelope is published to (S3's topic column)."""
+    topic = None
+    for etype, t in TOPIC_BY_EVENT:
+        c = F.col("event_type") == etype
+        topic = F.when(c, t) if topic is None else topic.when(c, t)
+    return envelope.withColumn("topic", topic)
+
+
 def notifications(log: DataFrame) -> DataFrame:
     """One message per notified event."""
     expr = None

@@ -132,6 +132,14 @@ def order_envelopes(spark, base):
     return O.envelopes(log, F.col("order_date"))
 
 
+def event_monitor(spark, base):
+    """What the live monitor prints for every published event."""
+    from tidewater.operators.enrich import monitor_view
+    c = Chain(spark, base)
+    log = c.log().join(c.orders().select("order_id", "order_date"), "order_id", "inner")
+    return monitor_view(O.with_topic(O.envelopes(log, F.col("order_date"))), amount_key="amount")
+
+
 QUERIES = {
     "order_totals": order_totals,
     "order_validation": order_validation,
@@ -148,4 +156,5 @@ QUERIES = {
     "inventory_snapshot": inventory_snapshot,
     "event_fanout": event_fanout,
     "order_envelopes": order_envelopes,
+    "event_monitor": event_monitor,
 }

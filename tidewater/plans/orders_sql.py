@@ -189,4 +189,12 @@ SELECT s.product_id, s.stock, COALESCE(h.reserved, 0.0) AS reserved, s.stock - C
 FROM stock s LEFT JOIN held h ON h.product_id = s.product_id""",
     "event_fanout": CHAIN + f"""
 SELECT l.order_id, l.event_type, s.service FROM log l JOIN {SUBS} ON s.event_type = l.event_type""",
+    "event_monitor": CHAIN + """
+SELECT CASE l.event_type WHEN 'ORDER_CREATED' THEN 'orders' WHEN 'INVENTORY_RESERVED' THEN 'inventory'
+         WHEN 'OUT_OF_STOCK' THEN 'inventory' WHEN 'PAYMENT_COMPLETED' THEN 'payments'
+         WHEN 'PAYMENT_FAILED' THEN 'payments' WHEN 'READY_FOR_SHIPMENT' THEN 'shipping'
+         WHEN 'SHIPMENT_CREATED' THEN 'shipping' END AS topic,
+       l.event_type, CAST(l.order_id AS VARCHAR) AS order_id,
+       strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS time, l.amount
+FROM log l JOIN orders o ON o.o_orderkey = l.order_id""",
 }
