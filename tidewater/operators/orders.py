@@ -187,7 +187,9 @@ def event_log(valid_orders: DataFrame, reservation: DataFrame, payments: DataFra
 
 def envelopes(log: DataFrame, time_col=None) -> DataFrame:
     """Envelope rows (M14): deterministic event id, type, time, JSON payload, sequence."""
-    payload = F.to_json(F.struct(*[F.col(c) for c in LOG_SCHEMA_COLS if c not in ("step", "event_type")]))
+    # Null fields are written out, so every payload has the same keys.
+    payload = F.to_json(F.struct(*[F.col(c) for c in LOG_SCHEMA_COLS if c not in ("step", "event_type")]),
+                        {"ignoreNullFields": "false"})
     ts = F.date_format(time_col, "yyyy-MM-dd'T'HH:mm:ss") if time_col is not None else F.lit(None)
     numeric = log.schema["order_id"].dataType.typeName() in ("long", "integer", "short")
     # Numeric order ids give a reproducible sequence; otherwise ids are unique

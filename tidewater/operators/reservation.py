@@ -158,6 +158,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         F.struct(F.col(product_col).alias("failed_product"), F.col("available"),
                  F.col("qty").alias("requested"), F.col("found")),
         F.struct("pos", product_col)).alias("f"))
+    # Materialised once: later stages read the decisions several times.
     return (per_order.join(first_fail, order_col, "left").select(
         order_col,
         F.when(F.col("accepted"), "INVENTORY_RESERVED").otherwise("OUT_OF_STOCK").alias("decision"),
@@ -166,7 +167,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         F.col("f.requested").alias("requested"),
         F.when(F.col("accepted"), F.lit(None).cast("string"))
          .when(~F.col("f.found"), "Product not found")
-         .otherwise("Insufficient stock").alias("reason")))
+         .otherwise("Insufficient stock").alias("reason"))
+        .checkpoint())
 
 
 def sequential_reservation(orders, stock: dict):

@@ -196,5 +196,13 @@ SELECT CASE l.event_type WHEN 'ORDER_CREATED' THEN 'orders' WHEN 'INVENTORY_RESE
          WHEN 'SHIPMENT_CREATED' THEN 'shipping' END AS topic,
        l.event_type, CAST(l.order_id AS VARCHAR) AS order_id,
        strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS time, l.amount
+FROM log l JOIN orders o ON o.o_orderkey = l.order_id""",
+    "order_envelopes": CHAIN + """
+SELECT 'EVT-' || upper(substr(sha256(CAST(l.order_id AS VARCHAR) || ':' || l.event_type), 1, 12)) AS event_id,
+       l.event_type, strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS timestamp,
+       CAST(to_json({'order_id': l.order_id, 'customer_id': l.customer_id, 'amount': l.amount,
+                     'product_id': l.product_id, 'reason': l.reason,
+                     'tracking_number': l.tracking_number}) AS VARCHAR) AS data,
+       l.order_id * 10 + l.step AS message_id
 FROM log l JOIN orders o ON o.o_orderkey = l.order_id""",
 }
