@@ -184,3 +184,25 @@ def test_ingest_validate_model(spark, tmp):
     assert all(r.success for r in rep)
     model = {str(r.day): (r.views, r.carts, r.purchases) for r in spark.read.parquet(f"{tmp}/lake/model").collect()}
     assert model == {"2024-01-01": (1, 1, 0), "2024-01-02": (0, 0, 1)}  # duplicate id 1 loaded once
+
+
+def test_update_mode_windows_upserted_once(spark, tmp):
+    batch = simple_events(spark, SF001).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    half = batch.agg(F.percentile_approx(F.unix_timestamp("timestamp"), 0.5)).first()[0]
+    first = batch.filter(F.unix_timestamp("timestamp") < half)
+    second = batch.filter(F.unix_timestamp("timestamp") >= half)
+    first.write.parquet(f"{tmp}/in/a")
+    stream = spark.readStream.schema(batch.schema).parquet(f"{tmp}/in/*")
+    agg = S.sliding_kpis_stream(stream, delay="40 days")
+    q = S.start_query(agg, name="kpi_upsert", checkpoint=f"{tmp}/ck", mode="update",
+                      sink=S.window_upsert_writer(f"{tmp}/kpis"), trigger={"processingTime": "0 seconds"})
+    q.processAllAvailable()
+    second.write.parquet(f"{tmp}/in/b")
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(f"{tmp}/kpis")
+    keys = ["window_start", "action", "location"]
+    assert got.groupBy(*keys).count().filter("count > 1").isEmpty()  # one row per window
+    want = W.sliding_kpis(batch)
+    assert {tuple(r[k] for k in keys): r.event_count for r in got.collect()} == \
+        {tuple(r[k] for k in keys): r.event_count for r in want.collect()}

@@ -21,6 +21,7 @@ __all__ = [
     "dedup_stream", "order_status_stream", "metrics_batch_writer", "start_query",
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
     "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
+    "window_upsert_writer",
 ]
 
 
@@ -172,6 +173,16 @@ def ingest_validate_model(source: DataFrame, base: str, checkpoint: str, key: st
     return report
 
 
+def window_upsert_writer(path: str, keys=("window_start", "window_end", "action", "location")):
+    """``foreachBatch`` body for windows aggregated in update mode (pipeline B):
+    a window re-emitted by a later micro-batch replaces its earlier row."""
+    from tidewater.sinks.writers import upsert_latest
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        upsert_latest(batch_df, path, list(keys), "window_day", F.to_date(F.col("window_start")))
+    return write
+
+
 def late_rows(query) -> int:
     """Rows dropped behind the watermark in the last micro-batch (M5)."""
     p = query.lastProgress or {}
