@@ -178,3 +178,12 @@ def test_processing_time_and_not_null(spark):
     stamped = E.add_processing_time(df, "processed_at")
     assert stamped.filter(F.col("processed_at").isNull()).count() == 0
     assert M.row_count(df).first().rows == 3
+
+
+def test_windows_and_metrics_on_empty_input(spark):
+    empty = spark.createDataFrame([], "user_id string, action string, location string, amount double, "
+                                      "timestamp timestamp, session_id string")
+    assert W.sliding_kpis(empty).count() == 0
+    assert W.gap_sessions(empty).count() == 0
+    assert W.gap_sessions(empty, hot=["u"]).count() == 0
+    assert W.session_rollup(empty).count() == 0

@@ -157,3 +157,14 @@ def test_envelopes_and_known_orders(spark):
     assert len({r.event_id for r in env}) == len(env)
     known = spark.createDataFrame([("o1",)], "order_id string")
     assert {r.order_id for r in O.known_orders_only(log, known).collect()} == {"o1"}
+
+
+def test_reservation_of_empty_input(spark):
+    lines = spark.createDataFrame([], LINE_SCHEMA)
+    stock = stock_seed(spark, [("A", 5)])
+    assert reserve_stock(lines, stock).count() == 0
+
+
+def test_reservation_all_unconstrained(spark):
+    got = _run(spark, [("O1", [("A", 1)]), ("O2", [("A", 2)])], {"A": 5})
+    assert {k: v.decision for k, v in got.items()} == {"O1": "INVENTORY_RESERVED", "O2": "INVENTORY_RESERVED"}
