@@ -12,19 +12,22 @@ from tidewater.sources.tables import stock_seed
 LINE_SCHEMA = "order_id string, order_date int, pos int, product_id string, quantity double, price double"
 
 
-def _run(spark, orders, stock, hot_min_rows=1_000_000):
+def _run(spark, orders, stock, hot_min_rows=1_000_000, tail_rows=0):
     rows = []
     for seq, (oid, items) in enumerate(orders):
         for pos, (p, q) in enumerate(items):
             rows.append((oid, seq, pos, p, float(q), 1.0))
     lines = spark.createDataFrame(rows, LINE_SCHEMA)
     st = stock_seed(spark, [(p, s) for p, s in stock.items()])
-    out = reserve_stock(lines, st, seq_cols=("order_date", "order_id"), hot_min_rows=hot_min_rows)
+    out = reserve_stock(lines, st, seq_cols=("order_date", "order_id"), hot_min_rows=hot_min_rows,
+                        tail_rows=tail_rows)
     return {r.order_id: r for r in out.collect()}
 
 
-@pytest.mark.parametrize("seed,hot_min_rows", [(s, 1_000_000) for s in range(8)] + [(s, 0) for s in range(8, 12)])
-def test_reservation_equals_sequential_loop(spark, seed, hot_min_rows):
+@pytest.mark.parametrize("seed,hot_min_rows,tail_rows",
+                         [(s, 1_000_000, 0) for s in range(6)] + [(s, 0, 0) for s in range(6, 9)]
+                         + [(s, 1_000_000, t) for s, t in ((9, 10 ** 6), (10, 30), (11, 60), (12, 15))])
+def test_reservation_equals_sequential_loop(spark, seed, hot_min_rows, tail_rows):
     rnd = random.Random(seed)
     products = [f"P{i}" for i in range(rnd.randint(1, 6))]
     stock = {p: rnd.randint(0, 15) for p in products}
@@ -35,7 +38,8 @@ def test_reservation_equals_sequential_loop(spark, seed, hot_min_rows):
         orders.append((f"O{i:03d}", items))
     want, _ = sequential_reservation(orders, stock)
     # hot_min_rows=0 splits every busy product into chunks (the skew path)
-    got = _run(spark, orders, stock, hot_min_rows)
+    # tail_rows > 0 finishes the last rounds sequentially in one task
+    got = _run(spark, orders, stock, hot_min_rows, tail_rows)
     assert {k: v.decision == "INVENTORY_RESERVED" for k, v in got.items()} == want
 
 

@@ -31,6 +31,8 @@ from __future__ import annotations
 import functools
 import time
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -52,7 +54,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
                   seq_cols=("order_date", "order_id"), product_col: str = "product_id",
                   qty_col: str = "quantity", pos_col: str | None = "pos",
                   stock_col: str = "stock", chunk=None, max_rounds: int = 10_000,
-                  hot_min_rows: int = 1_000_000, stats: dict | None = None) -> DataFrame:
+                  hot_min_rows: int = 1_000_000, tail_rows: int = 50_000,
+                  stats: dict | None = None) -> DataFrame:
     """Decide every order that has lines.
 
     Returns ``order_col, decision ('INVENTORY_RESERVED'|'OUT_OF_STOCK'),
@@ -62,7 +65,10 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     ``chunk`` (default: the day of the first sequence column) must never
     decrease along the sequence; it splits the running sums of a hot product
     (more than ``hot_min_rows`` lines and more than its share of tasks) over
-    many tasks (see ``prefix.running_sums``).  ``stats``, when given, receives
+    many tasks (see ``prefix.running_sums``).  Once the working set holds at
+    most ``tail_rows`` lines (a fixed bound, independent of the data size) it
+    is finished in one grouped task by the sequential rule, sparing the last
+    small rounds their job overhead; 0 disables this.  ``stats``, when given, receives
     the number of rounds and the working-set size and time of each round.
     """
     seq_cols = list(seq_cols)
@@ -87,10 +93,14 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     records = []
     rounds, sizes = 0, []
     t_round = time.perf_counter()
-    open_lines = 1  # before the first round: undecided unless the set is empty
-    if work.isEmpty():
-        open_lines = 0
+    work_lines = work.count()
+    open_lines = work_lines  # every line starts undecided
     while open_lines:
+        if work_lines is not None and work_lines <= tail_rows:
+            records.append(_finish_sequentially(work, order_col, ordering, product_col).checkpoint())
+            if stats is not None:
+                stats["tail_lines"] = work_lines
+            break
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"reservation did not settle in {max_rounds} rounds")
@@ -128,9 +138,10 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
                   .select(*[c for c in cols if c != "st"], new_st.alias("st"), "needed",
                           (is_u & (new_st != UNDECIDED) & (F.col(product_col) == F.col("rep")))
                           .alias("record"))
-                  .observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open"))
+                  .observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open"),
+                           F.count_if(F.col("needed") & (F.col("st") != REJECTED)).alias("lines"))
                   .checkpoint())
-        open_lines = obs.get["open"]
+        open_lines, work_lines = obs.get["open"], obs.get["lines"]
         records.append(judged.filter("record").select(order_col, F.col("st").alias("new_st")))
         # Rejected lines leave, and so do accepted lines that no open line
         # after them in their product can depend on.
@@ -171,6 +182,38 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         .checkpoint())
 
 
+def _finish_sequentially(work: DataFrame, order_col: str, ordering: list, product_col: str) -> DataFrame:
+    """Decide the open orders of a small working set (at most ``tail_rows``
+    lines, so one task) by the sequential rule.  The set holds every accepted
+    line an open line can depend on: a pruned accepted line comes after all
+    open lines of its product."""
+    order_type = work.schema[order_col].dataType.simpleString()
+    schema = f"{order_col} {order_type}, new_st string"
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(ordering, kind="mergesort")
+        used: dict = {}
+        out_ids, out_st = [], []
+        for oid, g in pdf.groupby(order_col, sort=False):
+            prods = g[product_col].tolist()
+            qtys = g["qty"].tolist()
+            status = g["st"].iloc[0]
+            if status == UNDECIDED:
+                fits = all(q <= s - used.get(p, 0.0)
+                           for p, q, s in zip(prods, qtys, g["stock"].tolist()))
+                status = ACCEPTED if fits else REJECTED
+                out_ids.append(oid)
+                out_st.append(status)
+            if status == ACCEPTED:
+                for p, q in zip(prods, qtys):
+                    used[p] = used.get(p, 0.0) + q
+        return pd.DataFrame({order_col: out_ids, "new_st": out_st})
+
+    return (work.select(order_col, *[c for c in ordering if c != order_col], product_col, "qty",
+                        "stock", "st")
+            .groupBy(F.lit(0).alias("_one")).applyInPandas(decide, schema))
+
+
 def sequential_reservation(orders, stock: dict):
     """Plain loop of the sequential rule, for tests: ``orders`` is a list of
     ``(order_id, [(product, qty), ...])`` in sequence order."""
