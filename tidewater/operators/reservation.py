@@ -74,6 +74,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     seq_cols = list(seq_cols)
     spark = lines.sparkSession
     ensure_checkpoint_dir(spark)
+    t0 = time.perf_counter()
     seq_keys = [c for c in seq_cols if c != order_col]
     demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
     stock_side = stock.select(F.col(product_col), F.col(stock_col).cast("double").alias("stock"))
@@ -95,6 +96,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     t_round = time.perf_counter()
     work_lines = work.count()
     open_lines = work_lines  # every line starts undecided
+    t_prep = time.perf_counter() - t0
     while open_lines:
         if work_lines is not None and work_lines <= tail_rows:
             records.append(_finish_sequentially(work, order_col, ordering, product_col).checkpoint())
@@ -147,7 +149,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         # after them in their product can depend on.
         work = judged.filter(F.col("needed") & (F.col("st") != REJECTED)).select(*cols)
     if stats is not None:
-        stats.update(rounds=rounds, working_set=sizes)
+        stats.update(rounds=rounds, working_set=sizes, prep_s=round(t_prep, 2),
+                     loop_s=round(time.perf_counter() - t0 - t_prep, 2))
 
     if records:
         decided = functools.reduce(DataFrame.unionByName, records)
