@@ -130,7 +130,7 @@ def page_view_batch_writer(base: str):
     appended by batch id (K1), running per-article counts upserted (K4) and a
     date-partitioned history (K6); every step is safe to replay."""
     from tidewater.operators.metrics import count_per_key
-    from tidewater.sinks.writers import append_history, upsert_counts_table
+    from tidewater.sinks.writers import append_history, upsert_counts_buckets
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -138,8 +138,8 @@ def page_view_batch_writer(base: str):
             write_batch(batch_df, f"{base}/page_views_raw", batch_id)
             counts = (count_per_key(batch_df, "article_id", "daily_views")
                       .withColumn("last_updated", F.current_timestamp()))
-            upsert_counts_table(counts, f"{base}/article_aggregates", batch_id, "article_id",
-                                "daily_views", "last_updated")
+            upsert_counts_buckets(counts, f"{base}/article_aggregates", batch_id, "article_id",
+                                  "daily_views", "last_updated")
             append_history(batch_df, f"{base}/history", "timestamp", batch_id=batch_id)
         finally:
             batch_df.unpersist()
