@@ -205,3 +205,22 @@ def test_update_mode_windows_upserted_once(spark, tmp):
     want = W.sliding_kpis(batch)
     assert {tuple(r[k] for k in keys): r.event_count for r in got.collect()} == \
         {tuple(r[k] for k in keys): r.event_count for r in want.collect()}
+
+
+def test_order_chain_in_two_batches_equals_batch_chain(spark, tmp):
+    from tidewater.plans.orders import Chain
+    c = Chain(spark, SF001)
+    lines = c.lines().join(c.orders().select("order_id", "customer_id"), "order_id")
+    cut = lines.agg(F.percentile_approx(F.unix_timestamp("order_date"), 0.5)).first()[0]
+    first = lines.filter(F.unix_timestamp("order_date") < cut)
+    second = lines.filter(F.unix_timestamp("order_date") >= cut)
+    c.stock().select("product_id", F.col("stock").cast("double").alias("stock")) \
+        .withColumn("version", F.lit(-1).cast("bigint")).write.partitionBy("version").parquet(f"{tmp}/stock")
+    w = S.order_chain_batch_writer(f"{tmp}/stock", f"{tmp}/log")
+    w(first, 0)
+    w(second, 1)
+    w(second, 1)  # replay of the last batch
+    cols = ["order_id", "step", "event_type", "customer_id", "amount", "product_id", "reason", "tracking_number"]
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/log").select(*cols).collect())
+    want = sorted(tuple(r) for r in c.log().select(*cols).collect())
+    assert got == want and len(got) > 100

@@ -3,8 +3,6 @@ a replayed micro-batch or a retried job leaves the same table behind."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -299,7 +297,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.mode(mode).save()
-
-
-def local_path(path: str) -> str:
-    return os.path.abspath(path)

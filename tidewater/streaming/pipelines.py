@@ -21,7 +21,7 @@ __all__ = [
     "dedup_stream", "order_status_stream", "metrics_batch_writer", "start_query",
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
     "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
-    "window_upsert_writer",
+    "window_upsert_writer", "order_chain_batch_writer",
 ]
 
 
@@ -218,6 +218,25 @@ class ProgressCollector(StreamingQueryListener):
         pass
 
 
+def _stock_before(spark: SparkSession, stock_path: str, batch_id: int) -> DataFrame:
+    """Newest stock version written before ``batch_id`` (seed it as ``version=-1``)."""
+    versions = spark.read.parquet(stock_path)
+    prev = versions.filter(F.col("version") < batch_id).agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == prev).drop("version")
+
+
+def _write_stock_after(stock: DataFrame, lines: DataFrame, decided: DataFrame, stock_path: str,
+                       batch_id: int) -> None:
+    taken = (lines.join(decided.filter(F.col("decision") == "INVENTORY_RESERVED").select("order_id"),
+                        "order_id", "left_semi")
+             .groupBy("product_id").agg(F.sum("quantity").alias("taken")))
+    left = (stock.join(taken, "product_id", "left")
+            .select("product_id", (F.col("stock") - F.coalesce("taken", F.lit(0.0))).alias("stock")))
+    (left.withColumn("version", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("version").parquet(stock_path))
+
+
 def stream_reservation_writer(stock_path: str, decisions_path: str):
     """``foreachBatch`` body for M9 on a stream: each micro-batch's orders are
     reserved against what earlier batches left (``stock_path`` holds the
@@ -227,22 +246,35 @@ def stream_reservation_writer(stock_path: str, decisions_path: str):
     from tidewater.operators.reservation import reserve_stock
 
     def write(lines: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = lines.sparkSession
-        versions = spark.read.parquet(stock_path)
-        prev = versions.filter(F.col("version") < batch_id).agg(F.max("version")).first()[0]
-        stock = versions.filter(F.col("version") == prev).drop("version")
-        decided = reserve_stock(lines, stock).persist()
+        stock = _stock_before(lines.sparkSession, stock_path, batch_id)
+        decided = reserve_stock(lines, stock)
+        write_batch(decided, decisions_path, batch_id)
+        _write_stock_after(stock, lines, decided, stock_path, batch_id)
+    return write
+
+
+def order_chain_batch_writer(stock_path: str, log_path: str, success_rate: float = 0.8):
+    """``foreachBatch`` body running the whole order chain on each micro-batch of
+    order lines (``order_id, customer_id, order_date, pos, product_id,
+    quantity, price``): reservation against the stock earlier batches left,
+    payment, shipment, and the event log written under its batch id (M9-M14
+    on a stream).  With batches in arrival order the log equals the batch
+    chain's; replays rewrite the same partitions."""
+    from tidewater.operators.reservation import reserve_stock
+
+    def write(lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
         try:
-            write_batch(decided, decisions_path, batch_id)
-            taken = (lines.join(decided.filter(F.col("decision") == "INVENTORY_RESERVED")
-                                .select("order_id"), "order_id", "left_semi")
-                     .groupBy("product_id").agg(F.sum("quantity").alias("taken")))
-            left = (stock.join(taken, "product_id", "left")
-                    .select("product_id", (F.col("stock") - F.coalesce("taken", F.lit(0.0)))
-                            .alias("stock")))
-            (left.withColumn("version", F.lit(int(batch_id)).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("version").parquet(stock_path))
+            stock = _stock_before(lines.sparkSession, stock_path, batch_id)
+            decided = reserve_stock(lines, stock)
+            orders = lines.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"))
+            totals = O.order_totals(orders, lines.drop("customer_id"))
+            valid = O.validate_orders(totals).filter("is_valid")
+            payments = O.payment_stage(decided.filter(F.col("decision") == "INVENTORY_RESERVED"), totals,
+                                       success_rate=success_rate)
+            log = O.event_log(valid, decided, payments, O.shipment_stage(payments))
+            write_batch(log, log_path, batch_id)
+            _write_stock_after(stock, lines, decided, stock_path, batch_id)
         finally:
-            decided.unpersist()
+            lines.unpersist()
     return write
