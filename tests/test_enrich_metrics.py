@@ -187,3 +187,22 @@ def test_windows_and_metrics_on_empty_input(spark):
     assert W.gap_sessions(empty).count() == 0
     assert W.gap_sessions(empty, hot=["u"]).count() == 0
     assert W.session_rollup(empty).count() == 0
+
+
+def test_hourly_metrics_with_date_keep_days_apart(spark):
+    vals = [_event("e1", 1, "purchase", "2024-01-01T10:00:00", order_value=5.0),
+            _event("e2", 2, "purchase", "2024-01-02T10:00:10", order_value=7.0)]
+    en = _enriched(spark, vals)
+    assert M.business_metrics(en).count() == 1  # faithful form: both days in one hour/minute
+    by_day = {str(r.date): r.total_revenue for r in M.business_metrics(en, with_date=True).collect()}
+    assert by_day == {"2024-01-01": 5.0, "2024-01-02": 7.0}
+    assert M.platform_metrics(en, with_date=True).count() == 2
+    assert M.geographic_metrics(en, with_date=True).count() == 2
+
+
+def test_user_sketches_merge_across_batches(spark):
+    b1 = spark.createDataFrame([("view", u) for u in range(0, 60)], "event_type string, user_id int")
+    b2 = spark.createDataFrame([("view", u) for u in range(40, 100)], "event_type string, user_id int")
+    stored = M.user_sketches(b1, ["event_type"]).unionByName(M.user_sketches(b2, ["event_type"]))
+    est = M.merge_user_sketches(stored, ["event_type"]).first().unique_users
+    assert abs(est - 100) <= 2  # adding the two batch counts would give 120

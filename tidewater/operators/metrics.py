@@ -33,9 +33,14 @@ def user_activity(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def business_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
+def _hourly(keys, with_date: bool):
+    """Hour-level group keys; ``with_date`` adds the date so days do not mix."""
+    return (["date"] if with_date else []) + list(keys)
+
+
+def business_metrics(df: DataFrame, exact: bool = True, with_date: bool = False) -> DataFrame:
     """Per event type, hour and minute (A2, with P20 aliases)."""
-    return (df.groupBy("event_type", "hour", "minute").agg(
+    return (df.groupBy(*_hourly(["event_type", "hour", "minute"], with_date)).agg(
         F.count("event_id").alias("event_count"),
         money_sum("revenue").alias("total_revenue"),
         distinct_count("user_id", exact).alias("unique_users"),
@@ -45,13 +50,13 @@ def business_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
      .withColumn("revenue_per_minute", F.col("total_revenue")))
 
 
-def product_performance(df: DataFrame) -> DataFrame:
+def product_performance(df: DataFrame, with_date: bool = False) -> DataFrame:
     """Per category, product and hour, over events that name a product.
 
     ``view_count`` counts every event with a product, as the reference does.
     """
     return (df.filter(F.col("product_name").isNotNull())
-            .groupBy("product_category", "product_name", "hour").agg(
+            .groupBy(*_hourly(["product_category", "product_name", "hour"], with_date)).agg(
                 F.count("event_id").alias("view_count"),
                 F.sum("is_add_to_cart").alias("cart_adds"),
                 F.sum("is_purchase").alias("purchases"),
@@ -61,9 +66,10 @@ def product_performance(df: DataFrame) -> DataFrame:
             .withColumn("cart_to_purchase_rate", safe_rate("purchases", "cart_adds")))
 
 
-def geographic_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
+def geographic_metrics(df: DataFrame, exact: bool = True, with_date: bool = False) -> DataFrame:
     """Per country and hour (A4)."""
-    return df.groupBy(F.col("user_profile.location.country").alias("country"), "hour").agg(
+    keys = _hourly([F.col("user_profile.location.country").alias("country"), "hour"], with_date)
+    return df.groupBy(*keys).agg(
         F.count("event_id").alias("event_count"),
         money_sum("revenue").alias("revenue"),
         distinct_count("user_id", exact).alias("unique_users"),
@@ -71,10 +77,11 @@ def geographic_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def platform_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
+def platform_metrics(df: DataFrame, exact: bool = True, with_date: bool = False) -> DataFrame:
     """Per device, browser, OS and hour; average value of purchases only (A5)."""
     purchase_rev = F.when(F.col("event_type") == "purchase", F.col("revenue"))
-    return df.groupBy("device_type", "browser", "operating_system", "hour").agg(
+    keys = _hourly(["device_type", "browser", "operating_system", "hour"], with_date)
+    return df.groupBy(*keys).agg(
         F.count("event_id").alias("event_count"),
         money_sum("revenue").alias("revenue"),
         distinct_count("user_id", exact).alias("unique_users"),
@@ -82,6 +89,22 @@ def platform_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
+def user_sketches(df: DataFrame, keys, column: str = "user_id", lg_k: int = 12) -> DataFrame:
+    """Distinct ``column`` per group as a mergeable HLL sketch (A11 across batches).
+
+    Distinct counts of separate micro-batches cannot be added; sketches can:
+    store ``users_sketch`` with each batch's metric row and combine them with
+    ``merge_user_sketches``.
+    """
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, lg_k).alias("users_sketch"))
+
+
+def merge_user_sketches(sketch_rows: DataFrame, keys) -> DataFrame:
+    """Union the stored sketches per group and estimate the distinct count."""
+    return (sketch_rows.groupBy(*keys).agg(F.hll_union_agg("users_sketch").alias("users_sketch"))
+            .withColumn("unique_users", F.hll_sketch_estimate("users_sketch")))
+
+
 def batch_summary(df: DataFrame) -> DataFrame:
     """Distinct users, events and revenue of a batch in one job."""
     return df.agg(
