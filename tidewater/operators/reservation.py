@@ -31,6 +31,7 @@ from __future__ import annotations
 import functools
 import time
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import DataFrame, Observation
@@ -98,10 +99,11 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     open_lines = work_lines  # every line starts undecided
     t_prep = time.perf_counter() - t0
     while open_lines:
-        if work_lines is not None and work_lines <= tail_rows:
+        if work_lines <= tail_rows:
+            t_tail = time.perf_counter()
             records.append(_finish_sequentially(work, order_col, ordering, product_col).checkpoint())
             if stats is not None:
-                stats["tail_lines"] = work_lines
+                stats.update(tail_lines=work_lines, tail_s=round(time.perf_counter() - t_tail, 2))
             break
         rounds += 1
         if rounds > max_rounds:
@@ -195,21 +197,28 @@ def _finish_sequentially(work: DataFrame, order_col: str, ordering: list, produc
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ordering, kind="mergesort")
+        oid = pdf[order_col].to_numpy()
+        prod = pdf[product_col].to_numpy()
+        qty = pdf["qty"].to_numpy()
+        stock = pdf["stock"].to_numpy()
+        st = pdf["st"].to_numpy()
+        n = len(oid)
+        # The lines of one order are adjacent after the sort.
+        cut = (np.flatnonzero(oid[1:] != oid[:-1]) + 1) if n else np.array([], dtype=int)
+        starts = np.concatenate(([0], cut)) if n else cut
+        ends = np.concatenate((cut, [n])) if n else cut
         used: dict = {}
         out_ids, out_st = [], []
-        for oid, g in pdf.groupby(order_col, sort=False):
-            prods = g[product_col].tolist()
-            qtys = g["qty"].tolist()
-            status = g["st"].iloc[0]
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            status = st[a]
             if status == UNDECIDED:
-                fits = all(q <= s - used.get(p, 0.0)
-                           for p, q, s in zip(prods, qtys, g["stock"].tolist()))
+                fits = all(qty[i] <= stock[i] - used.get(prod[i], 0.0) for i in range(a, b))
                 status = ACCEPTED if fits else REJECTED
-                out_ids.append(oid)
+                out_ids.append(oid[a])
                 out_st.append(status)
             if status == ACCEPTED:
-                for p, q in zip(prods, qtys):
-                    used[p] = used.get(p, 0.0) + q
+                for i in range(a, b):
+                    used[prod[i]] = used.get(prod[i], 0.0) + qty[i]
         return pd.DataFrame({order_col: out_ids, "new_st": out_st})
 
     return (work.select(order_col, *[c for c in ordering if c != order_col], product_col, "qty",
