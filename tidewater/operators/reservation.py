@@ -6,7 +6,8 @@ accepted before it, and an accepted order reserves all its lines.
 
 Orders compete for several products, so no single key partitions the work
 and a running sum alone is wrong (a rejected order frees its demand).  The
-plan decides orders in rounds, each one a window pass per product:
+plan decides orders in rounds; each round is a running-sum pass per product
+in sequence order and a per-order aggregate joined back:
 
 * an undecided order is **accepted** if every line fits even when all
   earlier undecided orders are assumed accepted (except those with a line
@@ -18,12 +19,13 @@ plan decides orders in rounds, each one a window pass per product:
 Decided orders are consistent with the sequential rule (the true stock used
 before an order lies between the two bounds), and the earliest undecided
 order meets both bounds with equality, so every round decides at least one
-order and usually most.  Rejected lines leave the working set, and so do
-accepted lines that no undecided order after them can depend on; each
-round's state is checkpointed to the shared checkpoint folder (and its
-decisions appended to a table there) so lineage and retries stay one round
-long.  Products whose whole demand fits their stock never
-constrain anything and are settled before the first round.
+order and usually many.  Rejected lines leave the working set, and so do
+accepted lines that no undecided order after them can depend on.  Each
+round's state is checkpointed to the shared checkpoint folder, so lineage
+and retries stay one round long.  Products whose whole demand fits their
+stock never constrain anything and are settled before the first round; a
+working set of at most ``tail_rows`` lines (a fixed bound) is finished by
+the sequential rule in one grouped task.
 """
 
 from __future__ import annotations
