@@ -224,3 +224,22 @@ def test_order_chain_in_two_batches_equals_batch_chain(spark, tmp):
     got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/log").select(*cols).collect())
     want = sorted(tuple(r) for r in c.log().select(*cols).collect())
     assert got == want and len(got) > 100
+
+
+def test_metrics_writer_with_contracts_and_split_writer(spark, tmp):
+    batch = enriched_events(spark, SF001)
+    w = S.metrics_batch_writer(f"{tmp}/out", {"platform_analytics": M.platform_metrics,
+                                              "business_metrics_realtime": M.business_metrics}, contracts=True)
+    w(batch, 3)
+    plat = spark.read.parquet(f"{tmp}/out/platform_analytics")
+    assert dict(plat.dtypes)["revenue"] == "decimal(15,2)" and dict(plat.dtypes)["hour"] == "int"
+    assert plat.count() == M.platform_metrics(batch).count()
+    import os
+    assert not os.path.exists(f"{tmp}/out/_quarantine/platform_analytics")  # nothing broke the contract
+    rows = spark.createDataFrame([(1, 5.0), (None, 1.0), (3, -1.0)], "user_id int, amount double")
+    split = S.split_writer([("missing_user", F.col("user_id").isNull()), ("negative", F.col("amount") < 0)],
+                           f"{tmp}/good", f"{tmp}/bad")
+    split(rows, 0)
+    split(rows, 0)  # replay
+    assert spark.read.parquet(f"{tmp}/good").count() == 1
+    assert sorted(r.reason for r in spark.read.parquet(f"{tmp}/bad").collect()) == ["missing_user", "negative"]

@@ -21,7 +21,7 @@ __all__ = [
     "dedup_stream", "order_status_stream", "metrics_batch_writer", "start_query",
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
     "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
-    "window_upsert_writer", "order_chain_batch_writer",
+    "window_upsert_writer", "order_chain_batch_writer", "split_writer",
 ]
 
 
@@ -68,17 +68,47 @@ def order_status_stream(log: DataFrame) -> DataFrame:
     return O.current_status(log)
 
 
-def metrics_batch_writer(base: str, metric_fns: dict):
+def metrics_batch_writer(base: str, metric_fns: dict, contracts: bool = False):
     """``foreachBatch`` body computing several metric tables from one cached
     micro-batch and writing each under ``base/<name>`` keyed by batch id
-    (M6, K1, K14).  Replays overwrite their own batch partition."""
+    (M6, K1, K14).  Replays overwrite their own batch partition.
+
+    With ``contracts`` each table is first conformed to the sink contract of
+    the same name (K15): rows that break it go to ``base/_quarantine/<name>``
+    with the reason (Q5) instead of failing the batch.
+    """
+    from tidewater.sinks.writers import conform, write_if_not_empty
+
+    def one(df: DataFrame, fn, name: str, batch_id: int) -> None:
+        out = fn(df)
+        if contracts:
+            good, bad = conform(out, name)
+            write_if_not_empty(bad, lambda b: write_batch(b, f"{base}/_quarantine/{name}", batch_id))
+            out = good
+        write_batch(out, f"{base}/{name}", batch_id)
+
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        writers = {name: (lambda df, f=fn, n=name: write_batch(f(df), f"{base}/{n}", batch_id))
+        writers = {name: (lambda df, f=fn, n=name: one(df, f, n, batch_id))
                    for name, fn in metric_fns.items()}
         fan_out_writes(batch_df, writers)
     return write
 
 
+def split_writer(checks, good_path: str, bad_path: str):
+    """``foreachBatch`` body routing each micro-batch to a clean table and a
+    quarantine table carrying the first failing check (Q5 on a stream)."""
+    from tidewater.operators.quality import tag_quarantine
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        tagged = tag_quarantine(batch_df, checks).persist()
+        try:
+            write_batch(tagged.filter(F.col("reason").isNull()).drop("reason"), good_path, batch_id)
+            write_batch(tagged.filter(F.col("reason").isNotNull()), bad_path, batch_id)
+        finally:
+            tagged.unpersist()
+    return write
+
+
 def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "update",
                 sink=None, fmt: str | None = None, path: str | None = None,
                 trigger: dict | None = None, options: dict | None = None):
@@ -102,7 +132,7 @@ def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "updat
 
 
 def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, trigger=None,
-                         preview: bool = False):
+                         preview: bool = False, contracts: bool = False):
     """Pipeline A: enriched stream → five metric tables per micro-batch, plus the
     raw enriched events and optionally a console preview, each its own query
     with its own checkpoint (M15, M16).  Returns the started queries; wait with
@@ -115,7 +145,8 @@ def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, tri
         "platform_analytics": M.platform_metrics,
     }
     metrics = start_query(events, name="metrics", checkpoint=f"{checkpoint_base}/metrics",
-                          mode="append", sink=metrics_batch_writer(base, fns), trigger=trigger)
+                          mode="append", sink=metrics_batch_writer(base, fns, contracts),
+                          trigger=trigger)
     raw = start_query(events, name="enriched_events", checkpoint=f"{checkpoint_base}/enriched_events",
                       mode="append", fmt="parquet", path=f"{base}/enriched_events", trigger=trigger)
     out = [metrics, raw]
