@@ -5,6 +5,8 @@ step is one decision round over all constrained order lines, and recursion
 ends after the round that leaves no order undecided.
 """
 
+from tidewater.operators.orders import SUBSCRIPTIONS
+
 CHAIN = """
 WITH RECURSIVE
 stock AS (SELECT p_partkey AS product_id, CAST(p_size AS DOUBLE) * 10 AS stock FROM part),
@@ -101,15 +103,8 @@ status AS (
     FROM log) x WHERE rnk IS NOT NULL GROUP BY order_id)
 """
 
-SUBS = """(VALUES ('ORDER_CREATED', 'InventoryService'), ('ORDER_CREATED', 'NotificationService'),
-  ('ORDER_CREATED', 'AnalyticsService'), ('INVENTORY_RESERVED', 'OrderService'),
-  ('INVENTORY_RESERVED', 'PaymentService'), ('PAYMENT_COMPLETED', 'OrderService'),
-  ('PAYMENT_COMPLETED', 'InventoryService'), ('PAYMENT_COMPLETED', 'NotificationService'),
-  ('PAYMENT_COMPLETED', 'AnalyticsService'), ('PAYMENT_FAILED', 'InventoryService'),
-  ('PAYMENT_FAILED', 'NotificationService'), ('PAYMENT_FAILED', 'AnalyticsService'),
-  ('READY_FOR_SHIPMENT', 'ShippingService'), ('SHIPMENT_CREATED', 'OrderService'),
-  ('SHIPMENT_CREATED', 'NotificationService'), ('SHIPMENT_CREATED', 'AnalyticsService'),
-  ('OUT_OF_STOCK', 'NotificationService')) s(event_type, service)"""
+# The subscription table as a VALUES list, from the operator's own table.
+SUBS = "(VALUES " + ", ".join(f"('{e}', '{sv}')" for e, sv in SUBSCRIPTIONS) + ") s(event_type, service)"
 
 SQL = {
     "order_totals": CHAIN + "SELECT order_id, customer_id, n_items, total_amount FROM totals",
