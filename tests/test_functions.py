@@ -72,3 +72,9 @@ def test_handler_registry_routes_by_type(spark):
     out = reg.apply(df)
     assert sorted(r.v for r in out["a_values"].collect()) == [1, 3]
     assert [r.v for r in out["b_values"].collect()] == [20]
+
+
+def test_session_profile_and_checkpoint_rule(spark):
+    from tidewater.session import CLUSTER_CONF, checkpoint_dir, ensure_checkpoint_dir
+    assert checkpoint_dir(spark) == ensure_checkpoint_dir(spark)  # tests set their own folder
+    assert int(CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) >= 128 * 1024 * 1024

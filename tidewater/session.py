@@ -18,14 +18,32 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for very large inputs (tens of TB on hundreds of executors): bigger
+# scan splits, many initial shuffle partitions that AQE coalesces to ~256 MB,
+# skew splitting, and a broadcast threshold that only small dimensions pass.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "40000",
+}
+
+
 def get_spark(app: str = "tidewater", master: str | None = None,
               shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the defaults above."""
+              extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or reuse) a session with the defaults above (``cluster`` adds
+    ``CLUSTER_CONF``).  Settings passed in ``extra`` win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
