@@ -22,14 +22,17 @@ def default_chunk(df: DataFrame, first_seq_col: str) -> Column:
     return F.to_date(c) if t in ("date", "timestamp", "timestamp_ntz") else c
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, tasks_per_key: int = 4) -> list:
+def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, tasks_per_key: int = 4,
+             total: int | None = None) -> list:
     """Keys holding more than ``max(min_rows, rows / (tasks_per_key * parallelism))``
     rows.  At most ``tasks_per_key * parallelism`` keys can pass, so the list
-    brought to the driver has a proven bound whatever the data size."""
+    brought to the driver has a proven bound whatever the data size.  Pass
+    ``total`` (the row count) when it is known, to save a job."""
     par = df.sparkSession.sparkContext.defaultParallelism
     bound = tasks_per_key * par
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
+    if total is None:
+        total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(min_rows, total // bound)
     return [r[0] for r in counts.filter(F.col("_n") > threshold).limit(bound + 1).collect()]
 

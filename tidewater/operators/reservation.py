@@ -92,12 +92,13 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     ordering = seq_keys + [order_col]
     seq_struct = F.struct(*[F.col(c) for c in ordering])
     cols = [order_col, *seq_keys, product_col, "chunk", "qty", "stock", "st"]
-    work = d.filter("constraining").select(*cols[:-1], F.lit(UNDECIDED).alias("st")).checkpoint()
-    hot = hot_keys(work, product_col, min_rows=hot_min_rows)
+    # A filter of the checkpointed demand: cheap to read again, no copy needed.
+    work = d.filter("constraining").select(*cols[:-1], F.lit(UNDECIDED).alias("st"))
+    work_lines = work.count()
+    hot = hot_keys(work, product_col, min_rows=hot_min_rows, total=work_lines)
     records = []
     rounds, sizes = 0, []
     t_round = time.perf_counter()
-    work_lines = work.count()
     open_lines = work_lines  # every line starts undecided
     t_prep = time.perf_counter() - t0
     while open_lines:
