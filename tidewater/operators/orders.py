@@ -293,7 +293,7 @@ def inventory_snapshot(stock: DataFrame, lines: DataFrame, reservation: DataFram
 def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFrame,
                        seq_cols=("order_date", "order_id"), order_col: str = "order_id",
                        product_col: str = "product_id", qty: str = "quantity",
-                       hot_min_rows: int = 1_000_000) -> DataFrame:
+                       hot_min_rows: int = 1_000_000, chunk=None) -> DataFrame:
     """Stock left after each accepted order, per product."""
     seq_cols = list(seq_cols)
     accepted = reservation.filter(F.col("decision") == "INVENTORY_RESERVED").select(order_col)
@@ -305,7 +305,7 @@ def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFram
     # Running sum per product; products with a large share of the lines are
     # split by day so one product does not land in one task.
     taken = running_sums(per, product_col, seq_cols, {"taken": F.col("quantity")}, inclusive=True,
-                         hot=hot_keys(per, product_col, min_rows=hot_min_rows))
+                         chunk=chunk, hot=hot_keys(per, product_col, min_rows=hot_min_rows))
     return taken.select(order_col, product_col, "quantity",
                         (F.col("stock") - F.col("taken")).alias("stock_left"))
 

@@ -16,6 +16,14 @@ from tidewater.sources.tables import read_table, stock_from_parts
 STOCK_PER_SIZE = 10
 PAYMENT_SUCCESS_RATE = 0.8
 SEQ = ("order_date", "order_id")
+# Running sums of a hot product are split into chunks that never decrease
+# along SEQ: the order date is a whole day, so (date, order id / 65,536) is
+# monotone and splits even a product whose orders all fall on one day.
+ID_BLOCK = 65_536
+
+
+def seq_chunk():
+    return F.struct(F.col("order_date"), F.floor(F.col("order_id") / ID_BLOCK).alias("block"))
 
 
 class Chain:
@@ -52,7 +60,7 @@ class Chain:
 
     def reservation(self) -> DataFrame:
         if not hasattr(self, "_reservation"):
-            self._reservation = reserve_stock(self.lines(), self.stock(), seq_cols=SEQ)
+            self._reservation = reserve_stock(self.lines(), self.stock(), seq_cols=SEQ, chunk=seq_chunk())
         return self._reservation
 
     def payments(self) -> DataFrame:
@@ -86,7 +94,7 @@ def reservation(spark, base):
 
 def stock_after_orders(spark, base):
     c = Chain(spark, base)
-    return O.stock_after_orders(c.lines(), c.stock(), c.reservation(), seq_cols=SEQ)
+    return O.stock_after_orders(c.lines(), c.stock(), c.reservation(), seq_cols=SEQ, chunk=seq_chunk())
 
 
 def payment_outcomes(spark, base):
