@@ -183,6 +183,8 @@ def test_ingest_validate_model(spark, tmp):
     assert all(r.success for r in rep)
     model = {str(r.day): (r.views, r.carts, r.purchases) for r in spark.read.parquet(f"{tmp}/lake/model").collect()}
     assert model == {"2024-01-01": (1, 1, 0), "2024-01-02": (0, 0, 1)}  # duplicate id 1 loaded once
+    snap = spark.read.parquet(f"{tmp}/lake/snapshot")
+    assert {"processed_at", "exported_at"} <= set(snap.columns)  # export time does not overwrite
 
 
 def test_update_mode_windows_upserted_once(spark, tmp):

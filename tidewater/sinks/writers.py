@@ -173,8 +173,11 @@ def read_upserted(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("version") == v).drop("version")
 
 
-def snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite one dataset with the current contents (K5)."""
+def snapshot(df: DataFrame, path: str, fmt: str = "parquet", stamp_col: str | None = None) -> None:
+    """Overwrite one dataset with the current contents (K5).  ``stamp_col`` adds
+    the export time as its own column, leaving event/processing times intact."""
+    if stamp_col:
+        df = df.withColumn(stamp_col, F.current_timestamp())
     df.write.mode("overwrite").format(fmt).save(path)
 
 

@@ -199,7 +199,7 @@ def ingest_validate_model(source: DataFrame, base: str, checkpoint: str, key: st
     failed = [r.rule for r in report if not r.success]
     if failed:
         raise ValueError(f"validation failed: {failed}")
-    snapshot(table, f"{base}/snapshot")
+    snapshot(table, f"{base}/snapshot", stamp_col="exported_at")
     snapshot(model(spark.read.parquet(f"{base}/snapshot")), f"{base}/model")
     return report
 
