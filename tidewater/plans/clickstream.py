@@ -16,12 +16,18 @@ from tidewater.sources.tables import read_table
 TOP_K = 10  # top-k report size (the limit is the feature)
 
 
+def day_as_timestamp(df: DataFrame, col: str) -> DataFrame:
+    """Registered outputs carry days as midnight TIMESTAMP_NTZ, the type the
+    driver tables use for dates, so both engines hand back the same type."""
+    return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
+
+
 def business_metrics(spark: SparkSession, base: str) -> DataFrame:
     return M.business_metrics(enriched_events(spark, base), exact=True)
 
 
 def user_activity(spark: SparkSession, base: str) -> DataFrame:
-    return M.user_activity(enriched_events(spark, base), exact=True)
+    return day_as_timestamp(M.user_activity(enriched_events(spark, base), exact=True), "date")
 
 
 def product_performance(spark: SparkSession, base: str) -> DataFrame:
@@ -48,7 +54,7 @@ def approx_users(spark: SparkSession, base: str) -> DataFrame:
 
 
 def segments_and_bands(spark: SparkSession, base: str) -> DataFrame:
-    return enriched_events(spark, base).select(
+    return enriched_events(spark, base).withColumn("date", F.col("date").cast("timestamp_ntz")).select(
         "event_id", "user_id", "date", "hour", "minute", "user_segment", "age_group",
         "is_purchase", "is_add_to_cart", "revenue", "product_count",
         "device_type", "browser", "operating_system")
@@ -72,7 +78,7 @@ def _actions(spark: SparkSession, base: str) -> DataFrame:
 
 
 def daily_action_counts(spark: SparkSession, base: str) -> DataFrame:
-    return M.daily_action_counts(_actions(spark, base))
+    return day_as_timestamp(M.daily_action_counts(_actions(spark, base)), "day")
 
 
 def _page_views(spark: SparkSession, base: str) -> DataFrame:
@@ -89,8 +95,8 @@ def article_views(spark: SparkSession, base: str) -> DataFrame:
 def daily_article_views(spark: SparkSession, base: str) -> DataFrame:
     """True daily views per article (L4)."""
     pv = _page_views(spark, base).filter(F.col("article_id").isNotNull())
-    return pv.groupBy("article_id", F.to_date("timestamp").alias("day")).agg(
-        F.count(F.lit(1)).alias("daily_views"))
+    return day_as_timestamp(pv.groupBy("article_id", F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("daily_views")), "day")
 
 
 def top_articles(spark: SparkSession, base: str) -> DataFrame:
@@ -106,7 +112,7 @@ def daily_sales_union(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_totalprice").alias("sales_amount"))
     users = read_table(spark, base, "customer", ["c_custkey", "c_name"])
     combined = sales.unionByName(users, allowMissingColumns=True)
-    return M.daily_sum(combined, "date", "sales_amount", "daily_sales")
+    return day_as_timestamp(M.daily_sum(combined, "date", "sales_amount", "daily_sales"), "date")
 
 
 def revenue_by_hour(spark: SparkSession, base: str) -> DataFrame:

@@ -15,12 +15,12 @@ SELECT event_type, hour, minute, COUNT(event_id) AS event_count,
 FROM enriched GROUP BY event_type, hour, minute""",
 
     "user_activity": W + f"""
-SELECT user_id, date, user_segment, age_group, COUNT(event_id) AS total_events,
+SELECT user_id, CAST(date AS TIMESTAMP) AS date, user_segment, age_group, COUNT(event_id) AS total_events,
        CAST(SUM(is_purchase) AS BIGINT) AS purchase_count,
        CAST(SUM(is_add_to_cart) AS BIGINT) AS add_to_cart_count,
        {msum('revenue')} AS daily_revenue, COUNT(DISTINCT session_id) AS unique_sessions,
        arg_min(country, (event_timestamp, event_id)) AS country
-FROM enriched GROUP BY user_id, date, user_segment, age_group""",
+FROM enriched GROUP BY user_id, enriched.date, user_segment, age_group""",
 
     "product_performance": W + f"""
 SELECT *, {rate('purchases', 'view_count')} AS conversion_rate,
@@ -50,7 +50,7 @@ SELECT COUNT(DISTINCT user_id) AS users, COUNT(*) AS events,
 FROM enriched""",
 
     "segments_and_bands": W + """
-SELECT event_id, user_id, date, hour, minute, user_segment, age_group, is_purchase,
+SELECT event_id, user_id, CAST(date AS TIMESTAMP) AS date, hour, minute, user_segment, age_group, is_purchase,
        is_add_to_cart, revenue, product_count, device_type, browser, operating_system
 FROM enriched""",
 
@@ -64,7 +64,7 @@ WHERE event_timestamp >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 GROUP BY 1""",
 
     "daily_action_counts": """
-SELECT CAST(ts AS DATE) AS day,
+SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day,
        COUNT(*) FILTER (WHERE event_type = 'view') AS views,
        COUNT(*) FILTER (WHERE event_type = 'click') AS carts,
        COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases
@@ -75,7 +75,7 @@ SELECT {K} AS article_id, COUNT(*) AS views
 FROM events WHERE {K} IS NOT NULL GROUP BY 1""",
 
     "daily_article_views": f"""
-SELECT {K} AS article_id, CAST(ts AS DATE) AS day, COUNT(*) AS daily_views
+SELECT {K} AS article_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, COUNT(*) AS daily_views
 FROM events WHERE {K} IS NOT NULL GROUP BY 1, 2""",
 
     "top_articles": f"""
@@ -87,7 +87,7 @@ WITH combined AS (
   SELECT o_orderkey AS sale_id, o_orderdate AS date, o_totalprice AS sales_amount FROM orders
   UNION ALL BY NAME
   SELECT c_custkey, c_name FROM customer)
-SELECT CAST(date AS DATE) AS date, COALESCE({msum('sales_amount')}, 0.0) AS daily_sales
+SELECT CAST(CAST(date AS DATE) AS TIMESTAMP) AS date, COALESCE({msum('sales_amount')}, 0.0) AS daily_sales
 FROM combined WHERE date IS NOT NULL GROUP BY 1""",
 
     "revenue_by_hour": f"""
