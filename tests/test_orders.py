@@ -190,3 +190,15 @@ def test_hot_product_on_one_day_split_by_id_block(spark):
     out = reserve_stock(lines, stock, chunk=chunk, hot_min_rows=0, tail_rows=0)
     want, _ = sequential_reservation(orders, {"HOT": 200, "B": 40})
     assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
+
+
+def test_write_chain_tables_once(spark, tmp_path):
+    from tests.conftest import SF001
+    from tidewater.plans.orders import Chain, write_chain_tables
+    paths = write_chain_tables(spark, SF001, str(tmp_path))
+    cols = ["order_id", "step", "event_type", "customer_id", "amount", "product_id", "reason", "tracking_number"]
+    got = sorted(tuple(r) for r in spark.read.parquet(paths["event_log"]).select(*cols).collect())
+    want = sorted(tuple(r) for r in Chain(spark, SF001).log().select(*cols).collect())
+    assert got == want
+    k = spark.read.parquet(paths["order_kpis"]).first()
+    assert k.total_orders == spark.read.parquet(paths["order_status"]).count()

@@ -74,6 +74,33 @@ class Chain:
         return O.event_log(self.valid(), self.reservation(), self.payments(), self.shipments())
 
 
+def write_chain_tables(spark: SparkSession, base: str, out: str) -> dict:
+    """Run the chain once and write every stage as a table under ``out``
+    (reservation, payments, shipments, event log, then status, chains, KPIs
+    and inventory read back from the written log).  Each later stage reads
+    the written tables, so the reservation is computed a single time."""
+    from tidewater.sinks.writers import snapshot
+    c = Chain(spark, base)
+    paths = {}
+
+    def put(name, df):
+        paths[name] = f"{out.rstrip('/')}/{name}"
+        snapshot(df, paths[name])
+        return spark.read.parquet(paths[name])
+
+    reservation = put("reservation", c.reservation())
+    payments = put("payments", O.payment_stage(
+        reservation.filter(F.col("decision") == "INVENTORY_RESERVED"), c.totals(),
+        success_rate=PAYMENT_SUCCESS_RATE))
+    shipments = put("shipments", O.shipment_stage(payments))
+    log = put("event_log", O.event_log(c.valid(), reservation, payments, shipments))
+    put("order_status", O.current_status(log))
+    put("order_chains", O.order_chains(log))
+    put("order_kpis", O.order_kpis(log))
+    put("inventory", O.inventory_snapshot(c.stock(), c.lines(), reservation, payments))
+    return paths
+
+
 def order_totals(spark, base):
     return Chain(spark, base).totals().select("order_id", "customer_id", "n_items", "total_amount")
 
