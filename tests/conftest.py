@@ -19,6 +19,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "4g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder: no cluster names one here.
