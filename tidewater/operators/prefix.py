@@ -28,6 +28,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, tasks_per_key:
     rows.  At most ``tasks_per_key * parallelism`` keys can pass, so the list
     brought to the driver has a proven bound whatever the data size.  Pass
     ``total`` (the row count) when it is known, to save a job."""
+    if total is not None and total <= min_rows:
+        return []  # no key can hold more rows than the whole input
     par = df.sparkSession.sparkContext.defaultParallelism
     bound = tasks_per_key * par
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
