@@ -26,6 +26,12 @@ def business_metrics(spark: SparkSession, base: str) -> DataFrame:
     return M.business_metrics(enriched_events(spark, base), exact=True)
 
 
+def business_metrics_by_date(spark: SparkSession, base: str) -> DataFrame:
+    """Business metrics with the date in the key, so days do not mix (2.12 #8)."""
+    return day_as_timestamp(M.business_metrics(enriched_events(spark, base), exact=True, with_date=True),
+                            "date")
+
+
 def user_activity(spark: SparkSession, base: str) -> DataFrame:
     return day_as_timestamp(M.user_activity(enriched_events(spark, base), exact=True), "date")
 
@@ -142,6 +148,7 @@ def gap_sessions(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "business_metrics": business_metrics,
+    "business_metrics_by_date": business_metrics_by_date,
     "user_activity": user_activity,
     "product_performance": product_performance,
     "geographic_metrics": geographic_metrics,

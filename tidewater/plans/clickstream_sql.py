@@ -14,6 +14,13 @@ SELECT event_type, hour, minute, COUNT(event_id) AS event_count,
        COUNT(event_id) AS events_per_minute, {msum('revenue')} AS revenue_per_minute
 FROM enriched GROUP BY event_type, hour, minute""",
 
+    "business_metrics_by_date": W + f"""
+SELECT CAST(date AS TIMESTAMP) AS date, event_type, hour, minute, COUNT(event_id) AS event_count,
+       {msum('revenue')} AS total_revenue, COUNT(DISTINCT user_id) AS unique_users,
+       {mavg('revenue')} AS avg_order_value, COUNT(DISTINCT session_id) AS active_sessions,
+       COUNT(event_id) AS events_per_minute, {msum('revenue')} AS revenue_per_minute
+FROM enriched GROUP BY enriched.date, event_type, hour, minute""",
+
     "user_activity": W + f"""
 SELECT user_id, CAST(date AS TIMESTAMP) AS date, user_segment, age_group, COUNT(event_id) AS total_events,
        CAST(SUM(is_purchase) AS BIGINT) AS purchase_count,
