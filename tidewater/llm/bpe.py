@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import chunks, columns, id_column, small_batches, type_of
+from tidewater.llm.common import chunks, columns, id_column, type_of
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -332,7 +332,6 @@ def encode(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", tex
     rows out.  Memory per task: the longest text plus one chunk.
     """
     src = columns(docs, doc_id=doc_id, text=text)
-    small_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     def run(batches):
@@ -353,7 +352,6 @@ def encode_digests(docs: DataFrame, path: str | None = None, doc_id: str = "doc_
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode`` with its lists
     and texts reduced to digests inside the task, so that they are never shipped."""
     src = columns(docs, doc_id=doc_id, text=text)
-    small_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     def run(batches):

@@ -11,19 +11,11 @@ from pyspark.sql import functions as F
 
 from tidewater.session import ensure_checkpoint_dir
 
-#: Rows handed to a Python worker at once; texts average a few kB and may reach many MB.
-ARROW_ROWS = 256
-#: Text (in characters) a worker turns into words or numbers at once.
+#: Text (in characters) a worker turns into words or numbers at once.  (Spark itself
+#: hands a worker at most 64 MB or 10,000 rows at once, one row at least.)
 CHUNK_CHARS = 4 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Hand Python workers at most ``rows`` rows at once from now on (a session
-    setting, read when a plan starts): memory then follows the longest texts,
-    not the default of 10,000 rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that the driver and all executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

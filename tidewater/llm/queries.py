@@ -3,18 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import bpe
+from tidewater.llm import bpe, secrets, warc
+from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives in the shared folder and read back."""
+    path = shared_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]), path)
+    back = warc.reassemble(warc.read_records(spark, path))
+    return back.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes",
+        F.when(F.col("fault").isNull(), F.coalesce("found", "digest")).alias("payload_digest"),
+        "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and the token-efficiency test."""
+    return secrets.span_digests(secrets.find_secrets(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's byte-level BPE ids and their decoded text, as digests."""
     return bpe.encode_digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
+    "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
 }
 
 SQL: dict[str, str] = {}
+
+SQL["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+), bits AS (
+  SELECT page_id, body, hex, array_to_string(list_transform(range(1, 41), lambda j:
+    ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
+    [position(substr(hex, j, 1) IN '0123456789abcdef')]), '') AS b
+  FROM p
+), firsts AS (
+  SELECT hex, min(page_id) AS first FROM p GROUP BY hex
+)
+SELECT b.page_id, CAST(octet_length(encode(b.body)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(b.b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b.b, 5 * i + 2, 1) AS INT)
+      + 4 * CAST(substr(b.b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b.b, 5 * i + 4, 1) AS INT)
+      + CAST(substr(b.b, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN b.page_id IS NOT NULL AND b.page_id <= f.first OR f.first IS NULL THEN 'response' ELSE 'revisit' END
+    AS record_type,
+  CASE WHEN b.page_id IS NULL OR b.page_id > f.first THEN f.first END AS refers_to
+FROM bits b JOIN firsts f ON b.hex = f.hex
+"""
