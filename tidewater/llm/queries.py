@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, secrets, warc
+from tidewater.llm import bpe, licenses, mixing, secrets, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -31,10 +31,23 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and passages of every document."""
+    return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in a mix of all sources at weights 5, 2, 1, ..."""
+    return mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES = {
     "op2_warc": op2_warc,
     "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
+    "op8_licenses": op8_licenses,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {}
