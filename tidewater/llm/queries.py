@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, licenses, mixing, secrets, warc
+from tidewater.llm import bpe, langid, licenses, mixing, secrets, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    return langid.predict(docs, langid.fit(docs)).select(
+        "doc_id", F.coalesce(langid.fold() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rate")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives in the shared folder and read back."""
     path = shared_path(spark, "warc")
@@ -43,6 +50,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_warc": op2_warc,
     "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
