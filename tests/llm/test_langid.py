@@ -79,8 +79,8 @@ def test_without_labels_and_empty(spark):
     docs = spark.createDataFrame([(1, "a", None)], "doc_id bigint, text string, lang string")
     assert [r.lang_pred for r in langid.predict(docs, langid.fit(docs)).collect()] == ["und"]
     assert langid.predict(docs.limit(0), langid.fit(docs.limit(0))).collect() == []
-    one = spark.createDataFrame([(2, "abc", "en")], docs.schema)
-    assert zlib.crc32(b"2") % 3 != 1
+    one = spark.createDataFrame([(7, "abc", "en")], docs.schema)
+    assert zlib.crc32(b"7") % 3 != 1
     assert [(r.lang_pred, r.score) for r in langid.predict(one, langid.fit(one)).collect()] == [("en", 1.0)]
 
 
