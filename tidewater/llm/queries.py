@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, licenses, mixing, secrets, warc
+from tidewater.llm import bpe, langid, licenses, mixing, secrets, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -28,6 +28,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    net = toxicity.fit(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    return toxicity.score(docs, net).select(
+        "doc_id", F.coalesce(toxicity.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns and the token-efficiency test."""
     return secrets.span_digests(secrets.find_secrets(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
@@ -52,6 +60,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_warc": op2_warc,
+    "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
