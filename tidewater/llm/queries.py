@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, licenses, mixing, secrets, toxicity, warc
+from tidewater.llm import bpe, langid, licenses, mixing, secrets, syncmers, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -51,6 +51,11 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
 
 
+def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and the next document's."""
+    return syncmers.compare_neighbours(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document in a mix of all sources at weights 5, 2, 1, ..."""
     return mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])).select(
@@ -64,6 +69,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
+    "op9_syncmers": op9_syncmers,
     "op10_mixing": op10_mixing,
 }
 
