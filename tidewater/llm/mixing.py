@@ -22,7 +22,7 @@ from tidewater.llm.common import columns, materialise, type_of
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Documents of a block on the lowest level, and blocks joined on each further one.
-BLOCK = 50_000
+BLOCK = 2_000
 FAN_IN = 1_000
 CAP = 3
 
