@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, langid, licenses, mixing, secrets, simhash, syncmers, toxicity, warc
+from tidewater.llm import ann, bpe, langid, licenses, mixing, secrets, simhash, syncmers, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -41,6 +41,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.find_secrets(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return ann.search(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), F.col("vec_id") % 100 == 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash fingerprint and its component of near-duplicates."""
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -73,6 +78,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
+    "op5_ann": op5_ann,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
