@@ -324,27 +324,27 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def encode(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, decoded) of every row's whole text.
+def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of every row, the ids of its whole text and the text
+    that the ids decode to (ids, decoded).
 
     A null text counts as empty and has no ids; rows with a null or repeated id
     are encoded each on their own; further columns are ignored; no rows in, no
     rows out.  Memory per task: the longest text plus one chunk.
     """
-    src = columns(docs, doc_id=doc_id, text=text)
+    src = columns(docs, **{c: c for c in keep}, _text=text)
     path = path or vocabulary_path()
 
     def run(batches):
         bpe = load(path)
-        for piece, texts in chunks(batches):
+        for piece, texts in chunks(batches, "_text"):
             ids = bpe.encode_batch([t or "" for t in texts])
             yield pa.RecordBatch.from_arrays(
-                [id_column(piece),
-                 pa.array([x.astype(np.int32) for x in ids], type=pa.list_(pa.int32())),
-                 pa.array([bpe.decode(x.tolist()) for x in ids], type=pa.string())],
-                names=["doc_id", "ids", "decoded"])
+                [*piece.columns[:-1], pa.array([x.astype(np.int32) for x in ids], type=pa.list_(pa.int32())),
+                 pa.array([bpe.decode(x.tolist()) for x in ids], type=pa.string())], names=[*keep, "ids", "decoded"])
 
-    return src.mapInArrow(run, f"doc_id {type_of(src, 'doc_id')}, ids array<int>, decoded string")
+    types = ", ".join(f"`{c}` {type_of(src, c)}" for c in keep)
+    return src.mapInArrow(run, f"{types}, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",

@@ -32,6 +32,8 @@ ALPHABET = 80
 #: Texts are parsed in segments of so many normalised characters; a phrase ends there.
 SEGMENT = 1_024
 CODE_POINTS = 0x33480  # no letters beyond
+#: Documents whose best language leads by less than this share are rejected.
+LEAST_SCORE = 0.01
 
 
 @dataclass(frozen=True)
@@ -239,3 +241,22 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
                  pa.array(np.where(letters, low, 0.0), pa.float64())], names=["doc_id", "lang_pred", "score", "rate"])
 
     return src.mapInArrow(run, f"doc_id {type_of(src, 'doc_id')}, lang_pred string, score double, rate double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language: not ``und``, and with a score of at
+    least ``least`` (below, no language fits better than another).  Columns and
+    repeated rows stay as they are; nothing is shuffled."""
+    names = docs.columns
+
+    def run(batches):
+        table, tables = prepared(model)
+        for piece, texts in chunks(batches, text):
+            codes, ends = normalise([t or "" for t in texts], table)
+            keep = np.diff(ends, prepend=0) > 0
+            if len(model.langs) > 1:
+                best = np.partition(rates(codes, ends, model, tables), 1, axis=1)[:, :2]
+                keep &= (best[:, 1] - best[:, 0]) >= least * np.maximum(best[:, 1], 1e-12)
+            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema) if model.langs else docs.limit(0)
