@@ -167,9 +167,10 @@ def test_gap_sessions_split_hot_keys_equals_plain(spark):
         t[u] = t[u] + dt.timedelta(minutes=rnd.choice([1, 5, 20, 29, 30, 31, 45, 200]))
         rows.append((u, "view", "EU", float(i % 7), t[u], "s"))
     df = _simple(spark, rows)
-    plain = sorted(tuple(r) for r in W.gap_sessions(df).collect())
-    split = sorted(tuple(r) for r in W.gap_sessions(df, hot=["hot", "a"]).collect())
-    assert plain == split and len(plain) > 10
+    plain = sorted(tuple(r) for r in W.session_windows(df).collect())
+    for bucket in ("20 minutes", "1 hour", "1 day"):
+        assert sorted(tuple(r) for r in W.gap_sessions(df, bucket=bucket).collect()) == plain
+    assert len(plain) > 10
 
 
 def test_processing_time_and_not_null(spark):
@@ -185,7 +186,7 @@ def test_windows_and_metrics_on_empty_input(spark):
                                       "timestamp timestamp, session_id string")
     assert W.sliding_kpis(empty).count() == 0
     assert W.gap_sessions(empty).count() == 0
-    assert W.gap_sessions(empty, hot=["u"]).count() == 0
+    assert W.session_windows(empty).count() == 0
     assert W.session_rollup(empty).count() == 0
 
 

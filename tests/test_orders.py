@@ -12,22 +12,19 @@ from tidewater.sources.tables import stock_seed
 LINE_SCHEMA = "order_id string, order_date int, pos int, product_id string, quantity double, price double"
 
 
-def _run(spark, orders, stock, hot_min_rows=1_000_000, tail_rows=0):
+def _run(spark, orders, stock, ranges=None):
     rows = []
     for seq, (oid, items) in enumerate(orders):
         for pos, (p, q) in enumerate(items):
             rows.append((oid, seq, pos, p, float(q), 1.0))
     lines = spark.createDataFrame(rows, LINE_SCHEMA)
     st = stock_seed(spark, [(p, s) for p, s in stock.items()])
-    out = reserve_stock(lines, st, seq_cols=("order_date", "order_id"), hot_min_rows=hot_min_rows,
-                        tail_rows=tail_rows)
+    out = reserve_stock(lines, st, seq_cols=("order_date", "order_id"), ranges=ranges)
     return {r.order_id: r for r in out.collect()}
 
 
-@pytest.mark.parametrize("seed,hot_min_rows,tail_rows",
-                         [(s, 1_000_000, 0) for s in range(6)] + [(s, 0, 0) for s in range(6, 9)]
-                         + [(s, 1_000_000, t) for s, t in ((9, 10 ** 6), (10, 30), (11, 60), (12, 15))])
-def test_reservation_equals_sequential_loop(spark, seed, hot_min_rows, tail_rows):
+@pytest.mark.parametrize("seed,ranges", [(0, 1), (1, None), (2, 3), (3, 7), (4, 20), (5, 40)])
+def test_reservation_equals_sequential_loop(spark, seed, ranges):
     rnd = random.Random(seed)
     products = [f"P{i}" for i in range(rnd.randint(1, 6))]
     stock = {p: rnd.randint(0, 15) for p in products}
@@ -37,9 +34,8 @@ def test_reservation_equals_sequential_loop(spark, seed, hot_min_rows, tail_rows
                   rnd.randint(1, 6)) for _ in range(rnd.randint(1, 4))]
         orders.append((f"O{i:03d}", items))
     want, _ = sequential_reservation(orders, stock)
-    # hot_min_rows=0 splits every busy product into chunks (the skew path)
-    # tail_rows > 0 finishes the last rounds sequentially in one task
-    got = _run(spark, orders, stock, hot_min_rows, tail_rows)
+    # many ranges split busy products into many chunks
+    got = _run(spark, orders, stock, ranges)
     assert {k: v.decision == "INVENTORY_RESERVED" for k, v in got.items()} == want
 
 
@@ -127,7 +123,8 @@ def _log(spark):
             ("o2", 2, "OUT_OF_STOCK", None, None, 4, "Insufficient stock", None),
             ("o3", 1, "ORDER_CREATED", 9, 2.5, None, None, None),
             ("o3", 2, "INVENTORY_RESERVED", None, None, None, None, None),
-            ("o3", 3, "PAYMENT_FAILED", None, 2.5, None, "Insufficient funds", None)]
+            ("o3", 3, "PAYMENT_FAILED", None, 2.5, None, "Insufficient funds", None),
+            ("o3", 4, "INVENTORY_RELEASED", None, None, None, "Insufficient funds", None)]
     return spark.createDataFrame(rows, "order_id string, step int, event_type string, customer_id bigint, "
                                        "amount double, product_id bigint, reason string, tracking_number string")
 
@@ -174,31 +171,47 @@ def test_reservation_all_unconstrained(spark):
     assert {k: v.decision for k, v in got.items()} == {"O1": "INVENTORY_RESERVED", "O2": "INVENTORY_RESERVED"}
 
 
-def test_hot_product_on_one_day_split_by_id_block(spark):
-    """A product holding most lines, all orders on one day: the (date, id block)
-    chunk splits it, and the result still equals the sequential loop."""
+def test_product_on_nine_tenths_of_the_lines_is_split(spark):
+    """Dates and ids are independent, and one product is on 90 % of the lines: no
+    window partition holds more rows than about one range, and the result still
+    equals the sequential loop."""
+    from tidewater.operators.prefix import with_chunks
     rnd = random.Random(21)
     rows, orders = [], []
-    for i in range(300):
-        items = [("HOT", rnd.randint(1, 4))] + ([("B", 1)] if i % 3 == 0 else [])
-        orders.append((i, items))
-        rows += [(i, 0, pos, p, float(q), 1.0) for pos, (p, q) in enumerate(items)]
+    for i in range(400):
+        items = [("HOT", rnd.randint(1, 4))] + ([("B", 1)] if i % 9 == 0 else [])
+        day = rnd.randint(0, 30)
+        orders.append(((day, i), i, items))
+        rows += [(i, day, pos, p, float(q), 1.0) for pos, (p, q) in enumerate(items)]
     lines = spark.createDataFrame(rows, "order_id bigint, order_date int, pos int, product_id string, "
                                         "quantity double, price double")
-    stock = stock_seed(spark, [("HOT", 200), ("B", 40)])
-    chunk = F.struct(F.col("order_date"), F.floor(F.col("order_id") / 16).alias("block"))
-    out = reserve_stock(lines, stock, chunk=chunk, hot_min_rows=0, tail_rows=0)
-    want, _ = sequential_reservation(orders, {"HOT": 200, "B": 40})
+    chunked = with_chunks(lines, "product_id", ["order_date", "order_id"], ranges=16)
+    largest = chunked.groupBy("product_id", "chunk").count().agg(F.max("count")).first()[0]
+    assert largest <= 3 * len(rows) / 16
+    stats = {}
+    out = reserve_stock(lines, stock_seed(spark, [("HOT", 200), ("B", 25)]), ranges=16, stats=stats)
+    want, _ = sequential_reservation([(o, items) for _, o, items in sorted(orders)], {"HOT": 200, "B": 25})
     assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
+    assert stats["rounds"] >= 1
+
+
+def test_dependency_chain_settles_without_a_cap(spark):
+    """Each order competes with the one before over another product: the longest
+    possible chain still ends, one way or the other."""
+    orders = [(f"O{i:02d}", [(f"P{i}", 1), (f"P{i + 1}", 1)]) for i in range(14)]
+    stock = {f"P{i}": 1 for i in range(15)}
+    got = _run(spark, orders, stock)
+    want, _ = sequential_reservation(orders, stock)
+    assert {k: v.decision == "INVENTORY_RESERVED" for k, v in got.items()} == want
 
 
 def test_write_chain_tables_once(spark, tmp_path):
     from tests.conftest import SF001
     from tidewater.plans.orders import Chain, write_chain_tables
     paths = write_chain_tables(spark, SF001, str(tmp_path))
-    cols = ["order_id", "step", "event_type", "customer_id", "amount", "product_id", "reason", "tracking_number"]
-    got = sorted(tuple(r) for r in spark.read.parquet(paths["event_log"]).select(*cols).collect())
-    want = sorted(tuple(r) for r in Chain(spark, SF001).log().select(*cols).collect())
+    cols = ["order_id", "step", "event_type", "customer_id", "amount", "product_id", "reason", "tracking_number", "items"]
+    got = sorted(str(tuple(r)) for r in spark.read.parquet(paths["event_log"]).select(*cols).collect())
+    want = sorted(str(tuple(r)) for r in Chain(spark, SF001).log().select(*cols).collect())
     assert got == want
     k = spark.read.parquet(paths["order_kpis"]).first()
     assert k.total_orders == spark.read.parquet(paths["order_status"]).count()

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewater.operators.prefix import running_sums
+from tidewater.operators.prefix import running_sums, with_chunks
 
 rows_strategy = st.lists(
     st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(0, 3), st.integers(1, 9)),
@@ -12,12 +12,12 @@ rows_strategy = st.lists(
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=rows_strategy, split=st.booleans(), inclusive=st.booleans())
-def test_running_sums_equal_loop(spark, rows, split, inclusive):
+@given(rows=rows_strategy, ranges=st.sampled_from([1, 4, 9]), inclusive=st.booleans())
+def test_running_sums_equal_loop(spark, rows, ranges, inclusive):
     data = [(k, day, i, float(q)) for i, (k, day, q) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, day int, id int, q double")
-    out = running_sums(df, "k", ["day", "id"], {"s": F.col("q")}, inclusive=inclusive,
-                       hot=["hot", "a"] if split else None)
+    out = running_sums(with_chunks(df, "k", ["day", "id"], ranges=ranges), "k", ["day", "id"], {"s": F.col("q")},
+                       inclusive=inclusive)
     got = {r.id: r.s for r in out.collect()}
     acc, want = {}, {}
     for k, day, i, q in sorted(data, key=lambda r: (r[0], r[1], r[2])):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_or", "parse_event_time", "event_flag", "default_zero", "array_len_or_zero",
     "user_segment", "age_group", "session_key", "deterministic_id", "money",
-    "money_sum", "money_avg", "safe_rate", "payment_draw", "payment_decision_amount",
+    "money_sum", "money_avg", "safe_rate", "payment_draw", "epoch_time",
     "json_key_long", "pick_by_mod",
 ]
 
@@ -33,6 +33,12 @@ def parse_event_time(c, ntz: bool = False) -> Column:
     return c.try_cast("timestamp_ntz") if ntz else F.try_to_timestamp(c)
 
 
+def epoch_time(c, ntz: bool = False) -> Column:
+    """Seconds since the epoch (whole or fractional) → timestamp (F1)."""
+    t = F.timestamp_micros(F.round(col_or(c).cast("decimal(28,6)") * 1_000_000).cast("bigint"))
+    return t.cast("timestamp_ntz") if ntz else t
+
+
 def event_flag(c, value) -> Column:
     """1 when the column equals ``value`` (or is in a list of values), else 0."""
     c = col_or(c)
@@ -111,11 +117,6 @@ def payment_draw(key, rate: float) -> Column:
     return bucket < F.lit(int(round(rate * 100)))
 
 
-def payment_decision_amount(amount) -> Column:
-    """Payment succeeds iff amount > 0."""
-    return F.when(col_or(amount) > 0, "PAYMENT_PROCESSED").otherwise("PAYMENT_FAILED")
-
-
 def json_key_long(c, key: str) -> Column:
     """Integer field of a JSON text column; bad JSON or bad value gives NULL."""
     return F.get_json_object(col_or(c), f"$.{key}").try_cast("bigint")

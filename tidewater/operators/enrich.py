@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import (
-    age_group, array_len_or_zero, default_zero, event_flag, parse_event_time, user_segment,
+    age_group, array_len_or_zero, default_zero, epoch_time, event_flag, parse_event_time, user_segment,
 )
 
 
@@ -38,10 +38,13 @@ def parse_payload(df: DataFrame, schema: T.StructType, value_col: str = "value",
 
 def add_event_time(df: DataFrame, ts_col: str = "timestamp", out: str = "event_timestamp",
                    ntz: bool = False) -> DataFrame:
-    """Event time, date, hour, minute (P4).  Text is parsed; timestamps pass through."""
+    """Event time, date, hour, minute (P4).  Text is parsed, numbers are seconds since
+    the epoch, timestamps pass through."""
     src = F.col(ts_col)
     if isinstance(df.schema[ts_col].dataType, T.StringType):
         src = parse_event_time(src, ntz=ntz)
+    elif isinstance(df.schema[ts_col].dataType, T.NumericType):
+        src = epoch_time(src, ntz=ntz)
     return (df.withColumn(out, src)
             .withColumn("date", F.to_date(F.col(out)))
             .withColumn("hour", F.hour(F.col(out)))
@@ -70,22 +73,30 @@ def enrich_events(df: DataFrame, purchase_type: str = "purchase",
             .withColumn("age_group", age_group(F.col("user_profile.age"))))
 
 
-def explode_purchase_products(df: DataFrame) -> DataFrame:
+def explode_purchase_products(df: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """One row per product for purchases that list products but no single product.
 
     Purchases name their products in ``products``; without this, product
     metrics never see a purchase.  The order value stays on the first
     product so revenue is not counted twice.  One pass, no union: other rows
     explode a one-element array of their own product name.
+
+    ``categories`` (product_name, product_category; one row per name) gives the
+    category of the products so named, which the purchase itself does not carry.
     """
     needs = (F.col("product_name").isNull() & F.col("products").isNotNull()
              & (F.size("products") > 0))
     names = F.when(needs, F.col("products")).otherwise(F.array(F.col("product_name")))
-    return (df.select("*", F.posexplode(names).alias("_pos", "_product"))
-            .withColumn("product_name", F.col("_product"))
-            .withColumn("revenue", F.when(F.col("_pos") == 0, F.col("revenue"))
-                        .otherwise(F.lit(0.0)))
-            .drop("_pos", "_product"))
+    out = (df.select("*", F.posexplode(names).alias("_pos", "_product"))
+           .withColumn("product_name", F.col("_product"))
+           .withColumn("revenue", F.when(F.col("_pos") == 0, F.col("revenue"))
+                       .otherwise(F.lit(0.0)))
+           .drop("_pos", "_product"))
+    if categories is None:
+        return out
+    named = categories.select(F.col("product_name").alias("_name"), F.col("product_category").alias("_category"))
+    return (out.join(named, F.col("product_name") == F.col("_name"), "left")
+            .withColumn("product_category", F.coalesce("product_category", "_category")).drop("_name", "_category"))
 
 
 def not_null(df: DataFrame, *cols: str) -> DataFrame:
@@ -117,12 +128,6 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     return df
 
 
-def per_minute_aliases(df: DataFrame) -> DataFrame:
-    """``events_per_minute`` / ``revenue_per_minute`` copies (P20)."""
-    return (df.withColumn("events_per_minute", F.col("event_count"))
-            .withColumn("revenue_per_minute", F.col("total_revenue")))
-
-
 def monitor_view(df: DataFrame, payload_col: str = "data", amount_key: str = "total_amount") -> DataFrame:
     """Monitor projection: topic, type, order id or ``N/A``, time, amount if present."""
     payload = F.col(payload_col)
@@ -134,14 +139,17 @@ def monitor_view(df: DataFrame, payload_col: str = "data", amount_key: str = "to
     )
 
 
-def join_profiles(events: DataFrame, profiles: DataFrame, key: str = "user_id",
-                  broadcast_profiles: bool = False) -> DataFrame:
+def join_profiles(events: DataFrame, profiles: DataFrame, key: str = "user_id") -> DataFrame:
     """Attach the user profile to each event.
 
-    Left join: unknown users keep their events with a null profile.  The
-    profile side is broadcast only when the caller knows it is small;
-    otherwise the planner decides from statistics (and AQE from runtime
-    sizes), falling back to a shuffle join.
+    Left join: unknown users keep their events with a null profile.  The planner
+    decides from sizes whether the profiles are broadcast; otherwise both sides are
+    shuffled, and a hot user's partition can be split.
     """
-    right = F.broadcast(profiles) if broadcast_profiles else profiles
-    return events.join(right, key, "left")
+    return events.join(profiles, key, "left")
+
+
+def preview(df: DataFrame, rows: int, order_cols) -> DataFrame:
+    """The first ``rows`` rows by ``order_cols`` (L2; the limit is the feature)."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    return df.orderBy(*order_cols).limit(rows)

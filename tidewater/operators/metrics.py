@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.columns import money_avg, money_sum, safe_rate
+from tidewater.functions.columns import age_group, money, money_avg, money_sum, safe_rate, user_segment
 
 
 def distinct_count(c: str, exact: bool = True, rsd: float = 0.05) -> Column:
@@ -39,12 +39,20 @@ def _hourly(keys, with_date: bool):
 
 
 def business_metrics(df: DataFrame, exact: bool = True, with_date: bool = False) -> DataFrame:
-    """Per event type, hour and minute (A2, with P20 aliases)."""
-    return (df.groupBy(*_hourly(["event_type", "hour", "minute"], with_date)).agg(
-        F.count("event_id").alias("event_count"),
-        money_sum("revenue").alias("total_revenue"),
+    """Per event type, hour and minute (A2, with P20 aliases).
+
+    Events are first combined per user and session, so the distinct counts copy
+    those rows and not the events.
+    """
+    keys = _hourly(["event_type", "hour", "minute"], with_date)
+    visits = df.groupBy(*keys, "user_id", "session_id").agg(
+        F.count("event_id").alias("n"), F.sum(money("revenue")).alias("rev"), F.count("revenue").alias("paid"))
+    revenue = F.sum("rev").cast("double")
+    return (visits.groupBy(*keys).agg(
+        F.sum("n").alias("event_count"),
+        revenue.alias("total_revenue"),
         distinct_count("user_id", exact).alias("unique_users"),
-        money_avg("revenue").alias("avg_order_value"),
+        F.when(F.sum("paid") > 0, revenue / F.sum("paid")).alias("avg_order_value"),
         F.count_distinct("session_id").alias("active_sessions"),
     ).withColumn("events_per_minute", F.col("event_count"))
      .withColumn("revenue_per_minute", F.col("total_revenue")))
@@ -147,6 +155,18 @@ def count_per_key(df: DataFrame, key: str, name: str = "views") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def daily_views(df: DataFrame, key: str = "article_id", time_col: str = "timestamp") -> DataFrame:
+    """Rows per key and day; rows without a key are dropped (L4)."""
+    return (df.filter(F.col(key).isNotNull()).groupBy(key, F.to_date(F.col(time_col)).alias("day"))
+            .agg(F.count(F.lit(1)).alias("daily_views")))
+
+
+def sum_by_hour(df: DataFrame, time_col: str, value_col: str) -> DataFrame:
+    """Rows and exact sum per hour of day."""
+    return df.groupBy(F.hour(time_col).alias("hour")).agg(
+        F.count(F.lit(1)).alias("orders"), money_sum(value_col).alias("revenue"))
+
+
 def daily_sum(df: DataFrame, date_col: str, value_col: str, name: str = "daily_sales") -> DataFrame:
     """Sum per day; rows without a date are dropped (A10)."""
     return (df.filter(F.col(date_col).isNotNull())
@@ -154,11 +174,52 @@ def daily_sum(df: DataFrame, date_col: str, value_col: str, name: str = "daily_s
             .agg(F.coalesce(money_sum(value_col), F.lit(0.0)).alias(name)))
 
 
-def conversion_rates(df: DataFrame, purchases: str = "purchases", views: str = "view_count",
-                     carts: str = "cart_adds") -> DataFrame:
-    """Conversion and cart-to-purchase rates, NULL on a zero denominator."""
-    return (df.withColumn("conversion_rate", safe_rate(purchases, views))
-            .withColumn("cart_to_purchase_rate", safe_rate(purchases, carts)))
+def user_activity_late(events: DataFrame, profiles: DataFrame, exact: bool = True) -> DataFrame:
+    """A1 from events that know only the user's id: events are combined per user and
+    day, and the profile (one row per ``user_id``: loyalty_tier, age, country) joins
+    the result, so a busy user is a few rows when the join sees it."""
+    per_day = events.groupBy("user_id", "date").agg(
+        F.count("event_id").alias("total_events"),
+        F.sum("is_purchase").alias("purchase_count"),
+        F.sum("is_add_to_cart").alias("add_to_cart_count"),
+        money_sum("revenue").alias("daily_revenue"),
+        distinct_count("session_id", exact).alias("unique_sessions"))
+    side = profiles.select("user_id", user_segment(F.col("loyalty_tier")).alias("user_segment"),
+                           age_group(F.col("age")).alias("age_group"), "country")
+    return (per_day.join(side, "user_id", "left")
+            # unknown users: the segment and band that a missing profile gives
+            .withColumn("user_segment", F.coalesce("user_segment", user_segment(F.lit(None).cast("string"))))
+            .withColumn("age_group", F.coalesce("age_group", age_group(F.lit(None).cast("int"))))
+            .select("user_id", "date", "user_segment", "age_group", "total_events", "purchase_count",
+                    "add_to_cart_count", "daily_revenue", "unique_sessions", "country"))
+
+
+def geographic_metrics_late(events: DataFrame, profiles: DataFrame) -> DataFrame:
+    """A4 with exact users from events that know only the user's id: combined per user
+    and hour before the profile (``user_id``, country) joins."""
+    per_user = events.groupBy("user_id", "hour").agg(
+        F.count("event_id").alias("n"), F.sum(money("revenue")).alias("rev"), F.sum("is_purchase").alias("bought"))
+    return (per_user.join(profiles.select("user_id", "country"), "user_id", "left").groupBy("country", "hour").agg(
+        F.sum("n").alias("event_count"), F.sum("rev").cast("double").alias("revenue"),
+        F.count("user_id").alias("unique_users"),  # one row per user and hour
+        F.sum("bought").alias("purchases")))
+
+
+def product_performance_late(events: DataFrame, products: DataFrame) -> DataFrame:
+    """A3 from events that know only the product's id: combined per product and hour
+    before names, category and price (``product_id``, product_name, product_category,
+    product_price) join."""
+    per_product = events.filter(F.col("product_id").isNotNull()).groupBy("product_id", "hour").agg(
+        F.count("event_id").alias("n"), F.count(F.lit(1)).alias("rows"), F.sum("is_add_to_cart").alias("added"),
+        F.sum("is_purchase").alias("bought"), F.sum(money("revenue")).alias("rev"))
+    named = per_product.join(products.filter(F.col("product_name").isNotNull()), "product_id")
+    priced = F.sum(F.when(F.col("product_price").isNotNull(), F.col("rows")))
+    return (named.groupBy("product_category", "product_name", "hour").agg(
+        F.sum("n").alias("view_count"), F.sum("added").alias("cart_adds"), F.sum("bought").alias("purchases"),
+        F.sum("rev").cast("double").alias("revenue_generated"),
+        F.try_divide(F.sum(money("product_price") * F.col("rows")).cast("double"), priced).alias("avg_price"))
+        .withColumn("conversion_rate", safe_rate("purchases", "view_count"))
+        .withColumn("cart_to_purchase_rate", safe_rate("purchases", "cart_adds")))
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:

@@ -1,7 +1,7 @@
 """Event-driven order processing as set-at-a-time transformations (J1-J4, A14-A19,
 M10-M14, P16-P18, P21, W1, W3).
 
-Each stage of the reference's service chain is a DataFrame step over all
+Each stage of the service chain is a DataFrame step over all
 orders at once; stages append rows to one event log, and status, chains,
 notifications and KPIs are aggregates over that log.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.columns import deterministic_id, money, money_sum, payment_draw
-from tidewater.operators.prefix import hot_keys, running_sums
+from tidewater.operators.prefix import running_sums, with_chunks
 
 # Fixed values from the reference's services.
 CARRIER = "UPS"
@@ -31,15 +31,15 @@ CHAINS = [
     ("Normal Flow", ["ORDER_CREATED", "INVENTORY_RESERVED", "PAYMENT_COMPLETED",
                      "READY_FOR_SHIPMENT", "SHIPMENT_CREATED"]),
     ("Out of Stock", ["ORDER_CREATED", "OUT_OF_STOCK"]),
-    ("Payment Failure", ["ORDER_CREATED", "INVENTORY_RESERVED", "PAYMENT_FAILED"]),
+    ("Payment Failure", ["ORDER_CREATED", "INVENTORY_RESERVED", "PAYMENT_FAILED", "INVENTORY_RELEASED"]),
 ]
 CHAIN_SEPARATOR = " → "
 
 # Topic each event type is published to (orders, inventory and payments are
 # the reference's topics; shipping is ours).
 TOPIC_BY_EVENT = [("ORDER_CREATED", "orders"), ("INVENTORY_RESERVED", "inventory"),
-                  ("OUT_OF_STOCK", "inventory"), ("PAYMENT_COMPLETED", "payments"),
-                  ("PAYMENT_FAILED", "payments"), ("READY_FOR_SHIPMENT", "shipping"),
+                  ("OUT_OF_STOCK", "inventory"), ("INVENTORY_RELEASED", "inventory"),
+                  ("PAYMENT_COMPLETED", "payments"), ("PAYMENT_FAILED", "payments"), ("READY_FOR_SHIPMENT", "shipping"),
                   ("SHIPMENT_CREATED", "shipping")]
 
 # The event types each service subscribes to.
@@ -54,17 +54,18 @@ SERVICE_SUBSCRIPTIONS = {
 }
 SUBSCRIPTIONS = [(etype, service) for service, types in SERVICE_SUBSCRIPTIONS.items() for etype in types]
 
-# Notification text per event type (text, field, text, field).
+# Notification text per event type, and the fields it names.
 MESSAGES = {
-    "ORDER_CREATED": ["Order confirmation sent for ", "order_id", " to customer ", "customer_id"],
-    "PAYMENT_COMPLETED": ["Payment confirmation sent for ", "order_id"],
-    "SHIPMENT_CREATED": ["Shipping info sent for ", "order_id", " - Tracking: ", "tracking_number"],
-    "OUT_OF_STOCK": ["Out-of-stock alert for ", "order_id", " - Product: ", "product_id"],
-    "PAYMENT_FAILED": ["Payment failure for ", "order_id", " - Reason: ", "reason"],
+    "ORDER_CREATED": ("Order confirmation sent for %s to customer %s", ["order_id", "customer_id"]),
+    "PAYMENT_COMPLETED": ("Payment confirmation sent for %s", ["order_id"]),
+    "SHIPMENT_CREATED": ("Shipping info sent for %s - Tracking: %s", ["order_id", "tracking_number"]),
+    "OUT_OF_STOCK": ("Out-of-stock alert for %s - Product: %s", ["order_id", "product_id"]),
+    "PAYMENT_FAILED": ("Payment failure for %s - Reason: %s", ["order_id", "reason"]),
 }
 
 LOG_SCHEMA_COLS = ["order_id", "step", "event_type", "customer_id", "amount", "product_id",
-                   "reason", "tracking_number"]
+                   "reason", "tracking_number", "items"]
+ITEM_TYPE = "array<struct<product_id: bigint, quantity: double, price: double>>"
 
 
 # ---------------------------------------------------------------- items --
@@ -94,6 +95,17 @@ def order_totals(orders: DataFrame, lines: DataFrame, order_col: str = "order_id
             .withColumn("total_amount", F.coalesce("total_amount", F.lit(0.0))))
 
 
+def order_items(lines: DataFrame, order_col: str = "order_id", product: str = "product_id", qty: str = "quantity",
+                price: str = "price", pos: str = "pos") -> DataFrame:
+    """The items of each order as an array in line order (J4): as long as an order."""
+    item = F.struct(F.col(pos).alias("_pos"), F.col(product).cast("bigint").alias("product_id"),
+                    F.col(qty).cast("double").alias("quantity"), F.col(price).cast("double").alias("price"))
+    in_order = F.sort_array(F.collect_list(item))
+    return lines.groupBy(order_col).agg(
+        F.transform(in_order, lambda x: F.struct(x["product_id"].alias("product_id"), x["quantity"].alias("quantity"),
+                                                 x["price"].alias("price"))).alias("items"))
+
+
 def validate_orders(totals: DataFrame) -> DataFrame:
     """An order needs at least one item (P16); rejects keep a reason."""
     valid = F.col("n_items") > 0
@@ -164,7 +176,7 @@ def _log(df: DataFrame, step: int, event_type, **cols) -> DataFrame:
     out = [F.col("order_id"), F.lit(step).alias("step"),
            (event_type if not isinstance(event_type, str) else F.lit(event_type)).alias("event_type")]
     types = {"customer_id": "bigint", "amount": "double", "product_id": "bigint",
-             "reason": "string", "tracking_number": "string"}
+             "reason": "string", "tracking_number": "string", "items": ITEM_TYPE}
     for c in LOG_SCHEMA_COLS[3:]:
         v = cols.get(c)
         out.append((v if v is not None else F.lit(None)).cast(types[c]).alias(c))
@@ -173,28 +185,39 @@ def _log(df: DataFrame, step: int, event_type, **cols) -> DataFrame:
 
 def event_log(valid_orders: DataFrame, reservation: DataFrame, payments: DataFrame,
               shipments: DataFrame) -> DataFrame:
-    """The chain's events, one row per (order, step) (M14 content)."""
+    """The chain's events, one row per (order, step) (M14 content).
+
+    If ``valid_orders`` carries ``items`` (see ``order_items``), they travel with
+    the creation, the reservation and the release of the order (J4).  A failed
+    payment releases what was reserved (M12).
+    """
+    items = F.col("items") if "items" in valid_orders.columns else F.lit(None)
+    held = valid_orders.select("order_id", items.alias("items"))
+    reserved_items = F.when(F.col("decision") == "INVENTORY_RESERVED", F.col("items"))
+    failed = payments.filter(F.col("status") == "PAYMENT_FAILED").select("order_id", "reason").join(held, "order_id", "left")
     created = _log(valid_orders, 1, "ORDER_CREATED", customer_id=F.col("customer_id"),
-                   amount=F.col("total_amount"))
-    reserved = _log(reservation, 2, F.col("decision"), product_id=F.col("failed_product"),
-                    reason=F.col("reason"))
+                   amount=F.col("total_amount"), items=items)
+    reserved = _log(reservation.join(held, "order_id", "left"), 2, F.col("decision"), product_id=F.col("failed_product"),
+                    reason=F.col("reason"), items=reserved_items)
     paid = _log(payments, 3, F.col("status"), amount=F.col("amount"), reason=F.col("reason"))
     ready = _log(shipments, 4, "READY_FOR_SHIPMENT")
+    released = _log(failed, 4, "INVENTORY_RELEASED", reason=F.col("reason"), items=F.col("items"))
     shipped = _log(shipments, 5, "SHIPMENT_CREATED", tracking_number=F.col("tracking_number"))
-    return created.unionByName(reserved).unionByName(paid).unionByName(ready).unionByName(shipped)
+    return (created.unionByName(reserved).unionByName(paid).unionByName(ready).unionByName(released)
+            .unionByName(shipped))
 
 
 def envelopes(log: DataFrame, time_col=None) -> DataFrame:
-    """Envelope rows (M14): deterministic event id, type, time, JSON payload, sequence."""
+    """Envelope rows (M14): deterministic event id, type, time, JSON payload, and a
+    sequence: order id and step for numeric ids, else a hash of both (so that a
+    replay gives the same numbers)."""
     # Null fields are written out, so every payload has the same keys.
-    payload = F.to_json(F.struct(*[F.col(c) for c in LOG_SCHEMA_COLS if c not in ("step", "event_type")]),
-                        {"ignoreNullFields": "false"})
+    fields = [c for c in LOG_SCHEMA_COLS if c not in ("step", "event_type") and c in log.columns]
+    payload = F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"})
     ts = F.date_format(time_col, "yyyy-MM-dd'T'HH:mm:ss") if time_col is not None else F.lit(None)
     numeric = log.schema["order_id"].dataType.typeName() in ("long", "integer", "short")
-    # Numeric order ids give a reproducible sequence; otherwise ids are unique
-    # and increasing within each partition.
     seq = ((F.col("order_id").cast("bigint") * 10 + F.col("step")) if numeric
-           else F.monotonically_increasing_id())
+           else F.xxhash64("order_id", "step"))
     return log.select(
         deterministic_id("EVT-", F.concat_ws(":", F.col("order_id").cast("string"),
                                              F.col("event_type")), 12).alias("event_id"),
@@ -214,9 +237,10 @@ def with_topic(envelope: DataFrame) -> DataFrame:
 def notifications(log: DataFrame) -> DataFrame:
     """One message per notified event."""
     expr = None
-    for etype, parts in MESSAGES.items():
-        text = F.concat(*[F.lit(p) if i % 2 == 0 else F.col(p).cast("string")
-                          for i, p in enumerate(parts)])
+    for etype, (template, fields) in MESSAGES.items():
+        # A missing field leaves the message null, as plain concatenation would.
+        text = F.when(F.concat(*[F.col(f).cast("string") for f in fields]).isNotNull(),
+                      F.format_string(template, *[F.col(f).cast("string") for f in fields]))
         cond = F.col("event_type") == etype
         expr = F.when(cond, text) if expr is None else expr.when(cond, text)
     return (log.filter(F.col("event_type").isin(list(MESSAGES)))
@@ -290,10 +314,17 @@ def inventory_snapshot(stock: DataFrame, lines: DataFrame, reservation: DataFram
             .withColumn("available", F.col("stock") - F.col("reserved")))
 
 
+def inventory_totals(snapshot: DataFrame) -> DataFrame:
+    """One row: how many products there are, and their units in stock and available."""
+    return snapshot.agg(F.count(F.lit(1)).alias("total_products"),
+                        F.coalesce(F.sum("stock"), F.lit(0.0)).alias("total_items"),
+                        F.coalesce(F.sum("available"), F.lit(0.0)).alias("available_items"))
+
+
 def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFrame,
                        seq_cols=("order_date", "order_id"), order_col: str = "order_id",
                        product_col: str = "product_id", qty: str = "quantity",
-                       hot_min_rows: int = 1_000_000, chunk=None) -> DataFrame:
+                       ranges: int | None = None) -> DataFrame:
     """Stock left after each accepted order, per product."""
     seq_cols = list(seq_cols)
     accepted = reservation.filter(F.col("decision") == "INVENTORY_RESERVED").select(order_col)
@@ -301,11 +332,8 @@ def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFram
            .groupBy(order_col, *[c for c in seq_cols if c != order_col], product_col)
            .agg(F.sum(qty).alias("quantity")))
     s = stock.select(product_col, F.col("stock").cast("double").alias("stock"))
-    per = per.join(s, product_col, "inner")
-    # Running sum per product; products with a large share of the lines are
-    # split by day so one product does not land in one task.
-    taken = running_sums(per, product_col, seq_cols, {"taken": F.col("quantity")}, inclusive=True,
-                         chunk=chunk, hot=hot_keys(per, product_col, min_rows=hot_min_rows))
+    per = with_chunks(per, product_col, seq_cols, ranges=ranges).join(s, product_col, "inner")
+    taken = running_sums(per, product_col, seq_cols, {"taken": F.col("quantity")}, inclusive=True)
     return taken.select(order_col, product_col, "quantity",
                         (F.col("stock") - F.col("taken")).alias("stock_left"))
 

@@ -1,84 +1,71 @@
 """Running sums per key that stay balanced when one key holds much of the data.
 
 A plain ``sum().over(partitionBy(key).orderBy(seq))`` sends every row of a key
-to one task.  Here rows are windowed per ``(key, chunk)``, where ``chunk`` is
-a function of the sequence that never decreases along it (e.g. the day of
-the order date), so a hot key is spread over as many tasks as it has chunks.
-Each chunk then adds the total of the key's earlier chunks, taken from a
-table with one row per (key, chunk) built by a partially aggregated
-``groupBy``.
+to one task.  Here the sequence is cut into even ranges, and rows are windowed
+per ``(key, chunk)``: a key that holds more rows than one range is cut along the
+ranges (its chunk is the range), any other key is one chunk.  So no window
+partition exceeds the rows of one range, whatever the skew, and the table of
+totals per (key, chunk), which gives each chunk the sum of the key's earlier
+chunks, has at most one row per key plus one per split key and range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import materialise
 
-def default_chunk(df: DataFrame, first_seq_col: str) -> Column:
-    """Day of a date/time sequence column; the value itself for other types."""
-    t = df.schema[first_seq_col].dataType.typeName()
-    c = F.col(first_seq_col)
-    return F.to_date(c) if t in ("date", "timestamp", "timestamp_ntz") else c
+#: Ranges of a sequence: at least so many for each task slot, and so few rows in one.
+RANGES_PER_SLOT = 4
+RANGE_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, tasks_per_key: int = 4,
-             total: int | None = None) -> list:
-    """Keys holding more than ``max(min_rows, rows / (tasks_per_key * parallelism))``
-    rows.  At most ``tasks_per_key * parallelism`` keys can pass, so the list
-    brought to the driver has a proven bound whatever the data size.  Pass
-    ``total`` (the row count) when it is known, to save a job."""
-    if total is not None and total <= min_rows:
-        return []  # no key can hold more rows than the whole input
-    par = df.sparkSession.sparkContext.defaultParallelism
-    bound = tasks_per_key * par
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    if total is None:
-        total = counts.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(min_rows, total // bound)
-    return [r[0] for r in counts.filter(F.col("_n") > threshold).limit(bound + 1).collect()]
+def with_chunks(df: DataFrame, key: str, order_cols, name: str = "chunk", ranges: int | None = None) -> DataFrame:
+    """Add the chunk of every row, for ``running_sums`` (one shuffle by the sequence,
+    and an aggregate by key).  ``ranges`` overrides the number of ranges.
+
+    The result is written to the shared folder: the range of a row is where the
+    range shuffle put it, which must not change between two uses.
+    """
+    spark = df.sparkSession
+    total = df.count()
+    slots = spark.sparkContext.defaultParallelism
+    ranges = ranges or max(RANGES_PER_SLOT * slots, -(-total // RANGE_ROWS))
+    ranged = materialise(df.repartitionByRange(ranges, *order_cols).withColumn("_rs_range", F.spark_partition_id()), "ranged")
+    share = -(-total // ranges)
+    sizes = materialise(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rs_n")), "key-sizes")
+    return (ranged.join(sizes, key).withColumn(name, F.when(F.col("_rs_n") > share, F.col("_rs_range")).otherwise(F.lit(-1)))
+            .drop("_rs_range", "_rs_n"))
 
 
-def running_sums(df: DataFrame, key: str, order_cols, values: dict, *, chunk: Column | None = None,
-                 inclusive: bool = True, key_max: dict | None = None,
-                 hot: list | None = None) -> DataFrame:
+def running_sums(df: DataFrame, key: str, order_cols, values: dict, *, chunk: str = "chunk",
+                 inclusive: bool = True, key_max: dict | None = None) -> DataFrame:
     """Add one column per ``values`` entry: the sum of that expression over the
     rows of the same key up to this row (``inclusive``) or before it.
 
-    ``order_cols`` must order rows of a key totally.  ``key_max`` adds, per
-    entry, the maximum of an expression over the whole key (e.g. the last
-    position still undecided).  Input columns starting with ``_rs_`` are
+    ``order_cols`` must order rows of a key totally, and the ``chunk`` column
+    must never decrease along them within a key (see ``with_chunks``).  ``key_max``
+    adds, per entry, the maximum of an expression over the whole key (e.g. the
+    last position still undecided).  Input columns starting with ``_rs_`` are
     reserved.
-
-    ``hot`` lists the keys to split (see ``hot_keys``); other keys stay one
-    window partition each.  With no hot keys this is a plain window.
     """
     order_cols = list(order_cols)
     key_max = key_max or {}
     frame_end = Window.currentRow if inclusive else -1
-    if not hot:
-        w = Window.partitionBy(key).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
-        whole = Window.partitionBy(key)
-        return df.select(*df.columns,
-                         *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(n) for n, v in values.items()],
-                         *[F.max(v).over(whole).alias(n) for n, v in key_max.items()])
-    chunk = chunk if chunk is not None else default_chunk(df, order_cols[0])
-    base = df.withColumn("_rs_chunk", F.when(F.col(key).isin(list(hot)), chunk))
-    local_w = (Window.partitionBy(key, "_rs_chunk").orderBy(*order_cols)
+    local_w = (Window.partitionBy(key, chunk).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, frame_end))
-    local = base.select("*", *[F.coalesce(F.sum(v).over(local_w), F.lit(0)).alias(f"_rs_l_{n}")
-                               for n, v in values.items()])
-    totals = base.groupBy(key, "_rs_chunk").agg(
+    local = df.select("*", *[F.coalesce(F.sum(v).over(local_w), F.lit(0)).alias(f"_rs_l_{n}")
+                             for n, v in values.items()])
+    totals = df.groupBy(key, chunk).agg(
         *[F.sum(v).alias(f"_rs_t_{n}") for n, v in values.items()],
         *[F.max(v).alias(f"_rs_m_{n}") for n, v in key_max.items()])
-    earlier = Window.partitionBy(key).orderBy("_rs_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(key)
     offsets = totals.select(
-        F.col(key).alias("_rs_key"), F.col("_rs_chunk").alias("_rs_chunk2"),
+        F.col(key).alias("_rs_key"), F.col(chunk).alias("_rs_chunk"),
         *[F.coalesce(F.sum(f"_rs_t_{n}").over(earlier), F.lit(0)).alias(f"_rs_o_{n}") for n in values],
         *[F.max(f"_rs_m_{n}").over(whole).alias(n) for n in key_max])
-    # Keys that are not split have a NULL chunk: match chunks null-safely.
-    cond = (F.col(key) == F.col("_rs_key")) & F.col("_rs_chunk").eqNullSafe(F.col("_rs_chunk2"))
-    out = local.join(offsets, cond, "inner")
+    out = local.join(offsets, (F.col(key) == F.col("_rs_key")) & (F.col(chunk) == F.col("_rs_chunk")), "inner")
     return out.select(*df.columns, *[(F.col(f"_rs_l_{n}") + F.col(f"_rs_o_{n}")).alias(n) for n in values],
                       *list(key_max))

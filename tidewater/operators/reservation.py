@@ -6,7 +6,7 @@ accepted before it, and an accepted order reserves all its lines.
 
 Orders compete for several products, so no single key partitions the work
 and a running sum alone is wrong (a rejected order frees its demand).  The
-plan decides orders in rounds; each round is a running-sum pass per product
+plan decides orders in passes; each pass is a running-sum pass per product
 in sequence order and a per-order aggregate joined back:
 
 * an undecided order is **accepted** if every line fits even when all
@@ -17,15 +17,15 @@ in sequence order and a per-order aggregate joined back:
   orders are assumed rejected.
 
 Decided orders are consistent with the sequential rule (the true stock used
-before an order lies between the two bounds), and the earliest undecided
-order meets both bounds with equality, so every round decides at least one
-order and usually many.  Rejected lines leave the working set, and so do
-accepted lines that no undecided order after them can depend on.  Each
-round's state is checkpointed to the shared checkpoint folder, so lineage
-and retries stay one round long.  Products whose whole demand fits their
-stock never constrain anything and are settled before the first round; a
-working set of at most ``tail_rows`` lines (a fixed bound) is finished by
-the sequential rule in one grouped task.
+before an order lies between the two bounds).  For an order whose earlier
+competitors (orders that share a constraining product) are all decided, both
+bounds are the true stock, so it is decided too: the number of passes is at
+most the length of the longest chain of orders in which each competes with an
+earlier one that is still open.  Rejected lines leave the working set, and so
+do accepted lines that no undecided order after them can depend on.  A round
+is ``PASSES`` passes and one write to the shared folder, so lineage and
+retries stay one round long.  Products whose whole demand fits their stock
+never constrain anything and are settled before the first round.
 """
 
 from __future__ import annotations
@@ -33,16 +33,15 @@ from __future__ import annotations
 import functools
 import time
 
-import numpy as np
-import pandas as pd
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidewater.operators.prefix import default_chunk, hot_keys, running_sums
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.operators.prefix import running_sums, with_chunks
+from tidewater.session import ensure_checkpoint_dir, materialise
 
 ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
+#: Decision passes between two writes.
+PASSES = 2
 
 
 def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
@@ -53,11 +52,36 @@ def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
         F.sum(qty_col).alias("qty"), pos.alias("pos"))
 
 
+def _pass(work: DataFrame, order_col: str, product_col: str, ordering: list, last_open: bool) -> DataFrame:
+    """One decision pass over the open and accepted lines: ``st`` brought up to
+    date.  With ``last_open`` each line also gets its product's last open place."""
+    seq = F.struct(*[F.col(c) for c in ordering])
+    is_u = F.col("st") == UNDECIDED
+    # lo: stock taken before each line by the orders already accepted.  A line
+    # that fails even then belongs to an order that is certainly rejected, so it
+    # is left out of hi: the stock taken if every other earlier open order is
+    # accepted.  Both sums share one partitioning.
+    with_lo = running_sums(work, product_col, ordering,
+                           {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)}, inclusive=False,
+                           key_max={"last_open": F.when(is_u, seq)} if last_open else None)
+    with_lo = with_lo.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
+    doomed = is_u & (F.col("fails_lo") == 1)
+    probed = running_sums(with_lo, product_col, ordering,
+                          {"hi": F.when(doomed, 0.0).otherwise(F.col("qty"))}, inclusive=False)
+    probed = probed.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int"))
+    # The order's verdict: an aggregate (combined map-side) joined back.
+    verdict = probed.filter(is_u).groupBy(order_col).agg(
+        F.min("fits_hi").alias("all_fit"), F.max("fails_lo").alias("any_fail"))
+    new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
+                    .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
+    names = [*work.columns, *(["last_open"] if last_open else [])]
+    return (probed.join(verdict, order_col, "left").withColumn("st", new_st).select(*names))
+
+
 def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order_id",
                   seq_cols=("order_date", "order_id"), product_col: str = "product_id",
                   qty_col: str = "quantity", pos_col: str | None = "pos",
-                  stock_col: str = "stock", chunk=None, max_rounds: int = 10_000,
-                  hot_min_rows: int = 1_000_000, tail_rows: int = 50_000,
+                  stock_col: str = "stock", ranges: int | None = None,
                   stats: dict | None = None) -> DataFrame:
     """Decide every order that has lines.
 
@@ -65,120 +89,80 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     failed_product, available, requested, reason`` where the last four
     describe the first failing item (by ``pos``, then product) of a rejected
     order.  ``seq_cols`` must order orders totally (end with the order id).
-    ``chunk`` (default: the day of the first sequence column) must never
-    decrease along the sequence; it splits the running sums of a hot product
-    (more than ``hot_min_rows`` lines and more than its share of tasks) over
-    many tasks (see ``prefix.running_sums``).  Once the working set holds at
-    most ``tail_rows`` lines (a fixed bound, independent of the data size) it
-    is finished in one grouped task by the sequential rule, sparing the last
-    small rounds their job overhead; 0 disables this.  ``stats``, when given, receives
-    the number of rounds and the working-set size and time of each round.
+    ``ranges`` overrides the number of sequence ranges along which products
+    with many lines are split (see ``prefix.with_chunks``).  ``stats``, when
+    given, receives the number of rounds and the open lines after each.
+
+    The loop needs its decisions as it goes, so this runs jobs when called; what
+    it returns is a table in the shared folder.
     """
     seq_cols = list(seq_cols)
-    spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(lines.sparkSession)
     t0 = time.perf_counter()
     seq_keys = [c for c in seq_cols if c != order_col]
-    demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
-    stock_side = stock.select(F.col(product_col), F.col(stock_col).cast("double").alias("stock"))
-    d = (demand.join(stock_side, product_col, "left")
-         .withColumn("found", F.col("stock").isNotNull())
-         .withColumn("stock", F.coalesce(F.col("stock"), F.lit(0.0))))
-    totals = d.groupBy(product_col).agg(F.sum("qty").alias("_total"))
-    d = (d.join(totals, product_col, "inner")
-         .withColumn("constraining", F.col("_total") > F.col("stock")).drop("_total"))
-    d = d.withColumn("chunk", chunk if chunk is not None else default_chunk(d, seq_cols[0])).checkpoint()
-
     ordering = seq_keys + [order_col]
-    seq_struct = F.struct(*[F.col(c) for c in ordering])
-    cols = [order_col, *seq_keys, product_col, "chunk", "qty", "stock", "st"]
-    # A filter of the checkpointed demand: cheap to read again, no copy needed.
-    work = d.filter("constraining").select(*cols[:-1], F.lit(UNDECIDED).alias("st"))
-    work_lines = work.count()
-    hot = hot_keys(work, product_col, min_rows=hot_min_rows, total=work_lines)
-    records = []
-    rounds, sizes = 0, []
-    t_round = time.perf_counter()
-    open_lines = work_lines  # every line starts undecided
-    t_prep = time.perf_counter() - t0
+    demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
+    d = materialise(with_chunks(demand, product_col, ordering, ranges=ranges), "demand")
+    # One row per product, written once: the join below then splits hot products.
+    products = materialise(
+        d.groupBy(product_col).agg(F.sum("qty").alias("_total"))
+        .join(stock.select(product_col, F.col(stock_col).cast("double").alias("stock")), product_col, "left")
+        .select(product_col, F.col("stock").isNotNull().alias("found"),
+                F.coalesce("stock", F.lit(0.0)).alias("stock"), "_total"), "products")
+    d = materialise(d.join(products, product_col)
+                    .withColumn("constraining", F.col("_total") > F.col("stock")).drop("_total"), "demand")
+
+    cols = [order_col, *seq_keys, product_col, "chunk", "qty", "stock", "rep", "st"]
+    # The line that stands for its order when the decision is recorded.
+    reps = d.filter("constraining").groupBy(order_col).agg(F.min(product_col).alias("rep"))
+    work = materialise(d.filter("constraining").join(reps, order_col)
+                       .withColumn("st", F.lit(UNDECIDED)).select(*cols), "reservation-0")
+    open_lines, records, sizes = work.count(), [], []
     while open_lines:
-        if work_lines <= tail_rows:
-            t_tail = time.perf_counter()
-            records.append(_finish_sequentially(work, order_col, ordering, product_col).checkpoint())
-            if stats is not None:
-                stats.update(tail_lines=work_lines, tail_s=round(time.perf_counter() - t_tail, 2))
-            break
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"reservation did not settle in {max_rounds} rounds")
-        if stats is not None:
-            sizes.append((work.count(), round(time.perf_counter() - t_round, 2)))
-            t_round = time.perf_counter()
-        is_u = F.col("st") == UNDECIDED
-        # lo: stock taken before each line by the orders already accepted.  A
-        # line that fails even then belongs to an order that is certainly
-        # rejected, so it is left out of hi: the stock taken if every other
-        # earlier open order is accepted.  Both passes share one partitioning.
-        with_lo = running_sums(
-            work, product_col, ordering,
-            {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)},
-            chunk=F.col("chunk"), inclusive=False,
-            key_max={"last_open": F.when(is_u, seq_struct)}, hot=hot)
-        with_lo = with_lo.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
-        doomed = is_u & (F.col("fails_lo") == 1)
-        probed = running_sums(
-            with_lo, product_col, ordering,
-            {"hi": F.when(doomed, 0.0).otherwise(F.col("qty"))},
-            chunk=F.col("chunk"), inclusive=False, hot=hot)
-        probed = (probed.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int"))
-                  .withColumn("needed", seq_struct <= F.col("last_open")))
-        # The order's verdict: an aggregate (combined map-side) joined back.
-        verdict = (probed.filter(is_u).groupBy(order_col).agg(
-            F.min("fits_hi").alias("all_fit"), F.max("fails_lo").alias("any_fail"),
-            F.min(product_col).alias("rep")))
-        new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
-                        .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
-        # The number of lines still open is observed while the checkpoint is
-        # written, so the loop test costs no extra job.
-        obs = Observation(f"reservation_round_{rounds}")
-        judged = (probed.join(verdict, order_col, "left")
-                  .select(*[c for c in cols if c != "st"], new_st.alias("st"), "needed",
-                          (is_u & (new_st != UNDECIDED) & (F.col(product_col) == F.col("rep")))
-                          .alias("record"))
-                  .observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open"),
-                           F.count_if(F.col("needed") & (F.col("st") != REJECTED)).alias("lines"))
-                  .checkpoint())
-        open_lines, work_lines = obs.get["open"], obs.get["lines"]
-        records.append(judged.filter("record").select(order_col, F.col("st").alias("new_st")))
+        t_round = time.perf_counter()
+        before = work.withColumn("was", F.col("st"))
+        judged = _pass(before, order_col, product_col, ordering, last_open=True)
+        for _ in range(PASSES - 1):
+            judged = _pass(judged, order_col, product_col, ordering, last_open=False)
+        # The lines still open are observed while the round is written, so the
+        # loop test costs no extra job.
+        obs = Observation(f"reservation_round_{len(records)}")
+        judged = materialise(judged.observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open")),
+                             f"reservation-{len(records) + 1}")
+        open_lines = obs.get["open"]
+        records.append(judged.filter((F.col("was") == UNDECIDED) & (F.col("st") != UNDECIDED)
+                                     & (F.col(product_col) == F.col("rep")))
+                       .select(order_col, F.col("st").alias("new_st")))
         # Rejected lines leave, and so do accepted lines that no open line
         # after them in their product can depend on.
-        work = judged.filter(F.col("needed") & (F.col("st") != REJECTED)).select(*cols)
+        needed = F.struct(*[F.col(c) for c in ordering]) <= F.col("last_open")
+        work = judged.filter(needed & (F.col("st") != REJECTED)).select(*cols)
+        sizes.append((open_lines, round(time.perf_counter() - t_round, 2)))
     if stats is not None:
-        stats.update(rounds=rounds, working_set=sizes, prep_s=round(t_prep, 2),
-                     loop_s=round(time.perf_counter() - t0 - t_prep, 2))
+        stats.update(rounds=len(records), open_after=sizes, seconds=round(time.perf_counter() - t0, 2))
 
     if records:
         decided = functools.reduce(DataFrame.unionByName, records)
     else:
         decided = d.select(order_col, F.lit(ACCEPTED).alias("new_st")).limit(0)
-    per_order = (d.groupBy(order_col).agg(F.bool_and(~F.col("constraining")).alias("free"))
-                 .join(decided, order_col, "left")
-                 .select(order_col, (F.col("free") | F.coalesce(F.col("new_st") == ACCEPTED, F.lit(False)))
-                         .alias("accepted")))
+    per_order = materialise(
+        d.groupBy(order_col).agg(F.bool_and(~F.col("constraining")).alias("free"))
+        .join(decided, order_col, "left")
+        .select(order_col, (F.col("free") | F.coalesce(F.col("new_st") == ACCEPTED, F.lit(False))).alias("accepted")),
+        "accepted")
 
     # First failing item of each rejected order, against the final reservations.
     final = d.filter("constraining").join(per_order, order_col, "inner")
     used = running_sums(final, product_col, ordering,
-                        {"used": F.when(F.col("accepted"), F.col("qty")).otherwise(0.0)},
-                        chunk=F.col("chunk"), inclusive=False, hot=hot)
+                        {"used": F.when(F.col("accepted"), F.col("qty")).otherwise(0.0)}, inclusive=False)
     probe = (used.withColumn("available", F.col("stock") - F.col("used"))
              .filter(~F.col("accepted") & (F.col("qty") > F.col("available"))))
     first_fail = probe.groupBy(order_col).agg(F.min_by(
         F.struct(F.col(product_col).alias("failed_product"), F.col("available"),
                  F.col("qty").alias("requested"), F.col("found")),
         F.struct("pos", product_col)).alias("f"))
-    # Materialised once: later stages read the decisions several times.
-    return (per_order.join(first_fail, order_col, "left").select(
+    # Written once: later stages read the decisions several times.
+    return materialise(per_order.join(first_fail, order_col, "left").select(
         order_col,
         F.when(F.col("accepted"), "INVENTORY_RESERVED").otherwise("OUT_OF_STOCK").alias("decision"),
         F.col("f.failed_product").alias("failed_product"),
@@ -186,47 +170,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
         F.col("f.requested").alias("requested"),
         F.when(F.col("accepted"), F.lit(None).cast("string"))
          .when(~F.col("f.found"), "Product not found")
-         .otherwise("Insufficient stock").alias("reason"))
-        .checkpoint())
-
-
-def _finish_sequentially(work: DataFrame, order_col: str, ordering: list, product_col: str) -> DataFrame:
-    """Decide the open orders of a small working set (at most ``tail_rows``
-    lines, so one task) by the sequential rule.  The set holds every accepted
-    line an open line can depend on: a pruned accepted line comes after all
-    open lines of its product."""
-    order_type = work.schema[order_col].dataType.simpleString()
-    schema = f"{order_col} {order_type}, new_st string"
-
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ordering, kind="mergesort")
-        oid = pdf[order_col].to_numpy()
-        prod = pdf[product_col].to_numpy()
-        qty = pdf["qty"].to_numpy()
-        stock = pdf["stock"].to_numpy()
-        st = pdf["st"].to_numpy()
-        n = len(oid)
-        # The lines of one order are adjacent after the sort.
-        cut = (np.flatnonzero(oid[1:] != oid[:-1]) + 1) if n else np.array([], dtype=int)
-        starts = np.concatenate(([0], cut)) if n else cut
-        ends = np.concatenate((cut, [n])) if n else cut
-        used: dict = {}
-        out_ids, out_st = [], []
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            status = st[a]
-            if status == UNDECIDED:
-                fits = all(qty[i] <= stock[i] - used.get(prod[i], 0.0) for i in range(a, b))
-                status = ACCEPTED if fits else REJECTED
-                out_ids.append(oid[a])
-                out_st.append(status)
-            if status == ACCEPTED:
-                for i in range(a, b):
-                    used[prod[i]] = used.get(prod[i], 0.0) + qty[i]
-        return pd.DataFrame({order_col: out_ids, "new_st": out_st})
-
-    return (work.select(order_col, *[c for c in ordering if c != order_col], product_col, "qty",
-                        "stock", "st")
-            .groupBy(F.lit(0).alias("_one")).applyInPandas(decide, schema))
+         .otherwise("Insufficient stock").alias("reason")), "reservation")
 
 
 def sequential_reservation(orders, stock: dict):

@@ -133,4 +133,42 @@ numbered AS (
 SELECT user_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 30 MINUTE AS session_end,
        COUNT(*) AS total_events, {msum('amount')} AS total_amount
 FROM numbered GROUP BY user_id, sid""",
+
+    "approx_users_bound": """
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, COUNT(DISTINCT user_id) AS exact,
+       true AS direct_near, true AS merged_near
+FROM events GROUP BY 1, 2""",
+
+    "union_rows": """
+SELECT o_orderkey AS sale_id, o_orderdate AS date, o_totalprice AS sales_amount,
+       CAST(NULL AS BIGINT) AS c_custkey, CAST(NULL AS VARCHAR) AS c_name FROM orders
+UNION ALL
+SELECT NULL, NULL, NULL, c_custkey, c_name FROM customer""",
+
+    "routed_events": """
+SELECT event_id, user_id AS customer_id, event_type AS action,
+       CASE WHEN event_type = 'purchase' AND value IS NOT NULL THEN value ELSE 0.0 END AS value
+FROM events WHERE event_type = 'purchase' OR event_type = 'click'""",
+
+    "product_event_count": f"""
+SELECT COUNT(*) AS events FROM events
+WHERE {K} IS NOT NULL AND user_id IS NOT NULL AND event_type IN ('view', 'click', 'purchase')""",
+
+    "event_preview": "SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 5",
+
+    "epoch_events": """
+SELECT event_id, ts AS event_timestamp, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date,
+       CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute FROM events""",
+
+    "event_table_checks": """
+SELECT 'column_exists(' || c || ')' AS "check",
+       EXISTS (SELECT 1 FROM (DESCRIBE events) d WHERE d.column_name = c) AS passed
+FROM (VALUES ('event_id'), ('user_id'), ('ts'), ('no_such_column')) v(c)
+UNION ALL SELECT 'row_count>=1', COUNT(*) >= 1 FROM events""",
+
+    "handled_events": f"""
+SELECT 'spent' AS handler, user_id, {msum('value')} AS total, true AS agree
+FROM events WHERE event_type = 'purchase' GROUP BY user_id
+UNION ALL
+SELECT 'seen', user_id, CAST(COUNT(*) AS DOUBLE), true FROM events WHERE event_type = 'view' GROUP BY user_id""",
 }

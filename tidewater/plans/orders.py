@@ -11,26 +11,40 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import orders as O
 from tidewater.operators.reservation import reserve_stock
+from tidewater.session import materialise
 from tidewater.sources.tables import read_table, stock_from_parts
 
 STOCK_PER_SIZE = 10
 PAYMENT_SUCCESS_RATE = 0.8
 SEQ = ("order_date", "order_id")
-# Running sums of a hot product are split into chunks that never decrease
-# along SEQ: the order date is a whole day, so (date, order id / 65,536) is
-# monotone and splits even a product whose orders all fall on one day.
-ID_BLOCK = 65_536
+TABLES = ("orders", "lineitem", "part")
 
 
-def seq_chunk():
-    return F.struct(F.col("order_date"), F.floor(F.col("order_id") / ID_BLOCK).alias("block"))
+def input_stamp(spark: SparkSession, base: str) -> tuple:
+    """Names, sizes and times of the input files, as the file system tells them."""
+    out = []
+    for table in TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{table}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return tuple(sorted(out))
 
 
 class Chain:
-    """The stages of the order chain over one data folder, built lazily."""
+    """The stages of the order chain over one data folder.
+
+    Totals, reservation, payments and the event log are written to the shared
+    folder when first needed, each once, and every later stage reads them.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
+        self._stages: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, make) -> DataFrame:
+        if name not in self._stages:
+            self._stages[name] = materialise(make(), f"chain-{name}")
+        return self._stages[name]
 
     def orders(self) -> DataFrame:
         return read_table(self.spark, self.base, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
@@ -44,134 +58,169 @@ class Chain:
     def lines(self) -> DataFrame:
         li = read_table(self.spark, self.base, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber",
                                                             "l_quantity"])
-        part = read_table(self.spark, self.base, "part", ["p_partkey", "p_retailprice"])
         o = read_table(self.spark, self.base, "orders", ["o_orderkey", "o_orderdate"])
         return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-                .join(part, li.l_partkey == part.p_partkey, "left")
                 .select(F.col("l_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date"),
                         F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("product_id"),
-                        F.col("l_quantity").alias("quantity"), F.col("p_retailprice").alias("price")))
+                        F.col("l_quantity").alias("quantity")))
+
+    def priced_lines(self) -> DataFrame:
+        part = read_table(self.spark, self.base, "part", ["p_partkey", "p_retailprice"])
+        li = read_table(self.spark, self.base, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity"])
+        return (li.join(part, li.l_partkey == part.p_partkey, "left")
+                .select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("pos"),
+                        F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity"),
+                        F.col("p_retailprice").alias("price")))
 
     def totals(self) -> DataFrame:
-        return O.order_totals(self.orders(), self.lines().drop("order_date"))
+        lines = self.priced_lines()
+        return self._once("totals", lambda: O.order_totals(self.orders(), lines)
+                          .join(O.order_items(lines), "order_id", "left"))
 
     def valid(self) -> DataFrame:
         return O.validate_orders(self.totals()).filter("is_valid")
 
     def reservation(self) -> DataFrame:
-        if not hasattr(self, "_reservation"):
-            self._reservation = reserve_stock(self.lines(), self.stock(), seq_cols=SEQ, chunk=seq_chunk())
-        return self._reservation
+        if "reservation" not in self._stages:  # comes back written already
+            self._stages["reservation"] = reserve_stock(self.lines(), self.stock(), seq_cols=SEQ)
+        return self._stages["reservation"]
 
     def payments(self) -> DataFrame:
-        reserved = self.reservation().filter(F.col("decision") == "INVENTORY_RESERVED")
-        return O.payment_stage(reserved, self.totals(), success_rate=PAYMENT_SUCCESS_RATE)
+        return self._once("payments", lambda: O.payment_stage(
+            self.reservation().filter(F.col("decision") == "INVENTORY_RESERVED"), self.totals(),
+            success_rate=PAYMENT_SUCCESS_RATE))
 
     def shipments(self) -> DataFrame:
         return O.shipment_stage(self.payments())
 
     def log(self) -> DataFrame:
-        return O.event_log(self.valid(), self.reservation(), self.payments(), self.shipments())
+        return self._once("log", lambda: O.event_log(self.valid(), self.reservation(), self.payments(), self.shipments()))
+
+    def dated_log(self) -> DataFrame:
+        return self.log().join(self.orders().select("order_id", "order_date"), "order_id", "inner")
+
+
+_CHAINS: dict[tuple, Chain] = {}
+
+
+def chain(spark: SparkSession, base: str) -> Chain:
+    """The chain over ``base``, one per session and state of the input files."""
+    key = (spark.sparkContext.applicationId, base, input_stamp(spark, base))
+    if key not in _CHAINS:
+        _CHAINS.clear()  # tables of another input are no longer read
+        _CHAINS[key] = Chain(spark, base)
+    return _CHAINS[key]
 
 
 def write_chain_tables(spark: SparkSession, base: str, out: str) -> dict:
-    """Run the chain once and write every stage as a table under ``out``
-    (reservation, payments, shipments, event log, then status, chains, KPIs
-    and inventory read back from the written log).  Each later stage reads
-    the written tables, so the reservation is computed a single time."""
+    """Write every stage of the chain as a table under ``out``: reservation,
+    payments, shipments, event log, then status, chains, KPIs and inventory."""
     from tidewater.sinks.writers import snapshot
-    c = Chain(spark, base)
-    paths = {}
-
-    def put(name, df):
-        paths[name] = f"{out.rstrip('/')}/{name}"
+    c = chain(spark, base)
+    tables = {
+        "reservation": c.reservation(), "payments": c.payments(), "shipments": c.shipments(), "event_log": c.log(),
+        "order_status": O.current_status(c.log()), "order_chains": O.order_chains(c.log()),
+        "order_kpis": O.order_kpis(c.log()),
+        "inventory": O.inventory_snapshot(c.stock(), c.lines(), c.reservation(), c.payments()),
+    }
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}
+    for name, df in tables.items():
         snapshot(df, paths[name])
-        return spark.read.parquet(paths[name])
-
-    reservation = put("reservation", c.reservation())
-    payments = put("payments", O.payment_stage(
-        reservation.filter(F.col("decision") == "INVENTORY_RESERVED"), c.totals(),
-        success_rate=PAYMENT_SUCCESS_RATE))
-    shipments = put("shipments", O.shipment_stage(payments))
-    log = put("event_log", O.event_log(c.valid(), reservation, payments, shipments))
-    put("order_status", O.current_status(log))
-    put("order_chains", O.order_chains(log))
-    put("order_kpis", O.order_kpis(log))
-    put("inventory", O.inventory_snapshot(c.stock(), c.lines(), reservation, payments))
     return paths
 
 
 def order_totals(spark, base):
-    return Chain(spark, base).totals().select("order_id", "customer_id", "n_items", "total_amount")
+    return chain(spark, base).totals().select("order_id", "customer_id", "n_items", "total_amount")
 
 
 def order_validation(spark, base):
-    return O.validate_orders(Chain(spark, base).totals()).select("order_id", "n_items", "is_valid",
+    return O.validate_orders(chain(spark, base).totals()).select("order_id", "n_items", "is_valid",
                                                                  "reason")
 
 
 def stock_check(spark, base):
-    c = Chain(spark, base)
+    c = chain(spark, base)
     return O.stock_check(c.lines(), c.stock())
 
 
 def reservation(spark, base):
-    return Chain(spark, base).reservation()
+    return chain(spark, base).reservation()
 
 
 def stock_after_orders(spark, base):
-    c = Chain(spark, base)
-    return O.stock_after_orders(c.lines(), c.stock(), c.reservation(), seq_cols=SEQ, chunk=seq_chunk())
+    c = chain(spark, base)
+    return O.stock_after_orders(c.lines(), c.stock(), c.reservation(), seq_cols=SEQ)
 
 
 def payment_outcomes(spark, base):
-    return Chain(spark, base).payments()
+    return chain(spark, base).payments()
 
 
 def shipments(spark, base):
-    return Chain(spark, base).shipments()
+    return chain(spark, base).shipments()
 
 
 def notifications(spark, base):
-    return O.notifications(Chain(spark, base).log())
+    return O.notifications(chain(spark, base).log())
 
 
 def order_status(spark, base):
-    return O.current_status(Chain(spark, base).log())
+    return O.current_status(chain(spark, base).log())
 
 
 def orders_by_status(spark, base):
-    return O.orders_by_status(O.current_status(Chain(spark, base).log()))
+    return O.orders_by_status(O.current_status(chain(spark, base).log()))
 
 
 def order_chains(spark, base):
-    return O.order_chains(Chain(spark, base).log())
+    return O.order_chains(chain(spark, base).log())
 
 
 def order_kpis(spark, base):
-    return O.order_kpis(Chain(spark, base).log())
+    return O.order_kpis(chain(spark, base).log())
 
 
 def inventory_snapshot(spark, base):
-    c = Chain(spark, base)
+    c = chain(spark, base)
     return O.inventory_snapshot(c.stock(), c.lines(), c.reservation(), c.payments())
 
 
+def inventory_totals(spark, base):
+    """Products and units of the whole inventory after all orders."""
+    return O.inventory_totals(inventory_snapshot(spark, base))
+
+
+def released_orders(spark, base):
+    """What failed payments gave back, by product (M12), from the event log."""
+    log = chain(spark, base).log().filter(F.col("event_type") == "INVENTORY_RELEASED")
+    return (log.select(F.explode("items").alias("item")).groupBy(F.col("item.product_id").alias("product_id"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("item.quantity").alias("released")))
+
+
+def payments_by_amount(spark, base):
+    """Every order through the amount rule."""
+    return O.payment_by_amount(chain(spark, base).totals().select("order_id", F.col("total_amount").alias("amount")))
+
+
+def known_order_events(spark, base):
+    """Events of even orders only, the others being unknown to the order table."""
+    c = chain(spark, base)
+    known = c.orders().filter(F.col("order_id") % 2 == 0)
+    return O.known_orders_only(c.log().select("order_id", "step", "event_type"), known)
+
+
 def event_fanout(spark, base):
-    return O.fan_out(Chain(spark, base).log(), O.subscriptions(spark))
+    return O.fan_out(chain(spark, base).log(), O.subscriptions(spark))
 
 
 def order_envelopes(spark, base):
-    c = Chain(spark, base)
-    log = c.log().join(c.orders().select("order_id", "order_date"), "order_id", "inner")
-    return O.envelopes(log, F.col("order_date"))
+    return O.envelopes(chain(spark, base).dated_log(), F.col("order_date"))
 
 
 def event_monitor(spark, base):
     """What the live monitor prints for every published event."""
     from tidewater.operators.enrich import monitor_view
-    c = Chain(spark, base)
-    log = c.log().join(c.orders().select("order_id", "order_date"), "order_id", "inner")
+    log = chain(spark, base).dated_log()
     return monitor_view(O.with_topic(O.envelopes(log, F.col("order_date"))), amount_key="amount")
 
 
@@ -189,6 +238,10 @@ QUERIES = {
     "order_chains": order_chains,
     "order_kpis": order_kpis,
     "inventory_snapshot": inventory_snapshot,
+    "inventory_totals": inventory_totals,
+    "released_orders": released_orders,
+    "payments_by_amount": payments_by_amount,
+    "known_order_events": known_order_events,
     "event_fanout": event_fanout,
     "order_envelopes": order_envelopes,
     "event_monitor": event_monitor,

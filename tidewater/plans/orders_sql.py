@@ -1,12 +1,11 @@
 """DuckDB oracles for ``plans.orders``.
 
-The reservation is stated independently as a recursive CTE: each recursion
-step is one decision round over all constrained order lines, and recursion
-ends after the round that leaves no order undecided.
+The reservation is stated as a recursive CTE: each recursion step is one decision
+round over all constrained order lines, and recursion ends after the round that
+leaves no order undecided.  (The plain rule, order by order, is what the tests
+hold the operator against; as a recursive query it takes too long.)
 """
 
-from tidewater.operators.orders import SUBSCRIPTIONS
-
 CHAIN = """
 WITH RECURSIVE
 stock AS (SELECT p_partkey AS product_id, CAST(p_size AS DOUBLE) * 10 AS stock FROM part),
@@ -81,18 +80,27 @@ shipments AS (
   SELECT order_id, 'TRK-' || upper(substr(sha256(CAST(order_id AS VARCHAR)), 1, 12)) AS tracking_number,
          'UPS' AS carrier, '3 business days' AS estimated_delivery
   FROM payments WHERE status = 'PAYMENT_COMPLETED'),
+items AS (
+  SELECT order_id, list({'product_id': product_id, 'quantity': quantity, 'price': price} ORDER BY pos, product_id, quantity, price) AS items
+  FROM lines_all GROUP BY order_id),
 log AS (
-  SELECT order_id, 1 AS step, 'ORDER_CREATED' AS event_type, customer_id, total_amount AS amount,
+  SELECT t.order_id, 1 AS step, 'ORDER_CREATED' AS event_type, customer_id, total_amount AS amount,
          CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS VARCHAR) AS reason,
-         CAST(NULL AS VARCHAR) AS tracking_number FROM totals WHERE n_items > 0
+         CAST(NULL AS VARCHAR) AS tracking_number, i.items AS items
+  FROM totals t LEFT JOIN items i ON i.order_id = t.order_id WHERE n_items > 0
+  UNION ALL
+  SELECT r.order_id, 2, decision, NULL, NULL, failed_product, reason, NULL,
+         CASE WHEN decision = 'INVENTORY_RESERVED' THEN i.items END
+  FROM reservation r LEFT JOIN items i ON i.order_id = r.order_id
   UNION ALL
-  SELECT order_id, 2, decision, NULL, NULL, failed_product, reason, NULL FROM reservation
+  SELECT order_id, 3, status, NULL, amount, NULL, reason, NULL, NULL FROM payments
   UNION ALL
-  SELECT order_id, 3, status, NULL, amount, NULL, reason, NULL FROM payments
+  SELECT order_id, 4, 'READY_FOR_SHIPMENT', NULL, NULL, NULL, NULL, NULL, NULL FROM shipments
   UNION ALL
-  SELECT order_id, 4, 'READY_FOR_SHIPMENT', NULL, NULL, NULL, NULL, NULL FROM shipments
+  SELECT p.order_id, 4, 'INVENTORY_RELEASED', NULL, NULL, NULL, reason, NULL, i.items
+  FROM payments p LEFT JOIN items i ON i.order_id = p.order_id WHERE status = 'PAYMENT_FAILED'
   UNION ALL
-  SELECT order_id, 5, 'SHIPMENT_CREATED', NULL, NULL, NULL, NULL, tracking_number FROM shipments),
+  SELECT order_id, 5, 'SHIPMENT_CREATED', NULL, NULL, NULL, NULL, tracking_number, NULL FROM shipments),
 status AS (
   SELECT order_id, arg_max(status, rnk) AS status FROM (
     SELECT order_id,
@@ -103,8 +111,16 @@ status AS (
     FROM log) x WHERE rnk IS NOT NULL GROUP BY order_id)
 """
 
-# The subscription table as a VALUES list, from the operator's own table.
-SUBS = "(VALUES " + ", ".join(f"('{e}', '{sv}')" for e, sv in SUBSCRIPTIONS) + ") s(event_type, service)"
+# The event types each service subscribes to.
+SUBS = """(VALUES
+  ('PAYMENT_COMPLETED', 'OrderService'), ('INVENTORY_RESERVED', 'OrderService'), ('SHIPMENT_CREATED', 'OrderService'),
+  ('ORDER_CREATED', 'InventoryService'), ('PAYMENT_COMPLETED', 'InventoryService'), ('PAYMENT_FAILED', 'InventoryService'),
+  ('INVENTORY_RESERVED', 'PaymentService'), ('READY_FOR_SHIPMENT', 'ShippingService'),
+  ('ORDER_CREATED', 'NotificationService'), ('PAYMENT_COMPLETED', 'NotificationService'),
+  ('SHIPMENT_CREATED', 'NotificationService'), ('OUT_OF_STOCK', 'NotificationService'),
+  ('PAYMENT_FAILED', 'NotificationService'),
+  ('ORDER_CREATED', 'AnalyticsService'), ('PAYMENT_COMPLETED', 'AnalyticsService'),
+  ('PAYMENT_FAILED', 'AnalyticsService'), ('SHIPMENT_CREATED', 'AnalyticsService')) s(event_type, service)"""
 
 SQL = {
     "order_totals": CHAIN + "SELECT order_id, customer_id, n_items, total_amount FROM totals",
@@ -161,7 +177,7 @@ SELECT CASE path
          WHEN 'ORDER_CREATED → INVENTORY_RESERVED → PAYMENT_COMPLETED → READY_FOR_SHIPMENT → SHIPMENT_CREATED'
            THEN 'Normal Flow'
          WHEN 'ORDER_CREATED → OUT_OF_STOCK' THEN 'Out of Stock'
-         WHEN 'ORDER_CREATED → INVENTORY_RESERVED → PAYMENT_FAILED' THEN 'Payment Failure'
+         WHEN 'ORDER_CREATED → INVENTORY_RESERVED → PAYMENT_FAILED → INVENTORY_RELEASED' THEN 'Payment Failure'
          ELSE 'Other' END AS chain, path, COUNT(*) AS orders
 FROM paths GROUP BY 1, 2""",
     "order_kpis": CHAIN + """,
@@ -182,11 +198,26 @@ held AS (
   GROUP BY l.product_id)
 SELECT s.product_id, s.stock, COALESCE(h.reserved, 0.0) AS reserved, s.stock - COALESCE(h.reserved, 0.0) AS available
 FROM stock s LEFT JOIN held h ON h.product_id = s.product_id""",
+    "inventory_totals": CHAIN + """,
+held AS (
+  SELECT SUM(l.quantity) AS reserved FROM lines_all l
+  JOIN payments p ON p.order_id = l.order_id AND p.status = 'PAYMENT_COMPLETED' JOIN stock s ON s.product_id = l.product_id)
+SELECT COUNT(*) AS total_products, COALESCE(SUM(stock), 0.0) AS total_items,
+       COALESCE(SUM(stock), 0.0) - COALESCE((SELECT reserved FROM held), 0.0) AS available_items
+FROM stock""",
+    "released_orders": CHAIN + """
+SELECT l.product_id, COUNT(*) AS lines, SUM(l.quantity) AS released
+FROM lines_all l JOIN payments p ON p.order_id = l.order_id WHERE p.status = 'PAYMENT_FAILED' GROUP BY 1""",
+    "payments_by_amount": CHAIN + """
+SELECT order_id, total_amount AS amount, CASE WHEN total_amount > 0 THEN 'PAYMENT_PROCESSED' ELSE 'PAYMENT_FAILED' END AS status
+FROM totals""",
+    "known_order_events": CHAIN + "SELECT order_id, step, event_type FROM log WHERE order_id % 2 = 0",
     "event_fanout": CHAIN + f"""
 SELECT l.order_id, l.event_type, s.service FROM log l JOIN {SUBS} ON s.event_type = l.event_type""",
     "event_monitor": CHAIN + """
 SELECT CASE l.event_type WHEN 'ORDER_CREATED' THEN 'orders' WHEN 'INVENTORY_RESERVED' THEN 'inventory'
-         WHEN 'OUT_OF_STOCK' THEN 'inventory' WHEN 'PAYMENT_COMPLETED' THEN 'payments'
+         WHEN 'OUT_OF_STOCK' THEN 'inventory' WHEN 'INVENTORY_RELEASED' THEN 'inventory'
+         WHEN 'PAYMENT_COMPLETED' THEN 'payments'
          WHEN 'PAYMENT_FAILED' THEN 'payments' WHEN 'READY_FOR_SHIPMENT' THEN 'shipping'
          WHEN 'SHIPMENT_CREATED' THEN 'shipping' END AS topic,
        l.event_type, CAST(l.order_id AS VARCHAR) AS order_id,
@@ -197,7 +228,7 @@ SELECT 'EVT-' || upper(substr(sha256(CAST(l.order_id AS VARCHAR) || ':' || l.eve
        l.event_type, strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') AS timestamp,
        CAST(to_json({'order_id': l.order_id, 'customer_id': l.customer_id, 'amount': l.amount,
                      'product_id': l.product_id, 'reason': l.reason,
-                     'tracking_number': l.tracking_number}) AS VARCHAR) AS data,
+                     'tracking_number': l.tracking_number, 'items': l.items}) AS VARCHAR) AS data,
        l.order_id * 10 + l.step AS message_id
 FROM log l JOIN orders o ON o.o_orderkey = l.order_id""",
 }

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.columns import json_key_long, pick_by_mod, session_key
-from tidewater.operators.enrich import enrich_events
+from tidewater.functions.columns import default_zero, event_flag, json_key_long, pick_by_mod, session_key
+from tidewater.operators.enrich import add_event_time, enrich_events, join_profiles
 from tidewater.sources.tables import read_table
 
 # The generators' device, browser and OS lists.
@@ -38,7 +38,8 @@ def _tier(seg):
 
 
 def profiles(spark: SparkSession, base: str) -> DataFrame:
-    """One profile per customer: name, age, tier, country, region."""
+    """One profile per customer (``c_custkey`` is the table's key, so it is not
+    deduplicated again: a join with it can be split where a user is hot)."""
     cust = read_table(spark, base, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
     # nation and region have a fixed size (25 and 5 rows) whatever the scale.
     nation = F.broadcast(read_table(spark, base, "nation", ["n_nationkey", "n_name", "n_regionkey"]))
@@ -51,27 +52,45 @@ def profiles(spark: SparkSession, base: str) -> DataFrame:
                     .alias("age"),
                     _tier(F.col("c_mktsegment")).alias("loyalty_tier"),
                     F.col("n_name").alias("country"),
-                    F.col("r_name").alias("region"))
-            # One row per user: the optimizer can then drop an unused profile
-            # join, and a duplicated customer row can never multiply events.
-            .dropDuplicates(["user_id"]))
+                    F.col("r_name").alias("region")))
+
+
+def products(spark: SparkSession, base: str) -> DataFrame:
+    """One product per part (``p_partkey`` is the table's key)."""
+    return read_table(spark, base, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"]).select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("product_category"), F.col("p_retailprice").alias("product_price"))
+
+
+def flagged_events(spark: SparkSession, base: str) -> DataFrame:
+    """The clickstream with time parts, flags and revenue, and nothing joined: what
+    metrics that need only ids read."""
+    ev = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    is_product = F.col("event_type").isin(PRODUCT_EVENT_TYPES)
+    value = F.when(F.col("event_type") == "purchase", F.col("value"))
+    return add_event_time(ev, "ts").select(
+        "event_id", "user_id", "event_type", "event_timestamp", "date", "hour", "minute",
+        session_key("user_id", "ts").alias("session_id"),
+        pick_by_mod(F.col("user_id"), DEVICES).alias("device_type"),
+        pick_by_mod(F.col("user_id"), BROWSERS).alias("browser"),
+        pick_by_mod(F.col("user_id"), OPERATING_SYSTEMS).alias("operating_system"),
+        F.when(is_product, json_key_long("props", "k")).alias("product_id"),
+        event_flag("event_type", "purchase").alias("is_purchase"),
+        event_flag("event_type", CART_TYPE).alias("is_add_to_cart"),
+        default_zero(value).alias("revenue"))
 
 
 def rich_events(spark: SparkSession, base: str) -> DataFrame:
     """The clickstream in the rich event shape (pipeline A), before enrichment."""
     ev = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    prof = profiles(spark, base)
-    part = read_table(spark, base, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"]
-                      ).dropDuplicates(["p_partkey"])
+    part = products(spark, base).withColumnRenamed("product_id", "p_partkey").toDF("p_partkey", "p_name", "p_type", "p_retailprice")
     is_product = F.col("event_type").isin(PRODUCT_EVENT_TYPES)
     is_purchase = F.col("event_type") == "purchase"
-    j = (ev.withColumn("k", json_key_long("props", "k"))
-         .join(prof, "user_id", "left")
+    j = (join_profiles(add_event_time(ev.withColumn("k", json_key_long("props", "k")), "ts"), profiles(spark, base))
          .join(part, F.col("k") == part.p_partkey, "left"))
     return j.select(
         "event_id", "user_id", "event_type",
-        F.col("ts").alias("event_timestamp"),
-        F.to_date("ts").alias("date"), F.hour("ts").alias("hour"), F.minute("ts").alias("minute"),
+        "event_timestamp", "date", "hour", "minute",
         session_key("user_id", "ts").alias("session_id"),
         F.when(is_purchase, F.col("value")).alias("order_value"),
         F.when(is_purchase & F.col("p_name").isNotNull(), F.array("p_name")).alias("products"),
@@ -94,18 +113,19 @@ def enriched_events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def simple_events(spark: SparkSession, base: str) -> DataFrame:
-    """The clickstream in the simple action shape (pipeline B).
-
-    ``location`` is the user's region; ``amount`` is the value of purchases, else 0.
-    """
+    """The clickstream in the simple action shape (pipeline B), without the user's
+    location; ``amount`` is the value of purchases, else 0."""
     ev = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
-    prof = profiles(spark, base).select("user_id", "region")
-    return (ev.join(prof, "user_id", "left").select(
+    return ev.select(
         "event_id", "user_id",
         json_key_long("props", "k").alias("product_id"),
         F.col("event_type").alias("action"),
         F.col("ts").alias("timestamp"),
         session_key("user_id", "ts").alias("session_id"),
         F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0)).alias("amount"),
-        pick_by_mod(F.col("user_id"), DEVICES).alias("device"),
-        F.col("region").alias("location")))
+        pick_by_mod(F.col("user_id"), DEVICES).alias("device"))
+
+
+def locations(spark: SparkSession, base: str) -> DataFrame:
+    """Each user's location: the region."""
+    return profiles(spark, base).select("user_id", F.col("region").alias("location"))

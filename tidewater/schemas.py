@@ -51,10 +51,6 @@ ENVELOPE = T.StructType([
     _f("event_id", S), _f("event_type", S), _f("timestamp", S), _f("data", S), _f("message_id", L),
 ])
 
-# Order status values, with the rank used to pick the latest one.
-ORDER_STATUSES = ["created", "payment_pending", "payment_completed", "inventory_reserved",
-                  "shipped", "delivered", "cancelled"]
-
 
 class Contract:
     """A sink table contract: column → (spark type, max length, not null, default)."""

@@ -40,8 +40,7 @@ def sliding_kpis_stream(events: DataFrame, ts: str = "timestamp", delay: str = "
                         length: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Sliding-window KPIs on a stream (M2).  Distinct users are approximate:
     exact distinct counts are not supported in streaming aggregations."""
-    return W.sliding_kpis(with_event_time_watermark(events, ts, delay), ts, length, slide,
-                          exact=False)
+    return W.sliding_kpis_approx(with_event_time_watermark(events, ts, delay), ts, length, slide)
 
 
 def tumbling_stream(events: DataFrame, ts: str = "timestamp", delay: str = "1 minute",
@@ -54,7 +53,7 @@ def sessions_stream(events: DataFrame, ts: str = "timestamp", delay: str = "10 m
                     gap: str = "30 minutes", key: str = "user_id") -> DataFrame:
     """Gap sessions on a stream (M4); use append (rows appear once the watermark
     closes the session) or complete mode, update mode is rejected."""
-    return W.gap_sessions(with_event_time_watermark(events, ts, delay), ts, gap, key)
+    return W.session_windows(with_event_time_watermark(events, ts, delay), ts, gap, key)
 
 
 def dedup_stream(events: DataFrame, key: str = "event_id", ts: str = "timestamp",
@@ -132,15 +131,20 @@ def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "updat
 
 
 def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, trigger=None,
-                         preview: bool = False, contracts: bool = False):
+                         preview: bool = False, contracts: bool = False, categories: DataFrame | None = None):
     """Pipeline A: enriched stream → five metric tables per micro-batch, plus the
     raw enriched events and optionally a console preview, each its own query
     with its own checkpoint (M15, M16).  Returns the started queries; wait with
-    ``spark.streams.awaitAnyTermination()`` so a failure of any one is seen."""
+    ``spark.streams.awaitAnyTermination()`` so a failure of any one is seen.
+
+    Purchases name their products in a list: product metrics see one row per
+    product, and ``categories`` (product_name, product_category) names its category.
+    """
+    from tidewater.operators.enrich import explode_purchase_products
     fns = {
         "user_activity_detailed": M.user_activity,
         "business_metrics_realtime": M.business_metrics,
-        "product_performance": M.product_performance,
+        "product_performance": lambda df: M.product_performance(explode_purchase_products(df, categories)),
         "geographic_analytics": M.geographic_metrics,
         "platform_analytics": M.platform_metrics,
     }
@@ -186,15 +190,15 @@ def ingest_validate_model(source: DataFrame, base: str, checkpoint: str, key: st
     Returns the validation report rows; raises if a rule fails, before the
     model is rebuilt."""
     from tidewater.operators.quality import validation_report
-    from tidewater.sinks.writers import insert_if_absent_table, snapshot
+    from tidewater.sinks.writers import insert_if_absent_buckets, snapshot
 
     raw_path = f"{base}/raw"
     q = start_query(source, name="ingest", checkpoint=checkpoint, mode="append",
-                    sink=lambda df, _id: insert_if_absent_table(df, raw_path, key, order_cols),
+                    sink=lambda df, _id: insert_if_absent_buckets(df, raw_path, key, order_cols),
                     trigger={"availableNow": True})
     q.awaitTermination()
     spark = source.sparkSession
-    table = spark.read.parquet(raw_path)
+    table = spark.read.parquet(raw_path).drop("bucket")
     report = validation_report(table, rules).collect()  # one row per rule
     failed = [r.rule for r in report if not r.success]
     if failed:
@@ -215,9 +219,15 @@ def window_upsert_writer(path: str, keys=("window_start", "window_end", "action"
 
 
 def late_rows(query) -> int:
-    """Rows dropped behind the watermark in the last micro-batch (M5)."""
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+    """Rows dropped behind the watermark (M5): over all micro-batches of a query that
+    a ``ProgressCollector`` has seen, or of the progress that a query still keeps."""
+    if isinstance(query, ProgressCollector):
+        return sum(e["late"] for e in query.events)
+    return sum(_dropped(p.get("stateOperators", [])) for p in query.recentProgress)
+
+
+def _dropped(operators) -> int:
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in operators)
 
 
 def observed_batch(df: DataFrame, name: str = "batch_metrics") -> DataFrame:
@@ -240,6 +250,7 @@ class ProgressCollector(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         self.events.append({"name": p.name, "batch": p.batchId, "rows": p.numInputRows,
+                            "late": sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators),
                             "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}})
 
     def onQueryIdle(self, event):
@@ -256,10 +267,10 @@ def _stock_before(spark: SparkSession, stock_path: str, batch_id: int) -> DataFr
     return versions.filter(F.col("version") == prev).drop("version")
 
 
-def _write_stock_after(stock: DataFrame, lines: DataFrame, decided: DataFrame, stock_path: str,
+def _write_stock_after(stock: DataFrame, lines: DataFrame, held: DataFrame, stock_path: str,
                        batch_id: int) -> None:
-    taken = (lines.join(decided.filter(F.col("decision") == "INVENTORY_RESERVED").select("order_id"),
-                        "order_id", "left_semi")
+    """The next stock version: what the orders in ``held`` keep is gone."""
+    taken = (lines.join(held.select("order_id"), "order_id", "left_semi")
              .groupBy("product_id").agg(F.sum("quantity").alias("taken")))
     left = (stock.join(taken, "product_id", "left")
             .select("product_id", (F.col("stock") - F.coalesce("taken", F.lit(0.0))).alias("stock")))
@@ -277,10 +288,14 @@ def stream_reservation_writer(stock_path: str, decisions_path: str):
     from tidewater.operators.reservation import reserve_stock
 
     def write(lines: DataFrame, batch_id: int) -> None:
-        stock = _stock_before(lines.sparkSession, stock_path, batch_id)
-        decided = reserve_stock(lines, stock)
-        write_batch(decided, decisions_path, batch_id)
-        _write_stock_after(stock, lines, decided, stock_path, batch_id)
+        lines = lines.persist()
+        try:
+            stock = _stock_before(lines.sparkSession, stock_path, batch_id)
+            decided = reserve_stock(lines, stock)
+            write_batch(decided, decisions_path, batch_id)
+            _write_stock_after(stock, lines, decided.filter(F.col("decision") == "INVENTORY_RESERVED"), stock_path, batch_id)
+        finally:
+            lines.unpersist()
     return write
 
 
@@ -289,8 +304,9 @@ def order_chain_batch_writer(stock_path: str, log_path: str, success_rate: float
     order lines (``order_id, customer_id, order_date, pos, product_id,
     quantity, price``): reservation against the stock earlier batches left,
     payment, shipment, and the event log written under its batch id (M9-M14
-    on a stream).  With batches in arrival order the log equals the batch
-    chain's; replays rewrite the same partitions."""
+    on a stream).  A failed payment releases its items: the log says so, and the
+    stock that the next batch starts from holds them again.  Replays rewrite the
+    same partitions."""
     from tidewater.operators.reservation import reserve_stock
 
     def write(lines: DataFrame, batch_id: int) -> None:
@@ -299,13 +315,15 @@ def order_chain_batch_writer(stock_path: str, log_path: str, success_rate: float
             stock = _stock_before(lines.sparkSession, stock_path, batch_id)
             decided = reserve_stock(lines, stock)
             orders = lines.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"))
-            totals = O.order_totals(orders, lines.drop("customer_id"))
+            totals = (O.order_totals(orders, lines.drop("customer_id"))
+                      .join(O.order_items(lines), "order_id", "left"))
             valid = O.validate_orders(totals).filter("is_valid")
             payments = O.payment_stage(decided.filter(F.col("decision") == "INVENTORY_RESERVED"), totals,
                                        success_rate=success_rate)
             log = O.event_log(valid, decided, payments, O.shipment_stage(payments))
             write_batch(log, log_path, batch_id)
-            _write_stock_after(stock, lines, decided, stock_path, batch_id)
+            paid = payments.filter(F.col("status") == "PAYMENT_COMPLETED")
+            _write_stock_after(stock, lines, paid, stock_path, batch_id)
         finally:
             lines.unpersist()
     return write
