@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.plans import clickstream, clickstream_sql, curation, curation_sql, orders, orders_sql
+from tidewater.plans import clickstream, clickstream_sql, curation, curation_sql, orders, orders_sql, streams, streams_sql
 
 
 def all_queries() -> dict:
@@ -10,6 +10,7 @@ def all_queries() -> dict:
     out.update(clickstream.QUERIES)
     out.update(curation.QUERIES)
     out.update(orders.QUERIES)
+    out.update(streams.QUERIES)
     return out
 
 
@@ -18,4 +19,5 @@ def all_oracles() -> dict:
     out.update(clickstream_sql.SQL)
     out.update(curation_sql.SQL)
     out.update(orders_sql.SQL)
+    out.update(streams_sql.SQL)
     return out

@@ -20,10 +20,10 @@ SEQ = ("order_date", "order_id")
 TABLES = ("orders", "lineitem", "part")
 
 
-def input_stamp(spark: SparkSession, base: str) -> tuple:
+def input_stamp(spark: SparkSession, base: str, tables: tuple[str, ...] = TABLES) -> tuple:
     """Names, sizes and times of the input files, as the file system tells them."""
     out = []
-    for table in TABLES:
+    for table in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{table}.parquet")
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
