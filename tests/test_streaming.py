@@ -209,23 +209,58 @@ def test_update_mode_windows_upserted_once(spark, tmp):
         {tuple(r[k] for k in keys): r.event_count for r in want.collect()}
 
 
-def test_order_chain_in_two_batches_equals_batch_chain(spark, tmp):
+def test_order_chain_in_two_batches_equals_the_loop(spark, tmp):
+    """Batch by batch: the plain reservation loop, the payment draw, and what failed
+    payments held back in stock for the next batch."""
+    import hashlib
+
+    from tidewater.operators.reservation import sequential_reservation
     from tidewater.plans.orders import Chain
     c = Chain(spark, SF001)
-    lines = c.lines().join(c.orders().select("order_id", "customer_id"), "order_id")
+    lines = c.priced_lines().join(c.orders(), "order_id")
     cut = lines.agg(F.percentile_approx(F.unix_timestamp("order_date"), 0.5)).first()[0]
-    first = lines.filter(F.unix_timestamp("order_date") < cut)
-    second = lines.filter(F.unix_timestamp("order_date") >= cut)
+    batches = [lines.filter(F.unix_timestamp("order_date") < cut), lines.filter(F.unix_timestamp("order_date") >= cut)]
     c.stock().select("product_id", F.col("stock").cast("double").alias("stock")) \
         .withColumn("version", F.lit(-1).cast("bigint")).write.partitionBy("version").parquet(f"{tmp}/stock")
     w = S.order_chain_batch_writer(f"{tmp}/stock", f"{tmp}/log")
-    w(first, 0)
-    w(second, 1)
-    w(second, 1)  # replay of the last batch
-    cols = ["order_id", "step", "event_type", "customer_id", "amount", "product_id", "reason", "tracking_number"]
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/log").select(*cols).collect())
-    want = sorted(tuple(r) for r in c.log().select(*cols).collect())
-    assert got == want and len(got) > 100
+    w(batches[0], 0)
+    w(batches[1], 1)
+    w(batches[1], 1)  # replay of the last batch
+    left = {r.product_id: float(r.stock) for r in c.stock().collect()}
+    want = set()
+    for batch in batches:
+        by_order = {}
+        for r in batch.collect():
+            by_order.setdefault((r.order_date, r.order_id), []).append((r.product_id, r.quantity))
+        accepted, _ = sequential_reservation([(k[1], v) for k, v in sorted(by_order.items())], left)
+        for (_, oid), items in by_order.items():
+            if not accepted[oid]:
+                want.add((oid, "OUT_OF_STOCK"))
+                continue
+            want.add((oid, "INVENTORY_RESERVED"))
+            if int(hashlib.md5(str(oid).encode()).hexdigest()[:8], 16) % 100 < 80:
+                want.add((oid, "PAYMENT_COMPLETED"))
+                for p, q in items:
+                    left[p] -= q
+            else:
+                want |= {(oid, "PAYMENT_FAILED"), (oid, "INVENTORY_RELEASED")}
+    log = spark.read.parquet(f"{tmp}/log")
+    got = [(r.order_id, r.event_type) for r in log.collect()]
+    kinds = {"OUT_OF_STOCK", "INVENTORY_RESERVED", "PAYMENT_COMPLETED", "PAYMENT_FAILED", "INVENTORY_RELEASED"}
+    assert len(got) == len(set(got)) and {g for g in got if g[1] in kinds} == want
+    stock = {r.product_id: r.stock for r in spark.read.parquet(f"{tmp}/stock").filter("version = 1").collect()}
+    assert stock == left
+
+
+def test_failed_payments_give_stock_back(spark, tmp):
+    """40 one-unit orders on 100 units: what failed payments held is there again."""
+    rows = [(i, 1, i, 0, 7, 1.0, 5.0) for i in range(40)]
+    lines = spark.createDataFrame(rows, "order_id bigint, customer_id bigint, order_date int, pos int, product_id bigint, quantity double, price double")
+    spark.createDataFrame([(7, 100.0, -1)], "product_id bigint, stock double, version bigint").write.partitionBy("version").parquet(f"{tmp}/stock")
+    S.order_chain_batch_writer(f"{tmp}/stock", f"{tmp}/log")(lines, 0)
+    failed = spark.read.parquet(f"{tmp}/log").filter("event_type = 'PAYMENT_FAILED'").count()
+    assert failed > 0
+    assert spark.read.parquet(f"{tmp}/stock").filter("version = 0").first().stock == 60.0 + failed
 
 
 def test_metrics_writer_with_contracts_and_split_writer(spark, tmp):

@@ -12,7 +12,7 @@ from tidewater.operators import enrich as E
 from tidewater.operators import metrics as M
 from tidewater.operators import windows as W
 from tidewater.operators import quality as Q
-from tidewater.plans.testdata import enriched_events, flagged_events, locations, products, profiles, simple_events
+from tidewater.plans.testdata import action_events, enriched_events, flagged_events, locations, products, profiles
 from tidewater.sources.tables import read_table
 
 TOP_K = 10  # top-k report size (the limit is the feature)
@@ -203,20 +203,20 @@ def handled_events(spark: SparkSession, base: str) -> DataFrame:
 
 def sliding_kpis(spark: SparkSession, base: str) -> DataFrame:
     """Panes per user first, then the user's location, then windows (M2)."""
-    panes = W.user_panes(simple_events(spark, base), keys=("action",))
+    panes = W.user_panes(action_events(spark, base), keys=("action",))
     return W.windows_of_panes(E.join_profiles(panes, locations(spark, base)))
 
 
 def tumbling_kpis(spark: SparkSession, base: str) -> DataFrame:
-    return W.tumbling_counts(simple_events(spark, base))
+    return W.tumbling_counts(action_events(spark, base))
 
 
 def session_rollup(spark: SparkSession, base: str) -> DataFrame:
-    return W.session_rollup(simple_events(spark, base))
+    return W.session_rollup(action_events(spark, base))
 
 
 def gap_sessions(spark: SparkSession, base: str) -> DataFrame:
-    return W.gap_sessions(simple_events(spark, base))
+    return W.gap_sessions(action_events(spark, base))
 
 
 QUERIES = {

@@ -113,8 +113,13 @@ def enriched_events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def simple_events(spark: SparkSession, base: str) -> DataFrame:
-    """The clickstream in the simple action shape (pipeline B), without the user's
-    location; ``amount`` is the value of purchases, else 0."""
+    """The clickstream in the simple action shape (pipeline B); ``location`` is the
+    user's region."""
+    return join_profiles(action_events(spark, base), locations(spark, base))
+
+
+def action_events(spark: SparkSession, base: str) -> DataFrame:
+    """The clickstream in the simple action shape, without the user's location; ``amount`` is the value of purchases, else 0."""
     ev = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return ev.select(
         "event_id", "user_id",
