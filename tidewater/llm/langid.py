@@ -171,17 +171,21 @@ def sample(docs: DataFrame, per_lang: int, chars: int) -> DataFrame:
     """(lang, text, count of the language): at most ``per_lang`` documents of each language by the order of
     a hash, each cut to ``chars`` characters; learnable rows only.
 
-    A first pass counts the languages; the second keeps about four times the
-    documents wanted by the hash alone, so that what is ranked stays bounded.
+    A first pass counts the rows of each language (languages are few: the model
+    holds a reference of each); the second keeps about four times the documents
+    wanted by the hash alone, so that what is ranked stays bounded and the texts
+    of all other rows never leave their scan.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 1))
     most = 1 << 30
     h = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(most))
-    counts = rows.groupBy("lang").count().withColumn(
-        "below", F.least(F.lit(1.0), F.lit(4.0 * per_lang) / F.col("count")) * most)
-    picked = (rows.join(counts.select(F.col("lang").alias("_lang"), "below", "count"), F.col("lang") == F.col("_lang"))
-              .where(h < F.col("below"))
-              .select("lang", F.substring("text", 1, chars).alias("text"), h.alias("h"), "doc_id", "count"))
+    counts = [(r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect()]
+    if not counts:
+        return rows.select("lang", "text", F.lit(0).cast("bigint").alias("count")).limit(0)
+    count = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, n)))[F.col("lang")].cast("bigint")
+    below = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, int(min(1.0, 4 * per_lang / n) * most))))[F.col("lang")]
+    picked = (rows.where(h < below)
+              .select("lang", F.substring("text", 1, chars).alias("text"), h.alias("h"), "doc_id", count.alias("count")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))
     return picked.withColumn("rank", rank).where(F.col("rank") <= per_lang).orderBy("lang", "rank").select("lang", "text", "count")
 
