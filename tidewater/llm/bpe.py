@@ -13,14 +13,13 @@ import hashlib
 import heapq
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import chunks, columns, id_column, type_of
+from tidewater.llm.common import chunks, columns, held, id_column, type_of
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -108,27 +107,53 @@ class ByteBPE:
         self.remembered: dict[bytes, np.ndarray] = {}
 
     def _trie(self) -> None:
-        """Dense rows of children for inner nodes only; node 0 is the root."""
-        child: dict[tuple[int, int], int] = {}
+        """The vocabulary as a trie whose edges (node, byte) sit in a hash table with
+        open addressing; node 0 is the root."""
+        child: dict[int, int] = {}
         token = [-1]
         for t, b in enumerate(self.bytes):
             node = 0
             for x in b:
-                nxt = child.get((node, x))
+                nxt = child.get(node << 8 | x)
                 if nxt is None:
-                    nxt = child[(node, x)] = len(token)
+                    nxt = child[node << 8 | x] = len(token)
                     token.append(-1)
                 node = nxt
             if token[node] < 0:
                 token[node] = t
-        inner = sorted({node for node, _ in child})
-        row = {node: i for i, node in enumerate(inner)}
-        self.row_of = np.full(len(token), len(inner), dtype=np.int32)
-        self.row_of[inner] = np.arange(len(inner), dtype=np.int32)
-        self.child = np.zeros((len(inner) + 1) * 256, dtype=np.int32)
-        for (node, x), nxt in child.items():
-            self.child[row[node] * 256 + x] = nxt
         self.node_token = np.array(token, dtype=np.int32)
+        keys = np.fromiter(child, dtype=np.int32, count=len(child))
+        values = np.fromiter(child.values(), dtype=np.int32, count=len(child))
+        self.shift = 32 - max(10, (4 * len(child)).bit_length())
+        self.edge = np.full(1 << (32 - self.shift), -1, dtype=np.int32)
+        self.child = np.zeros(len(self.edge), dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.edge[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)  # one newcomer a slot
+            put = free[first]
+            self.edge[slot[put]], self.child[slot[put]] = keys[put], values[put]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[put] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & (len(self.edge) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(self.shift)).astype(np.int32)
+
+    def _step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The child of each node by its byte, 0 if there is none."""
+        key = node << 8 | byte
+        slot = self._slot(key)
+        edge = self.edge[slot]
+        out = np.where(edge == key, self.child[slot], 0)
+        open_ = np.flatnonzero((edge != key) & (edge >= 0))  # the slot is another edge's
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & (len(self.edge) - 1)
+            edge = self.edge[slot[open_]]
+            hit = edge == key[open_]
+            out[open_[hit]] = self.child[slot[open_[hit]]]
+            open_ = open_[~hit & (edge >= 0)]
+        return out
 
     def _merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.n + b
@@ -217,7 +242,7 @@ class ByteBPE:
         out_w, out_t = [], []
         while len(word):
             byte = flat[np.minimum(pos, len(flat) - 1)]
-            step = self.child[self.row_of[node] * 256 + byte]
+            step = self._step(node, byte.astype(np.int32))
             step[pos >= stop] = 0
             on = step > 0
             pos = pos + on
@@ -313,10 +338,9 @@ class ByteBPE:
         return b"".join(map(self.byte_of_id.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> ByteBPE:
-    """One vocabulary per worker process."""
-    return ByteBPE(path)
+    """The vocabulary, read once per worker process."""
+    return held(("bpe", path), lambda: ByteBPE(path))
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import materialise, shared_path
 
-#: Text (in characters) a worker turns into words or numbers at once.  (Spark itself
-#: hands a worker at most 64 MB or 10,000 rows at once, one row at least.)
-CHUNK_CHARS = 4 << 20
+__all__ = ["materialise", "shared_path", "held", "small_batches", "columns", "type_of", "chunks", "id_column"]
 
+#: Text (in bytes) a worker turns into strings, words or numbers at once.  (Spark
+#: itself hands a worker at most 64 MB or 10,000 rows at once, one row at least.)
+CHUNK_BYTES = 2 << 20
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+_HELD: dict = {"key": None, "value": None}
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts the lineage,
-    survives lost executors, and several uses share one computation."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def held(key, make):
+    """What ``make()`` gives for ``key``, kept for the next batches.  A worker process
+    serves one operator after the other and keeps the tables of one at a time."""
+    if _HELD["key"] != key:
+        _HELD.update(key=None, value=None)
+        _HELD.update(value=make(), key=key)
+    return _HELD["value"]
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand Python workers at most ``rows`` rows at once from now on (a session setting,
+    read when a query starts): less memory on both sides for a little more overhead."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def columns(df: DataFrame, **named: str) -> DataFrame:
@@ -40,21 +48,18 @@ def type_of(df: DataFrame, name: str) -> str:
 
 
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text",
-           chars: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Cut record batches into pieces of about ``chars`` characters of text each
-    (at least one row); yields the piece and its texts as Python strings."""
+           size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Cut record batches into pieces of about ``size`` bytes of text each (at least
+    one row); yields the piece and its texts as Python strings."""
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        texts = batch.column(at).to_pylist()
-        start, held = 0, 0
-        for i, t in enumerate(texts):
-            n = len(t) if t is not None else 0
-            if i > start and held + n > chars:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, held = i, 0
-            held += n
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(batch.schema.get_field_index(text))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = max(int(np.searchsorted(ends, before + size, side="right")), start + 1)
+            yield batch.slice(start, stop - start), column.slice(start, stop - start).to_pylist()
+            start, before = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
 
 def id_column(batch: pa.RecordBatch, name: str = "doc_id") -> pa.Array:

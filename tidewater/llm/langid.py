@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import chunks, columns, id_column, type_of
+from tidewater.llm.common import chunks, columns, held, id_column, type_of
 
 UNKNOWN = "und"
 #: The bound of the labelled sample: documents of a language, characters of each,
@@ -118,11 +117,10 @@ def parse_table(ref: bytes, width: int) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=1)
 def prepared(model: Model) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The class table and the parse tables, once per worker process."""
+    """The class table and the parse tables, made once per worker process."""
     width = len(model.alphabet) + 2
-    return classes(model.alphabet), [parse_table(r, width) for r in model.refs]
+    return held(("langid", model), lambda: (classes(model.alphabet), [parse_table(r, width) for r in model.refs]))
 
 
 def count_phrases(codes: np.ndarray, ends: np.ndarray, tables: list[np.ndarray],

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import chunks, columns, id_column, type_of
+from tidewater.llm.common import chunks, columns, held, id_column, type_of
 
 # The base patterns and their least lengths, in the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -44,13 +43,17 @@ _RUN_BYTE = np.zeros(256, dtype=bool)
 _RUN_BYTE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str):
+    """A tiktoken vocabulary, read once per worker process."""
     import public_tokenizers
     import tiktoken
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def read():
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        return tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    return held(("tiktoken", path), read)
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:

@@ -74,7 +74,7 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, doc_id: str =
     src = columns(docs, doc_id=doc_id, text=text)
 
     def run(batches):
-        for piece, texts in chunks(batches, chars=1 << 20):
+        for piece, texts in chunks(batches, size=1 << 20):
             fp = fingerprints([t or "" for t in texts], shingle)
             yield pa.RecordBatch.from_arrays([id_column(piece), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 

@@ -155,7 +155,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     def run(batches):
         from tidewater.llm.common import chunks, id_column
-        for piece, texts in chunks(batches, chars=PIECE_CHARS):
+        for piece, texts in chunks(batches, size=PIECE_CHARS):
             doc, at, ident = anchors([t or "" for t in texts])
             cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
             pairs = pa.StructArray.from_arrays([pa.array(at), pa.array(ident.view(np.int64))], names=["at", "id"])
