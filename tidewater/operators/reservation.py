@@ -10,9 +10,7 @@ plan decides orders in passes; each pass is a running-sum pass per product
 in sequence order and a per-order aggregate joined back:
 
 * an undecided order is **accepted** if every line fits even when all
-  earlier undecided orders are assumed accepted (except those with a line
-  that already fails against the accepted orders alone: they are certainly
-  rejected);
+  earlier undecided orders are assumed accepted;
 * it is **rejected** if some line fails even when all earlier undecided
   orders are assumed rejected.
 
@@ -22,9 +20,9 @@ competitors (orders that share a constraining product) are all decided, both
 bounds are the true stock, so it is decided too: the number of passes is at
 most the length of the longest chain of orders in which each competes with an
 earlier one that is still open.  Rejected lines leave the working set, and so
-do accepted lines that no undecided order after them can depend on.  A round
-is ``PASSES`` passes and one write to the shared folder, so lineage and
-retries stay one round long.  Products whose whole demand fits their stock
+do accepted lines that no undecided order after them can depend on.  Every
+pass is written to the shared folder, so lineage and retries stay one pass
+long.  Products whose whole demand fits their stock
 never constrain anything and are settled before the first round.
 """
 
@@ -40,8 +38,6 @@ from tidewater.operators.prefix import running_sums, with_chunks
 from tidewater.session import ensure_checkpoint_dir, materialise
 
 ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
-#: Decision passes between two writes.
-PASSES = 2
 
 
 def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
@@ -52,30 +48,25 @@ def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
         F.sum(qty_col).alias("qty"), pos.alias("pos"))
 
 
-def _pass(work: DataFrame, order_col: str, product_col: str, ordering: list, last_open: bool) -> DataFrame:
+def _pass(work: DataFrame, order_col: str, product_col: str, ordering: list) -> DataFrame:
     """One decision pass over the open and accepted lines: ``st`` brought up to
-    date.  With ``last_open`` each line also gets its product's last open place."""
+    date, ``was`` as it was, and each line's product's last open place."""
     seq = F.struct(*[F.col(c) for c in ordering])
     is_u = F.col("st") == UNDECIDED
-    # lo: stock taken before each line by the orders already accepted.  A line
-    # that fails even then belongs to an order that is certainly rejected, so it
-    # is left out of hi: the stock taken if every other earlier open order is
-    # accepted.  Both sums share one partitioning.
-    with_lo = running_sums(work, product_col, ordering,
-                           {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0)}, inclusive=False,
-                           key_max={"last_open": F.when(is_u, seq)} if last_open else None)
-    with_lo = with_lo.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
-    doomed = is_u & (F.col("fails_lo") == 1)
-    probed = running_sums(with_lo, product_col, ordering,
-                          {"hi": F.when(doomed, 0.0).otherwise(F.col("qty"))}, inclusive=False)
-    probed = probed.withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int"))
+    # lo: stock taken before each line by the orders already accepted; hi: the
+    # stock taken if every earlier open order is accepted as well.
+    summed = running_sums(work, product_col, ordering,
+                          {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0), "hi": F.col("qty")},
+                          inclusive=False, key_max={"last_open": F.when(is_u, seq)})
+    probed = (summed.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
+              .withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int")))
     # The order's verdict: an aggregate (combined map-side) joined back.
     verdict = probed.filter(is_u).groupBy(order_col).agg(
         F.min("fits_hi").alias("all_fit"), F.max("fails_lo").alias("any_fail"))
     new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
                     .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
-    names = [*work.columns, *(["last_open"] if last_open else [])]
-    return (probed.join(verdict, order_col, "left").withColumn("st", new_st).select(*names))
+    return (probed.join(verdict, order_col, "left").withColumn("was", F.col("st")).withColumn("st", new_st)
+            .select(*work.columns, "was", "last_open"))
 
 
 def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order_id",
@@ -120,10 +111,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     open_lines, records, sizes = work.count(), [], []
     while open_lines:
         t_round = time.perf_counter()
-        before = work.withColumn("was", F.col("st"))
-        judged = _pass(before, order_col, product_col, ordering, last_open=True)
-        for _ in range(PASSES - 1):
-            judged = _pass(judged, order_col, product_col, ordering, last_open=False)
+        judged = _pass(work, order_col, product_col, ordering)
         # The lines still open are observed while the round is written, so the
         # loop test costs no extra job.
         obs = Observation(f"reservation_round_{len(records)}")
