@@ -262,20 +262,28 @@ def fan_out_writes(df: DataFrame, writers: dict) -> dict:
     return done
 
 
+#: Rates that may exceed their column's type although the row is right (there can be
+#: many more purchases than cart adds).
+UNBOUNDED_RATES = {"cart_to_purchase_rate"}
+
+
 def conform(df: DataFrame, contract: Contract | str):
     """Project onto a sink contract (K15): cast with ``try_cast``, fill defaults,
     check length and not-null.  Returns ``(good, bad)``; bad rows carry the
-    first broken rule in ``reason``."""
+    first broken rule in ``reason``.  An unbounded rate that is too large for its
+    type becomes null and does not cost the row."""
     if isinstance(contract, str):
         contract = CONTRACTS[contract]
     cols, checks = [], []
     for name, dtype, max_len, not_null, default in contract.columns:
         src = F.col(name) if name in df.columns else F.lit(None)
         c = src.try_cast(dtype)
+        derived = name in UNBOUNDED_RATES
         if default is not None:
-            c = F.coalesce(c, F.lit(default).cast(dtype))
+            filled = F.coalesce(c, F.lit(default).cast(dtype))
+            c = F.when(src.isNotNull() & c.isNull(), c).otherwise(filled) if derived else filled
         cols.append(c.alias(name))
-        if name in df.columns and dtype != "string":
+        if name in df.columns and dtype != "string" and not derived:
             checks.append((f"bad_{name}", src.isNotNull() & src.try_cast(dtype).isNull()))
         if not_null:
             checks.append((f"null_{name}", c.isNull()))
