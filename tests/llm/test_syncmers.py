@@ -134,3 +134,19 @@ def test_query_on_tables(spark):
     for r in rows:
         assert by_text.setdefault(text[r.doc_id], r.fingerprint) == r.fingerprint
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+
+
+def test_texts_without_a_closed_syncmer_differ(spark):
+    bare = ["Laèoueau la ément est éailele.", "Von.*** Keitkeitkeit.&&&", "Ththth of to thenre onin.", "Geungü teüpf der geachber."]
+    assert all(syn.K <= len(t.encode()) <= 36 and brute(t) == [] for t in bare)
+    docs = [(9, bare[0]), (8, bare[1]), (7, bare[2]), (6, bare[2]), (5, bare[3]), (4, ""), (3, None), (2, LONG[1])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in syn.compare_neighbours(df).collect()}
+    assert [rows[i].near_next for i in range(9, 1, -1)] == [0, 0, 1, 0, 0, 1, 0, 0]
+    assert [rows[i].near_edited for i in (9, 8, 5, 4)] == [0, 0, 0, 1]
+    assert rows[9].edited_fingerprint != rows[9].fingerprint and rows[5].edited_fingerprint != rows[9].edited_fingerprint
+    got = {r.doc_id: r for r in syn.fingerprint_documents(df).collect()}
+    assert all(got[i].fingerprint == rows[i].fingerprint for i in got)
+    assert len({got[i].fingerprint for i in got}) == len(docs) - 2  # equal: 7 and 6, 4 and 3
+    assert [[a["at"] for a in got[i].anchors] for i in (9, 5, 4)] == [[0], [0], []]
+    assert syn.anchors(bare)[0].tolist() == [] and syn.anchors(bare, every=True)[0].tolist() == [0, 1, 2, 3]

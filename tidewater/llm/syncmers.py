@@ -38,10 +38,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(texts: list[str], every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, byte position in the text, 64-bit k-mer id) of every closed
     syncmer, in order of text and position.  A text shorter than a k-mer is one
-    anchor as a whole; an empty text has none."""
+    anchor as a whole; an empty text has none.  With ``every``, so is a longer text
+    without a closed syncmer (possible below 37 bytes), though no text that holds it
+    has that anchor."""
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
     ends = np.cumsum(sizes)
@@ -59,7 +61,8 @@ def anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(keep)
     ident = mix(mix(h[at] ^ _C) + h[at + S] * _D) ^ h[at + K - S]
     text = np.searchsorted(ends, at, side="right")
-    short = np.flatnonzero((sizes > 0) & (sizes < K))
+    bare = np.bincount(text, minlength=len(data)) == 0
+    short = np.flatnonzero((sizes > 0) & (bare if every else sizes < K))
     if len(short):
         whole = np.array([int.from_bytes(hashlib.blake2b(data[i], digest_size=8).digest(), "little") for i in short],
                          dtype=np.uint64)
@@ -83,7 +86,8 @@ def occurrence_keys(text: np.ndarray, ident: np.ndarray) -> np.ndarray:
 
 
 def likeness(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of the anchors of both texts that match (1 for two texts without any)."""
+    """Share of the anchors of both texts that match (1 for two texts without any:
+    both are empty if every other text has one)."""
     return np.where(a + b > 0, 2 * shared / np.maximum(a + b, 1), 1.0)
 
 
@@ -126,8 +130,8 @@ def compare(texts: list[str]) -> dict[str, list]:
     """Results for every text but the last, each with the one after it."""
     n = len(texts) - 1
     changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
-    doc, _, ident = anchors(texts)
-    other, _, other_ident = anchors(changed)
+    doc, _, ident = anchors(texts, every=True)
+    other, _, other_ident = anchors(changed, every=True)
     count, other_count = np.bincount(doc, minlength=n + 1), np.bincount(other, minlength=n)
     keys, other_keys = occurrence_keys(doc, ident), occurrence_keys(other, other_ident)
     in_edited = np.bincount(other[np.isin(other_keys, keys, assume_unique=True)], minlength=n)[:n]
@@ -156,7 +160,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     def run(batches):
         from tidewater.llm.common import chunks, id_column
         for piece, texts in chunks(batches, size=PIECE_CHARS):
-            doc, at, ident = anchors([t or "" for t in texts])
+            doc, at, ident = anchors([t or "" for t in texts], every=True)
             cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
             pairs = pa.StructArray.from_arrays([pa.array(at), pa.array(ident.view(np.int64))], names=["at", "id"])
             yield pa.RecordBatch.from_arrays(
@@ -187,7 +191,7 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     Rows stand by descending doc_id (null last, equal ids by their texts); the
     first follows the last, and a single row follows itself.  Null texts count as
-    empty; two texts without anchors are alike (1), one without is unlike (0).
+    empty; two empty texts are alike (1), one is unlike any other (0).
     Rows are sorted over range partitions, and each task compares neighbours; only
     the first and last row of every partition meet again in a second, small step.
     Writes the results (no texts but those) to the shared folder.
