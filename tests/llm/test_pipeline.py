@@ -105,3 +105,17 @@ def test_empty_table(spark):
 def test_stage_names():
     assert [n for n, _ in pipeline.STAGES] == ["language id", "simhash near-dedup", "secret scans", "mixing sources", "bpe encoding"]
     assert pipeline.ORACLE_SQL is None
+
+
+def test_short_clean_documents_stay(spark):
+    rows = [(i, "the cat sat on the mat all rights reserved a " * 40, "en", "s", 1) for i in range(70)]
+    rows += [(i, "der hund und die katze all rights reserved a " * 40, "de", "s", 1) for i in range(100, 170)]
+    short = ["A.\nAll rights reserved.", "A", "Reserved", "all rights", "all rights reserved a " * 20]
+    rows += [(200 + i, t, None, "s", 1) for i, t in enumerate(short)]
+    foreign = "".join(chr(0x4E00 + i) for i in range(300))
+    rows += [(300, foreign[:9], None, "s", 1), (301, foreign, None, "s", 1), (302, "12 ***", "en", "s", 1), (303, None, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    by = {r.doc_id: r for r in langid.predict(docs, langid.fit(docs)).collect()}
+    assert all(by[200 + i].score < langid.LEAST_SCORE and by[200 + i].lang_pred != langid.UNKNOWN for i in range(len(short)))
+    kept = {r.doc_id for r in pipeline.language_id(spark, docs, None).collect()}
+    assert {r[0] for r in rows} - kept == {301, 302, 303}

@@ -31,8 +31,12 @@ ALPHABET = 80
 #: Texts are parsed in segments of so many normalised characters; a phrase ends there.
 SEGMENT = 1_024
 CODE_POINTS = 0x33480  # no letters beyond
-#: Documents whose best language leads by less than this share are rejected.
+#: Documents fit no language when the best leads by less than this share, at a rate
+#: above this (letters outside the references cost most), over so many normalised
+#: characters; shorter ones can't tell.
 LEAST_SCORE = 0.01
+MOST_RATE = 6.0
+LEAST_TO_TELL = 200
 
 
 @dataclass(frozen=True)
@@ -246,19 +250,22 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
 
 def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language: not ``und``, and with a score of at
-    least ``least`` (below, no language fits better than another).  Columns and
-    repeated rows stay as they are; nothing is shuffled."""
+    """The rows of ``docs`` that have a language: not ``und``, and not a text of
+    LEAST_TO_TELL characters or more that fits none (a rate above MOST_RATE and a
+    score below ``least``).  Short texts and ties between languages that fit stay.
+    Columns and repeated rows stay as they are; nothing is shuffled."""
     names = docs.columns
 
     def run(batches):
         table, tables = prepared(model)
         for piece, texts in chunks(batches, text):
             codes, ends = normalise([t or "" for t in texts], table)
-            keep = np.diff(ends, prepend=0) > 0
+            sizes = np.diff(ends, prepend=0)
+            keep = sizes > 0
             if len(model.langs) > 1:
                 best = np.partition(rates(codes, ends, model, tables), 1, axis=1)[:, :2]
-                keep &= (best[:, 1] - best[:, 0]) >= least * np.maximum(best[:, 1], 1e-12)
+                ahead = (best[:, 1] - best[:, 0]) >= least * np.maximum(best[:, 1], 1e-12)
+                keep &= ahead | (best[:, 0] <= MOST_RATE) | (sizes < LEAST_TO_TELL)
             yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema) if model.langs else docs.limit(0)
