@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -79,10 +80,22 @@ def is_random(run: str, encoding, ratio: float = RATIO) -> bool:
     return not known(run) and len(run) <= ratio * len(encoding.encode_ordinary(run))
 
 
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places as spans apart from each other, by start."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def scan(text: str, encoding, ratio: float = RATIO, long_hex: bool = True,
          long_run: bool = True) -> list[tuple[str, int, int, int]]:
     """(kind, start, end, start of the secret itself) by start, then kind.  The
-    flags say whether runs long enough for the hex and random kinds occur."""
+    flags say whether runs long enough for the hex and random kinds occur.  A run
+    that base spans cover entirely is not tested; others may overlap with some."""
     found = []
     lower = text.lower()
     if any(k in lower for k in KEYWORDS):
@@ -95,10 +108,12 @@ def scan(text: str, encoding, ratio: float = RATIO, long_hex: bool = True,
         found += [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)
                   if m.end() - m.start() >= LEAST["hex"]]
     if long_run:
-        base = [(a, b) for _, a, b, _ in found]
+        base = joined([(a, b) for _, a, b, _ in found])
+        starts = [a for a, _ in base]
         for m in CANDIDATE.finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in base) and is_random(m.group(), encoding, ratio):
+            i = bisect_right(starts, a) - 1
+            if not (i >= 0 and b <= base[i][1]) and is_random(m.group(), encoding, ratio):
                 found.append(("random", a, b, a))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
