@@ -83,3 +83,22 @@ def test_query_equals_brute_force_and_is_native(spark):
     assert len(got) == len(docs)
     for d in docs:
         agrees(got[d.doc_id], d.text)
+
+
+def test_a_place_without_the_rarest_words_is_proposed(spark):
+    rare = ["obtaining", "documentation", "associated", "files", "person", "copy"]
+    full = licenses.TEMPLATES[0][1]
+    filler = " ".join(sorted(set(licenses.words_of(full)) - set(rare)))
+    edited = full.replace("obtaining", "getting").replace("documentation", "docs")
+    more = edited.replace("associated", "related")  # half of the rare words: too few
+    got = rows_of(spark, [filler] * 60 + [f"Some words. {edited} and more", more])
+    assert got[60].labels == "mit" and licenses.LEAST <= got[60].score < 0.7
+    assert got[61].labels == "" and got[0].labels == ""
+
+
+def test_looked_up_words_outweigh_what_may_lack():
+    for df in ({}, {"license": 50, "the": 99, "permission": 1, "software": 7}):
+        for least in (0.3, licenses.LEAST, 0.9):
+            for e in licenses.index(100, df, least=least):
+                total = sum(x for _, _, x in e["rare"])
+                assert e["base"] or sum(x for _, w, x in e["rare"] if w not in e["anchors"]) < least * total

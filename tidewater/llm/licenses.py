@@ -59,8 +59,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain.",
      ("free and unencumbered software released into the public domain",)),
 )
-#: Rarest words of a template that are looked up, those that weigh a proposal, and
-#: the share of their weight that must stand at its place for it to count.
+#: Rarest words of a template that are looked up (at least), those that weigh a proposal,
+#: and the share of their weight that must stand at its place for it to count.
 ANCHORS = 2
 RARE = 6
 LEAST = 0.6
@@ -102,14 +102,19 @@ def document_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[int, dic
     return count.pop("", 0), count
 
 
-def index(n: int, df: dict[str, int], rare: int = RARE) -> list[dict]:
-    """The templates with their rarest words: (position, word, weight)."""
+def index(n: int, df: dict[str, int], rare: int = RARE, least: float = LEAST) -> list[dict]:
+    """The templates with their rarest words: (position, word, weight).  Those that
+    are looked up weigh more than a place that counts may lack, so that it has one
+    of them; a base phrase lacks none."""
     out = []
     for t in templates():
         idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1 for w in t["words"]}
         chosen = sorted(set(t["words"]), key=lambda w: (-idf[w], t["words"].index(w)))[:rare]
+        weight = {w: idf[w] * t["words"].count(w) for w in chosen}
+        spare = 0.0 if t["base"] else (1 - least) * sum(weight.values()) + 1e-9
+        enough = next((k for k in range(ANCHORS, len(chosen)) if sum(weight[w] for w in chosen[:k]) > spare), len(chosen))
         out.append({**t, "rare": [(i, w, idf[w]) for i, w in enumerate(t["words"]) if w in chosen],
-                    "anchors": set(chosen[:ANCHORS])})
+                    "anchors": set(chosen[:enough])})
     return out
 
 
@@ -125,7 +130,7 @@ def scan(docs: DataFrame, least: float = LEAST, rare: int = RARE, doc_id: str =
     src = columns(docs, doc_id=doc_id, text=text)
     vocabulary = sorted({w for t in templates() for w in t["words"]})
     n, df = document_frequency(src, vocabulary)
-    entries = index(n, df, rare)
+    entries = index(n, df, rare, least)
     posted: dict[str, list[int]] = {}
     for t, e in enumerate(entries):
         for at, word, _ in e["rare"]:
