@@ -5,12 +5,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import SF001
 from tidewater.llm import queries
 from tidewater.llm import syncmers as syn
+from tidewater.llm.common import materialise
 
 
 def word(b: bytes) -> int:
@@ -18,16 +20,15 @@ def word(b: bytes) -> int:
 
 
 def brute(text: str) -> list[tuple[int, bytes]]:
-    """(position, k-mer) of every closed syncmer, one k-mer at a time."""
+    """(position, k-mer) of every closed syncmer, one k-mer at a time; a non-empty
+    text without any is an anchor as a whole."""
     data = text.encode()
-    if 0 < len(data) < syn.K:
-        return [(0, data)]
     out = []
     for i in range(len(data) - syn.K + 1):
         inner = [word(data[j:j + syn.S]) for j in range(i, i + syn.WINDOW)]
         if min(inner) in (inner[0], inner[-1]):
             out.append((i, data[i:i + syn.K]))
-    return out
+    return out or ([(0, data)] if data else [])
 
 
 def brute_likeness(a: str, b: str) -> float:
@@ -43,7 +44,7 @@ LONG = [" ".join(rnd.choice(["the", "cat", "sat", "é", "mat", "on"]) for _ in r
 
 def test_anchors_equal_brute_force():
     texts = SHORT + LONG + SHORT[::-1]
-    doc, at, ident = syn.anchors(texts)
+    doc, at, ident = syn.anchors(texts, every=True)
     names = {}
     for i, t in enumerate(texts):
         want = brute(t)
@@ -75,9 +76,15 @@ def test_edited():
     assert syn.edited("abcdefg", "XYZ") == "abcdeXY" and syn.edited("abcdef", "X") == "abcdX" and syn.edited("ab", "X") == "ab"
 
 
+def spark_hash(text):
+    """Spark's xxhash64 of a string; a null leaves the seed."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def neighbours(docs):
     """{(doc_id, text): result} with everything in one list, as the contract says."""
-    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] is not None, d[1] or ""))
+    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), spark_hash(d[1]), d[1] or ""))
     out = []
     for i, (doc_id, text) in enumerate(order):
         text, nxt = text or "", order[(i + 1) % len(order)][1] or ""
@@ -138,7 +145,7 @@ def test_query_on_tables(spark):
 
 def test_texts_without_a_closed_syncmer_differ(spark):
     bare = ["Laèoueau la ément est éailele.", "Von.*** Keitkeitkeit.&&&", "Ththth of to thenre onin.", "Geungü teüpf der geachber."]
-    assert all(syn.K <= len(t.encode()) <= 36 and brute(t) == [] for t in bare)
+    assert all(syn.K <= len(t.encode()) <= 36 and brute(t) == [(0, t.encode())] for t in bare)
     docs = [(9, bare[0]), (8, bare[1]), (7, bare[2]), (6, bare[2]), (5, bare[3]), (4, ""), (3, None), (2, LONG[1])]
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     rows = {r.doc_id: r for r in syn.compare_neighbours(df).collect()}
@@ -150,3 +157,26 @@ def test_texts_without_a_closed_syncmer_differ(spark):
     assert len({got[i].fingerprint for i in got}) == len(docs) - 2  # equal: 7 and 6, 4 and 3
     assert [[a["at"] for a in got[i].anchors] for i in (9, 5, 4)] == [[0], [0], []]
     assert syn.anchors(bare)[0].tolist() == [] and syn.anchors(bare, every=True)[0].tolist() == [0, 1, 2, 3]
+
+
+def test_equal_bare_texts_match_as_a_whole():
+    for t in ("Laèoueau la ément est éailele.", "short", "x" * 23):
+        assert syn.matches(t, t) == [(0, 0, len(t.encode()))]
+    assert syn.matches("short", "other") == [] and syn.matches("", "") == []
+
+
+def test_shared_and_missing_ids_spread_over_ranges(spark, monkeypatch):
+    """A third of the rows without id, a third with one id (half of them one text)."""
+    sizes = []
+    monkeypatch.setattr(syn, "materialise", lambda df, name: sizes.append(df) or materialise(df, name))
+    docs = ([(None, f"no id {i} " * 4) for i in range(800)] + [(7, "the one text" if i % 2 else f"text {i}") for i in range(800)]
+            + [(i + 100, f"own {i} " * 3) for i in range(800)])
+    random.Random(3).shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as they are
+    try:
+        assert got(syn.compare_neighbours(df)) == neighbours(docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_task = sizes[0].where("kind = 'row'").groupBy("part").count().collect()
+    assert max(r["count"] for r in per_task) <= 2 * len(docs) / 8

@@ -93,12 +93,15 @@ def likeness(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def matches(a: str, b: str) -> list[tuple[int, int, int]]:
     """Positional matching of two texts: (byte in a, byte in b, bytes) of passages
-    whose anchors agree in id and order, merged while their offset stays."""
-    text, at, ident = anchors([a, b])
+    whose anchors agree in id and order, merged while their offset stays.  Equal
+    texts with one anchor (short ones, mostly) match as a whole."""
+    text, at, ident = anchors([a, b], every=True)
     in_a, in_b = text == 0, text == 1
     key_a, key_b = (occurrence_keys(np.zeros(int(m.sum()), dtype=np.int64), ident[m]) for m in (in_a, in_b))
     _, i, j = np.intersect1d(key_a, key_b, assume_unique=True, return_indices=True)
     pairs = sorted(zip(at[in_a][i].tolist(), at[in_b][j].tolist()))
+    if pairs == [(0, 0)] and a == b:
+        return [(0, 0, len(a.encode("utf-8", "surrogatepass")))]
     out: list[list[int]] = []
     for x, y in pairs:
         if out and y - x == out[-1][1] - out[-1][0] and x <= out[-1][0] + out[-1][2]:
@@ -189,11 +192,14 @@ def _pieces(batches) -> Iterator[tuple[list, list[str]]]:
 def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row compared with its edited text and with the next row.
 
-    Rows stand by descending doc_id (null last, equal ids by their texts); the
-    first follows the last, and a single row follows itself.  Null texts count as
-    empty; two empty texts are alike (1), one is unlike any other (0).
+    Rows stand by descending doc_id (null last, equal ids by the hashes of their
+    texts, then by the texts); the first follows the last, and a single row follows
+    itself.  Null texts count as empty; two empty texts are alike (1), one is unlike
+    any other (0).
     Rows are sorted over range partitions, and each task compares neighbours; only
     the first and last row of every partition meet again in a second, small step.
+    The ranges are cut by id, text hash and input position, so an id (or none) that
+    many rows share, with equal or different texts, spreads over tasks.
     Writes the results (no texts but those) to the shared folder.
     """
     src = columns(docs, doc_id=doc_id, text=text)
@@ -228,8 +234,11 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 yield rows("row", r["part"], [r["doc_id"]], result=compare([r["text"], r["following"]]))
 
     ddl = f"kind string, part int, doc_id {id_type}, text string, " + ", ".join(f"{n} {t}" for n, _, t in RESULT)
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    walked = materialise(src.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(walk, ddl), "syncmers")
+    ids = F.col("doc_id").desc_nulls_last()
+    cuts = [ids, F.col("hash"), F.col("at")]  # rows equal in id and text may stand in any order
+    walked = materialise(src.withColumns({"hash": F.xxhash64("text"), "at": F.monotonically_increasing_id()})
+                         .repartitionByRange(*cuts).sortWithinPartitions(ids, "hash", "text", "at").drop("hash", "at")
+                         .mapInArrow(walk, ddl), "syncmers")
     heads = walked.where("kind = 'head'")
     parts = sorted(r["part"] for r in heads.select("part").collect())  # one row per partition
     following = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next_part int")
