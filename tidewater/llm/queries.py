@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe, langid, licenses, mixing, secrets, simhash, syncmers, toxicity, warc
+from tidewater.llm import ann, bpe, langid, licenses, mixing, search, secrets, simhash, syncmers, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -73,6 +73,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search.search(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                         read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_warc": op2_warc,
@@ -84,6 +90,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_syncmers": op9_syncmers,
     "op10_mixing": op10_mixing,
+    "op13_search": op13_search,
 }
 
 SQL: dict[str, str] = {}
@@ -109,3 +116,30 @@ SELECT b.page_id, CAST(octet_length(encode(b.body)) AS BIGINT) AS payload_bytes,
   CASE WHEN b.page_id IS NULL OR b.page_id > f.first THEN f.first END AS refers_to
 FROM bits b JOIN firsts f ON b.hex = f.hex
 """
+
+SQL["op13_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), size AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY ALL
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))
+    AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (doc_id), total GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
