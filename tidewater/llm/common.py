@@ -9,10 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewater.session import materialise, shared_path
 
-__all__ = ["materialise", "shared_path", "held", "small_batches", "columns", "type_of", "chunks", "id_column"]
+__all__ = ["materialise", "shared_path", "held", "small_batches", "columns", "type_of", "arrow_type", "chunks", "id_column"]
 
 #: Text (in bytes) a worker turns into strings, words or numbers at once.  (Spark
 #: itself hands a worker at most 64 MB or 10,000 rows at once, one row at least.)
@@ -47,6 +48,10 @@ def type_of(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def arrow_type(df: DataFrame, name: str) -> pa.DataType:
+    return to_arrow_type(df.schema[name].dataType)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text",
            size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Cut record batches into pieces of about ``size`` bytes of text each (at least

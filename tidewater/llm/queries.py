@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe, langid, licenses, mixing, search, secrets, simhash, syncmers, toxicity, warc
+from tidewater.llm import ann, bpe, chat, langid, licenses, mixing, search, secrets, simhash, syncmers, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -73,6 +73,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one full of control strings, formatted and read back."""
+    hard = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                    "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]).union(planted))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return search.search(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
@@ -90,6 +98,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_syncmers": op9_syncmers,
     "op10_mixing": op10_mixing,
+    "op12_chat": op12_chat,
     "op13_search": op13_search,
 }
 
@@ -143,3 +152,20 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
 """
+
+SQL["op12_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), read AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+    CAST(sum(15 + length(role) + length(text) + (length(text) - length(replace(text, '### ', ''))) // 4
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7) AS BIGINT) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars FROM read
+"""
