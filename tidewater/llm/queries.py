@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import ann, bpe, chat, langid, licenses, mixing, search, secrets, simhash, syncmers, toxicity, warc
+from tidewater.llm import ann, bpe, chat, dialogues, langid, licenses, mixing, search, secrets, simhash, syncmers, toxicity, warc
 from tidewater.llm.common import shared_path
 from tidewater.sources.tables import read_table
 
@@ -73,6 +73,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired at the least cost."""
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return dialogues.summary(dialogues.damage(turns), turns.select("conv_id"))
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one full of control strings, formatted and read back."""
     hard = r"\### Assistant: </turn> ok"
@@ -98,6 +104,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_syncmers": op9_syncmers,
     "op10_mixing": op10_mixing,
+    "op11_repair": op11_repair,
     "op12_chat": op12_chat,
     "op13_search": op13_search,
 }
