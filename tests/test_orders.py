@@ -192,7 +192,56 @@ def test_product_on_nine_tenths_of_the_lines_is_split(spark):
     out = reserve_stock(lines, stock_seed(spark, [("HOT", 200), ("B", 25)]), ranges=16, stats=stats)
     want, _ = sequential_reservation([(o, items) for _, o, items in sorted(orders)], {"HOT": 200, "B": 25})
     assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
-    assert stats["rounds"] >= 1
+    assert 1 <= stats["rounds"] <= stats["blocks"] == 16 and stats["open_after"][-1] == 0
+    assert len(stats["rows_written"]) == stats["rounds"] and stats["rows_written"][-1] < stats["rows_written"][0]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_blocks_and_fractions_equal_the_loop(spark, seed):
+    """Quantities in quarters, several products an order, many blocks: decisions and the
+    stock that a rejected order's first failing item found."""
+    rnd = random.Random(seed)
+    stock = {f"P{i}": rnd.randint(2, 15) for i in range(8)}
+    orders = [(f"O{i:03d}", [(p, rnd.randint(1, 12) / 4) for p in rnd.sample(sorted(stock), rnd.randint(1, 4))]) for i in range(120)]
+    got = _run(spark, orders, stock, ranges=12)
+    left = dict(stock)
+    for oid, items in orders:
+        lost = [(p, q) for p, q in items if q > left[p]]
+        r = got[oid]
+        if lost:
+            assert (r.decision, r.failed_product, r.requested, r.available) == ("OUT_OF_STOCK", *lost[0], left[lost[0][0]])
+        else:
+            assert r.decision == "INVENTORY_RESERVED"
+            for p, q in items:
+                left[p] -= q
+
+
+def test_reservation_leaves_only_its_result(spark):
+    """One pass's table at most stands beside the result's sources, and nothing in the end."""
+    import os
+
+    from tidewater import session
+    session.clear_scratch(spark)
+    folder = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(folder))
+    held = []
+    keep = session.materialise
+
+    def watch(df, name):
+        held.append(sum(f.startswith("reservation-pass") for f in set(os.listdir(folder)) - before))
+        return keep(df, name)
+
+    from tidewater.operators import reservation as R
+    R.materialise = watch
+    try:
+        rows = [(f"O{i:03d}", i, 0, f"P{i % 3}", 2.0, 1.0) for i in range(90)]
+        out = reserve_stock(spark.createDataFrame(rows, LINE_SCHEMA), stock_seed(spark, [("P0", 21), ("P1", 33), ("P2", 7)]), ranges=6)
+    finally:
+        R.materialise = keep
+    assert out.filter("decision = 'INVENTORY_RESERVED'").count() == 10 + 16 + 3
+    assert max(held) <= 2 and len(set(os.listdir(folder)) - before) == 1  # the result itself
+    session.clear_scratch(spark)
+    assert set(os.listdir(folder)) <= before
 
 
 def test_dependency_chain_settles_without_a_cap(spark):

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import materialise
+from tidewater.session import discard, materialise
 
 #: Ranges of a sequence: at least so many for each task slot, and so few rows in one.
 RANGES_PER_SLOT = 4
@@ -25,16 +25,18 @@ def with_chunks(df: DataFrame, key: str, order_cols, name: str = "chunk", ranges
     """Add the chunk of every row, for ``running_sums`` (one shuffle by the sequence,
     and an aggregate by key).  ``ranges`` overrides the number of ranges.
 
-    The result is written to the shared folder: the range of a row is where the
-    range shuffle put it, which must not change between two uses.
+    ``df`` is evaluated once, and the result is written to the shared folder: the range
+    of a row is where the range shuffle put it, which must not change between two uses.
     """
     spark = df.sparkSession
+    df = materialise(df, "unranged")
     total = df.count()
     slots = spark.sparkContext.defaultParallelism
     ranges = ranges or max(RANGES_PER_SLOT * slots, -(-total // RANGE_ROWS))
     ranged = materialise(df.repartitionByRange(ranges, *order_cols).withColumn("_rs_range", F.spark_partition_id()), "ranged")
     share = -(-total // ranges)
     sizes = materialise(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rs_n")), "key-sizes")
+    discard(df)
     return (ranged.join(sizes, key).withColumn(name, F.when(F.col("_rs_n") > share, F.col("_rs_range")).otherwise(F.lit(-1)))
             .drop("_rs_range", "_rs_n"))
 

@@ -1,43 +1,49 @@
-"""All-or-nothing stock reservation in arrival order (M9), set at a time.
+"""All-or-nothing stock reservation in arrival order (M9).
 
 Sequential rule: orders are taken in sequence order; an order is accepted
 iff every one of its products still has enough stock left by the orders
 accepted before it, and an accepted order reserves all its lines.
 
-Orders compete for several products, so no single key partitions the work
-and a running sum alone is wrong (a rejected order frees its demand).  The
-plan decides orders in passes; each pass is a running-sum pass per product
-in sequence order and a per-order aggregate joined back:
-
-* an undecided order is **accepted** if every line fits even when all
-  earlier undecided orders are assumed accepted;
-* it is **rejected** if some line fails even when all earlier undecided
-  orders are assumed rejected.
-
-Decided orders are consistent with the sequential rule (the true stock used
-before an order lies between the two bounds).  For an order whose earlier
-competitors (orders that share a constraining product) are all decided, both
-bounds are the true stock, so it is decided too: the number of passes is at
-most the length of the longest chain of orders in which each competes with an
-earlier one that is still open.  Rejected lines leave the working set, and so
-do accepted lines that no undecided order after them can depend on.  Every
-pass is written to the shared folder, so lineage and retries stay one pass
-long.  Products whose whole demand fits their stock
-never constrain anything and are settled before the first round.
+Orders compete for several products, so no single key partitions the work and a
+running sum alone is wrong (a rejected order frees its demand).  The sequence is
+cut into blocks of whole orders, and what links the blocks is, per product, how
+much the earlier ones take.  That is known at first only between two bounds: what
+their accepted orders take (``lo``), and that plus all they have not decided yet
+(``hi``).  A pass walks every open block in order, all blocks in parallel:
+
+* an order is **accepted** if all its lines fit above ``hi``,
+* **rejected** if some line does not fit even above ``lo``,
+* else it stays open, and only its ``hi`` is taken.
+
+Both bounds move along within the block, so one walk draws every conclusion that
+the block's own orders allow.  The evaluation is semi-naive: a block whose orders
+are all decided is not walked again, rejected lines leave, and of a product that no
+open order asks for in a block only the sum stays.  The first open block begins
+with exact bounds, so every pass decides at least that one, and an order whose
+earlier competitors are decided is decided, too: passes are at most the blocks,
+and at most the longest chain of competing orders.
+
+When all is decided the bounds agree, and a last walk from them gives each order's
+decision and first failing item.  A hot product is no hot key: a block holds at most
+its share of the sequence, and the sums have a row per block and product.
+Products whose whole demand fits their stock constrain nothing and never enter.
 """
 
 from __future__ import annotations
 
 import functools
 import time
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Observation
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.prefix import running_sums, with_chunks
-from tidewater.session import ensure_checkpoint_dir, materialise
+from tidewater.session import discard, ensure_checkpoint_dir, materialise
 
-ACCEPTED, REJECTED, UNDECIDED = "A", "R", "U"
+#: Lines in a block: it is walked by one task, in order.
+BLOCK_LINES = 250_000
 
 
 def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
@@ -48,25 +54,86 @@ def order_demand(lines: DataFrame, order_col: str, seq_cols, product_col: str,
         F.sum(qty_col).alias("qty"), pos.alias("pos"))
 
 
-def _pass(work: DataFrame, order_col: str, product_col: str, ordering: list) -> DataFrame:
-    """One decision pass over the open and accepted lines: ``st`` brought up to
-    date, ``was`` as it was, and each line's product's last open place."""
-    seq = F.struct(*[F.col(c) for c in ordering])
-    is_u = F.col("st") == UNDECIDED
-    # lo: stock taken before each line by the orders already accepted; hi: the
-    # stock taken if every earlier open order is accepted as well.
-    summed = running_sums(work, product_col, ordering,
-                          {"lo": F.when(F.col("st") == ACCEPTED, F.col("qty")).otherwise(0.0), "hi": F.col("qty")},
-                          inclusive=False, key_max={"last_open": F.when(is_u, seq)})
-    probed = (summed.withColumn("fails_lo", (F.col("qty") > F.col("stock") - F.col("lo")).cast("int"))
-              .withColumn("fits_hi", (F.col("qty") <= F.col("stock") - F.col("hi")).cast("int")))
-    # The order's verdict: an aggregate (combined map-side) joined back.
-    verdict = probed.filter(is_u).groupBy(order_col).agg(
-        F.min("fits_hi").alias("all_fit"), F.max("fails_lo").alias("any_fail"))
-    new_st = F.when(is_u, F.when(F.col("all_fit") == 1, ACCEPTED)
-                    .when(F.col("any_fail") == 1, REJECTED).otherwise(UNDECIDED)).otherwise(F.col("st"))
-    return (probed.join(verdict, order_col, "left").withColumn("was", F.col("st")).withColumn("st", new_st)
-            .select(*work.columns, "was", "last_open"))
+def _orders(block: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """First and last line (exclusive) of each order of a sorted block."""
+    starts = np.flatnonzero(np.r_[True, block["nth"].to_numpy()[1:] != block["nth"].to_numpy()[:-1]])
+    return zip(starts.tolist(), np.r_[starts[1:], len(block)].tolist())
+
+
+def _bounds(block: pd.DataFrame, starts: pd.DataFrame) -> tuple[np.ndarray, list[float], list[float]]:
+    """Per line the place of its product in two lists: what earlier blocks take at
+    least, and at most."""
+    place, products = pd.factorize(block["product"])
+    known = starts.set_index("asked")[["lo", "hi"]].reindex(products).fillna(0.0)
+    return place, known["lo"].tolist(), known["hi"].tolist()
+
+
+def _walk(block: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+    """Decide what the bounds allow; the lines that still matter, and sums of all."""
+    block = block.sort_values(["nth", "product"]).reset_index(drop=True)
+    place, lo, hi = _bounds(block, starts)
+    at, qty, stock = place.tolist(), block["qty"].tolist(), block["stock"].tolist()
+    accepted = block["accepted"].to_numpy(dtype=bool, copy=True)
+    open_ = np.zeros(len(block), dtype=bool)
+    for a, b in _orders(block):
+        lines = range(a, b)
+        if not accepted[a]:
+            if any(qty[i] > stock[i] - lo[at[i]] for i in lines):
+                continue
+            accepted[a:b] = all(qty[i] <= stock[i] - hi[at[i]] for i in lines)
+            open_[a:b] = not accepted[a]
+        for i in lines:
+            hi[at[i]] += qty[i]
+            if accepted[a]:
+                lo[at[i]] += qty[i]
+    last = np.full(len(lo), -1)
+    np.maximum.at(last, place[open_], np.flatnonzero(open_))
+    stays = (open_ | accepted) & (np.arange(len(block)) < last[place] + 1)
+    kept = block[stays].assign(accepted=accepted[stays], kind="line", lo=0.0, hi=0.0)
+    sums = (pd.DataFrame({"product": block["product"], "lo": np.where(accepted, block["qty"], 0.0),
+                          "hi": np.where(accepted | open_, block["qty"], 0.0), "live": stays})
+            .groupby("product", dropna=False).agg({"lo": "sum", "hi": "sum", "live": "any"}).reset_index())
+    # of a product without live lines the sum is final; else lines that left are in it, too
+    gone = pd.DataFrame({"product": block["product"], "q": np.where(accepted & ~stays, block["qty"], 0.0)}).groupby(
+        "product", dropna=False)["q"].sum().reset_index()
+    sums = sums.merge(gone, on="product")
+    return pd.concat([kept, sums.assign(kind="sum", block=int(block["block"].iloc[0]))])
+
+
+def _judge(block: pd.DataFrame, starts: pd.DataFrame, order_col: str) -> pd.DataFrame:
+    """Every order's decision and first failing item, from what is taken before the block."""
+    block = block.sort_values(["nth", "product"]).reset_index(drop=True)
+    place, taken, _ = _bounds(block, starts)
+    at, qty, stock, pos = place.tolist(), block["qty"].tolist(), block["stock"].tolist(), block["pos"].tolist()
+    product = block["product"].tolist()
+    rows = []
+    for a, b in _orders(block):
+        failing = [i for i in range(a, b) if qty[i] > stock[i] - taken[at[i]]]
+        if not failing:
+            for i in range(a, b):
+                taken[at[i]] += qty[i]
+            rows.append((a, None, 0.0))
+        else:
+            first = min(failing, key=lambda i: (pos[i], product[i]))
+            rows.append((a, first, stock[first] - taken[at[first]]))
+    out = block.iloc[[r[0] for r in rows]][[order_col]].reset_index(drop=True)
+    lost = [r[1] for r in rows]
+    out["accepted"] = [i is None for i in lost]
+    out["failed_product"] = pd.Series([None if i is None else product[i] for i in lost], dtype=object)
+    out["available"] = [None if r[1] is None else r[2] for r in rows]
+    out["requested"] = [None if i is None else qty[i] for i in lost]
+    out["found"] = pd.Series([None if i is None else bool(block["found"].iat[i]) for i in lost], dtype=object)
+    return out
+
+
+def _before(sums: DataFrame) -> DataFrame:
+    """(at, asked, lo, hi): what the blocks before block ``at`` take of a product, from
+    rows of (block, product, lo, hi) added up, where a row is ``live``."""
+    earlier = Window.partitionBy("product").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return (sums.groupBy("product", "block").agg(F.sum("lo").alias("lo"), F.sum("hi").alias("hi"), F.max("live").alias("live"))
+            .select("block", "product", "live", F.coalesce(F.sum("lo").over(earlier), F.lit(0.0)).alias("lo"),
+                    F.coalesce(F.sum("hi").over(earlier), F.lit(0.0)).alias("hi"))
+            .filter("live").select(F.col("block").alias("at"), F.col("product").alias("asked"), "lo", "hi"))
 
 
 def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order_id",
@@ -80,85 +147,101 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, *, order_col: str = "order
     failed_product, available, requested, reason`` where the last four
     describe the first failing item (by ``pos``, then product) of a rejected
     order.  ``seq_cols`` must order orders totally (end with the order id).
-    ``ranges`` overrides the number of sequence ranges along which products
-    with many lines are split (see ``prefix.with_chunks``).  ``stats``, when
-    given, receives the number of rounds and the open lines after each.
+    ``ranges`` overrides the number of blocks the sequence is cut into (one per
+    ``BLOCK_LINES``).  ``stats``, when given, receives the number of passes, the open
+    lines after each and the rows each wrote.
 
     The loop needs its decisions as it goes, so this runs jobs when called; what
-    it returns is a table in the shared folder.
+    it returns is a table in the shared folder.  The demand is computed once; a
+    pass's table is removed when the next one is written.
     """
+    spark = lines.sparkSession
     seq_cols = list(seq_cols)
-    ensure_checkpoint_dir(lines.sparkSession)
+    ensure_checkpoint_dir(spark)
     t0 = time.perf_counter()
     seq_keys = [c for c in seq_cols if c != order_col]
     ordering = seq_keys + [order_col]
-    demand = order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
-    d = materialise(with_chunks(demand, product_col, ordering, ranges=ranges), "demand")
-    # One row per product, written once: the join below then splits hot products.
-    products = materialise(
-        d.groupBy(product_col).agg(F.sum("qty").alias("_total"))
-        .join(stock.select(product_col, F.col(stock_col).cast("double").alias("stock")), product_col, "left")
-        .select(product_col, F.col("stock").isNotNull().alias("found"),
-                F.coalesce("stock", F.lit(0.0)).alias("stock"), "_total"), "products")
-    d = materialise(d.join(products, product_col)
-                    .withColumn("constraining", F.col("_total") > F.col("stock")).drop("_total"), "demand")
-
-    cols = [order_col, *seq_keys, product_col, "chunk", "qty", "stock", "rep", "st"]
-    # The line that stands for its order when the decision is recorded.
-    reps = d.filter("constraining").groupBy(order_col).agg(F.min(product_col).alias("rep"))
-    work = materialise(d.filter("constraining").join(reps, order_col)
-                       .withColumn("st", F.lit(UNDECIDED)).select(*cols), "reservation-0")
-    open_lines, records, sizes = work.count(), [], []
+    demand = materialise(order_demand(lines, order_col, seq_keys, product_col, qty_col, pos_col)
+                         .withColumnRenamed(product_col, "product"), "demand")
+    blocks = ranges or max(1, -(-demand.count() // BLOCK_LINES))
+    products = (demand.groupBy("product").agg(F.sum("qty").alias("total"))
+                .join(stock.select(F.col(product_col).alias("product"), F.col(stock_col).cast("double").alias("stock")), "product", "left")
+                .select("product", F.col("stock").isNotNull().alias("found"), F.coalesce("stock", F.lit(0.0)).alias("stock"),
+                        (F.col("total") > F.coalesce("stock", F.lit(0.0))).alias("constraining")))
+    # Whole orders stand in one block: it is cut by the order's place alone.
+    placed = materialise(
+        demand.join(products, "product").repartitionByRange(blocks, *ordering).withColumn("block", F.spark_partition_id())
+        .select("block", F.struct(*ordering).alias("place"), order_col, "product", "qty", "pos", "stock", "found", "constraining"), "placed")
+    discard(demand)
+    in_order = Window.partitionBy("block").orderBy("place")
+    numbered = placed.filter("constraining").withColumn("nth", F.dense_rank().over(in_order)).drop("place", "constraining")
+    tight = materialise(numbered, "tight")
+
+    item = dict(placed.dtypes)["product"]
+    live = tight.select("block", "nth", "product", "qty", "stock", F.lit(False).alias("accepted"))
+    sums = (tight.groupBy("block", "product").agg(F.sum("qty").alias("hi"))
+            .select("block", "product", F.lit(0.0).alias("lo"), "hi", F.lit(True).alias("live")))
+    schema = (f"block int, nth int, product {item}, qty double, stock double, accepted boolean, kind string, "
+              "lo double, hi double, live boolean, q double")
+    columns = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def walk(block: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        return _walk(block, starts).reindex(columns=columns) if len(block) else pd.DataFrame(columns=columns)
+
+    settled: list[DataFrame] = []
+    last_pass, sizes = None, []
+    open_lines = tight.count()
     while open_lines:
-        t_round = time.perf_counter()
-        judged = _pass(work, order_col, product_col, ordering)
-        # The lines still open are observed while the round is written, so the
-        # loop test costs no extra job.
-        obs = Observation(f"reservation_round_{len(records)}")
-        judged = materialise(judged.observe(obs, F.count_if(F.col("st") == UNDECIDED).alias("open")),
-                             f"reservation-{len(records) + 1}")
-        open_lines = obs.get["open"]
-        records.append(judged.filter((F.col("was") == UNDECIDED) & (F.col("st") != UNDECIDED)
-                                     & (F.col(product_col) == F.col("rep")))
-                       .select(order_col, F.col("st").alias("new_st")))
-        # Rejected lines leave, and so do accepted lines that no open line
-        # after them in their product can depend on.
-        needed = F.struct(*[F.col(c) for c in ordering]) <= F.col("last_open")
-        work = judged.filter(needed & (F.col("st") != REJECTED)).select(*cols)
-        sizes.append((open_lines, round(time.perf_counter() - t_round, 2)))
+        t_pass = time.perf_counter()
+        every = functools.reduce(DataFrame.unionByName, settled, sums)
+        seen = Observation(f"reservation_pass_{len(sizes)}")
+        walked = materialise(
+            live.groupBy("block").cogroup(_before(every).groupBy("at")).applyInPandas(walk, schema)
+            .observe(seen, F.count_if((F.col("kind") == "line") & ~F.col("accepted")).alias("open"), F.count(F.lit(1)).alias("rows")),
+            "reservation-pass")
+        if seen.get["open"] >= open_lines:
+            raise RuntimeError("a pass decided nothing: the quantities or the sequence are not comparable")
+        open_lines = seen.get["open"]
+        totals = walked.filter("kind = 'sum'")
+        # What a block takes for good: all of a product without live lines, else what has left.
+        final = totals.select("block", "product", F.when(F.col("live"), F.col("q")).otherwise(F.col("lo")).alias("lo")).filter("lo > 0")
+        settled.append(materialise(final.select("block", "product", "lo", F.col("lo").alias("hi"), F.lit(False).alias("live")),
+                                   "reservation-settled"))
+        if last_pass is not None:
+            discard(last_pass)
+        last_pass = walked
+        live = walked.filter("kind = 'line'").select("block", "nth", "product", "qty", "stock", "accepted")
+        sums = totals.filter("live").select("block", "product", (F.col("lo") - F.col("q")).alias("lo"),
+                                            (F.col("hi") - F.col("q")).alias("hi"), "live")
+        sizes.append({"open": open_lines, "rows": seen.get["rows"], "seconds": round(time.perf_counter() - t_pass, 2)})
     if stats is not None:
-        stats.update(rounds=len(records), open_after=sizes, seconds=round(time.perf_counter() - t0, 2))
-
-    if records:
-        decided = functools.reduce(DataFrame.unionByName, records)
-    else:
-        decided = d.select(order_col, F.lit(ACCEPTED).alias("new_st")).limit(0)
-    per_order = materialise(
-        d.groupBy(order_col).agg(F.bool_and(~F.col("constraining")).alias("free"))
-        .join(decided, order_col, "left")
-        .select(order_col, (F.col("free") | F.coalesce(F.col("new_st") == ACCEPTED, F.lit(False))).alias("accepted")),
-        "accepted")
-
-    # First failing item of each rejected order, against the final reservations.
-    final = d.filter("constraining").join(per_order, order_col, "inner")
-    used = running_sums(final, product_col, ordering,
-                        {"used": F.when(F.col("accepted"), F.col("qty")).otherwise(0.0)}, inclusive=False)
-    probe = (used.withColumn("available", F.col("stock") - F.col("used"))
-             .filter(~F.col("accepted") & (F.col("qty") > F.col("available"))))
-    first_fail = probe.groupBy(order_col).agg(F.min_by(
-        F.struct(F.col(product_col).alias("failed_product"), F.col("available"),
-                 F.col("qty").alias("requested"), F.col("found")),
-        F.struct("pos", product_col)).alias("f"))
+        stats.update(rounds=len(sizes), open_after=[s["open"] for s in sizes], rows_written=[s["rows"] for s in sizes],
+                     blocks=blocks, seconds=round(time.perf_counter() - t0, 2))
+
+    verdict = (f"{order_col} {dict(placed.dtypes)[order_col]}, accepted boolean, failed_product {item}, available double, "
+               "requested double, found boolean")
+    names = [order_col, "accepted", "failed_product", "available", "requested", "found"]
+
+    def judge(block: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        return _judge(block, starts, order_col) if len(block) else pd.DataFrame(columns=names)
+
+    asked = tight.select("block", "product").distinct().select("block", "product", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"),
+                                                               F.lit(True).alias("live"))
+    starts = _before(functools.reduce(DataFrame.unionByName, settled, asked))
+    judged = tight.groupBy("block").cogroup(starts.groupBy("at")).applyInPandas(judge, verdict)
+    # Orders that never meet a constraint.
+    free = (placed.groupBy(order_col).agg(F.max("constraining").alias("held")).filter("NOT held")
+            .select(order_col, F.lit(True).alias("accepted")))
     # Written once: later stages read the decisions several times.
-    return materialise(per_order.join(first_fail, order_col, "left").select(
+    out = materialise(judged.unionByName(free, allowMissingColumns=True).select(
         order_col,
         F.when(F.col("accepted"), "INVENTORY_RESERVED").otherwise("OUT_OF_STOCK").alias("decision"),
-        F.col("f.failed_product").alias("failed_product"),
-        F.col("f.available").alias("available"),
-        F.col("f.requested").alias("requested"),
+        F.col("failed_product"), "available", "requested",
         F.when(F.col("accepted"), F.lit(None).cast("string"))
-         .when(~F.col("f.found"), "Product not found")
+         .when(~F.col("found"), "Product not found")
          .otherwise("Insufficient stock").alias("reason")), "reservation")
+    discard(placed, tight, *settled, *([last_pass] if last_pass is not None else []))
+    return out
 
 
 def sequential_reservation(orders, stock: dict):

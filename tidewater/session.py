@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants; anything the cluster already set wins.
@@ -16,7 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Round checkpoints (reservation) are deleted once nothing references them.
+    # Files of checkpoint() are deleted once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -96,14 +99,71 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Folders that a session made in the shared folder, by application, and how often
+#: they were cleared (what was derived from them has to be made again after that).
+_SCRATCH: dict[str, list[str]] = {}
+_CLEARED = {"times": 0}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder that the driver and all executors share.  What is
+    written there goes with ``clear_scratch``, at the latest when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clear_all)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage,
-    survives lost executors, and several uses share one computation."""
+    survives lost executors, and several uses share one computation.  ``discard``
+    removes the folder when nothing reads it any more."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of tables that ``materialise`` returned."""
+    for table in tables:
+        path, spark = table.stored_at, table.sparkSession
+        delete_path(spark, path)
+        made = _SCRATCH.get(spark.sparkContext.applicationId, [])
+        if path in made:
+            made.remove(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything the session made in the shared folder, when all results that
+    were read from there are done with.  Chains and streams that later queries would
+    have shared run again."""
+    _CLEARED["times"] += 1
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
+
+
+def scratch_generation() -> int:
+    """Changes whenever shared tables were cleared: a part of the key of what is kept."""
+    return _CLEARED["times"]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+
+
+def _delete(jvm, conf, path: str) -> None:
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)
+
+
+def _clear_all() -> None:
+    """When the driver ends: the session may be stopped, the JVM still runs."""
+    jvm = SparkContext._jvm
+    for path in [p for made in _SCRATCH.values() for p in made] if jvm else []:
+        try:
+            _delete(jvm, jvm.org.apache.hadoop.conf.Configuration(), path)
+        except Exception as e:  # noqa: BLE001 - the driver is going; say what stays
+            print(f"left behind: {path} ({type(e).__name__})", file=sys.stderr)
