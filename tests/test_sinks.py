@@ -23,7 +23,7 @@ def test_insert_if_absent_table(spark, tmp):
     K.insert_if_absent_table(b1, f"{tmp}/ev", "id", ["t"])  # replay appends nothing
     b2 = spark.createDataFrame([("e2", 9), ("e3", 4)], "id string, t int")
     K.insert_if_absent_table(b2, f"{tmp}/ev", "id", ["t"])
-    got = {r.id: r.t for r in spark.read.parquet(f"{tmp}/ev").collect()}
+    got = {r.id: r.t for r in K.read_keyed(spark, f"{tmp}/ev").collect()}
     assert got == {"e1": 1, "e2": 2, "e3": 4}
 
 
@@ -35,7 +35,7 @@ def test_upsert_counts_table_versions(spark, tmp):
     K.upsert_counts_table(d1, p, 0, "article_id", "daily_views", "last_updated")
     K.upsert_counts_table(d2, p, 1, "article_id", "daily_views", "last_updated")
     K.upsert_counts_table(d2, p, 1, "article_id", "daily_views", "last_updated")  # replay skipped
-    got = {r.article_id: r.daily_views for r in K.read_upserted(spark, p).collect()}
+    got = {r.article_id: r.daily_views for r in K.read_keyed(spark, p).collect()}
     assert got == {1: 5, 2: 1}
 
 
@@ -108,39 +108,3 @@ def test_replace_table_and_console_sink(spark, tmp):
         .trigger(availableNow=True).start()
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 2
-
-
-def test_bucketed_upsert_is_idempotent_per_bucket(spark, tmp):
-    t = dt.datetime(2024, 1, 1)
-    schema = "article_id int, daily_views bigint, last_updated timestamp"
-    d1 = spark.createDataFrame([(i, 1, t) for i in range(20)], schema)
-    d2 = spark.createDataFrame([(i, 2, t) for i in range(0, 20, 2)], schema)
-    p = f"{tmp}/agg"
-    K.upsert_counts_buckets(d1, p, 0, "article_id", "daily_views", "last_updated", n_buckets=4)
-    K.upsert_counts_buckets(d2, p, 1, "article_id", "daily_views", "last_updated", n_buckets=4)
-    K.upsert_counts_buckets(d2, p, 1, "article_id", "daily_views", "last_updated", n_buckets=4)  # replay
-    got = {r.article_id: r.daily_views for r in spark.read.parquet(p).collect()}
-    assert got == {i: (3 if i % 2 == 0 else 1) for i in range(20)}
-    # a half-applied batch: roll one bucket back to its state before batch 2
-    K.upsert_counts_buckets(d2, p, 2, "article_id", "daily_views", "last_updated", n_buckets=4)
-    state = spark.read.parquet(p)
-    b0 = state.filter("bucket = 0").collect()
-    rolled = spark.createDataFrame([(r.article_id, r.daily_views - 2 if r.article_id % 2 == 0 else r.daily_views,
-                                     r.last_updated, 1, 0) for r in b0],
-                                   "article_id int, daily_views bigint, last_updated timestamp, batch_id bigint, bucket int")
-    rolled.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("bucket").parquet(p)
-    K.upsert_counts_buckets(d2, p, 2, "article_id", "daily_views", "last_updated", n_buckets=4)  # resume
-    got = {r.article_id: r.daily_views for r in spark.read.parquet(p).collect()}
-    assert got == {i: (5 if i % 2 == 0 else 1) for i in range(20)}
-
-
-def test_bucketed_insert_if_absent(spark, tmp):
-    b1 = spark.createDataFrame([(f"e{i}", i) for i in range(10)] + [("e1", -1)], "id string, t int")
-    K.insert_if_absent_buckets(b1, f"{tmp}/ev", "id", ["t"], n_buckets=4)
-    K.insert_if_absent_buckets(b1, f"{tmp}/ev", "id", ["t"], n_buckets=4)  # replay
-    b2 = spark.createDataFrame([("e3", 100), ("e42", 7)], "id string, t int")
-    K.insert_if_absent_buckets(b2, f"{tmp}/ev", "id", ["t"], n_buckets=4)
-    got = {r.id: r.t for r in spark.read.parquet(f"{tmp}/ev").collect()}
-    assert len(got) == 11 and got["e1"] == -1 and got["e3"] == 3 and got["e42"] == 7
-    assert spark.read.parquet(f"{tmp}/ev").count() == 11

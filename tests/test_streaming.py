@@ -8,6 +8,7 @@ from tests.conftest import SF001
 from tidewater.operators import metrics as M
 from tidewater.operators import windows as W
 from tidewater.plans.testdata import enriched_events, simple_events
+from tidewater.sinks import writers as K
 from tidewater.streaming import pipelines as S
 
 
@@ -83,7 +84,7 @@ def test_metrics_foreach_batch_is_idempotent(spark, tmp):
 
 def test_stream_reservation_writer_replay(spark, tmp):
     stock = spark.createDataFrame([("A", 5.0), ("B", 2.0)], "product_id string, stock double")
-    stock.withColumn("version", F.lit(-1).cast("bigint")).write.partitionBy("version").parquet(f"{tmp}/stock")
+    S.seed_stock(stock, f"{tmp}/stock")
     lines = spark.createDataFrame([("o1", 1, 0, "A", 3.0), ("o2", 2, 0, "A", 3.0), ("o3", 3, 0, "B", 2.0)],
                                   "order_id string, order_date int, pos int, product_id string, quantity double")
     w = S.stream_reservation_writer(f"{tmp}/stock", f"{tmp}/dec")
@@ -91,7 +92,7 @@ def test_stream_reservation_writer_replay(spark, tmp):
     w(lines, 0)  # replay
     dec = {r.order_id: r.decision for r in spark.read.parquet(f"{tmp}/dec").collect()}
     assert dec == {"o1": "INVENTORY_RESERVED", "o2": "OUT_OF_STOCK", "o3": "INVENTORY_RESERVED"}
-    left = spark.read.parquet(f"{tmp}/stock").filter("version = 0")
+    left = S.stock_left(spark, f"{tmp}/stock")
     assert {r.product_id: r.stock for r in left.collect()} == {"A": 2.0, "B": 0.0}
 
 
@@ -163,7 +164,7 @@ def test_page_view_writer_replay(spark, tmp):
     w(pv, 0)
     w(pv, 0)  # replay
     w(pv.filter("article_id = 1"), 1)
-    counts = {r.article_id: r.daily_views for r in spark.read.parquet(f"{tmp}/article_aggregates").collect()}
+    counts = {r.article_id: r.daily_views for r in K.read_keyed(spark, f"{tmp}/article_aggregates").collect()}
     assert counts == {1: 4, 2: 1}
     assert spark.read.parquet(f"{tmp}/page_views_raw").count() == 5
     assert spark.read.parquet(f"{tmp}/history").count() == 5
@@ -220,8 +221,7 @@ def test_order_chain_in_two_batches_equals_the_loop(spark, tmp):
     lines = c.priced_lines().join(c.orders(), "order_id")
     cut = lines.agg(F.percentile_approx(F.unix_timestamp("order_date"), 0.5)).first()[0]
     batches = [lines.filter(F.unix_timestamp("order_date") < cut), lines.filter(F.unix_timestamp("order_date") >= cut)]
-    c.stock().select("product_id", F.col("stock").cast("double").alias("stock")) \
-        .withColumn("version", F.lit(-1).cast("bigint")).write.partitionBy("version").parquet(f"{tmp}/stock")
+    S.seed_stock(c.stock(), f"{tmp}/stock")
     w = S.order_chain_batch_writer(f"{tmp}/stock", f"{tmp}/log")
     w(batches[0], 0)
     w(batches[1], 1)
@@ -248,7 +248,7 @@ def test_order_chain_in_two_batches_equals_the_loop(spark, tmp):
     got = [(r.order_id, r.event_type) for r in log.collect()]
     kinds = {"OUT_OF_STOCK", "INVENTORY_RESERVED", "PAYMENT_COMPLETED", "PAYMENT_FAILED", "INVENTORY_RELEASED"}
     assert len(got) == len(set(got)) and {g for g in got if g[1] in kinds} == want
-    stock = {r.product_id: r.stock for r in spark.read.parquet(f"{tmp}/stock").filter("version = 1").collect()}
+    stock = {r.product_id: r.stock for r in S.stock_left(spark, f"{tmp}/stock").collect()}
     assert stock == left
 
 
@@ -256,11 +256,11 @@ def test_failed_payments_give_stock_back(spark, tmp):
     """40 one-unit orders on 100 units: what failed payments held is there again."""
     rows = [(i, 1, i, 0, 7, 1.0, 5.0) for i in range(40)]
     lines = spark.createDataFrame(rows, "order_id bigint, customer_id bigint, order_date int, pos int, product_id bigint, quantity double, price double")
-    spark.createDataFrame([(7, 100.0, -1)], "product_id bigint, stock double, version bigint").write.partitionBy("version").parquet(f"{tmp}/stock")
+    S.seed_stock(spark.createDataFrame([(7, 100.0)], "product_id bigint, stock double"), f"{tmp}/stock")
     S.order_chain_batch_writer(f"{tmp}/stock", f"{tmp}/log")(lines, 0)
     failed = spark.read.parquet(f"{tmp}/log").filter("event_type = 'PAYMENT_FAILED'").count()
     assert failed > 0
-    assert spark.read.parquet(f"{tmp}/stock").filter("version = 0").first().stock == 60.0 + failed
+    assert S.stock_left(spark, f"{tmp}/stock").first().stock == 60.0 + failed
 
 
 def test_metrics_writer_with_contracts_and_split_writer(spark, tmp):

@@ -262,7 +262,7 @@ def _page_view_tables(spark, base):
 
 def stream_article_views(spark, base):
     """Running counts per article, upserted batch by batch."""
-    t = spark.read.parquet(f"{_page_view_tables(spark, base)}/article_aggregates")
+    t = K.read_keyed(spark, f"{_page_view_tables(spark, base)}/article_aggregates")
     return t.select("article_id", F.col("daily_views").alias("views"))
 
 

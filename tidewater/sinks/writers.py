@@ -7,15 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from tidewater.operators.curate import accumulate_counts, rows_not_in
 from tidewater.schemas import CONTRACTS, Contract
+from tidewater.sinks.keyed import KeyedTable, read_keyed
 
 __all__ = [
-    "write_batch", "insert_if_absent_table", "upsert_counts_table", "latest_version",
+    "write_batch", "insert_if_absent_table", "upsert_counts_table", "read_keyed",
     "snapshot", "append_history", "write_csv", "write_zones", "replace_table", "publish_events",
     "console_sink", "create_table_as", "write_if_not_empty", "fan_out_writes", "conform",
-    "write_jdbc", "upsert_latest", "read_upserted", "upsert_counts_buckets",
-    "insert_if_absent_buckets", "key_bucket",
+    "write_jdbc", "upsert_latest",
 ]
 
 
@@ -37,51 +36,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
      .partitionBy("batch_id").format(fmt).save(path))
 
 
-def insert_if_absent_table(batch: DataFrame, path: str, keys, order_cols=None) -> int:
-    """``INSERT .. ON CONFLICT DO NOTHING`` into a lake table (K3).
+def insert_if_absent_table(batch: DataFrame, path: str, keys, order_cols=None, batch_id: int | None = None) -> bool:
+    """``INSERT .. ON CONFLICT DO NOTHING`` into a keyed table (K3).
 
-    The first row per key inside the batch wins; keys already stored are
-    skipped.  Returns nothing large: the caller gets the batch's new rows
-    appended to ``path``.  Re-running the same batch appends nothing.
+    The first row per key inside the batch wins; keys already stored are skipped.
+    Only the buckets the batch touches are read, and only new rows are written.
+    Re-running the same batch appends nothing.  Read it with ``read_keyed``.
     """
-    from tidewater.operators.curate import first_per_key
     keys = [keys] if isinstance(keys, str) else list(keys)
-    fresh = first_per_key(batch, keys, order_cols or keys)
-    spark = batch.sparkSession
-    if _exists(spark, path):
-        fresh = rows_not_in(fresh, spark.read.parquet(path), keys)
-    fresh.select(*batch.columns).write.mode("append").parquet(path)
-
-
-def latest_version(spark, path: str):
-    """Highest ``version=`` of a versioned table, or None."""
-    if not _exists(spark, path):
-        return None
-    vers = (spark.read.parquet(path).select("version").distinct())
-    top = vers.agg(F.max("version")).first()[0]
-    return top
+    combine = {c: "any" for c in batch.columns if c not in keys}
+    return KeyedTable(batch.sparkSession, path, keys, combine).insert_absent(batch, order_cols, batch_id)
 
 
 def upsert_counts_table(delta: DataFrame, path: str, batch_id: int, key: str,
-                        count_col: str, stamp_col: str) -> None:
-    """Accumulating upsert ``count = count + EXCLUDED.count`` on a lake table (K4).
-
-    Plain Parquet has no MERGE, so each batch writes a new ``version=<batch_id>``
-    holding the whole merged table; a batch whose version already exists is
-    skipped (a replay), and readers take the highest version.
-    """
-    spark = delta.sparkSession
-    if _exists(spark, f"{path.rstrip('/')}/version={int(batch_id)}"):
-        return
-    current = latest_version(spark, path)
-    if current is None:
-        merged = accumulate_counts(delta.limit(0), delta, key, count_col, stamp_col)
-    else:
-        old = spark.read.parquet(path).filter(F.col("version") == current).drop("version")
-        merged = accumulate_counts(old, delta, key, count_col, stamp_col)
-    (merged.withColumn("version", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("version").parquet(path))
+                        count_col: str, stamp_col: str) -> bool:
+    """Accumulating upsert ``count = count + EXCLUDED.count`` into a keyed table (K4):
+    a batch writes its own rows, the sums are made when the table is read or a bucket
+    compacted.  A batch that was applied is skipped (a replay)."""
+    return KeyedTable(delta.sparkSession, path, key, {count_col: "sum", stamp_col: "max"}).append(delta, batch_id)
 
 
 def upsert_latest(delta: DataFrame, path: str, keys, partition_col: str, partition_expr) -> None:
@@ -107,72 +79,6 @@ def upsert_latest(delta: DataFrame, path: str, keys, partition_col: str, partiti
      .partitionBy(partition_col).parquet(path))
 
 
-def key_bucket(key: str, n_buckets: int):
-    """Bucket of a key: the partition a keyed table keeps it in."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
-
-
-def _touched(delta: DataFrame, n_buckets: int) -> list:
-    # At most n_buckets values: a bounded list, used for partition pruning.
-    return [r[0] for r in delta.select("bucket").distinct().collect()]
-
-
-def upsert_counts_buckets(delta: DataFrame, path: str, batch_id: int, key: str, count_col: str,
-                          stamp_col: str, n_buckets: int = 64) -> None:
-    """Accumulating upsert that reads and rewrites only the key buckets a batch
-    touches (K4 at scale).
-
-    Every row of a bucket carries ``batch_id``, the last batch applied to the
-    bucket.  A replayed batch skips buckets already at or past it, so the
-    upsert is idempotent even after a failure half-way through the commit
-    (partitions are replaced one by one).
-    """
-    spark = delta.sparkSession
-    delta = delta.withColumn("bucket", key_bucket(key, n_buckets))
-    touched = _touched(delta, n_buckets)
-    if not touched:
-        return
-    if _exists(spark, path):
-        old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-        done = [r[0] for r in old.filter(F.col("batch_id") >= batch_id).select("bucket").distinct().collect()]
-        todo = [b for b in touched if b not in set(done)]
-        if not todo:
-            return
-        old = old.filter(F.col("bucket").isin(todo)).select(key, count_col, stamp_col, "bucket")
-        delta = delta.filter(F.col("bucket").isin(todo))
-        merged = (old.unionByName(delta.select(key, count_col, stamp_col, "bucket"))
-                  .groupBy("bucket", key)
-                  .agg(F.sum(count_col).alias(count_col), F.max(stamp_col).alias(stamp_col))
-                  .checkpoint())  # cut the lineage to the files about to be replaced
-    else:
-        merged = delta.groupBy("bucket", key).agg(F.sum(count_col).alias(count_col),
-                                                  F.max(stamp_col).alias(stamp_col))
-    (merged.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
-
-
-def insert_if_absent_buckets(batch: DataFrame, path: str, keys, order_cols=None,
-                             n_buckets: int = 64) -> None:
-    """Insert-if-absent into a table partitioned by key bucket (K3 at scale): only
-    the keys of the buckets the batch touches are read for the anti join."""
-    from tidewater.operators.curate import first_per_key
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    spark = batch.sparkSession
-    fresh = (first_per_key(batch, keys, order_cols or keys)
-             .withColumn("bucket", key_bucket(keys[0], n_buckets)))
-    if _exists(spark, path):
-        touched = _touched(fresh, n_buckets)
-        stored = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*keys)
-        fresh = fresh.join(stored, keys, "left_anti")
-    fresh.select(*batch.columns, "bucket").write.mode("append").partitionBy("bucket").parquet(path)
-
-
-def read_upserted(spark, path: str) -> DataFrame:
-    v = latest_version(spark, path)
-    return spark.read.parquet(path).filter(F.col("version") == v).drop("version")
-
-
 def snapshot(df: DataFrame, path: str, fmt: str = "parquet", stamp_col: str | None = None) -> None:
     """Overwrite one dataset with the current contents (K5).  ``stamp_col`` adds
     the export time as its own column, leaving event/processing times intact."""

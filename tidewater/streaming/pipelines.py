@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 from tidewater.operators import metrics as M
 from tidewater.operators import orders as O
 from tidewater.operators import windows as W
+from tidewater.session import discard
+from tidewater.sinks.keyed import KeyedTable
 from tidewater.sinks.writers import console_sink, fan_out_writes, write_batch
 
 __all__ = [
@@ -21,7 +23,7 @@ __all__ = [
     "dedup_stream", "order_status_stream", "metrics_batch_writer", "start_query",
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
     "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
-    "window_upsert_writer", "order_chain_batch_writer", "split_writer",
+    "window_upsert_writer", "order_chain_batch_writer", "split_writer", "seed_stock", "stock_left",
 ]
 
 
@@ -165,7 +167,7 @@ def page_view_batch_writer(base: str):
     appended by batch id (K1), running per-article counts upserted (K4) and a
     date-partitioned history (K6); every step is safe to replay."""
     from tidewater.operators.metrics import count_per_key
-    from tidewater.sinks.writers import append_history, upsert_counts_buckets
+    from tidewater.sinks.writers import append_history, upsert_counts_table
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -173,8 +175,8 @@ def page_view_batch_writer(base: str):
             write_batch(batch_df, f"{base}/page_views_raw", batch_id)
             counts = (count_per_key(batch_df, "article_id", "daily_views")
                       .withColumn("last_updated", F.current_timestamp()))
-            upsert_counts_buckets(counts, f"{base}/article_aggregates", batch_id, "article_id",
-                                  "daily_views", "last_updated")
+            upsert_counts_table(counts, f"{base}/article_aggregates", batch_id, "article_id",
+                                "daily_views", "last_updated")
             append_history(batch_df, f"{base}/history", "timestamp", batch_id=batch_id)
         finally:
             batch_df.unpersist()
@@ -190,15 +192,15 @@ def ingest_validate_model(source: DataFrame, base: str, checkpoint: str, key: st
     Returns the validation report rows; raises if a rule fails, before the
     model is rebuilt."""
     from tidewater.operators.quality import validation_report
-    from tidewater.sinks.writers import insert_if_absent_buckets, snapshot
+    from tidewater.sinks.writers import insert_if_absent_table, read_keyed, snapshot
 
     raw_path = f"{base}/raw"
     q = start_query(source, name="ingest", checkpoint=checkpoint, mode="append",
-                    sink=lambda df, _id: insert_if_absent_buckets(df, raw_path, key, order_cols),
+                    sink=lambda df, batch_id: insert_if_absent_table(df, raw_path, key, order_cols, batch_id),
                     trigger={"availableNow": True})
     q.awaitTermination()
     spark = source.sparkSession
-    table = spark.read.parquet(raw_path).drop("bucket")
+    table = read_keyed(spark, raw_path)
     report = validation_report(table, rules).collect()  # one row per rule
     failed = [r.rule for r in report if not r.success]
     if failed:
@@ -260,70 +262,82 @@ class ProgressCollector(StreamingQueryListener):
         pass
 
 
-def _stock_before(spark: SparkSession, stock_path: str, batch_id: int) -> DataFrame:
-    """Newest stock version written before ``batch_id`` (seed it as ``version=-1``)."""
-    versions = spark.read.parquet(stock_path)
-    prev = versions.filter(F.col("version") < batch_id).agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == prev).drop("version")
+def seed_stock(stock: DataFrame, path: str) -> None:
+    """The stock (``product_id, stock``) as a keyed table that micro-batches book into:
+    each adds what it takes and gives back as its own rows, so a batch writes as much
+    as it touches, and full buckets are compacted now and then."""
+    rows = stock.select("product_id", F.col("stock").cast("double").alias("stock"), F.lit(0.0).alias("returned"))
+    KeyedTable(stock.sparkSession, path, "product_id", {"stock": "sum", "returned": "sum"}).append(rows, -1)
 
 
-def _write_stock_after(stock: DataFrame, lines: DataFrame, held: DataFrame, stock_path: str,
-                       batch_id: int) -> None:
-    """The next stock version: what the orders in ``held`` keep is gone."""
-    taken = (lines.join(held.select("order_id"), "order_id", "left_semi")
-             .groupBy("product_id").agg(F.sum("quantity").alias("taken")))
-    left = (stock.join(taken, "product_id", "left")
-            .select("product_id", (F.col("stock") - F.coalesce("taken", F.lit(0.0))).alias("stock")))
-    (left.withColumn("version", F.lit(int(batch_id)).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("version").parquet(stock_path))
+def stock_left(spark: SparkSession, path: str) -> DataFrame:
+    """``product_id, stock`` after the last batch, with what failed payments gave back."""
+    return KeyedTable(spark, path).read().select("product_id", (F.col("stock") + F.col("returned")).alias("stock"))
+
+
+def _stock_before(lines: DataFrame, stock_path: str, batch_id: int) -> DataFrame:
+    """Stock of the products that the lines may ask for, as the batches before left it."""
+    return KeyedTable(lines.sparkSession, stock_path).read(before=batch_id, touching=lines.select("product_id").distinct())
+
+
+def _book(lines: DataFrame, taken: DataFrame, returned: DataFrame, stock_path: str, batch_id: int) -> None:
+    """What the orders in ``taken`` took, and what those in ``returned`` gave back."""
+    def amount(orders: DataFrame, sign: int, column: str) -> DataFrame:
+        return lines.join(orders.select("order_id"), "order_id", "left_semi").select(
+            "product_id", *(((F.col("quantity") * sign) if c == column else F.lit(0.0)).alias(c) for c in ("stock", "returned")))
+    rows = amount(taken, -1, "stock").unionByName(amount(returned, 1, "returned"))
+    KeyedTable(lines.sparkSession, stock_path).append(rows, batch_id)
 
 
 def stream_reservation_writer(stock_path: str, decisions_path: str):
     """``foreachBatch`` body for M9 on a stream: each micro-batch's orders are
-    reserved against what earlier batches left (``stock_path`` holds the
-    remaining stock per batch version; seed it as ``version=-1``).  A batch
-    always starts from the newest version *before* its own id, so a replayed
-    batch recomputes the same decisions and overwrites its own partitions."""
+    reserved against what earlier batches left (``seed_stock`` begins the table at
+    ``stock_path``).  A batch always starts from the table as it was *before* its own
+    id, so a replayed batch makes the same decisions and overwrites its own partition;
+    what it took is booked once."""
     from tidewater.operators.reservation import reserve_stock
 
     def write(lines: DataFrame, batch_id: int) -> None:
         lines = lines.persist()
         try:
-            stock = _stock_before(lines.sparkSession, stock_path, batch_id)
-            decided = reserve_stock(lines, stock)
+            decided = reserve_stock(lines, _stock_before(lines, stock_path, batch_id))
             write_batch(decided, decisions_path, batch_id)
-            _write_stock_after(stock, lines, decided.filter(F.col("decision") == "INVENTORY_RESERVED"), stock_path, batch_id)
+            held = decided.filter(F.col("decision") == "INVENTORY_RESERVED")
+            _book(lines, held, held.limit(0), stock_path, batch_id)
+            discard(decided)
         finally:
             lines.unpersist()
     return write
 
 
-def order_chain_batch_writer(stock_path: str, log_path: str, success_rate: float = 0.8):
+def order_chain_batch_writer(stock_path: str, log_path: str, success_rate: float = 0.8, resell: bool = True):
     """``foreachBatch`` body running the whole order chain on each micro-batch of
     order lines (``order_id, customer_id, order_date, pos, product_id,
     quantity, price``): reservation against the stock earlier batches left,
     payment, shipment, and the event log written under its batch id (M9-M14
     on a stream).  A failed payment releases its items: the log says so, and the
-    stock that the next batch starts from holds them again.  Replays rewrite the
-    same partitions."""
+    stock that the next batch starts from holds them again.  Without ``resell`` they
+    are booked as returned and counted by ``stock_left``, but not promised to later
+    orders of the run, so decisions do not depend on where batches end.  Replays
+    rewrite the same partitions."""
     from tidewater.operators.reservation import reserve_stock
 
     def write(lines: DataFrame, batch_id: int) -> None:
         lines = lines.persist()
         try:
-            stock = _stock_before(lines.sparkSession, stock_path, batch_id)
-            decided = reserve_stock(lines, stock)
+            decided = reserve_stock(lines, _stock_before(lines, stock_path, batch_id))
             orders = lines.groupBy("order_id").agg(F.min("customer_id").alias("customer_id"))
             totals = (O.order_totals(orders, lines.drop("customer_id"))
                       .join(O.order_items(lines), "order_id", "left"))
             valid = O.validate_orders(totals).filter("is_valid")
-            payments = O.payment_stage(decided.filter(F.col("decision") == "INVENTORY_RESERVED"), totals,
-                                       success_rate=success_rate)
+            held = decided.filter(F.col("decision") == "INVENTORY_RESERVED")
+            payments = O.payment_stage(held, totals, success_rate=success_rate)
             log = O.event_log(valid, decided, payments, O.shipment_stage(payments))
             write_batch(log, log_path, batch_id)
             paid = payments.filter(F.col("status") == "PAYMENT_COMPLETED")
-            _write_stock_after(stock, lines, paid, stock_path, batch_id)
+            failed = payments.filter(F.col("status") == "PAYMENT_FAILED")
+            _book(lines, paid if resell else held, failed.limit(0) if resell else failed, stock_path, batch_id)
+            discard(decided)
         finally:
             lines.unpersist()
     return write
