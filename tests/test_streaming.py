@@ -280,3 +280,79 @@ def test_metrics_writer_with_contracts_and_split_writer(spark, tmp):
     split(rows, 0)  # replay
     assert spark.read.parquet(f"{tmp}/good").count() == 1
     assert sorted(r.reason for r in spark.read.parquet(f"{tmp}/bad").collect()) == ["missing_user", "negative"]
+
+
+def test_status_machine_over_batches(spark, tmp):
+    """Events of an order over several batches: changes, rejected events, orders that close
+    leave the state, and one that waits too long is given up."""
+    from tidewater.sources.files import read_event_stream
+    day = dt.datetime(2024, 1, 1)
+    schema = "order_id bigint, at int, event_type string, timestamp timestamp"
+    batches = [
+        [(1, 1, "ORDER_CREATED", day), (2, 2, "INVENTORY_RESERVED", day), (2, 1, "ORDER_CREATED", day), (3, 1, "ORDER_CREATED", day),
+         (4, 1, "PAYMENT_COMPLETED", day)],
+        [(1, 2, "OUT_OF_STOCK", day), (2, 3, "SHIPMENT_CREATED", day), (2, 4, "PAYMENT_COMPLETED", day)],
+        [(1, 3, "INVENTORY_RESERVED", day), (2, 5, "READY_FOR_SHIPMENT", day), (2, 6, "SHIPMENT_CREATED", day)],
+        [(9, 1, "ORDER_CREATED", day + dt.timedelta(30))],
+    ]
+    progress = S.ProgressCollector()
+    spark.streams.addListener(progress)
+    try:
+        for i, rows in enumerate(batches):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp}/in/log")
+            stream = read_event_stream(spark, "log", fmt="parquet", path=f"{tmp}/in", schema=spark.read.parquet(f"{tmp}/in/log").schema)
+            S.start_query(S.order_status_machine(stream, block=F.col("order_id") % 2), name="machine", checkpoint=f"{tmp}/ck",
+                          trigger={"availableNow": True}, rocksdb=True,
+                          sink=S.status_writer(f"{tmp}/out", f"{tmp}/rejects")).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(progress)
+    status = {r.order_id: r.status for r in spark.read.parquet(f"{tmp}/out").groupBy("order_id").agg(F.max_by("status", "rank").alias("status")).collect()}
+    assert status == {1: "created", 2: "shipped", 3: "created", 9: "created"}
+    rejects = {(r.order_id, r.event_type, r.reason) for r in spark.read.parquet(f"{tmp}/rejects").collect()}
+    assert rejects == {(4, "PAYMENT_COMPLETED", "unknown or closed order"), (1, "INVENTORY_RESERVED", "unknown or closed order"),
+                       (2, "SHIPMENT_CREATED", "SHIPMENT_CREATED after INVENTORY_RESERVED"), (3, None, "expired after ORDER_CREATED")}
+    assert progress.of("machine")[-1]["state"] == 1  # the block of order 9
+
+
+def test_late_split_is_the_same_when_replayed(spark, tmp):
+    at = dt.datetime(2024, 1, 1, 12)
+    minutes = [[0, 5, 30], [21, 19, 20, None], [60, 25]]
+    w = S.late_split_writer(f"{tmp}/on", f"{tmp}/late", f"{tmp}/marks", "t", "10 minutes")
+    for i, batch in enumerate(minutes):
+        rows = spark.createDataFrame([(m, at + dt.timedelta(minutes=m) if m is not None else None) for m in batch], "m int, t timestamp")
+        w(rows, i)
+        w(rows, i)  # replay
+    late = {(r.batch_id, r.m) for r in spark.read.parquet(f"{tmp}/late").collect()}
+    assert late == {(1, 19), (1, 20)}
+    assert spark.read.parquet(f"{tmp}/on").count() == 7
+
+
+def test_ordered_topics_come_in_order_and_in_bounded_batches(spark, tmp):
+    from tidewater.sources.files import read_event_stream, write_in_order
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n"), F.lit("x" * 50).alias("pad"))
+    write_in_order(rows.filter("n < 600"), f"{tmp}/in/t", ["n"], 6)
+    write_in_order(rows.filter("n >= 600"), f"{tmp}/in/t", ["n"], 4)
+    seen = []
+    stream = read_event_stream(spark, "t", fmt="parquet", path=f"{tmp}/in", max_bytes=1, schema=rows.schema)
+    S.start_query(stream, name="ordered", checkpoint=f"{tmp}/ck", mode="append", trigger={"availableNow": True},
+                  sink=lambda df, _id: seen.append(df.agg(F.min("n"), F.max("n"), F.count("n")).first())).awaitTermination()
+    assert len(seen) == 10 and sum(r[2] for r in seen) == 1000  # a file at least, whatever the limit
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
+def test_exact_parts_over_batches(spark, tmp):
+    batch = enriched_events(spark, SF001)
+    w = S.metrics_batch_writer(f"{tmp}/out", {"platform_analytics": M.platform_metrics}, exact=True)
+    for i in range(3):
+        w(batch.filter(F.col("user_id") % 3 != i), i)  # every user comes in two batches
+    want = {M_key(r): (r.unique_users, r.avg_purchase_value) for r in M.platform_metrics(batch).collect()}
+    parts = S.exact_parts(spark, f"{tmp}/out", "platform_analytics")
+    got = parts["users"].join(parts["averages"], "group", "left").collect()
+    assert len(got) == len(want) and all(want[r.group][0] == r.members for r in got)
+    assert all((want[r.group][1] is None) == (r.average is None) for r in got)
+
+
+def M_key(r):
+    import json
+    return json.dumps({c: r[c] for c in ("device_type", "browser", "operating_system", "hour") if r[c] is not None}, separators=(",", ":"))

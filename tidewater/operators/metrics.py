@@ -113,6 +113,80 @@ def merge_user_sketches(sketch_rows: DataFrame, keys) -> DataFrame:
             .withColumn("unique_users", F.hll_sketch_estimate("users_sketch")))
 
 
+#: What the streamed metric tables need beside their rows to be exact over batches:
+#: group columns, distinct integer ids, distinct other keys, averaged value (SQL).
+EXACT = {
+    "user_activity_detailed": (["user_id", "user_segment", "age_group"], None, "session_id", None),
+    "business_metrics_realtime": (["event_type", "hour", "minute"], "user_id", "session_id", "revenue"),
+    "geographic_analytics": (["country", "hour"], "user_id", None, None),
+    "platform_analytics": (["device_type", "browser", "operating_system", "hour"], "user_id", None,
+                           "CASE WHEN event_type = 'purchase' THEN revenue END"),
+}
+
+
+def group_name(keys) -> Column:
+    """A group's keys as one string, so that parts of several metrics share a table."""
+    return F.to_json(F.struct(*keys)).alias("group")
+
+
+def _groups(df: DataFrame, name: str):
+    keys, users, members, value = EXACT[name]
+    cols = [F.col("user_profile.location.country").alias("country") if k == "country" else F.col(k) for k in keys]
+    return df.withColumn("group", group_name(cols)).withColumn("metric", F.lit(name)), users, members, value
+
+
+def member_bitmaps(df: DataFrame) -> DataFrame:
+    """Distinct integer ids per metric and group as bitmaps (A12 across batches): 32,768
+    ids a row, combined map-side, and mergeable, so the count over any number of batches
+    is exact."""
+    out = None
+    for name in EXACT:
+        grouped, users, _, _ = _groups(df, name)
+        if users:
+            part = grouped.filter(F.col(users).isNotNull()).groupBy(
+                "metric", "group", F.bitmap_bucket_number(F.col(users).cast("bigint")).alias("bucket")).agg(
+                F.bitmap_construct_agg(F.bitmap_bit_position(F.col(users).cast("bigint"))).alias("bits"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def distinct_members(df: DataFrame) -> DataFrame:
+    """Distinct keys that are no integers, per metric and group: one row each."""
+    out = None
+    for name in EXACT:
+        grouped, _, members, _ = _groups(df, name)
+        if members:
+            part = grouped.select("metric", "group", F.col(members).alias("member")).filter("member IS NOT NULL").distinct()
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def value_sums(df: DataFrame) -> DataFrame:
+    """Sum and count of each metric's averaged value per group."""
+    out = None
+    for name in EXACT:
+        grouped, _, _, value = _groups(df, name)
+        if value is not None:
+            part = grouped.groupBy("metric", "group").agg(F.sum(money(F.expr(value))).alias("total"), F.count(F.expr(value)).alias("n"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def merged_bitmaps(rows: DataFrame) -> DataFrame:
+    """(group, members) over all batches' bitmaps of one metric."""
+    return (rows.groupBy("group", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+            .groupBy("group").agg(F.sum(F.bitmap_count("bits")).alias("members")))
+
+
+def merged_members(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("group").agg(F.count_distinct("member").alias("members"))
+
+
+def merged_averages(rows: DataFrame) -> DataFrame:
+    """(group, average) as the exact sum by the count; null where nothing was averaged."""
+    return rows.groupBy("group").agg(F.try_divide(F.sum("total").cast("double"), F.sum("n")).alias("average"))
+
+
 def batch_summary(df: DataFrame) -> DataFrame:
     """Distinct users, events and revenue of a batch in one job."""
     return df.agg(

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.functions.columns import deterministic_id, money, money_sum, payment_draw
 from tidewater.operators.prefix import running_sums, with_chunks
+from tidewater.sources.files import inline_rows
 
 # Fixed values from the reference's services.
 CARRIER = "UPS"
@@ -339,9 +339,7 @@ def stock_after_orders(lines: DataFrame, stock: DataFrame, reservation: DataFram
 
 
 def subscriptions(spark) -> DataFrame:
-    schema = T.StructType([T.StructField("event_type", T.StringType()),
-                           T.StructField("service", T.StringType())])
-    return spark.createDataFrame(SUBSCRIPTIONS, schema)
+    return inline_rows(spark, SUBSCRIPTIONS, "event_type string, service string")
 
 
 def fan_out(log: DataFrame, subs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import orders as O
 from tidewater.operators.reservation import reserve_stock
-from tidewater.session import materialise
+from tidewater.session import materialise, scratch_generation
 from tidewater.sources.tables import read_table, stock_from_parts
 
 STOCK_PER_SIZE = 10
@@ -105,7 +105,7 @@ _CHAINS: dict[tuple, Chain] = {}
 
 def chain(spark: SparkSession, base: str) -> Chain:
     """The chain over ``base``, one per session and state of the input files."""
-    key = (spark.sparkContext.applicationId, base, input_stamp(spark, base))
+    key = (spark.sparkContext.applicationId, scratch_generation(), base, input_stamp(spark, base))
     if key not in _CHAINS:
         _CHAINS.clear()  # tables of another input are no longer read
         _CHAINS[key] = Chain(spark, base)

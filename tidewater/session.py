@@ -36,6 +36,11 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.shuffle.partitions": "40000",
+    # Streams: rows of a topic's file, bytes and order lines of a micro-batch, rows of a bucket.
+    "spark.tidewater.stream.fileRows": "5000000",
+    "spark.tidewater.stream.bytesPerTrigger": "64000000000",
+    "spark.tidewater.stream.orderLines": "100000000",
+    "spark.tidewater.stream.bucketRows": "1000000",
 }
 
 

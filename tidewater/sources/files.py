@@ -22,10 +22,13 @@ TOPIC_RECORD = T.StructType([
 
 def read_event_stream(spark: SparkSession, topics, *, fmt: str = "kafka", path: str | None = None,
                       schema: T.StructType | None = None, starting: str = "latest",
-                      max_per_trigger: int | None = None, fail_on_data_loss: bool = False,
+                      max_per_trigger: int | None = None, max_bytes: int | None = None, fail_on_data_loss: bool = False,
                       bootstrap: str | None = None) -> DataFrame:
     """Streaming source for one or many topics.
 
+    ``max_per_trigger`` bounds a micro-batch by offsets (broker) or files, ``max_bytes``
+    by the bytes of the files, so batches follow the data, not its layout.
+
     ``topics`` is a name or a list.  With ``fmt='kafka'`` the topic column
     comes from the broker; with a file format each topic is a sub-folder of
     ``path`` and the topic column comes from the folder name.
@@ -43,6 +46,8 @@ def read_event_stream(spark: SparkSession, topics, *, fmt: str = "kafka", path:
     r = spark.readStream.format(fmt).schema(schema or TOPIC_RECORD)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     frames = [r.load(f"{path.rstrip('/')}/{t}").withColumn("topic", F.lit(t)) for t in names]
     out = frames[0]
     for f in frames[1:]:
@@ -50,6 +55,28 @@ def read_event_stream(spark: SparkSession, topics, *, fmt: str = "kafka", path:
     return out
 
 
+def write_in_order(df: DataFrame, path: str, order_cols, files: int) -> None:
+    """Add ``files`` files to a file topic such that a stream reads the rows in order:
+    ranges of the order, one after the other, with file times that follow the names
+    (a file stream takes the oldest files first).  Rows that agree in ``order_cols`` stay
+    in one file.  For file systems whose times can be set."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names() -> set[str]:
+        found = fs.listStatus(folder) if fs.exists(folder) else []
+        return {f.getPath().toString() for f in found if f.getPath().getName().startswith("part-")}
+
+    before = names()
+    (df.repartitionByRange(files, *order_cols).sortWithinPartitions(*order_cols)
+     .write.mode("append").parquet(path))
+    written = sorted(names() - before)
+    now = max([fs.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f)).getModificationTime() for f in before | set(written)], default=0)
+    for i, name in enumerate(written):  # times go on from the newest file there is
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(name), now + i + 1, -1)
+
+
 def read_bounded(spark: SparkSession, topics, *, fmt: str = "kafka", path: str | None = None,
                  schema: T.StructType | None = None, bootstrap: str | None = None) -> DataFrame:
     """Everything currently in the topic(s), from the earliest record."""

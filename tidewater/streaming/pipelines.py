@@ -7,7 +7,7 @@ folder per query and idempotent ``foreachBatch`` writers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -16,7 +16,7 @@ from tidewater.operators import orders as O
 from tidewater.operators import windows as W
 from tidewater.session import discard
 from tidewater.sinks.keyed import KeyedTable
-from tidewater.sinks.writers import console_sink, fan_out_writes, write_batch
+from tidewater.sinks.writers import _exists, console_sink, fan_out_writes, write_batch
 
 __all__ = [
     "with_event_time_watermark", "sliding_kpis_stream", "tumbling_stream", "sessions_stream",
@@ -24,9 +24,14 @@ __all__ = [
     "start_metric_queries", "late_rows", "ProgressCollector", "observed_batch",
     "page_view_batch_writer", "ingest_validate_model", "stream_reservation_writer",
     "window_upsert_writer", "order_chain_batch_writer", "split_writer", "seed_stock", "stock_left",
+    "order_status_machine", "status_writer", "late_split_writer", "exact_parts",
 ]
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def with_event_time_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermark on event time (M1).  The column must be TIMESTAMP: text is parsed
     and TIMESTAMP_NTZ is converted first (a watermark on either is rejected)."""
@@ -69,7 +74,112 @@ def order_status_stream(log: DataFrame) -> DataFrame:
     return O.current_status(log)
 
 
-def metrics_batch_writer(base: str, metric_fns: dict, contracts: bool = False):
+#: Events that may follow an event of an order, and those that close it, as the named
+#: chains tell; nothing but the first one of a chain opens an order.
+OPENS = {steps[0] for _, steps in O.CHAINS}
+FOLLOWS = {a: {steps[i + 1] for _, steps in O.CHAINS for i, x in enumerate(steps[:-1]) if x == a}
+           for _, steps in O.CHAINS for a in steps}
+CLOSES = {steps[-1] for _, steps in O.CHAINS}
+_STATUS = {event: (status, rank) for event, status, rank in O.STATUS_BY_EVENT}
+
+
+def order_status_machine(log: DataFrame, ts: str = "timestamp", delay: str = "1 day", expiry: str = "7 days",
+                         block: Column | None = None) -> DataFrame:
+    """Status changes per order on a stream of chain events (M8): ``order_id, at,
+    event_type, status, rank, reason``.
+
+    ``log`` has ``order_id, at, event_type`` and event time ``ts``; ``at`` orders an
+    order's events.  An event that may follow the last one is taken and shows the
+    status (if it changes it); any other is set aside with a reason and changes nothing.
+    The event that closes an order takes it out of the state, and one that stays open
+    until the watermark is ``expiry`` past its last event is given up.  So state holds
+    open orders only, and a batch writes what changed.
+
+    State is kept per ``block`` of orders (a bigint; by default every order by itself):
+    a call into Python costs far more than an event, so a block of a few hundred
+    neighbouring ids is that many times cheaper, and its state stays as bounded.
+    """
+    order_type = log.schema["order_id"].dataType
+    wait = int(expiry.split()[0]) * {"hour": 3_600_000, "day": 86_400_000}[expiry.split()[1].rstrip("s")]
+    names = ["order_id", "at", "event_type", "status", "rank", "reason"]
+
+    def step(key, frames, state):
+        import json
+
+        import pandas as pd
+        # open orders of the block: [id, last event, time of it]
+        held = {o: (last, at) for o, last, at in json.loads(state.get[0])} if state.exists else {}
+        rows = []
+        if state.hasTimedOut:
+            now = state.getCurrentWatermarkMs()
+            for order, (last, at) in list(held.items()):
+                if at + wait <= now:
+                    rows.append((order, 0, "", "", 0, f"expired after {last}"))
+                    del held[order]
+        else:
+            events = sorted((e for f in frames for e in zip(f["order_id"].tolist(), f["at"].tolist(), f["event_type"].tolist(),
+                                                           f["time"].tolist())), key=lambda e: e[:2])
+            for order, at, event, time in events:
+                last = held[order][0] if order in held else None
+                if event not in (OPENS if last is None else FOLLOWS[last]):
+                    rows.append((order, at, event, "", 0, "unknown or closed order" if last is None else f"{event} after {last}"))
+                    continue
+                rows.append((order, at, event, *_STATUS.get(event, ("", 0)), ""))
+                if event in CLOSES:
+                    held.pop(order, None)
+                else:
+                    held[order] = (event, time)
+        if held:
+            state.update((json.dumps([[o, *v] for o, v in held.items()]),))
+            state.setTimeoutTimestamp(max(min(at for _, at in held.values()) + wait, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(rows, columns=names)
+
+    events = with_event_time_watermark(log, ts, delay).select(
+        (F.xxhash64("order_id") if block is None else block.cast("bigint")).alias("block"),
+        "order_id", F.col("at").cast("int").alias("at"), "event_type", F.unix_millis(F.col(ts)).alias("time"), ts)
+    out = events.groupBy("block").applyInPandasWithState(
+        step, f"order_id {order_type.simpleString()}, at int, event_type string, status string, rank int, reason string",
+        "orders string", "update", "EventTimeTimeout")
+    return out.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("event_type", "status", "reason")})
+
+
+def status_writer(status_path: str, rejects_path: str):
+    """``foreachBatch`` body: status changes and rejected events, each under its batch id."""
+    def write(changes: DataFrame, batch_id: int) -> None:
+        changes = changes.persist()
+        try:
+            write_batch(changes.filter("reason IS NULL AND status IS NOT NULL").select("order_id", "status", "rank"), status_path, batch_id)
+            write_batch(changes.filter("reason IS NOT NULL").drop("status", "rank"), rejects_path, batch_id)
+        finally:
+            changes.unpersist()
+    return write
+
+
+def late_split_writer(on_time_path: str, late_path: str, marks_path: str, ts: str, delay: str):
+    """``foreachBatch`` body ahead of stateful work (M5): rows behind the watermark go to a
+    table of their own instead of only being counted when they are dropped.
+
+    The watermark of a batch is the latest time of the batches before it less ``delay``;
+    every batch writes its latest time beside its rows, so a replay splits alike.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        try:
+            mark = F.lit(False)
+            if _exists(rows, marks_path):
+                latest = rows.sparkSession.read.parquet(marks_path).filter(F.col("batch_id") < batch_id).agg(F.max("latest")).first()[0]
+                mark = F.coalesce(F.col(ts) <= F.lit(latest) - F.expr(f"INTERVAL {delay}"), F.lit(False)) if latest else mark
+            write_batch(rows.filter(~mark), on_time_path, batch_id)
+            write_batch(rows.filter(mark), late_path, batch_id)
+            write_batch(rows.agg(F.max(ts).alias("latest")), marks_path, batch_id)
+        finally:
+            rows.unpersist()
+    return write
+
+
+def metrics_batch_writer(base: str, metric_fns: dict, contracts: bool = False, exact: bool = False):
     """``foreachBatch`` body computing several metric tables from one cached
     micro-batch and writing each under ``base/<name>`` keyed by batch id
     (M6, K1, K14).  Replays overwrite their own batch partition.
@@ -77,6 +187,10 @@ def metrics_batch_writer(base: str, metric_fns: dict, contracts: bool = False):
     With ``contracts`` each table is first conformed to the sink contract of
     the same name (K15): rows that break it go to ``base/_quarantine/<name>``
     with the reason (Q5) instead of failing the batch.
+
+    Distinct counts and averages of separate batches don't add.  With ``exact`` each
+    batch also writes bitmaps of its users, its distinct sessions, and sums and counts
+    (A12), from which ``exact_parts`` gives the values over all batches.
     """
     from tidewater.sinks.writers import conform, write_if_not_empty
 
@@ -91,10 +205,24 @@ def metrics_batch_writer(base: str, metric_fns: dict, contracts: bool = False):
     def write(batch_df: DataFrame, batch_id: int) -> None:
         writers = {name: (lambda df, f=fn, n=name: one(df, f, n, batch_id))
                    for name, fn in metric_fns.items()}
+        if exact:
+            writers.update({f"_parts/{name}": (lambda df, f=fn, n=name: write_batch(f(df), f"{base}/_parts/{n}", batch_id))
+                            for name, fn in PARTS.items()})
         fan_out_writes(batch_df, writers)
     return write
 
 
+#: Tables beside the metric rows that make them exact over batches (see ``exact_parts``).
+PARTS = {"users": M.member_bitmaps, "members": M.distinct_members, "averages": M.value_sums}
+
+
+def exact_parts(spark: SparkSession, base: str, metric: str) -> dict[str, DataFrame]:
+    """Distinct users, other distinct members and averages of a metric's groups over all
+    batches: tables of (group, value) by name."""
+    merge = {"users": M.merged_bitmaps, "members": M.merged_members, "averages": M.merged_averages}
+    return {name: fn(spark.read.parquet(f"{base}/_parts/{name}").filter(F.col("metric") == metric)) for name, fn in merge.items()}
+
+
 def split_writer(checks, good_path: str, bad_path: str):
     """``foreachBatch`` body routing each micro-batch to a clean table and a
     quarantine table carrying the first failing check (Q5 on a stream)."""
@@ -112,14 +240,24 @@ def split_writer(checks, good_path: str, bad_path: str):
 
 def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "update",
                 sink=None, fmt: str | None = None, path: str | None = None,
-                trigger: dict | None = None, options: dict | None = None):
+                trigger: dict | None = None, options: dict | None = None, rocksdb: bool = False):
     """Start one query with its own checkpoint folder.
 
     ``sink`` is a ``foreachBatch`` function; otherwise ``fmt``/``path`` name a
     built-in sink.  ``trigger`` is e.g. ``{'processingTime': '60 seconds'}``
     or ``{'availableNow': True}`` (K2: the trigger plus the source's
-    ``max_per_trigger`` bound each micro-batch).
+    ``max_per_trigger`` or ``max_bytes`` bound each micro-batch).  ``rocksdb`` keeps its
+    state on disk beside the executors instead of in their heaps.
     """
+    spark = df.sparkSession
+    if rocksdb:
+        before = spark.conf.get(STATE_STORE, None)
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        try:  # a query keeps the settings it was started under
+            return start_query(df, name=name, checkpoint=checkpoint, mode=mode, sink=sink, fmt=fmt, path=path,
+                               trigger=trigger, options=options)
+        finally:
+            spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
     w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
     for k, v in (options or {}).items():
         w = w.option(k, v)
@@ -133,7 +271,8 @@ def start_query(df: DataFrame, *, name: str, checkpoint: str, mode: str = "updat
 
 
 def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, trigger=None,
-                         preview: bool = False, contracts: bool = False, categories: DataFrame | None = None):
+                         preview: bool = False, contracts: bool = False, categories: DataFrame | None = None,
+                         exact: bool = False):
     """Pipeline A: enriched stream → five metric tables per micro-batch, plus the
     raw enriched events and optionally a console preview, each its own query
     with its own checkpoint (M15, M16).  Returns the started queries; wait with
@@ -151,7 +290,7 @@ def start_metric_queries(events: DataFrame, base: str, checkpoint_base: str, tri
         "platform_analytics": M.platform_metrics,
     }
     metrics = start_query(events, name="metrics", checkpoint=f"{checkpoint_base}/metrics",
-                          mode="append", sink=metrics_batch_writer(base, fns, contracts),
+                          mode="append", sink=metrics_batch_writer(base, fns, contracts, exact),
                           trigger=trigger)
     raw = start_query(events, name="enriched_events", checkpoint=f"{checkpoint_base}/enriched_events",
                       mode="append", fmt="parquet", path=f"{base}/enriched_events", trigger=trigger)
@@ -253,8 +392,13 @@ class ProgressCollector(StreamingQueryListener):
         p = event.progress
         self.events.append({"name": p.name, "batch": p.batchId, "rows": p.numInputRows,
                             "late": sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators),
+                            "state": sum(int(op.numRowsTotal) for op in p.stateOperators),
                             "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}})
 
+    def of(self, name: str) -> list[dict]:
+        """The progress of one query, batch by batch (no-data batches included)."""
+        return [e for e in self.events if e["name"] == name]
+
     def onQueryIdle(self, event):
         pass
 
