@@ -30,10 +30,11 @@ def test_lockstep_parse_equals_plain_search():
         refs = [bytes(rnd.randrange(width - 1) for _ in range(n)) for n in (1, 5, 60, 400)]
         texts = [bytes(rnd.randrange(width) for _ in range(n)) for n in (0, 1, 7, 30, 31, 200, 64, 65)]
         ends = np.cumsum([len(t) for t in texts])
-        codes = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        codes = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int32)
+        classes = np.tile(np.arange(width, dtype=np.int32), (len(refs), 1))
         tables = [langid.parse_table(r, width) for r in refs]
         for segment in (16, 64, 1000):
-            got = langid.count_phrases(codes, ends, tables, segment)
+            got = langid.count_phrases(codes, ends, classes, tables, segment)
             assert got.tolist() == [[brute_phrases(t, r, segment) for r in refs] for t in texts]
 
 
@@ -51,9 +52,32 @@ def test_suffix_automaton_accepts_exactly_the_substrings():
 
 
 def test_normalise():
-    table = langid.classes("abé")
-    codes, ends = langid.normalise(["", "A, b!!É", "12 \n", "xa中", "a"], table)
-    assert [codes[a:b].tolist() for a, b in zip([0, *ends], ends)] == [[], [1, 0, 2, 0, 3, 0], [], [4, 1, 4, 0], [1, 0]]
+    numbers, classes = langid.letter_numbers(("abé", "zb"))
+    codes, ends = langid.normalise(["", "A, b!!É", "12 \n", "xa中", "a"], numbers)
+    first, second = ([classes[j][codes][a:b].tolist() for a, b in zip([0, *ends], ends)] for j in (0, 1))
+    no = langid.WIDTH - 1
+    assert first == [[], [1, 0, 2, 0, 3, 0], [], [no, 1, no, 0], [1, 0]]
+    assert second == [[], [no, 0, 2, 0, no, 0], [], [no, no, no, 0], [no, 0]]
+    many = "".join(chr(0x4E00 + i) for i in range(200))
+    _, classes = langid.letter_numbers((many,))
+    assert classes.max() == langid.WIDTH - 1 and len(set(classes[0][1:-1].tolist())) == langid.OWN + langid.SHARED
+
+
+def test_nine_scripts(spark):
+    """Languages that share no letters, some with thousands of them, all told apart."""
+    rnd = random.Random(3)
+    scripts = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "he": (0x5D0, 27), "ar": (0x628, 20), "hi": (0x915, 36),
+               "ko": (0xAC00, 2000), "zh": (0x4E00, 3000), "ja": (0x3041, 80)}
+    rows = []
+    for lang, (start, n) in scripts.items():
+        words = ["".join(chr(start + min(int(rnd.expovariate(6 / n)), n - 1)) for _ in range(rnd.randint(1, 5))) for _ in range(400)]
+        rows += [(len(rows) + i, " ".join(rnd.choice(words) for _ in range(60)), lang) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    lang = {r[0]: r[2] for r in rows}
+    got = langid.predict(docs, langid.fit(docs)).where(langid.fold() == 1).collect()
+    for name in scripts:
+        own = [r.lang_pred == name for r in got if lang[r.doc_id] == name]
+        assert sum(own) >= 0.97 * len(own) > 0, name
 
 
 SCHEMA = "doc_id bigint, text string, lang string, score string, rate string"

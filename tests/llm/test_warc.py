@@ -28,7 +28,7 @@ def test_segments_and_chunks_round_trip(spark, tmp):
     assert all(r.fault is None and r.found == r.digest == warc.base32_sha1(r.payload) for r in rows)
     files = [f for f in os.listdir(f"{tmp}/a") if f.endswith(".gz")]
     data = b"".join(gzip.open(f"{tmp}/a/{f}").read() for f in files)
-    kinds = [f["WARC-Type"] for f, _ in warc.records_of(data)]
+    kinds = [f["warc-type"] for f, _, fault in warc.records_of(data) if not fault]
     assert kinds.count("response") == len(texts) and kinds.count("continuation") > 1000
 
 
@@ -108,3 +108,35 @@ def test_oracle_on_shared_payloads(spark, tmp):
     want = con.sql(queries.SQL["op2_warc"])
     got = queries.op2_warc(spark, tmp).select(want.columns)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
+def foreign(kind, ident, payload: bytes, style: int) -> bytes:
+    """A record as other writers put it: other case, no space, folded values."""
+    digest = warc.base32_sha1(payload)
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
+    heads = [f"WARC-Type: {kind}\r\nWARC-Record-ID: {ident}\r\nWARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {len(block)}",
+             f"warc-type:{kind}\r\nWARC-RECORD-ID:{ident}\r\nwarc-payload-digest:sha1:{digest}\r\ncontent-length:{len(block)}",
+             f"WARC-Type:\t{kind}\r\nWARC-Record-ID:\r\n {ident}\r\nWARC-Payload-Digest:\r\n\tsha1:{digest}\r\nno colon\r\nContent-Length : {len(block)}"]
+    return b"WARC/1.0\r\n" + heads[style].encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_and_damaged_archives(spark, tmp):
+    """A record with a fault costs no other: other header styles, kinds without payload, a
+    wrong length, a record cut short, junk between records, a broken gzip member."""
+    good = [foreign("response", f"<urn:x-page:{i}>", b"page %d" % i, i % 3) for i in range(9)]
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:info>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    wrong = foreign("response", "<urn:x-page:50>", b"wrong", 0).replace(b"Content-Length: 4", b"Content-Length: 9")
+    none = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:51>\r\n\r\nabc\r\n\r\n"
+    os.makedirs(f"{tmp}/a")
+    z = gzip.compress
+    archives = [z(good[0] + info + good[1]), z(good[2]) + z(wrong) + z(good[3]), z(good[4] + none + b"junk\r\n\r\n" + good[5]),
+                z(good[6] + foreign("response", "<urn:x-page:52>", b"cut short", 0)[:-9]), z(good[7]) + z(good[8])[:-12], b"no gzip at all", b""]
+    for i, data in enumerate(archives):
+        with open(f"{tmp}/a/{i}.warc.gz", "wb") as f:
+            f.write(data)
+    rows = warc.reassemble(warc.read_records(spark, f"{tmp}/a")).withColumn("page_id", warc.page_of(F.col("record_id"))).collect()
+    sound = {r.page_id: (r.payload_bytes, r.found) for r in rows if r.fault is None and r.record_type == "response"}
+    assert {i: sound.get(i) for i in range(8)} == {i: (6, warc.base32_sha1(b"page %d" % i)) for i in range(8)}
+    faults = {r.page_id: r.fault for r in rows if r.fault}
+    assert faults[50] == faults[52] == "a record is shorter than its length" and faults[51] == "a record without a length"
+    assert None in faults and [r.record_type for r in rows if r.record_id == "<urn:info>"] == ["warcinfo"]

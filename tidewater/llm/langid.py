@@ -20,49 +20,54 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import chunks, columns, held, id_column, type_of
 
 UNKNOWN = "und"
-#: The bound of the labelled sample: documents of a language, characters of each,
-#: normalised characters of a language's reference and of all references.
+#: The bound of the labelled sample: documents of a language, and normalised characters
+#: of a language's reference and of all references.  Documents are taken whole, in the
+#: order of a hash, until they fill the reference.
 DOCS_PER_LANG = 200
-CHARS_PER_DOC = 1_500
 REF_CHARS = 60_000
 ALL_REF_CHARS = 320_000
-#: Letters that have a class of their own; the others share one.
-ALPHABET = 80
-#: Texts are parsed in segments of so many normalised characters; a phrase ends there.
+#: A language's classes: its most frequent letters have one each, its other letters share
+#: some, and letters it does not use are all unknown to it.
+OWN, SHARED = 64, 32
+WIDTH = 1 + OWN + SHARED + 1
+#: Texts are parsed in segments of so many normalised characters; a phrase ends there, so
+#: a text has at most one phrase more per segment, under every language alike.
 SEGMENT = 1_024
 CODE_POINTS = 0x33480  # no letters beyond
-#: Documents fit no language when the best leads by less than this share, at a rate
-#: above this (letters outside the references cost most), over so many normalised
-#: characters; shorter ones can't tell.
-LEAST_SCORE = 0.01
-MOST_RATE = 6.0
-LEAST_TO_TELL = 200
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages (those with the most labelled rows first), their reference texts
-    (as classes of letters) and the alphabet."""
+    """Languages (those with the most labelled rows first), the letters of each (the
+    most frequent first) and their reference texts (as the language's own classes)."""
 
     langs: tuple[str, ...]
+    letters: tuple[str, ...]
     refs: tuple[bytes, ...]
-    alphabet: str
 
 
-def classes(alphabet: str) -> np.ndarray:
-    """Class of every code point: 0 no letter, 1.. the alphabet's letters in either
-    case, then one class for all other letters."""
-    number = {c: i + 1 for i, c in enumerate(alphabet)}
-    other = len(alphabet) + 1
-    return np.fromiter((number.get(chr(i).lower()[:1], other) if chr(i).isalpha() else 0 for i in range(CODE_POINTS)),
-                       dtype=np.uint8, count=CODE_POINTS)
-
-
-def normalise(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all texts, one after the other, runs of non-letters as one 0; and
-    where each text ends.  A text that has letters ends with a 0."""
+def letter_numbers(model_letters: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of every code point: 0 no letter, 1.. the letters (in either case) that any
+    language uses, then one number for all others; and per language the class of every
+    number."""
+    every = sorted(set("".join(model_letters)))
+    number = {c: i + 1 for i, c in enumerate(every)}
+    other = len(every) + 1
+    numbers = np.fromiter((number.get(chr(i).lower()[:1], other) if chr(i).isalpha() else 0 for i in range(CODE_POINTS)),
+                          dtype=np.int32, count=CODE_POINTS)
+    classes = np.full((len(model_letters), other + 1), WIDTH - 1, dtype=np.int32)
+    classes[:, 0] = 0
+    for j, letters in enumerate(model_letters):
+        for rank, c in enumerate(letters):
+            classes[j, number[c]] = 1 + (rank if rank < OWN else OWN + rank % SHARED)
+    return numbers, classes
+
+
+def normalise(texts: list[str], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letter numbers of all texts, one after the other, runs of non-letters as one 0;
+    and where each text ends.  A text that has letters ends with a 0."""
     points = np.frombuffer("".join(f"{t}\n" for t in texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    cls = np.where(points < CODE_POINTS, table[np.minimum(points, CODE_POINTS - 1)], 0).astype(np.uint8)
+    cls = np.where(points < CODE_POINTS, numbers[np.minimum(points, CODE_POINTS - 1)], 0).astype(np.int32)
     keep = cls > 0
     keep[1:] |= cls[:-1] > 0
     ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
@@ -121,13 +126,12 @@ def parse_table(ref: bytes, width: int) -> np.ndarray:
     return table
 
 
-def prepared(model: Model) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The class table and the parse tables, made once per worker process."""
-    width = len(model.alphabet) + 2
-    return held(("langid", model), lambda: (classes(model.alphabet), [parse_table(r, width) for r in model.refs]))
+def prepared(model: Model) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Letter numbers, classes and parse tables, made once per worker process."""
+    return held(("langid", model), lambda: (*letter_numbers(model.letters), [parse_table(r, WIDTH) for r in model.refs]))
 
 
-def count_phrases(codes: np.ndarray, ends: np.ndarray, tables: list[np.ndarray],
+def count_phrases(codes: np.ndarray, ends: np.ndarray, classes: np.ndarray, tables: list[np.ndarray],
                   segment: int = SEGMENT) -> np.ndarray:
     """Phrases of each text (row) under each language (column)."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
@@ -143,13 +147,13 @@ def count_phrases(codes: np.ndarray, ends: np.ndarray, tables: list[np.ndarray],
     if not len(owner):
         return out
     active = np.searchsorted(-length, -np.arange(int(length[0])), side="left")  # segments longer than t
-    steps = [codes[first[:k] + t].astype(np.int32) for t, k in enumerate(active)]
+    steps = [codes[first[:k] + t] for t, k in enumerate(active)]
     for j, table in enumerate(tables):
         state = np.zeros(len(owner), dtype=np.int32)
         count = np.zeros(len(owner), dtype=np.int32)
         for step in steps:
             k = len(step)
-            v = table.take(state[:k] + step)
+            v = table.take(state[:k] + classes[j].take(step))
             count[:k] += v & 3
             np.right_shift(v, 2, out=state[:k])
         count += state > 0  # the phrase that the segment's end cuts off
@@ -157,11 +161,11 @@ def count_phrases(codes: np.ndarray, ends: np.ndarray, tables: list[np.ndarray],
     return out
 
 
-def rates(codes: np.ndarray, ends: np.ndarray, model: Model, tables: list[np.ndarray]) -> np.ndarray:
+def rates(codes: np.ndarray, ends: np.ndarray, model: Model, classes: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """Normalised phrases: phrases * log2(reference length) / characters."""
     sizes = np.diff(ends, prepend=0)
     weight = np.array([np.log2(max(len(r), 2)) for r in model.refs])
-    return count_phrases(codes, ends, tables) * weight / np.maximum(sizes, 1)[:, None]
+    return count_phrases(codes, ends, classes, tables) * weight / np.maximum(sizes, 1)[:, None]
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -169,9 +173,10 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3
 
 
-def sample(docs: DataFrame, per_lang: int, chars: int) -> DataFrame:
-    """(lang, text, count of the language): at most ``per_lang`` documents of each language by the order of
-    a hash, each cut to ``chars`` characters; learnable rows only.
+def sample(docs: DataFrame, per_lang: int, ref_chars: int) -> DataFrame:
+    """(lang, text, count of the language): at most ``per_lang`` documents of each
+    language by the order of a hash, those of at most ``ref_chars`` characters first;
+    learnable rows only, whole texts, no more than fill the reference.
 
     A first pass counts the rows of each language (languages are few: the model
     holds a reference of each); the second keeps about four times the documents
@@ -187,28 +192,32 @@ def sample(docs: DataFrame, per_lang: int, chars: int) -> DataFrame:
     count = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, n)))[F.col("lang")].cast("bigint")
     below = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, int(min(1.0, 4 * per_lang / n) * most))))[F.col("lang")]
     picked = (rows.where(h < below)
-              .select("lang", F.substring("text", 1, chars).alias("text"), h.alias("h"), "doc_id", count.alias("count")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))
-    return picked.withColumn("rank", rank).where(F.col("rank") <= per_lang).orderBy("lang", "rank").select("lang", "text", "count")
+              .select("lang", "text", (F.length("text") > ref_chars).alias("long"), h.alias("h"), "doc_id", count.alias("count")))
+    order = Window.partitionBy("lang").orderBy("long", "h", "doc_id", "text")
+    before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return (picked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
+            .withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < 2 * ref_chars)
+            .orderBy("lang", "rank").select("lang", "text", "count"))
 
 
-def fit(docs: DataFrame, per_lang: int = DOCS_PER_LANG, chars: int = CHARS_PER_DOC, ref_chars: int = REF_CHARS,
-        all_chars: int = ALL_REF_CHARS) -> Model:
+def fit(docs: DataFrame, per_lang: int = DOCS_PER_LANG, ref_chars: int = REF_CHARS, all_chars: int = ALL_REF_CHARS) -> Model:
     """Reference texts from a bounded sample of the learnable rows (lang known,
     crc32(doc_id) mod 3 not 1); columns doc_id, text and lang."""
     texts: dict[str, list[str]] = {}
     known: dict[str, int] = {}
-    for r in sample(docs, per_lang, chars).collect():  # at most per_lang rows of chars a language
+    for r in sample(docs, per_lang, ref_chars).collect():  # a language's share is bounded
         if any(c.isalpha() for c in r["text"]):
             texts.setdefault(r["lang"], []).append(r["text"])
             known[r["lang"]] = r["count"]
     langs = tuple(sorted(texts, key=lambda x: (-known[x], x)))
-    seen = Counter(c for ts in texts.values() for t in ts for c in t.lower() if c.isalpha())
-    alphabet = "".join(sorted(sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]))
-    table = classes(alphabet)
+    letters = []
+    for lang in langs:
+        seen = Counter(c for t in texts[lang] for c in t.lower() if c.isalpha())
+        letters.append("".join(sorted(seen, key=lambda c: (-seen[c], c))))
+    numbers, classes = letter_numbers(tuple(letters))
     limit = min(ref_chars, all_chars // max(len(langs), 1))
-    refs = tuple(normalise(texts[x], table)[0][:limit].tobytes() for x in langs)
-    return Model(langs, refs, alphabet)
+    refs = tuple(classes[j][normalise(texts[x], numbers)[0][:limit]].astype(np.uint8).tobytes() for j, x in enumerate(langs))
+    return Model(langs, tuple(letters), refs)
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,12 +233,12 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     src = columns(docs, doc_id=doc_id, text=text)
 
     def run(batches):
-        table, tables = prepared(model)
+        numbers, classes, tables = prepared(model)
         for piece, texts in chunks(batches):
-            codes, ends = normalise([t or "" for t in texts], table)
+            codes, ends = normalise([t or "" for t in texts], numbers)
             letters = np.diff(ends, prepend=0) > 0
             if model.langs:
-                r = rates(codes, ends, model, tables)
+                r = rates(codes, ends, model, classes, tables)
                 best = np.argmin(r, axis=1)
                 low = r[np.arange(len(r)), best]
                 if len(model.langs) > 1:
@@ -249,23 +258,16 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     return src.mapInArrow(run, f"doc_id {type_of(src, 'doc_id')}, lang_pred string, score double, rate double")
 
 
-def accepted(docs: DataFrame, model: Model, least: float = LEAST_SCORE, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language: not ``und``, and not a text of
-    LEAST_TO_TELL characters or more that fits none (a rate above MOST_RATE and a
-    score below ``least``).  Short texts and ties between languages that fit stay.
-    Columns and repeated rows stay as they are; nothing is shuffled."""
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``predict`` gives a language: those with letters, all of
+    them, however short or undecided.  Columns and repeated rows stay as they are;
+    nothing is shuffled."""
     names = docs.columns
 
     def run(batches):
-        table, tables = prepared(model)
+        numbers, _, _ = prepared(model)
         for piece, texts in chunks(batches, text):
-            codes, ends = normalise([t or "" for t in texts], table)
-            sizes = np.diff(ends, prepend=0)
-            keep = sizes > 0
-            if len(model.langs) > 1:
-                best = np.partition(rates(codes, ends, model, tables), 1, axis=1)[:, :2]
-                ahead = (best[:, 1] - best[:, 0]) >= least * np.maximum(best[:, 1], 1e-12)
-                keep &= ahead | (best[:, 0] <= MOST_RATE) | (sizes < LEAST_TO_TELL)
-            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array(keep))
+            _, ends = normalise([t or "" for t in texts], numbers)
+            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array(np.diff(ends, prepend=0) > 0))
 
     return docs.mapInArrow(run, docs.schema) if model.langs else docs.limit(0)

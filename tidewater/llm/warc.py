@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,20 +74,60 @@ def record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
     return b"".join([b"WARC/1.1\r\n", head.encode(), b"Content-Length: %d\r\n\r\n" % len(block), block, END])
 
 
+def header_fields(lines: list[str]) -> dict[str, str]:
+    """Fields by lower-case name; spaces around values are optional, and a line that
+    begins with a blank goes on with the field before.  Lines without a name are left out."""
+    fields: dict[str, str] = {}
+    name = None
+    for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            fields[name] = f"{fields[name]} {line.strip()}".strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            name = name.strip().lower()
+            fields[name] = value.strip()
+    return fields
+
+
 def records_of(data: bytes):
-    """(fields, block) of each record of an archive."""
+    """(fields, block, fault) of each record of an archive.  A record that is cut short
+    or has no usable length is told as a fault, and reading goes on with the next
+    ``WARC/`` line, so one damaged record costs no other."""
     at = 0
     while at < len(data):
-        stop = data.index(END, at)
-        lines = data[at:stop].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in lines[1:])
-        size = int(fields["Content-Length"])
-        at = stop + 4 + size + 4
-        if data[at - 4:at] != END:
-            raise ValueError("a record is shorter than its length")
-        yield fields, data[stop + 4:at - 4]
+        stop = data.find(END, at)
+        if not data.startswith(b"WARC/", at) or stop < 0:
+            more = data.find(END + b"WARC/", at)
+            if data[at:].strip():
+                yield {}, b"", f"no record at byte {at}"
+            at = len(data) if more < 0 else more + 4
+            continue
+        fields = header_fields(data[at:stop].decode("utf-8", "replace").split("\r\n")[1:])
+        length = fields.get("content-length", "")
+        size = int(length) if length.isascii() and length.isdigit() else -1
+        end = stop + 4 + size
+        if size >= 0 and data[end:end + 4] == END:
+            yield fields, data[stop + 4:end], None
+            at = end + 4
+        else:
+            yield fields, b"", "a record without a length" if size < 0 else "a record is shorter than its length"
+            more = data.find(END + b"WARC/", stop)
+            at = len(data) if more < 0 else more + 4
+
+
+def unzipped(data: bytes) -> tuple[bytes, str | None]:
+    """What can be read of a gzipped archive, and why no more."""
+    out, fault = [], None
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(data) + member.flush())
+        except zlib.error as e:
+            return b"".join(out), f"a member can't be read: {e}"
+        if not member.eof:
+            fault = "a member ends early"
+        data = member.unused_data.lstrip(b"\x00")
+    return b"".join(out), fault
 
 
 def page_records(page, url, payload: bytes, response, own: str, segment: int, chunk: int) -> list[bytes]:
@@ -200,27 +241,35 @@ ARROW_PART = pa.schema([
 def read_records(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """One row per record: whole records are finished on the spot (their payload
     is kept as ``block`` if asked for), segments keep their blocks; ``record_id``
-    of a segment is its origin's."""
+    of a segment is its origin's.  Header names may be in any case, with or without a
+    space after the colon, values may be folded; records of other kinds than responses
+    and revisits come without a payload.  What can't be read is a row with ``fault``
+    (without an id if there is none); the records around it stay."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
 
+    def row(f: dict, block: bytes, fault: str | None) -> dict:
+        kind, segment = f.get("warc-type"), f.get("warc-segment-number")
+        number = int(segment) if segment and segment.isascii() and segment.isdigit() else None
+        total = f.get("warc-segment-total-length")
+        size = found = None
+        if fault is None and segment is not None and number is None:
+            fault = "a segment without a number"
+        if fault is None and segment is None and kind in ("response", "revisit"):
+            size, found, fault, block = finish(kind, block)
+        return {"record_id": f.get("warc-segment-origin-id") or f.get("warc-record-id"), "record_type": kind,
+                "target_uri": f.get("warc-target-uri"), "refers_to": f.get("warc-refers-to"),
+                "digest": (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
+                "segment": number, "total": int(total) if total and total.isascii() and total.isdigit() else None,
+                "block": block if fault is None and (number or payload) else None,
+                "payload_bytes": size, "found": found, "fault": fault}
+
     def run(batches):
-        import gzip
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = []
-                for f, block in records_of(gzip.decompress(batch.column(0)[i].as_py())):
-                    kind, segment = f["WARC-Type"], f.get("WARC-Segment-Number")
-                    size = found = fault = None
-                    if segment is None:
-                        size, found, fault, block = finish(kind, block)
-                    rows.append({
-                        "record_id": f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"], "record_type": kind,
-                        "target_uri": f.get("WARC-Target-URI"), "refers_to": f.get("WARC-Refers-To"),
-                        "digest": (f.get("WARC-Payload-Digest") or "").removeprefix("sha1:") or None,
-                        "segment": segment and int(segment),
-                        "total": int(f["WARC-Segment-Total-Length"]) if "WARC-Segment-Total-Length" in f else None,
-                        "block": block if segment or payload else None,
-                        "payload_bytes": size, "found": found, "fault": fault})
+                data, broken = unzipped(batch.column(0)[i].as_py())
+                rows = [row(*r) for r in records_of(data)]
+                if broken:
+                    rows.append(row({}, b"", broken))
                 yield pa.RecordBatch.from_pylist(rows, schema=ARROW_PART)
 
     return files.mapInArrow(run, PART)
