@@ -107,6 +107,25 @@ def test_nulls_repeats_empty_texts_and_clashing_columns(spark):
     assert mixing.mix(df.limit(0)).collect() == []
 
 
+def test_equal_and_unnamed_rows_spread_over_blocks(spark, monkeypatch):
+    """A third of the rows without id and of one size, a third equal in everything."""
+    rows = [(None, f"{i} b c", "s") for i in range(600)] + [(7, "one two three", "s")] * 600 + [(100 + i, words(i % 9), "s") for i in range(600)]
+    df = spark.createDataFrame([(*r, "1", "2") for r in rows], SCHEMA)
+    blocks = []
+    keep = mixing.materialise
+
+    def watch(out, name):
+        if name == "mix-level0":
+            blocks.append(out)
+        return keep(out, name)
+
+    monkeypatch.setattr(mixing, "materialise", watch)
+    got = mixing.mix(df, block=60).collect()
+    check(got, len(rows), lambda r: r.source)
+    sizes = [r["count"] for r in blocks[0].groupBy("block").count().collect()]
+    assert len(sizes) == 30 and max(sizes) <= 2 * 60
+
+
 def test_mixed_documents_repeat_rows(spark):
     rows = [(1, "a b", "s"), (1, "a b", "s"), (None, "c", None), (2, words(9), "s"), (3, words(4), "t"), (4, words(50), "u")]
     df = spark.createDataFrame([(*r, "1", "2") for r in rows], SCHEMA)

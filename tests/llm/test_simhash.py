@@ -185,7 +185,7 @@ def test_rows_nulls_repeats_and_clashing_columns(spark):
     kept = sh.one_per_group(df)
     assert kept.columns == df.columns
     assert sorted(((r.doc_id, r.text and r.text[:5]) for r in kept.collect()), key=str) == sorted(
-        [(3, "A b c"), (7, ""), (2, "w0 w1"), (None, "a b c"), (None, "alone")], key=str)
+        [(3, "A b c"), (7, ""), (2, "w0 w1"), (None, "alone")], key=str)
     assert sh.near_duplicates(df.limit(0)).collect() == [] and sh.one_per_group(df.limit(0)).collect() == []
 
 

@@ -127,7 +127,8 @@ def settle(size: np.ndarray, p: np.ndarray, draw: np.random.Generator) -> tuple[
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 42, block: int = BLOCK,
         fan_in: int = FAN_IN, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per input row.
+    """(doc_id, source, size, source_size, target, copies, taken, digest), one row per
+    input row; digest is a 64-bit hash of the text.
 
     size: words of the text (null: 0); copies: whole copies that the mix takes,
     the floor or ceiling of target / source_size; taken = copies * size, whose sum
@@ -138,8 +139,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 42, bloc
     they are partitioned.  Writes small tables (no texts) to the shared folder.
     """
     src = columns(docs, doc_id=doc_id, source=source, text=text).select(
-        "doc_id", "source", word_count().alias("size"))
-    sizes = materialise(src, "mix-sizes")
+        "doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("digest"))
+    # Equal rows are counted and numbered, so blocks stay even however many there are.
+    sizes = materialise(src.groupBy(*src.columns).agg(F.count(F.lit(1)).alias("rows"))
+                        .withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("rows"), "mix-sizes")
     aims = targets(sizes, weights, cap)
     x = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     whole = F.floor(x + F.lit(1e-12))
@@ -147,12 +150,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 42, bloc
     blocks = F.greatest(F.ceil(F.col("n_docs") / F.lit(block)), F.lit(1))
     rows = (sizes.join(aims.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
             .select("doc_id", "source", "size", "source_size", "target", F.col("rank").alias("src"),
-                    F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "size").alias("h"),
+                    F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "size", "digest", "nth").alias("h"), "digest",
                     whole.cast("int").alias("copies"),
                     F.when((F.col("size") > 0) & (part > 1e-12), part).otherwise(F.lit(0.0)).alias("p"), blocks.alias("blocks")))
     rows = rows.withColumn("block", F.pmod("h", "blocks")).drop("blocks")
     schema = (f"doc_id {type_of(src, 'doc_id')}, source {type_of(src, 'source')}, size bigint, source_size bigint, "
-              "target double, src bigint, h bigint, copies int, p double, block bigint")
+              "target double, src bigint, h bigint, digest bigint, copies int, p double, block bigint")
 
     def level(df: DataFrame, number: int, last: bool) -> DataFrame:
         def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
@@ -183,25 +186,30 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, seed: int = 42, bloc
     for more in out[1:]:
         result = result.unionByName(more)
     return result.select("doc_id", "source", "size", "source_size", "target", "copies",
-                         (F.col("copies") * F.col("size")).alias("taken"))
+                         (F.col("copies") * F.col("size")).alias("taken"), "digest")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as ``mix`` takes it.
+    """The mix itself: every row of ``docs`` as often as ``mix`` takes it.  Columns stay
+    as they are, whatever they are called.
 
-    Rows are matched to their copies by doc_id, source and size; among rows equal
-    in all three, the numbers of copies are dealt out in a fixed order.
+    Rows are matched to their copies by doc_id, source, size and text; texts move
+    once at most.  Of rows equal in all four each gets the whole part of its share, and
+    some one more, in any order.
     """
-    key = ["doc_id", "source", "size"]
-    copies = (mix(docs, **options).groupBy(*key)
-              .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")))
-    names = docs.columns
-    left = docs.withColumn("_size", word_count())
-    right = copies.select(*(F.col(c).alias(f"_key_{c}") for c in key), "_copies")
-    same = (F.col("doc_id").eqNullSafe(F.col("_key_doc_id")) & F.col("source").eqNullSafe(F.col("_key_source"))
-            & (F.col("_size") == F.col("_key_size")))
     from pyspark.sql import Window
-    at = F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text")))
-    return (left.join(right, same, "left").withColumn("_n", F.get("_copies", at - 1))
-            .where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-            .select(*(F.col(f"`{c}`") for c in names)))
+    key = ["doc_id", "source", "size", "digest"]
+    found = (mix(docs, **options).groupBy(*key).agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("rows"))
+             .where("total > 0").select(*(F.col(c).alias(f"mix_{c}") for c in key), "total", "rows"))
+    rows = docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("digest"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"mix_{c}"))
+    taken = rows.join(found, same)
+    one = taken.where("rows = 1").select("row", F.col("total").alias("n"))
+    at = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    more = taken.where("rows > 1").withColumn("at", at).select(
+        "row", (F.floor(F.col("total") / F.col("rows")) + F.when(F.col("at") <= F.col("total") % F.col("rows"), 1).otherwise(0)).alias("n"))
+    return (one.unionByName(more).where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+            .select("row.*"))

@@ -389,15 +389,18 @@ def hex_digits(fp: str = "fp"):
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, distance: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the least
-    doc_id; rows equal in doc_id and text count once.  Columns stay as they are.
+    doc_id (rows without an id come last, by a digest of the text); rows equal in
+    doc_id and text count once.  Columns stay as they are, whatever they are called.
 
-    Rows without an id can't be named as duplicates of another, so they stay.
+    Groups are found on digests of the texts, so rows without an id are grouped like
+    others; texts move once, and a row that many others equal is combined before it does.
     """
-    from pyspark.sql import Window
-    groups = near_duplicates(docs, shingle, distance)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
-    ranked = (docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-              .withColumn("_text", F.xxhash64("text")).withColumn("_nth", nth))
-    return ranked.where("_nth = 1").select(*names).unionByName(docs.where("doc_id is null").select(*names))
+    digest = F.md5(F.coalesce("text", F.lit(""))).alias("digest")
+    groups = near_duplicates(docs.select(digest.alias("doc_id"), F.col("text").alias("text")), shingle, distance)
+    of_text = groups.groupBy(F.col("doc_id").alias("digest")).agg(F.min("component_id").alias("group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    best = (docs.select("doc_id", digest).join(of_text, "digest").groupBy("group").agg(F.min(order).alias("best"))
+            .select(F.col("best.doc_id").alias("best_id"), F.col("best.digest").alias("best_digest")))
+    rows = docs.select("doc_id", digest, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kept = rows.join(best, F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("digest") == F.col("best_digest")), "left_semi")
+    return kept.groupBy("doc_id", "digest").agg(F.first("row").alias("row")).select("row.*")
