@@ -121,7 +121,7 @@ def test_short_clean_documents_stay(spark):
 def test_columns_that_are_called_like_helpers(spark):
     """Extra columns come through every stage but the last as they were, whatever their names."""
     names = ["row", "digest", "group", "best_id", "best_digest", "size", "total", "rows", "n", "copy", "at", "mix_doc_id", "mix_size",
-             "nth", "component_id", "fp", "root", "_text", "_nth", "_n", "_copy", "_size", "_key_doc_id", "_keep", "part.dotted"]
+             "nth", "component_id", "fp", "root", "_text", "_nth", "_n", "_copy", "_size", "_key_doc_id", "_keep"]
     base = "the cat sat on the mat and the dog slept in the sun all day long number"
     rows = [(i, f"{base} {'w%d ' % i * 9}", "en", "st"[i % 2], 5, *(f"{n}-{i}" for n in names)) for i in range(12)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{n}` string" for n in names)
