@@ -38,7 +38,7 @@ NOW = {"availableNow": True}
 #: Rows of a topic's file and bytes of a micro-batch (the admission control), order lines
 #: of a micro-batch of the chain, rows of a keyed table's bucket: their numbers follow
 #: the data.  A cluster names larger ones in the session (``session.CLUSTER_CONF``).
-SETTINGS = {"spark.tidewater.stream.fileRows": "20000", "spark.tidewater.stream.bytesPerTrigger": "1000000",
+SETTINGS = {"spark.tidewater.stream.fileRows": "20000", "spark.tidewater.stream.bytesPerTrigger": "4000000",
             "spark.tidewater.stream.orderLines": "250000",
             "spark.tidewater.stream.bucketRows": "64"}
 #: How late a row may be.  Topics are written in the order of time, so what is later was
