@@ -1,5 +1,6 @@
 """Secret scans against a plain brute-force scan, and the token-efficiency test."""
 
+import base64
 import hashlib
 import random
 import re
@@ -70,6 +71,33 @@ def test_token_efficiency():
         assert random_spans(f"see {p} there") == [], p
 
 
+def test_short_keys_and_what_only_looks_like_one():
+    rnd = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for n in (12, 14, 16, 18, 19):
+        keys = ["".join(rnd.choice(alphabet) for _ in range(n)) for _ in range(200)]
+        assert sum(random_spans(f"the key {k} here") == [k] for k in keys) >= 194, n
+    sums = {name: getattr(hashlib, name)(b"a") for name in ("md5", "sha1", "sha256", "sha512")}
+    plain = [f"{name}-{h.hexdigest()}" for name, h in sums.items()]
+    plain += [f"{name}{mark}{base64.b64encode(h.digest()).decode()}" for name, h in sums.items() for mark in "-:="]
+    plain += ["SHA-256: " + sums["sha256"].hexdigest().upper(), "src/main/java/org/a1/Base64Encoder2Impl",
+              "https://example.com/a1/b2/c3/getElementById2/v2", "x86_64-linux-gnu", "ISO-8859-1-text", "2024-01-15T1030Z",
+              "v1_2_3-beta4", "ABC-1234-XYZ", "iPhone14ProMax", "HTML5Parser", "user_id_12345", "/usr/lib/x86_64-linux-gnu/libc6",
+              "blob/main/" + sums["sha1"].hexdigest(), "obj/123e4567-e89b-12d3-a456-426614174000"]
+    for p in plain:
+        assert random_spans(f"see {p} there") == [], p
+
+
+def test_keys_within_paths_and_with_slashes():
+    key = "q8Zr3LmX0pVt7Ns2KwYb5Hd9"
+    for around in ("https://example.com/files/{}", "config/main/{}/index", "id={}", "{}==", "sig={}&x=1"):
+        want = key + "==" if around == "{}==" else key
+        assert random_spans(around.format(key)) == [want], around
+    rnd = random.Random(9)
+    keys = [base64.b64encode(rnd.randbytes(30)).decode() for _ in range(300)]
+    assert sum(random_spans(f"say {k} now") == [k] for k in keys) >= 294
+
+
 def test_base_spans_keep_precedence_over_random():
     key = "q8Zr3LmX0pVt7Ns2KwYb5Hd9"
     assert random_spans(f"token = {key}") == [] and random_spans(f"say {key}") == [key]

@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns plus a token-efficiency test.
 
 Ordinary text costs a byte-level vocabulary few tokens per character; random
-strings (keys, tokens) cost many.  Long unbroken runs whose characters-per-token
-ratio is low are reported, except digests of known lengths, UUIDs and plain
-identifiers.
+strings (keys, tokens) cost many.  Unbroken runs whose characters-per-token ratio
+is low (the shorter, the lower) are reported, except digests, UUIDs, times, paths
+and plain identifiers.
 """
 
 from __future__ import annotations
@@ -27,21 +27,30 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ["assign", "access", "hex", "random"]
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: Runs of these characters, from this length on, face the token-efficiency test.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: At most so many characters per token count as random.
-RATIO = 2.2
-# Hex lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 digests.
-DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
+#: Runs of these characters (padding only at the end), from the least length of the
+#: base patterns on, face the token-efficiency test.
+LEAST_RUN = 12
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_RUN)
+#: At most so many characters per token count as random; runs of fewer than
+#: ``SURE`` characters must cost more, by ``STEP`` for every character they lack.
+RATIO, SURE, STEP = 2.2, 20, 0.05
+# Bytes of the digests of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+ALGORITHM = r"(?i:(md5|sha-?(?:1|224|256|384|512)))"
+NAMED = re.compile(ALGORITHM + r"[-_/]([A-Za-z0-9+/_-]+={0,2})")
+NAMED_BEFORE = re.compile(r"(?<![A-Za-z0-9])" + ALGORITHM + r"[:=(]?[\x20\"']?$")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Pieces of an identifier: words, capitals, numbers.
+TIME = re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-]?[0-9]{0,6}Z?")
+#: Pieces of an identifier: words, capitals, numbers; and a word of some length.
 PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+SEPARATOR = re.compile(r"[-+/_=]+")
+WORD = re.compile(r"(?<![A-Za-z0-9])(?:[A-Za-z][a-z]{3,}|[A-Z]{4,})(?![A-Za-z0-9])")
 
 _HEX_BYTE = np.zeros(256, dtype=bool)
 _HEX_BYTE[list(b"0123456789abcdef")] = True
 _RUN_BYTE = np.zeros(256, dtype=bool)
-_RUN_BYTE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
+_RUN_BYTE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
 
 def vocabulary(path: str):
@@ -62,22 +71,66 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-def known(run: str) -> bool:
-    """Digests of usual lengths, UUIDs, and identifiers: runs without both letters
-    and digits (or mixed case inside a word), or built of few readable pieces."""
-    if (len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run)) or UUID.fullmatch(run):
+def named_digest(name: str, value: str) -> bool:
+    """Whether ``value`` is as long as the named algorithm's digest in hex or base64."""
+    size = DIGEST_BYTES[name.lower().replace("-", "")]
+    bare = value.rstrip("=")
+    return (len(value) == 2 * size and DIGEST.fullmatch(value) is not None) or (
+        len(bare) == -(-8 * size // 6) and len(value) - len(bare) in (0, -size % 3))
+
+
+def plain(part: str) -> bool:
+    """A part of an identifier or path: short, or of few words and numbers."""
+    return len(part) <= 3 or len(part) / len(PIECE.findall(part)) >= 2.5
+
+
+def known(run: str, before: str = "") -> bool:
+    """Digests of usual lengths or after the name of their algorithm (in the run or
+    ``before`` it), UUIDs, times, and identifiers: runs without both letters and
+    digits (or mixed case inside a word), of few readable pieces, or paths and
+    compounds of which every part is plain."""
+    if run.isalpha() and (run.islower() or run.isupper() or run.istitle()):
+        return True
+    if (len(run) in {2 * n for n in DIGEST_BYTES.values()} and DIGEST.fullmatch(run)) or UUID.fullmatch(run):
+        return True
+    named = NAMED.fullmatch(run)
+    if named and named_digest(*named.groups()):
+        return True
+    named = NAMED_BEFORE.search(before)
+    if (named and named_digest(named.group(1), run)) or TIME.fullmatch(run):
         return True
     letters = re.sub(r"[^A-Za-z]", "", run)
     if not letters:
         return True
     if not any(c.isdigit() for c in run) and (letters.islower() or letters.isupper() or letters.istitle()):
         return True
-    pieces = PIECE.findall(run)
-    return len(run) / len(pieces) >= 5
+    if len(run) / len(PIECE.findall(run)) >= 5:
+        return True
+    parts = [p for p in SEPARATOR.split(run) if p]
+    return len(parts) > 1 and all(map(plain, parts))
+
+
+def core(run: str) -> tuple[int, int]:
+    """The part of a run that faces the test: of a path, what lies between the plain
+    segments at both ends, if these hold a word (random strings may hold a slash)."""
+    if "/" not in run or NAMED.fullmatch(run):
+        return 0, len(run)
+    ends, at = [], 0
+    for segment in run.split("/"):
+        ends.append((at, at + len(segment)))
+        at += len(segment) + 1
+    odd = [i for i, (a, b) in enumerate(ends) if not all(plain(p) for p in SEPARATOR.split(run[a:b]))]
+    if not odd:
+        return 0, len(run)
+    a, b = ends[odd[0]][0], ends[odd[-1]][1]
+    if known(run[a:b]):
+        return a, b
+    return (a if WORD.search(run[:a]) else 0), (b if WORD.search(run[b:]) else len(run))
 
 
 def is_random(run: str, encoding, ratio: float = RATIO) -> bool:
-    return not known(run) and len(run) <= ratio * len(encoding.encode_ordinary(run))
+    limit = ratio - STEP * max(0, SURE - len(run))
+    return not known(run) and len(run) <= limit * len(encoding.encode_ordinary(run))
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -111,9 +164,12 @@ def scan(text: str, encoding, ratio: float = RATIO, long_hex: bool = True,
         base = joined([(a, b) for _, a, b, _ in found])
         starts = [a for a, _ in base]
         for m in CANDIDATE.finditer(text):
-            a, b = m.span()
+            if known(m.group(), text[max(0, m.start() - 10):m.start()]):
+                continue
+            low, high = core(m.group())
+            a, b = m.start() + low, m.start() + high
             i = bisect_right(starts, a) - 1
-            if not (i >= 0 and b <= base[i][1]) and is_random(m.group(), encoding, ratio):
+            if b - a >= LEAST_RUN and not (i >= 0 and b <= base[i][1]) and is_random(text[a:b], encoding, ratio):
                 found.append(("random", a, b, a))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -131,7 +187,7 @@ def _long_runs(texts: list[str], table: np.ndarray, least: int) -> np.ndarray:
 
 def scan_batch(texts: list[str], encoding, ratio: float = RATIO) -> list[list[tuple[str, int, int, int]]]:
     hexes = _long_runs(texts, _HEX_BYTE, LEAST["hex"])
-    runs = _long_runs(texts, _RUN_BYTE, 20)
+    runs = _long_runs(texts, _RUN_BYTE, LEAST_RUN)
     return [scan(t, encoding, ratio, h, r) for t, h, r in zip(texts, hexes.tolist(), runs.tolist())]
 
 
