@@ -60,6 +60,31 @@ def test_fit_is_orthogonal_and_bounded():
     assert len(ann.fit(np.ones((50, 4)), 50, 10).centres) == 1
 
 
+def test_lists_grow_with_the_rows_from_one_bounded_sample():
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(4000, 8)) + 6 * draw.normal(size=(20, 8))[draw.integers(0, 20, 4000)]
+    for rows, lists in ((100, 10), (4_096, 64), (40_000, 64 * 4), (160_000, 64 * 7)):
+        index = ann.fit(x, rows, 10, level=64)
+        assert index.lists == lists and 1 <= index.probes <= lists
+        own = index.place(x)
+        pairs = (index.centres[:, None] + index.finer[None]).reshape(-1, 8)
+        assert own.min() >= 0 and own.max() < lists and sorted(index.order(x[0])) == list(range(lists))
+        assert (np.diff(((x[0] - pairs[index.order(x[0])]) ** 2).sum(1)) > -1e-9).all()
+    assert index.probes < lists / 4
+
+
+def test_search_over_two_levels_and_a_list_that_all_ask_for(spark):
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(6000, 8)) + 6 * draw.normal(size=(12, 8))[draw.integers(0, 12, 6000)]
+    x[::100] = x[0] + draw.normal(size=(60, 8)) / 100  # all queries and their neighbours in one place
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]).repartition(4)
+    x = x.astype(np.float32).astype(np.float64)
+    want = brute(np.arange(6000), x, range(0, 6000, 100))
+    got = rows_by_query(ann.search(df, F.col("vec_id") % 100 == 0, level=8, block=50, query_block=4))
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) >= 0.95 * 600
+
+
 def frame(spark, rows, extra=True):
     return spark.createDataFrame([(*r, "a", 1) for r in rows], "vec_id bigint, embedding array<float>, rep string, list int")
 
