@@ -124,3 +124,16 @@ def test_query_accuracy_on_held_out_rows(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.98 * len(held)
+
+
+def test_a_segment_adds_at_most_one_phrase():
+    draw = np.random.default_rng(8)
+    refs = [draw.integers(0, 5, 400).astype(np.uint8).tobytes() for _ in range(3)]
+    texts = [draw.integers(0, 6, n).astype(np.uint8) for n in (1, 50, 700, 3000)]
+    codes, ends = np.concatenate(texts).astype(np.int32), np.cumsum([len(t) for t in texts])
+    classes, tables = np.tile(np.arange(6, dtype=np.int32), (3, 1)), [langid.parse_table(r, 6) for r in refs]
+    whole = langid.count_phrases(codes, ends, classes, tables, 1 << 20)
+    for segment in (16, 128, 1024):
+        more = langid.count_phrases(codes, ends, classes, tables, segment) - whole
+        cuts = np.array([-(-len(t) // segment) - 1 for t in texts])[:, None]
+        assert (more >= 0).all() and (more <= cuts).all()
