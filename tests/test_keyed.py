@@ -94,3 +94,10 @@ def test_insert_absent(spark, tmp):
     t.insert_absent(spark.createDataFrame([("e3", 100), ("e42", 7), (None, 9)], "id string, t int"), ["t"])
     got = rows_of(t)
     assert len(got) == 12 and got["e1"] == (-1,) and got["e3"] == (3,) and got["e42"] == (7,) and got[None] == (3,)
+
+
+def test_buckets_stay_bounded_when_the_hash_fills_them_unevenly(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/t", "id", {"n": "sum"}, bucket_rows=8)
+    t.append(spark.range(350).select("id", F.lit(1).alias("n")), 0)  # 64 buckets of 5.5 rows on average
+    assert max(b["rows"] for b in t.manifest()["buckets"]) <= 8
+    assert rows_of(t) == {i: (1,) for i in range(350)}

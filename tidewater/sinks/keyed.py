@@ -28,6 +28,8 @@ from tidewater.session import delete_path
 #: Rows and deltas that a bucket may hold.
 BUCKET_ROWS = 1_000_000
 DELTAS = 8
+#: Bits of the hash that a bucket has at most: the directory has two to that many entries.
+DEEPEST = 20
 
 COMBINE = {"sum": F.sum, "max": F.max, "min": F.min, "any": F.any_value}
 
@@ -112,7 +114,18 @@ class KeyedTable:
             for i in range(b["bits"], 1 << depth, 1 << b["depth"]):
                 directory[i] = self._id(b["depth"], b["bits"])
         slot = F.pmod(F.xxhash64(*self.keys), F.lit(1 << depth)).cast("int") + 1
-        return F.element_at(F.array(*map(F.lit, directory)), slot)
+        return F.element_at(F.expr(f"array({', '.join(map(str, directory))})"), slot)
+
+    def _fitting(self, rows: DataFrame, targets: list[dict]) -> list[dict]:
+        """The targets, split further until none of them gets more of ``rows`` than it may
+        hold: the hash fills them evenly only on average."""
+        while True:
+            sizes = {r[0]: r[1] for r in rows.groupBy(self._bucket(targets)).count().collect()}  # a row per bucket
+            full = [b for b in targets if sizes.get(self._id(b["depth"], b["bits"]), 0) > self.bucket_rows and b["depth"] < DEEPEST]
+            if not full:
+                return targets
+            targets = [b for b in targets if b not in full] + [
+                {**b, "depth": b["depth"] + 1, "bits": b["bits"] | i << b["depth"]} for b in full for i in range(2)]
 
     def _combined(self, df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
         """One row per key, in the stored types (those of the first commit's sums)."""
@@ -148,7 +161,7 @@ class KeyedTable:
         schema = T.StructType.fromJson(old["schema"]) if old else self._combined(batch).schema
         buckets = old["buckets"] if old else [{"depth": 0, "bits": 0, "rows": 0, "folders": []}]
         commit = uuid.uuid4().hex
-        fresh = self._combined(batch, schema).persist()
+        fresh, full = self._combined(batch, schema).persist(), None
         try:
             new = {r[0]: r[1] for r in fresh.groupBy(self._bucket(buckets)).count().collect()}  # a row per bucket
             if not new and old is not None:
@@ -165,7 +178,6 @@ class KeyedTable:
                                 for i in range(1 << split)]
                 else:
                     kept.append(b)
-            after = kept + targets
             gone = [self._id(b["depth"], b["bits"]) for b in rewritten]
             rows = fresh.select(*columns)
             if rewritten:
@@ -173,12 +185,17 @@ class KeyedTable:
                 full = rows.filter(was.isin(gone))
                 if old is not None:
                     full = full.unionByName(self._rows(old, rewritten).select(*columns))
-                rows = rows.filter(~was.isin(gone)).unionByName(self._combined(full, schema))
+                full = self._combined(full, schema).persist()
+                targets = self._fitting(full, targets)
+                rows = rows.filter(~was.isin(gone)).unionByName(full)
+            after = kept + targets
             # A bucket's rows of a commit go into one file: they are bounded, since full buckets are split first.
             (rows.withColumn("bucket", self._bucket(after)).repartition("bucket")
              .write.partitionBy("bucket").parquet(f"{self.path}/data/{commit}"))
         finally:
             fresh.unpersist()
+            if full is not None:
+                full.unpersist()
         sizes = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.path}/data/{commit}").groupBy("bucket").count().collect()}
         out = []
         for b in after:
