@@ -356,3 +356,19 @@ def test_exact_parts_over_batches(spark, tmp):
 def M_key(r):
     import json
     return json.dumps({c: r[c] for c in ("device_type", "browser", "operating_system", "hour") if r[c] is not None}, separators=(",", ":"))
+
+
+def test_batches_do_not_grow_in_number(spark):
+    from tidewater.plans import streams
+    for name in ("fileRows", "orderLines", "bytesPerTrigger"):
+        spark.conf.unset(f"spark.tidewater.stream.{name}")
+    for whole in (10, 10_000, 10_000_000):
+        share = streams.batch_share(spark, "orderLines", whole, 1, 10 ** 9)
+        assert share >= 1 and -(-whole // share) <= streams.BATCHES
+    assert streams.batch_share(spark, "orderLines", 3, 2, 10) == 2  # small topics as the defaults say
+    assert streams.batch_share(spark, "orderLines", 10_000, 1, 10) == 10  # not beyond a cluster's batch
+    spark.conf.set("spark.tidewater.stream.orderLines", "250000")
+    try:
+        assert streams.batch_share(spark, "orderLines", 10_000, 1, 10) == 1  # what the session names counts
+    finally:
+        spark.conf.unset("spark.tidewater.stream.orderLines")
