@@ -264,3 +264,11 @@ def test_write_chain_tables_once(spark, tmp_path):
     assert got == want
     k = spark.read.parquet(paths["order_kpis"]).first()
     assert k.total_orders == spark.read.parquet(paths["order_status"]).count()
+
+
+def test_stock_check_spreads_its_rows(spark):
+    lines = spark.createDataFrame([(i, 0, f"p{i % 7}", float(i % 5)) for i in range(200)], "order_id int, pos int, product_id string, quantity double")
+    stock = spark.createDataFrame([(f"p{i}", 2.0) for i in range(6)], "product_id string, stock double")
+    many = O.stock_check(lines, stock, task_rows=2)
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().toString() and ", 100)" in many._jdf.queryExecution().toString()
+    assert sorted(map(str, many.collect())) == sorted(map(str, O.stock_check(lines, stock).collect()))

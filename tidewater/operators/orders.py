@@ -113,27 +113,38 @@ def validate_orders(totals: DataFrame) -> DataFrame:
         "reason", F.when(~valid, "no_items"))
 
 
+#: Rows that one task of ``stock_check`` sorts or groups, about.
+TASK_ROWS = 1_000_000
+
+
 def stock_check(lines: DataFrame, stock: DataFrame, order_col: str = "order_id",
                 product_col: str = "product_id", qty: str = "quantity",
-                pos: str = "pos") -> DataFrame:
+                pos: str = "pos", task_rows: int = TASK_ROWS) -> DataFrame:
     """Each order against the initial stock, all items at once.
 
     Lines of one product are summed first, so two lines cannot each pass
     alone and oversell together.  Unknown products have 0 stock and the
     reason ``Product not found``.  The first failing item (by position) is
-    reported.
+    reported.  Where the session's shuffle partitions would hold more than ``task_rows``
+    rows each, there are as many more of them as that takes.
     """
-    demand = lines.groupBy(order_col, product_col).agg(F.sum(qty).alias("requested"),
+    spark = lines.sparkSession
+    tasks = -(-lines.count() // task_rows)
+
+    def spread(df: DataFrame, by: str) -> DataFrame:
+        return df.repartition(tasks, by) if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else df
+
+    demand = spread(lines, order_col).groupBy(order_col, product_col).agg(F.sum(qty).alias("requested"),
                                                        F.min(pos).alias("pos"))
     s = stock.select(product_col, F.col("stock").cast("double").alias("available"))
-    j = (demand.join(s, product_col, "left")
+    j = (spread(demand, product_col).join(spread(s, product_col), product_col, "left")
          .withColumn("found", F.col("available").isNotNull())
          .withColumn("available", F.coalesce("available", F.lit(0.0)))
          .withColumn("fails", F.col("requested") > F.col("available")))
     first = F.min_by(F.struct(F.col(product_col).alias("failed_product"), "available", "requested",
                               "found"),
                      F.when(F.col("fails"), F.struct("pos", product_col)))
-    agg = j.groupBy(order_col).agg(F.bool_and(~F.col("fails")).alias("all_available"),
+    agg = spread(j, order_col).groupBy(order_col).agg(F.bool_and(~F.col("fails")).alias("all_available"),
                                    first.alias("f"))
     return agg.select(
         order_col, "all_available",
