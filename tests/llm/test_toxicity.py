@@ -144,3 +144,69 @@ def test_toxic_tail_of_long_texts(spark):
     held = tox.score(docs, net).where(tox.fold() == 0).collect()
     found = sum(r.predicted for r in held if r.doc_id % 2)
     assert found >= 0.9 * sum(r.doc_id % 2 for r in held) and sum(r.predicted for r in held if r.doc_id % 2 == 0) <= 2
+
+
+def labelled(spark, n=600):
+    """Clean words in two languages; toxic rows hold a common or a rare toxic word."""
+    rnd = random.Random(9)
+    words = {"aa": [f"un{c}" for c in "abcdefgh"], "bb": [f"of{c}" for c in "abcdefgh"]}
+    rows = []
+    for i in range(n):
+        lang = "ab"[i % 2] * 2
+        t = [rnd.choice(words[lang]) for _ in range(12)]
+        if i % 3 == 0:
+            t[rnd.randrange(12)] = "slur"
+        rows.append((i, " ".join(t), lang, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, toxic int")
+    return docs.select("doc_id", "text", "lang"), docs.select("doc_id", "toxic"), rows
+
+
+def test_learns_from_rows_outside_the_sample(spark):
+    docs, labels, rows = labelled(spark)
+    first = {r.doc_id for r in tox.sample(docs, labels, 20, 20).collect()}
+    later = [r[0] for r in rows if r[3] and r[0] not in first]
+    assert len(first) < 60 and len(later) > 100
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(later), F.replace("text", F.lit("slur"), F.lit("zzscum")))
+                           .otherwise(F.col("text")))
+    for more in ({}, {"share_rows": 100}):
+        net = tox.fit(docs, labels, 20, 20, **more)
+        held = tox.score(docs, net).where(tox.fold() == 0).collect()
+        assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in held) >= 0.97 * len(held)
+
+
+def test_counts_and_thresholds_of_all_rows(spark):
+    docs, labels, rows = labelled(spark)
+    net = tox.fit(docs, labels, 20, 20, share_rows=150)
+    learn = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    fit_on = np.array([zlib.crc32(b"cut:%d" % r[0]) % 5 != 0 for r in learn])
+    want = tox.Net(net.embed, net.conv, net.bias, net.out, net.out_bias)
+    tox.calibrate(want, [r[1] for r in learn], np.array([r[3] for r in learn]), [r[2] for r in learn], fit_on)
+    assert net.langs == want.langs == ("aa", "bb") and np.array_equal(net.evidence, want.evidence)
+    assert net.cut == pytest.approx(want.cut, abs=2 / tox.GRID) and set(net.cuts) == set(want.cuts) == {"aa", "bb"}
+    assert all(net.cuts[x] == pytest.approx(want.cuts[x], abs=2 / tox.GRID) for x in net.cuts)
+
+
+def test_shares_are_trained_on_whole_and_averaged(spark, monkeypatch):
+    docs, labels, rows = labelled(spark, 120)
+    rows = docs.join(labels, "doc_id")
+    h = F.xxhash64(F.col("doc_id").cast("string"))
+
+    def go(shares):
+        sums = tox.fresh_sums(tox.fresh(7))
+        net = tox.train(["slur una", "una unb"], np.array([1, 0]), epochs=2, sums=sums)
+        return net, sums, tox.train_on(rows.repartition(shares, "doc_id"), net, sums, tox.weights(1 / 3)) if shares else None
+
+    got, _, counts = go(1)
+    want, sums, _ = go(0)
+    order = rows.orderBy(h).collect()
+    y = np.array([r.toxic for r in order])
+    for a in range(0, 120, 24):
+        tox.step(want, sums, [tox.tokenise([r.text]) for r in order[a:a + 24]], y[a:a + 24],
+                 tox.weights(1 / 3)[y[a:a + 24]], tox.RATE)
+    assert np.allclose(got.embed, want.embed, atol=1e-5) and np.allclose(tox.dense(got), tox.dense(want), atol=1e-5)
+    assert sum(c.sum() for c in counts.values()) == 120 * 12
+    a, b = go(3)[0], go(3)[0]
+    assert np.array_equal(a.embed, b.embed) and np.array_equal(tox.dense(a), tox.dense(b))
+    assert not np.array_equal(a.embed, got.embed)
+    monkeypatch.setattr(tox, "BLOCK_WORDS", 5)  # blocks that cut through texts
+    assert np.array_equal(go(3)[0].embed, a.embed)
