@@ -35,6 +35,63 @@ def test_forward_equals_plain_loops(monkeypatch):
     assert np.allclose(tox.logits(net, TEXTS)[0], want, atol=1e-4)
 
 
+ODD = ["", "É É 12é_x", "ΑΣ Σ ΟΔΟΣ.", "漢字" * 40 + " 漢字 ½ Ⅷ ² ٣ x", "\ud800abc \U0001F600 \U0001D4B3y a\0b", "İstanbul ǅ x\u0301y", "\0",
+       *("é" * (n // 2) + "a" * n for n in (3, 4, 5, 6, 7, 31, 32, 33, 47, 48, 49, 500)), "a" * 48 + "b " + "a" * 48 + "c"]
+
+
+def test_words_of_many_texts_are_hashed_together(monkeypatch):
+    """Each word's buckets are those of ``features``, found without a call a word."""
+    texts = ODD + [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), *TEXTS]
+    want = [[tox.features(w) for w in tox.LETTERS.findall(t.lower())] for t in texts]
+
+    def one_by_one(word):
+        raise AssertionError("hashed word by word")
+
+    monkeypatch.setattr(tox, "features", one_by_one)
+    rows, words, starts = tox.tokenise(texts)
+    alone = [tox.tokenise([t]) for t in texts]
+    for i, found in enumerate(want):
+        assert [tuple(rows[c]) for c in words[starts[i]:starts[i] + len(found)]] == found
+        end = starts[i + 1] if i + 1 < len(texts) else len(words)
+        assert (words[starts[i] + len(found):end] == len(rows)).all() and end - starts[i] == max(len(found), 1) + 2
+    assert len(rows) == len({w for t in texts for w in tox.LETTERS.findall(t.lower())})
+    each = tox.tokenise_each(texts)
+    assert len(each) == len(texts) and all(np.array_equal(a, b) for x, y in zip(each, alone) for a, b in zip(x, y))
+    assert tox.tokenise([])[0].shape == (0, 3) and tox.tokenise_each([]) == []
+
+
+def test_many_distinct_words_need_no_table_of_all(monkeypatch):
+    net = tox.fresh(3)
+    want = tox.logits(net, TEXTS)[0]
+    monkeypatch.setattr(tox, "TABLE_WORDS", 0)
+    assert np.allclose(tox.logits(net, TEXTS)[0], want, atol=1e-5)
+
+
+def test_gradients_equal_small_differences():
+    texts, y, weight = ["una slur of una", "of the cat sat on una una"], np.array([1, 0]), np.array([2.0, 0.7])
+    net, sums = tox.fresh(5), tox.fresh_sums(tox.fresh(5))
+    net.bias = [b + np.float32(0.3) for b in net.bias]
+
+    def loss():
+        z = np.array([plain_logit(net, t) for t in texts])
+        return float((weight * (np.log1p(np.exp(z)) - y * z)).mean())
+
+    slopes, places = [], [(net.conv[0][0], (3, 5)), (net.conv[1][1], (2, 7)), (net.conv[2][2], (9, 1)), (net.bias[1], 4), (net.out, 20),
+                          (net.conv[2][0], (0, 0)), (net.bias[2], 15)]
+    for part, at in places:
+        kept, ends = part[at], []
+        for by in (1e-3, -1e-3):
+            part[at] = kept + np.float32(by)
+            ends.append((loss(), float(part[at])))
+        part[at] = kept
+        slopes.append((ends[0][0] - ends[1][0]) / (ends[0][1] - ends[1][1]))
+    tox.step(net, sums, tox.tokenise_each(texts), y, weight, tox.RATE)
+    found = [sums["conv"][0][0, 3, 5], sums["conv"][1][1, 2, 7], sums["conv"][2][2, 9, 1], sums["bias"][1][4], sums["out"][20],
+             sums["conv"][2][0, 0, 0], sums["bias"][2][15]]
+    assert np.allclose(np.sqrt(np.maximum(np.array(found) - 1e-8, 0)), np.abs(slopes), rtol=0.02, atol=2e-4)
+    assert max(np.abs(slopes)) > 0.01
+
+
 def test_training_separates_words_and_unseen_forms():
     rnd = random.Random(1)
     clean = ["the", "cat", "sat", "mat", "dog", "over", "house"]

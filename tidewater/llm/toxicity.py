@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import chunks, columns, id_column, type_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Hashed entries, embedding size, filter widths and filters of each width.
+#: Hashed entries (a power of two, at most 1 << 16), embedding size, filter widths (rising),
+#: filters of each width and letters of the two stems.
 BUCKETS = 1 << 16
 DIM = 16
 WIDTHS = (1, 2, 3)
@@ -50,36 +51,97 @@ REACH = 64.0
 SHOWN = 30_000
 MOST_EPOCHS = 40
 RATE = 0.05
-#: Words scored at once.
-BLOCK_WORDS = 200_000
+#: Words scored at once, and distinct words whose filter products are kept at once.
+BLOCK_WORDS = 4_000
+TABLE_WORDS = 1 << 17
+#: Bytes of a word that are hashed together with those of the other words.
+LONG = 48
+CRC_STEP = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], dtype=np.uint32)
 
 
-@lru_cache(maxsize=1 << 15)
 def features(word: str) -> tuple[int, ...]:
-    """Buckets of a word (lower case) and of its beginnings."""
+    """Buckets of a word (lower case) and of its beginnings; ``keys`` finds those of many."""
     b = word.encode("utf-8", "surrogatepass")
     return (zlib.crc32(b) % BUCKETS, *(zlib.crc32(b"%d:" % n + b[:n]) % BUCKETS for n in STEMS))
 
 
-def tokenise(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the distinct words (rows), the texts as numbers of distinct words
-    with padding after each, and where each text starts.  Padding is the last
-    distinct word, which has no buckets of its own."""
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Whether each code point is one of ``LETTERS``."""
+    out = np.zeros(0x110000, dtype=bool)
+    for found in LETTERS.finditer("".join(map(chr, range(len(out))))):
+        out[slice(*found.span())] = True
+    return out
+
+
+def crcs(data: np.ndarray, begin: np.ndarray, size: np.ndarray, prefix: bytes = b"") -> np.ndarray:
+    """CRC-32 of the prefix and so many bytes of ``data`` for each word, all words byte by
+    byte together; sizes never fall."""
+    state = np.full(len(begin), zlib.crc32(prefix) ^ 0xFFFFFFFF, dtype=np.uint32)
+    for i in range(size[-1] if len(size) else 0):
+        first = np.searchsorted(size, i, side="right")
+        part = state[first:]
+        state[first:] = CRC_STEP[(part ^ data[begin[first:] + i]) & 0xFF] ^ (part >> 8)
+    return ~state
+
+
+def keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A key of every word, that is its CRC-32 and its stems' buckets, which are also all
+    that its features need; and how many words each text has."""
+    lower = [t.lower() for t in texts]
+    joined = "\0".join(lower)  # no letter
+    data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    plain = len(data) == len(joined)
+    chars = data if plain else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = np.zeros(len(chars) + 2, dtype=bool)
+    inside[1:-1] = letters()[chars]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    ends = np.cumsum(np.fromiter(map(len, lower), dtype=np.int64, count=len(lower)) + 1)
+    sizes = np.diff(np.searchsorted(edges[::2], ends), prepend=0)
+    if not plain:  # from characters to bytes
+        wide = sum((chars > last).view(np.uint8) for last in (0x7F, 0x7FF, 0xFFFF)) + np.uint8(1)
+        edges = np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])[edges]
+    size = edges[1::2] - edges[::2]
+    order = np.argsort(np.minimum(size, LONG + 1).astype(np.uint8), kind="stable")
+    begin, size = edges[::2][order], size[order]
+    short = np.minimum(size, LONG)
+    whole = crcs(data, begin, short)
+    for i in range(np.searchsorted(short, LONG), len(size)):
+        whole[i] = zlib.crc32(data[begin[i] + LONG:begin[i] + size[i]], int(whole[i]))
+    key = whole.astype(np.uint64)
+    for n in STEMS:
+        key = key << 16 | crcs(data, begin, np.minimum(short, n), b"%d:" % n) % BUCKETS
+    out = np.empty_like(key)
+    out[order] = key
+    return out, sizes
+
+
+def numbered(key: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``tokenise`` from the words' keys."""
     pad = max(WIDTHS) - 1
-    found = [LETTERS.findall(t.lower()) for t in texts]
-    words = [w for ws in found for w in ws]
-    number = dict.fromkeys(words)
-    number.update(zip(list(number), range(len(number))))
-    rows = np.array([features(w) for w in number], dtype=np.int32).reshape(-1, 1 + len(STEMS))
-    codes = np.fromiter(map(number.__getitem__, words), dtype=np.int32, count=len(words))
-    sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    coded = pa.array(key).dictionary_encode()
+    codes, found = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    rows = np.stack([(found >> 16 * n) % BUCKETS for n in range(len(STEMS), -1, -1)], axis=1).astype(np.int32)
     room = np.maximum(sizes, 1) + pad
     starts = np.cumsum(room) - room
-    out = np.full(int(room.sum()), len(number), dtype=np.int32)
+    out = np.full(int(room.sum()), len(found), dtype=np.int32)
     out[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(codes))] = codes
     return rows, out, starts
 
 
+def tokenise(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the distinct words (rows), the texts as numbers of distinct words
+    with padding after each, and where each text starts.  Padding is the last
+    distinct word, which has no buckets of its own."""
+    return numbered(*keys(texts))
+
+
+def tokenise_each(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``tokenise`` of each text alone."""
+    key, sizes = keys(texts)
+    return [numbered(k, n) for k, n in zip(np.split(key, np.cumsum(sizes)[:-1]), sizes[:, None])]
+
+
 @dataclass
 class Net:
     """Weights of the classifier, language evidence and thresholds."""
@@ -112,32 +174,42 @@ def word_vectors(net: Net, rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def responses(net: Net, x: np.ndarray, words: np.ndarray, k: int) -> np.ndarray:
-    """Filter responses of width ``WIDTHS[k]`` at every word (zeros beyond a text)."""
-    w = WIDTHS[k]
-    z = np.empty((len(words), FILTERS), dtype=np.float32)
-    z[:] = net.bias[k]
-    for j in range(w):
-        part = x @ net.conv[k][j]
-        z[:len(words) - j] += part[words[j:]]
-    z[words == len(x) - 1] = net.bias[k]  # windows that start in the padding see nothing
+def products(net: Net, x: np.ndarray) -> np.ndarray:
+    """What words add to the filters at their place, to the wider ones one word before, and so on."""
+    return np.concatenate([x @ net.conv[k][j] for j in range(max(WIDTHS)) for k, w in enumerate(WIDTHS) if w > j], axis=1)
+
+
+def products_of_all(net: Net, x: np.ndarray) -> np.ndarray | None:
+    """The products of all distinct words, if they are not too many to keep."""
+    return products(net, x) if len(x) <= TABLE_WORDS else None
+
+
+def responses(net: Net, x: np.ndarray, words: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+    """Filter responses, width by width, at every word (zeros beyond a text)."""
+    seen = products(net, x[words]) if table is None else table.take(words, axis=0)
+    bias = np.concatenate(net.bias)
+    z = seen[:, :len(bias)] + bias
+    at = len(bias)
+    for j in range(1, max(WIDTHS)):
+        n = FILTERS * sum(w > j for w in WIDTHS)  # the widest filters stand last
+        z[:len(words) - j, -n:] += seen[j:, at:at + n]
+        at += n
+    z[words == len(x) - 1] = bias  # windows that start in the padding see nothing
     return z
 
 
 def pooled(net: Net, x: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The strongest response of each filter in each text; long inputs in blocks."""
     out = np.full((len(starts), FILTERS * len(WIDTHS)), -np.inf, dtype=np.float32)
-    lap = max(WIDTHS) - 1
+    table, lap = products_of_all(net, x), max(WIDTHS) - 1
     for a in range(0, len(words), BLOCK_WORDS):
         part = words[a:a + BLOCK_WORDS + lap]
         own = min(BLOCK_WORDS, len(words) - a)
         first = np.searchsorted(starts, a, side="right") - 1
         last = np.searchsorted(starts, a + own, side="left")
         cuts = np.maximum(starts[first:last] - a, 0)
-        for k in range(len(WIDTHS)):
-            best = np.maximum.reduceat(responses(net, x, part, k)[:own], cuts, axis=0)
-            at = out[first:last, k * FILTERS:(k + 1) * FILTERS]
-            np.maximum(at, best, out=at)
+        best = np.maximum.reduceat(responses(net, x, part, table)[:own], cuts, axis=0)
+        np.maximum(out[first:last], best, out=out[first:last])
     return np.maximum(out, 0)
 
 
@@ -152,14 +224,15 @@ def logits(net: Net, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return z, np.where((votes != 0).any(axis=1), votes.argmax(axis=1), -1)
 
 
-def strongest(net: Net, x: np.ndarray, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def strongest(net: Net, x: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each filter's strongest response in one text and the word where it starts; long
     texts in blocks."""
-    best, where = np.full(FILTERS, -np.inf, dtype=np.float32), np.zeros(FILTERS, dtype=np.int64)
+    table, every = products_of_all(net, x), np.arange(FILTERS * len(WIDTHS))
+    best, where = np.full(len(every), -np.inf, dtype=np.float32), np.zeros(len(every), dtype=np.int64)
     for a in range(0, len(words), BLOCK_WORDS):
-        z = responses(net, x, words[a:a + BLOCK_WORDS + max(WIDTHS) - 1], k)[:BLOCK_WORDS]
+        z = responses(net, x, words[a:a + BLOCK_WORDS + max(WIDTHS) - 1], table)[:BLOCK_WORDS]
         w = z.argmax(axis=0)
-        v = z[w, np.arange(FILTERS)]
+        v = z[w, every]
         where, best = np.where(v > best, w + a, where), np.maximum(v, best)
     return best, where
 
@@ -172,31 +245,34 @@ def fresh_sums(net: Net) -> dict:
 
 def step(net: Net, sums: dict, tokens: list, labels: np.ndarray, weight: np.ndarray, rate: float) -> np.ndarray:
     """One Adagrad step on a batch of tokenised texts; the buckets it touched."""
-    grads_embed: dict[str, list] = {"rows": [], "g": []}
     g_out, g_b = np.zeros_like(net.out), 0.0
-    g_conv, g_bias = [np.zeros_like(c) for c in net.conv], [np.zeros_like(b) for b in net.bias]
+    taps = [(k, j) for k, width in enumerate(WIDTHS) for j in range(width)]
+    width_of, place = (np.array(v) for v in zip(*taps))
+    conv = np.stack([net.conv[k][j].T for k, j in taps])  # (taps, FILTERS, DIM)
+    g_taps, g_bias = np.zeros((len(taps), DIM, FILTERS), dtype=np.float32), np.zeros_like(net.out)
+    at_rows, at_grads = [], []
     for i, (rows, words, _) in enumerate(tokens):
         x = word_vectors(net, rows)
-        best, where = zip(*(strongest(net, x, words, k) for k in range(len(WIDTHS))))
-        h = np.maximum(np.concatenate(best), 0)
+        best, where = strongest(net, x, words)
+        h = np.maximum(best, 0)
         p = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(h @ net.out + net.out_bias)))))
         g = (p - labels[i]) * weight[i] / len(tokens)
         g_out += g * h
         g_b += g
         back = g * net.out * (h > 0)
-        for k, width in enumerate(WIDTHS):
-            gk = back[k * FILTERS:(k + 1) * FILTERS]
-            g_bias[k] += gk
-            for j in range(width):
-                at = where[k] + j
-                code = np.where(at < len(words), words[np.minimum(at, len(words) - 1)], len(rows))
-                xs = x[code]  # (FILTERS, DIM)
-                g_conv[k][j] += (xs * gk[:, None]).T
-                live = code < len(rows)
-                gx = (net.conv[k][j].T * gk[:, None])[live]
-                for col in range(rows.shape[1]):
-                    grads_embed["rows"].append(rows[code[live], col])
-                    grads_embed["g"].append(gx)
+        g_bias += back
+        at = where.reshape(-1, FILTERS)[width_of] + place[:, None]
+        code = np.where(at < len(words), words[np.minimum(at, len(words) - 1)], len(rows))
+        gk = back.reshape(-1, FILTERS)[width_of][..., None]  # (taps, FILTERS, 1)
+        g_taps += (x[code] * gk).transpose(0, 2, 1)
+        live = code < len(rows)
+        found = np.full((*code.shape, rows.shape[1]), -1, dtype=rows.dtype)
+        found[live] = rows[code[live]]
+        found = found.transpose(0, 2, 1)  # the features of a tap's words one after the other
+        at_rows.append(found[found >= 0])
+        at_grads.append(np.broadcast_to((conv * gk)[:, None], (*found.shape, DIM))[found >= 0])
+    g_conv = [np.stack([g_taps[t] for t, (of, _) in enumerate(taps) if of == k]) for k in range(len(WIDTHS))]
+    g_bias = np.split(g_bias, len(WIDTHS))
     sums["out"] += g_out ** 2
     net.out -= (rate * g_out / np.sqrt(sums["out"])).astype(np.float32)
     sums["b"] += g_b ** 2
@@ -206,9 +282,9 @@ def step(net: Net, sums: dict, tokens: list, labels: np.ndarray, weight: np.ndar
         net.conv[k] -= (rate * g_conv[k] / np.sqrt(sums["conv"][k])).astype(np.float32)
         sums["bias"][k] += g_bias[k] ** 2
         net.bias[k] -= (rate * g_bias[k] / np.sqrt(sums["bias"][k])).astype(np.float32)
-    touched, back_at = np.unique(np.concatenate(grads_embed["rows"]), return_inverse=True)
+    touched, back_at = np.unique(np.concatenate(at_rows), return_inverse=True)
     total = np.zeros((len(touched), DIM), dtype=np.float64)
-    np.add.at(total, back_at, np.concatenate(grads_embed["g"]))
+    np.add.at(total, back_at, np.concatenate(at_grads))
     sums["embed"][touched] += (total ** 2).mean(axis=1)
     net.embed[touched] -= (rate * total / np.sqrt(sums["embed"][touched])[:, None]).astype(np.float32)
     return touched
@@ -233,7 +309,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int | Non
     epochs = epochs or max(4, min(MOST_EPOCHS, SHOWN // len(texts)))
     weight = weights(labels.mean())[labels]
     sums = fresh_sums(net) if sums is None else sums
-    tokens = [tokenise([t]) for t in texts]
+    tokens = [x for a in range(0, len(texts), batch) for x in tokenise_each(texts[a:a + batch])]
     for _ in range(epochs):
         order = r.permutation(len(texts))
         for a in range(0, len(order), batch):
@@ -277,7 +353,7 @@ def train_on(rows: DataFrame, net: Net, sums: dict, weight: np.ndarray, batch: i
             y = piece.column("toxic").to_numpy()
             langs = piece.column("lang").to_pylist()
             for a in range(0, len(texts), batch):
-                tokens = [tokenise([t]) for t in texts[a:a + batch]]
+                tokens = tokenise_each(texts[a:a + batch])
                 steps[step(own, own_sums, tokens, y[a:a + batch], weight[y[a:a + batch]], rate)] += 1
                 for lang, (found, words, _) in zip(langs[a:a + batch], tokens):
                     count_words(words_of, lang, found, words)
