@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01, SF001
@@ -137,3 +138,30 @@ def test_a_segment_adds_at_most_one_phrase():
         more = langid.count_phrases(codes, ends, classes, tables, segment) - whole
         cuts = np.array([-(-len(t) // segment) - 1 for t in texts])[:, None]
         assert (more >= 0).all() and (more <= cuts).all()
+
+
+def test_the_language_stage_parses_every_document(spark, monkeypatch):
+    """What the pipeline keeps is judged by the parse of each whole text under every language."""
+    rows = [(i, f"the cat and the dog sat on mat {i}", "en") for i in range(9)] + [(i, f"der hund und die katze {i}", "de") for i in range(20, 29)]
+    rows += [(40, None, "en"), (41, "12 ***", "de"), (42, "the hund " * 900, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    parsed, count = [], langid.count_phrases
+
+    def counted(codes, ends, classes, tables, *segment):
+        parsed.append((ends.tolist(), len(tables)))
+        return count(codes, ends, classes, tables, *segment)
+
+    class Here:  # runs the stage's function in this process
+        columns, schema = docs.columns, docs.schema
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=self.columns)
+            return [r["doc_id"] for b in run(iter([batch])) for r in b.to_pylist()]
+
+    monkeypatch.setattr(langid, "count_phrases", counted)
+    kept = langid.accepted(Here(), model)
+    numbers, _, _ = langid.prepared(model)
+    assert parsed == [(langid.normalise([r[1] or "" for r in rows], numbers)[1].tolist(), 2)]
+    assert kept == [r.doc_id for r in langid.predict(docs, model).collect() if r.lang_pred != langid.UNKNOWN]
+    assert set(r[0] for r in rows) - set(kept) == {40, 41}

@@ -220,6 +220,27 @@ def fit(docs: DataFrame, per_lang: int = DOCS_PER_LANG, ref_chars: int = REF_CHA
     return Model(langs, tuple(letters), refs)
 
 
+def judged(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and rate of every text, parsed whole under every language (see ``predict``)."""
+    numbers, classes, tables = prepared(model)
+    codes, ends = normalise([t or "" for t in texts], numbers)
+    letters = np.diff(ends, prepend=0) > 0
+    if model.langs:
+        r = rates(codes, ends, model, classes, tables)
+        best = np.argmin(r, axis=1)
+        low = r[np.arange(len(r)), best]
+        if len(model.langs) > 1:
+            second = np.partition(r, 1, axis=1)[:, 1]
+            score = np.where(second > 0, (second - low) / np.maximum(second, 1e-12), 0.0)
+        else:
+            score = np.ones(len(r))
+    else:
+        letters[:] = False
+        best, low, score = (np.zeros(len(texts), dtype=int), *np.zeros((2, len(texts))))
+    return ([model.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist())],
+            np.where(letters, np.clip(score, 0, 1), 0.0), np.where(letters, low, 0.0))
+
+
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, rate) of every row's whole text.
 
@@ -233,41 +254,25 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     src = columns(docs, doc_id=doc_id, text=text)
 
     def run(batches):
-        numbers, classes, tables = prepared(model)
         for piece, texts in chunks(batches):
-            codes, ends = normalise([t or "" for t in texts], numbers)
-            letters = np.diff(ends, prepend=0) > 0
-            if model.langs:
-                r = rates(codes, ends, model, classes, tables)
-                best = np.argmin(r, axis=1)
-                low = r[np.arange(len(r)), best]
-                if len(model.langs) > 1:
-                    second = np.partition(r, 1, axis=1)[:, 1]
-                    score = np.where(second > 0, (second - low) / np.maximum(second, 1e-12), 0.0)
-                else:
-                    score = np.ones(len(r))
-            else:
-                letters[:] = False
-                best, low, score = (np.zeros(len(texts), dtype=int), *np.zeros((2, len(texts))))
+            langs, score, rate = judged(texts, model)
             yield pa.RecordBatch.from_arrays(
-                [id_column(piece),
-                 pa.array([model.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist())], pa.string()),
-                 pa.array(np.where(letters, np.clip(score, 0, 1), 0.0), pa.float64()),
-                 pa.array(np.where(letters, low, 0.0), pa.float64())], names=["doc_id", "lang_pred", "score", "rate"])
+                [id_column(piece), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
+                names=["doc_id", "lang_pred", "score", "rate"])
 
     return src.mapInArrow(run, f"doc_id {type_of(src, 'doc_id')}, lang_pred string, score double, rate double")
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``predict`` gives a language: those with letters, all of
-    them, however short or undecided.  Columns and repeated rows stay as they are;
-    nothing is shuffled."""
+    """The rows of ``docs`` that ``predict`` gives a language: every text is parsed whole
+    under every language, as there, and what is judged ``und`` goes (texts without letters,
+    however short or undecided the others are).  Columns and repeated rows stay as they
+    are; nothing is shuffled."""
     names = docs.columns
 
     def run(batches):
-        numbers, _, _ = prepared(model)
         for piece, texts in chunks(batches, text):
-            _, ends = normalise([t or "" for t in texts], numbers)
-            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array(np.diff(ends, prepend=0) > 0))
+            langs, _, _ = judged(texts, model)
+            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema) if model.langs else docs.limit(0)
