@@ -272,3 +272,35 @@ def test_stock_check_spreads_its_rows(spark):
     many = O.stock_check(lines, stock, task_rows=2)
     assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().toString() and ", 100)" in many._jdf.queryExecution().toString()
     assert sorted(map(str, many.collect())) == sorted(map(str, O.stock_check(lines, stock).collect()))
+
+
+def test_orders_that_ask_for_more_than_there_is_hold_up_nobody(spark):
+    """Lost orders take nothing, so orders in later blocks are decided by the first pass."""
+    rows = [(f"O{i:03d}", i, 0, "A", 11.0 if i % 4 else 1.0, 1.0) for i in range(40)]
+    stats = {}
+    out = reserve_stock(spark.createDataFrame(rows, LINE_SCHEMA), stock_seed(spark, [("A", 10)]), ranges=8, stats=stats)
+    want, _ = sequential_reservation([(r[0], [("A", r[4])]) for r in rows], {"A": 10})
+    assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
+    assert stats["blocks"] == 8 and stats["rounds"] == 1
+
+
+def test_passes_move_a_row_per_block_and_bucket(spark, monkeypatch):
+    """However many lines a block has, a pass deals packed rows."""
+    from tidewater.operators import reservation
+    kept = {}
+    write = reservation.materialise
+
+    def watched(df, name):
+        out = write(df, name)
+        kept.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(reservation, "materialise", watched)
+    rows = [(f"O{i:04d}", i, p, f"P{(i * 7 + p) % 30}", float(1 + (i + p) % 5), 1.0) for i in range(600) for p in range(3)]
+    stats = {}
+    out = reserve_stock(spark.createDataFrame(rows, LINE_SCHEMA), stock_seed(spark, [(f"P{k}", 40) for k in range(30)]), ranges=3, stats=stats)
+    orders = [(f"O{i:04d}", [(r[3], r[4]) for r in rows[3 * i:3 * i + 3]]) for i in range(600)]
+    want, _ = sequential_reservation(orders, {f"P{k}": 40 for k in range(30)})
+    assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
+    blocks = buckets = stats["blocks"]
+    assert blocks == 3 and max(kept["reservation-pass"]) <= blocks * (1 + 2 * buckets) < stats["rows_written"][0]
