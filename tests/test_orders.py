@@ -304,3 +304,20 @@ def test_passes_move_a_row_per_block_and_bucket(spark, monkeypatch):
     assert {r.order_id: r.decision == "INVENTORY_RESERVED" for r in out.collect()} == want
     blocks = buckets = stats["blocks"]
     assert blocks == 3 and max(kept["reservation-pass"]) <= blocks * (1 + 2 * buckets) < stats["rows_written"][0]
+
+
+def test_totals_and_items_come_from_one_grouping(spark, monkeypatch):
+    rows = [("O1", 0, 1, "7", 2.0, 1.25), ("O1", 0, 0, "9", 1.0, None), ("O2", 1, 0, None, None, 3.0), (None, 2, 0, "7", 1.0, 2.0)]
+    lines = spark.createDataFrame(rows, LINE_SCHEMA)
+    orders = spark.createDataFrame([("O1", 1), ("O2", 2), ("O3", None), (None, 4)], "order_id string, customer_id int")
+    both = O.order_totals(orders, lines, items=True)
+    apart = O.order_totals(orders, lines).join(O.order_items(lines), "order_id", "left")
+    assert both.columns == apart.columns and sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    # the chain scans its lines once for both
+    from tests.conftest import SF001
+    from tidewater.plans import orders as plan
+    made = []
+    monkeypatch.setattr(plan, "materialise", lambda df, name: made.append(df) or df)
+    plan.Chain(spark, SF001).totals()
+    assert made[0]._jdf.queryExecution().optimizedPlan().toString().count("l_quantity#") > 0
+    assert sum("Relation" in x and "l_orderkey" in x for x in made[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()) == 1
