@@ -165,3 +165,8 @@ def test_the_language_stage_parses_every_document(spark, monkeypatch):
     assert parsed == [(langid.normalise([r[1] or "" for r in rows], numbers)[1].tolist(), 2)]
     assert kept == [r.doc_id for r in langid.predict(docs, model).collect() if r.lang_pred != langid.UNKNOWN]
     assert set(r[0] for r in rows) - set(kept) == {40, 41}
+
+
+def test_a_language_called_und_is_one(spark):
+    docs = spark.createDataFrame([(i, "the cat and the dog sat", "und") for i in range(9)] + [(40, "12", "und")], "doc_id bigint, text string, lang string")
+    assert sorted(r.doc_id for r in langid.accepted(docs, langid.fit(docs)).collect()) == list(range(9))

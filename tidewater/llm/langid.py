@@ -220,8 +220,9 @@ def fit(docs: DataFrame, per_lang: int = DOCS_PER_LANG, ref_chars: int = REF_CHA
     return Model(langs, tuple(letters), refs)
 
 
-def judged(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and rate of every text, parsed whole under every language (see ``predict``)."""
+def judged(texts: list[str | None], model: Model) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """Language (None if it has none), score and rate of every text, parsed whole under every
+    language (see ``predict``)."""
     numbers, classes, tables = prepared(model)
     codes, ends = normalise([t or "" for t in texts], numbers)
     letters = np.diff(ends, prepend=0) > 0
@@ -237,7 +238,7 @@ def judged(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray
     else:
         letters[:] = False
         best, low, score = (np.zeros(len(texts), dtype=int), *np.zeros((2, len(texts))))
-    return ([model.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters.tolist())],
+    return ([model.langs[b] if ok else None for b, ok in zip(best.tolist(), letters.tolist())],
             np.where(letters, np.clip(score, 0, 1), 0.0), np.where(letters, low, 0.0))
 
 
@@ -257,7 +258,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
         for piece, texts in chunks(batches):
             langs, score, rate = judged(texts, model)
             yield pa.RecordBatch.from_arrays(
-                [id_column(piece), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
+                [id_column(piece), pa.array([UNKNOWN if x is None else x for x in langs], pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
                 names=["doc_id", "lang_pred", "score", "rate"])
 
     return src.mapInArrow(run, f"doc_id {type_of(src, 'doc_id')}, lang_pred string, score double, rate double")
@@ -265,14 +266,14 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``predict`` gives a language: every text is parsed whole
-    under every language, as there, and what is judged ``und`` goes (texts without letters,
-    however short or undecided the others are).  Columns and repeated rows stay as they
-    are; nothing is shuffled."""
+    under every language, as there, and what has none goes (texts without letters; the others
+    stay, however short or undecided).  Columns and repeated rows stay as they are; nothing is
+    shuffled."""
     names = docs.columns
 
     def run(batches):
         for piece, texts in chunks(batches, text):
             langs, _, _ = judged(texts, model)
-            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(piece.columns, names=names).filter(pa.array([x is not None for x in langs], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema) if model.langs else docs.limit(0)
