@@ -321,3 +321,12 @@ def test_totals_and_items_come_from_one_grouping(spark, monkeypatch):
     plan.Chain(spark, SF001).totals()
     assert made[0]._jdf.queryExecution().optimizedPlan().toString().count("l_quantity#") > 0
     assert sum("Relation" in x and "l_orderkey" in x for x in made[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()) == 1
+
+
+def test_a_product_that_the_stock_names_twice_is_one(spark):
+    """Its lines come once per row of the stock, and all of them take from one product."""
+    rows = [(f"O{i}", i, 0, "A", 2.0, 1.0) for i in range(6)]
+    stock = stock_seed(spark, [("A", 7), ("A", 7)])
+    for ranges in (1, 3):
+        got = {r.order_id: r.decision for r in reserve_stock(spark.createDataFrame(rows, LINE_SCHEMA), stock, ranges=ranges).collect()}
+        assert [k for k, v in sorted(got.items()) if v == "INVENTORY_RESERVED"] == ["O0", "O1"]
